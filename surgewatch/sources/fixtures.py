@@ -46,14 +46,20 @@ def wordbag(spark: SparkSession) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str, bucket: str | None = None) -> DataFrame:
-    """Posts: post_id, username, uploaded_time, collected_time, channel, query, text, lang."""
+    """Posts: post_id, username, uploaded_time, collected_time, channel, query, text, lang.
+
+    A sort-merge join on the document key, so the posts come out hash-spread
+    over the shuffle partitions whatever the file layout of the tables (a
+    broadcast of the events would leave the posts in the scan partitions of
+    ``documents``, one task per file); AQE splits a skewed key.
+    """
     ensure_utc(spark)
     bucket = bucket or fixture_bucket(sf_dir)
     events = table(spark, sf_dir, "events")
     documents = table(spark, sf_dir, "documents")
     return spark.sql(
         """
-        SELECT e.event_id AS post_id,
+        SELECT /*+ MERGE(e, d) */ e.event_id AS post_id,
                concat('u', CAST(e.user_id AS STRING)) AS username,
                e.ts AS uploaded_time,
                window(e.ts, '{bucket}').start AS collected_time,
