@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surgewatch.config import DEFAULT_WEIGHTS
 from surgewatch.functions import text as TX
 from surgewatch.functions import timefmt as TF
 from surgewatch.functions.timefmt import interval_seconds
@@ -25,11 +24,13 @@ from surgewatch.operators import spikes as S
 from surgewatch.operators import standardize as STD
 from surgewatch.operators.match import plan_matcher
 from surgewatch.operators.metrics_rows import calculate_metrics
-from surgewatch.operators.metrics_time import calculate_metrics_time, exact_lags
+from surgewatch.operators.metrics_time import exact_lags
 from surgewatch.plans.pipeline import Job, JobConfig
 from surgewatch.sources import fixtures as FX
-from surgewatch.sources import sinks as SNK
 from surgewatch.schema import COUNT_KEYS, SERIES_KEYS
+from surgewatch.session import scratch_path
+from surgewatch.sources import sinks as SNK
+from surgewatch.streaming import stream as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -342,7 +343,7 @@ def q_alert_message(spark, sf):
 
 # -- post standardization (STD-*) ---------------------------------------------
 
-def _x_created_at(p: DataFrame) -> F.Column:
+def _x_created_at() -> F.Column:
     """created_at text as collectors receive it: X format, ISO with an offset, or junk."""
     t = F.col("uploaded_time")
     x_form = F.date_format(t, "EEE MMM dd HH:mm:ss '+0000' yyyy")
@@ -358,7 +359,7 @@ def _posts_with_user(spark, sf):
 
 
 def q_parse_created_at(spark, sf):
-    p = _posts_with_user(spark, sf).withColumn("created_at", _x_created_at(None))
+    p = _posts_with_user(spark, sf).withColumn("created_at", _x_created_at())
     return present(p.select("post_id", "created_at",
                             TF.parse_created_at("created_at").alias("created_utc")))
 
@@ -518,6 +519,90 @@ def q_metric_series(spark, sf):
         "cur_time", F.col("cur_time").cast("timestamp_ntz")))
 
 
+# -- streaming (STR-*): streamed results equal to the batch results ---------------
+
+# Fixed parameters: arriving post files are weekly slices of the posts.
+STREAM_SLICES = ("2024-01-08", "2024-01-15", "2024-01-22")
+
+
+def _slices(p: DataFrame, ts: str = "uploaded_time"):
+    """Row filters splitting all posts into consecutive time slices (every row in one)."""
+    bounds = [F.lit(b).cast("timestamp_ntz") for b in STREAM_SLICES]
+    conds = [F.col(ts) < bounds[0]]
+    conds += [(F.col(ts) >= lo) & (F.col(ts) < hi) for lo, hi in zip(bounds, bounds[1:])]
+    conds += [(F.col(ts) >= bounds[-1]) | F.col(ts).isNull()]
+    return conds
+
+
+def _feed(spark, frame: DataFrame, run_once, ts: str = "uploaded_time") -> None:
+    """Land ``frame`` as files one slice at a time; after each, run the stream over
+    what has arrived (one micro-batch per slice, like one job run per batch folder)."""
+    folder = scratch_path(spark, "arrivals")
+    for cond in _slices(frame, ts):
+        frame.where(cond).write.mode("append").parquet(folder)
+        run_once(folder)
+
+
+def _post_schema(spark, sf):
+    return posts(spark, sf).schema
+
+
+def q_stream_counts(spark, sf):
+    m = plan_matcher(FX.wordbag(spark))
+    out, ckpt = scratch_path(spark, "stream-counts"), scratch_path(spark, "ckpt")
+    schema = _post_schema(spark, sf)
+
+    def run(folder):
+        src = ST.read_post_stream(spark, folder, schema)
+        ST.write_versioned(ST.stream_counts(src, m, FX.fixture_bucket(sf)), out, ckpt
+                           ).awaitTermination()
+
+    _feed(spark, posts(spark, sf), run)
+    return present(ST.read_latest(spark, out, COUNT_KEYS))
+
+
+def q_stream_metrics(spark, sf):
+    m = plan_matcher(FX.wordbag(spark))
+    sm = ST.StreamingMetrics(spark, m, scratch_path(spark, "stream-metrics"), "rows", step(sf))
+    ckpt = scratch_path(spark, "ckpt")
+    schema = _post_schema(spark, sf)
+
+    def run(folder):
+        sm.start(ST.read_post_stream(spark, folder, schema), ckpt).awaitTermination()
+
+    _feed(spark, posts(spark, sf), run)
+    return present(sm.metrics().select(*calculate_metrics(
+        job(spark, sf).category_counts()).columns))
+
+
+def q_stream_dedupe(spark, sf):
+    p = _hourly(spark, sf).withColumn("username", F.concat(F.lit("u"), F.pmod(
+        F.substring("username", 2, 20).cast("long"), F.lit(7)).cast("string")))
+    p = p.select("post_id", "uploaded_time", "username")
+    out, ckpt = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "ckpt")
+
+    def run(folder):
+        src = ST.read_post_stream(spark, folder, p.schema)
+        (ST.stream_dedupe(src, "1 day").writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+         .awaitTermination())
+
+    _feed(spark, p, run)
+    return present(spark.read.parquet(out).select("uploaded_time", "username"))
+
+
+def q_stream_alerts(spark, sf):
+    items = _items(spark, sf)
+    out, ckpt = scratch_path(spark, "stream-alerts"), scratch_path(spark, "ckpt")
+
+    def run(folder):
+        src = ST.read_post_stream(spark, folder, items.schema)
+        ST.stream_alert_messages(src, out, ckpt).awaitTermination()
+
+    _feed(spark, items, run, ts="cur_time")
+    return present(spark.read.parquet(out).drop("_v"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
@@ -525,5 +610,3 @@ QUERIES: dict[str, Query] = {
 
 # Keys checked by row count only (no SQL oracle): golden-row operators.
 NO_ORACLE = {"clean_post_text"}
-
-_ = (DEFAULT_WEIGHTS, COUNT_KEYS, calculate_metrics, calculate_metrics_time)

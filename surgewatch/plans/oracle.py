@@ -297,6 +297,13 @@ groups AS (
                ORDER BY count_keyword DESC, keyword) AS keywords,
     count(*) AS n_keywords, max(short_term_growth) AS short_term_growth, max(score) AS score
   FROM new_items GROUP BY pk, channel, query, category, cur_time, prev_time
+),
+groups_all AS (
+  SELECT pk, channel, query, category, cur_time, prev_time,
+    string_agg(' ' || keyword || ' (' || CAST(count_keyword AS VARCHAR) || '건)', ', '
+               ORDER BY count_keyword DESC, keyword) AS keywords,
+    count(*) AS n_keywords, max(short_term_growth) AS short_term_growth, max(score) AS score
+  FROM items GROUP BY pk, channel, query, category, cur_time, prev_time
 ),"""
 )
 
@@ -491,6 +498,12 @@ BODIES: dict[str, str] = {
             FROM hits WHERE category <> 'no' AND uploaded_time >= TIMESTAMP '{Q.UPSERT_NEW_FROM}'
             GROUP BY ALL)
         GROUP BY collected_time, channel, query, category""",
+    # streaming: equal to the batch results
+    "stream_counts": "SELECT * FROM cat",
+    "stream_metrics": f"SELECT {_METRICS_OUT} FROM metrics_rows",
+    "stream_dedupe": """SELECT DISTINCT date_trunc('hour', uploaded_time) AS uploaded_time,
+        'u' || CAST(user_id_ % 7 AS VARCHAR) AS username FROM posts""",
+    "stream_alerts": f"SELECT pk, channel, query, category, cur_time, {MESSAGE} AS message FROM groups_all",
     "metric_series": f"""SELECT {_METRICS_OUT} FROM metrics_rows
         WHERE channel = '{Q.SERIES_PICK[0]}' AND query = '{Q.SERIES_PICK[1]}'
           AND category = '{Q.SERIES_PICK[2]}'
