@@ -83,14 +83,19 @@ class Matcher:
             return posts.withColumn(out, F.array_sort(self.matched_column(text)))
         cols = posts.columns
         keyed = posts.withColumn("_pk", F.xxhash64(*cols))
-        kw = self._bag_side(self.usable.select("keyword").distinct())
-        hit = (keyed.select("_pk", *cols, F.explode(F.array_distinct(T.words(text))).alias("keyword"))
-               .join(kw, "keyword")
+        hit = (self._exploded_hits(keyed, text, cols)
                .groupBy("_pk", *cols).agg(F.array_sort(F.collect_list("keyword")).alias(out)))
-        cond = [keyed["_pk"] == hit["_pk"]] + [keyed[c].eqNullSafe(hit[c]) for c in cols]
+        hit = hit.select([F.col(c).alias(f"_h_{c}") for c in ["_pk", *cols]] + [F.col(out)])
+        cond = [F.col("_pk") == F.col("_h__pk")] + \
+            [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in cols]
         return (keyed.join(hit, cond, "left")
-                .select(*[keyed[c] for c in cols],
-                        F.coalesce(hit[out], F.array().cast("array<string>")).alias(out)))
+                .select(*cols, F.coalesce(out, F.array().cast("array<string>")).alias(out)))
+
+    def _exploded_hits(self, keyed: DataFrame, text: str, cols: list[str]) -> DataFrame:
+        """(post key, post columns, keyword) for every distinct matched token (join strategy)."""
+        kw = self._bag_side(self.usable.select("keyword").distinct())
+        return (keyed.select("_pk", *cols, F.explode(F.array_distinct(T.words(text))).alias("keyword"))
+                .join(kw, "keyword"))
 
     # -- hits / misses / mapped ------------------------------------------------
     def hits(self, posts: DataFrame, text: str = "text") -> DataFrame:
@@ -108,12 +113,10 @@ class Matcher:
         else:
             cols = posts.columns
             keyed = posts.withColumn("_pk", F.xxhash64(*cols))
-            kw = self._bag_side(self.usable.select("keyword").distinct())
-            hit_posts = (keyed.select("_pk", *cols,
-                                      F.explode(F.array_distinct(T.words(text))).alias("keyword"))
-                         .join(kw, "keyword").drop("keyword").dropDuplicates())
-            cond = [keyed["_pk"] == hit_posts["_pk"]] + \
-                [keyed[c].eqNullSafe(hit_posts[c]) for c in cols]
+            hit_posts = (self._exploded_hits(keyed, text, cols).drop("keyword").dropDuplicates()
+                         .select([F.col(c).alias(f"_h_{c}") for c in ["_pk", *cols]]))
+            cond = [F.col("_pk") == F.col("_h__pk")] + \
+                [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in cols]
             m = keyed.join(hit_posts, cond, "left_anti").drop("_pk")
         return m.withColumns({"category": F.lit(NO_MATCH), "keyword": F.lit(NO_MATCH)})
 

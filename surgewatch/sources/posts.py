@@ -12,6 +12,9 @@ from surgewatch.functions.timefmt import iso_to_timestamp
 from surgewatch.schema import POST_COLUMNS, POST_RAW, WORDBAG
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+# The CSV writer trims values by default; post text keeps its spaces.
+CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "",
+                     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 # Batch folders are named raw-data/{yyyyMMdd'T'HHmmss'Z'}/
 BATCH_FOLDER_RE = r"/(\d{8}T\d{6}Z)/"
@@ -67,15 +70,14 @@ def merge_posts(spark: SparkSession, paths: list[str], out: str | None = None) -
     for f in frames[1:]:
         merged = merged.unionByName(f, allowMissingColumns=True)
     if out:
-        merged.write.mode("overwrite").options(**CSV_OPTIONS).csv(out)
+        merged.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(out)
     return merged
 
 
 def write_posts(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a post batch as CSV with the fixed header (also when empty)."""
     cols = [F.col(c).cast("string") for c in POST_COLUMNS]
-    (df.select(*cols).write.mode(mode).option("header", "true").option("quote", '"')
-     .option("escape", '"').option("emptyValue", "").csv(path))
+    df.select(*cols).write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def write_partitioned_by_query(df: DataFrame, path: str, mode: str = "overwrite") -> None:
