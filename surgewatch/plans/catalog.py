@@ -499,8 +499,50 @@ def q_complete_batches(spark, sf):
 
 
 def q_partition_by_query(spark, sf):
+    """Posts laid out as ``keyword=<safe query>/`` folders and read back."""
+    from surgewatch.sources import posts as P
     p = posts(spark, sf).withColumn("query", F.concat_ws(" / ", "query", "channel"))
-    return p.select("post_id", "query", STD.safe_query_name("query").alias("keyword"))
+    folder = scratch_path(spark, "by-query")
+    P.write_partitioned_by_query(p.select("post_id", "query"), folder)
+    back = spark.read.option("basePath", folder).parquet(folder)
+    return back.select("post_id", "query", F.col("keyword").cast("string").alias("keyword"))
+
+
+def q_merge_posts(spark, sf):
+    """Two collector batches as CSV -- one in the older shape without ``query`` -- merged."""
+    from surgewatch.sources import posts as P
+    p = posts(spark, sf)
+    new_dir, old_dir = scratch_path(spark, "batch-new"), scratch_path(spark, "batch-old")
+    cut = F.lit(RANGE_UNTIL).cast("timestamp_ntz")
+    P.write_posts(p.where(F.col("uploaded_time") >= cut), new_dir)
+    (p.where(F.col("uploaded_time") < cut)
+     .select("username", F.col("uploaded_time").cast("string"),
+             F.col("collected_time").cast("string"), "channel", "text")
+     .write.options(**P.CSV_WRITE_OPTIONS).csv(old_dir))
+    return P.merge_posts(spark, [new_dir, old_dir])
+
+
+def q_write_mapped(spark, sf):
+    """Mapped rows stored by batch day (dynamic partition overwrite) and read back."""
+    folder = scratch_path(spark, "mapped")
+    SNK.write_mapped(job(spark, sf).mapped().select(
+        "username", "uploaded_time", "collected_time", "channel", "query", "text", "category",
+        "keyword"), folder)
+    return spark.read.parquet(folder).drop("batch_date")
+
+
+def q_metrics_sink(spark, sf):
+    """Metrics appended in sink shape (DDL columns, created_at) and read back."""
+    folder = scratch_path(spark, "metrics")
+    SNK.write_metrics(_rows(spark, sf), folder)
+    return present(spark.read.parquet(folder).drop("created_at", "cur_date"))
+
+
+def q_score_growth_only(spark, sf):
+    """Time-mode score with weights (1, 0, 0, 0, 0): the growth-only variant."""
+    cfg = JobConfig(bucket=FX.fixture_bucket(sf), weights=(1.0, 0.0, 0.0, 0.0, 0.0))
+    j = Job(posts(spark, sf), FX.wordbag(spark), cfg)
+    return present(j.metrics("time").select(*SERIES_KEYS, "cur_time", "score"))
 
 
 def q_counts_upsert(spark, sf):
@@ -512,6 +554,14 @@ def q_counts_upsert(spark, sf):
     return SNK.merge_counts(old, new)
 
 
+def q_read_posts(spark, sf):
+    """Posts written as collector CSV (header, quoted multi-line text) and read back."""
+    from surgewatch.sources import posts as P
+    folder = scratch_path(spark, "raw-data")
+    P.write_posts(posts(spark, sf), folder)
+    return present(P.read_posts(spark, folder))
+
+
 def q_metric_series(spark, sf):
     ch, q, cat, start, end = SERIES_PICK
     m = _rows(spark, sf)
@@ -543,6 +593,11 @@ def _feed(spark, frame: DataFrame, run_once, ts: str = "uploaded_time") -> None:
         run_once(folder)
 
 
+def _state_parts(spark) -> int:
+    """State partitions sized to the cluster's cores."""
+    return max(int(spark.sparkContext.defaultParallelism), 1)
+
+
 def _post_schema(spark, sf):
     return posts(spark, sf).schema
 
@@ -554,8 +609,8 @@ def q_stream_counts(spark, sf):
 
     def run(folder):
         src = ST.read_post_stream(spark, folder, schema)
-        ST.write_versioned(ST.stream_counts(src, m, FX.fixture_bucket(sf)), out, ckpt
-                           ).awaitTermination()
+        ST.write_versioned(ST.stream_counts(src, m, FX.fixture_bucket(sf)), out, ckpt,
+                           partitions=_state_parts(spark)).awaitTermination()
 
     _feed(spark, posts(spark, sf), run)
     return present(ST.read_latest(spark, out, COUNT_KEYS))
@@ -568,7 +623,8 @@ def q_stream_metrics(spark, sf):
     schema = _post_schema(spark, sf)
 
     def run(folder):
-        sm.start(ST.read_post_stream(spark, folder, schema), ckpt).awaitTermination()
+        sm.start(ST.read_post_stream(spark, folder, schema), ckpt,
+                 partitions=_state_parts(spark)).awaitTermination()
 
     _feed(spark, posts(spark, sf), run)
     return present(sm.metrics().select(*calculate_metrics(
@@ -583,9 +639,10 @@ def q_stream_dedupe(spark, sf):
 
     def run(folder):
         src = ST.read_post_stream(spark, folder, p.schema)
-        (ST.stream_dedupe(src, "1 day").writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-         .awaitTermination())
+        with ST.state_partitions(spark, _state_parts(spark)):
+            q = (ST.stream_dedupe(src, "1 day").writeStream.format("parquet").option("path", out)
+                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
 
     _feed(spark, p, run)
     return present(spark.read.parquet(out).select("uploaded_time", "username"))
@@ -597,7 +654,7 @@ def q_stream_alerts(spark, sf):
 
     def run(folder):
         src = ST.read_post_stream(spark, folder, items.schema)
-        ST.stream_alert_messages(src, out, ckpt).awaitTermination()
+        ST.stream_alert_messages(src, out, ckpt, partitions=_state_parts(spark)).awaitTermination()
 
     _feed(spark, items, run, ts="cur_time")
     return present(spark.read.parquet(out).drop("_v"))

@@ -508,6 +508,14 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
         "stream_dedupe": """SELECT DISTINCT date_trunc('hour', uploaded_time) AS uploaded_time,
             'u' || CAST(user_id_ % 7 AS VARCHAR) AS username FROM posts""",
         "stream_alerts": f"SELECT pk, channel, query, category, cur_time, {MESSAGE} AS message FROM groups_all",
+        "merge_posts": f"""SELECT username, CAST(uploaded_time AS VARCHAR) AS uploaded_time,
+            CAST(collected_time AS VARCHAR) AS collected_time, channel,
+            CASE WHEN uploaded_time >= TIMESTAMP '{Q.RANGE_UNTIL}' THEN query END AS query, text
+            FROM posts""",
+        "write_mapped": f"SELECT {_MAP8} FROM mapped",
+        "metrics_sink": f"SELECT {_METRICS_OUT} FROM metrics_rows",
+        "score_growth_only": f"SELECT {_KEYS}, round(short_term_growth, 6) AS score FROM metrics_time",
+        "read_posts": "SELECT username, uploaded_time, collected_time, channel, query, text FROM posts",
         "metric_series": f"""SELECT {_METRICS_OUT} FROM metrics_rows
             WHERE channel = '{Q.SERIES_PICK[0]}' AND query = '{Q.SERIES_PICK[1]}'
               AND category = '{Q.SERIES_PICK[2]}'

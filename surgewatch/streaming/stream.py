@@ -16,6 +16,8 @@ lost executor or a restarted query resumes from the last committed batch.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +31,28 @@ from surgewatch.schema import COUNT_KEYS
 from surgewatch.sources.posts import CSV_OPTIONS
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Shuffle partitions for a stream's stateful operators.
+
+    A new streaming query fixes its state partition count from the session at
+    its first start (AQE cannot coalesce state), and clones the session conf
+    at ``start()``; so the value is set only around the start.  Size it to the
+    cluster (e.g. total executor cores) -- it cannot change later without a new
+    checkpoint.
+    """
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def read_post_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """File-source stream of post batches (``fmt`` = ``parquet`` or ``csv``)."""
@@ -63,7 +87,8 @@ def stream_counts(posts: DataFrame, matcher: Matcher, bucket: str,
                       "count_category")
 
 
-def write_versioned(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "update"):
+def write_versioned(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "update",
+                    partitions: int | None = None):
     """Run ``stream`` once over the available input, storing each micro-batch as version
     ``_v`` = batch id (a replayed batch overwrites its own version)."""
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -73,8 +98,9 @@ def write_versioned(stream: DataFrame, path: str, checkpoint: str, output_mode:
         (batch.withColumn("_v", F.lit(int(batch_id)))
          .write.mode("overwrite").partitionBy("_v").parquet(path))
 
-    return (stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-            .foreachBatch(handle).trigger(availableNow=True).start())
+    with state_partitions(stream.sparkSession, partitions):
+        return (stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+                .foreachBatch(handle).trigger(availableNow=True).start())
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
@@ -125,7 +151,8 @@ class StreamingMetrics:
         (m.withColumn("_v", F.lit(int(batch_id)))
          .write.mode("overwrite").partitionBy("_v").parquet(self.metrics_path))
 
-    def start(self, posts: DataFrame, checkpoint: str, available_now: bool = True):
+    def start(self, posts: DataFrame, checkpoint: str, available_now: bool = True,
+              partitions: int | None = None):
         hits = as_event_time(self.matcher.hits(posts).where(F.col("category") != "no"),
                              "collected_time")
         kw = (hits.withWatermark("collected_time", self.watermark)
@@ -134,7 +161,8 @@ class StreamingMetrics:
              .option("checkpointLocation", checkpoint)
              .foreachBatch(lambda df, bid: self._upsert(df, bid)))
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-        return w.start()
+        with state_partitions(self.spark, partitions):
+            return w.start()
 
     def metrics(self) -> DataFrame:
         """Current metrics: newest version per series point."""
@@ -154,7 +182,7 @@ def stream_dedupe(posts: DataFrame, watermark: str = "1 hour",
 
 
 def stream_alert_messages(items: DataFrame, out_path: str, checkpoint: str,
-                          stored_path: str | None = None):
+                          stored_path: str | None = None, partitions: int | None = None):
     """Alert items arriving as files -> one message per risk and snapshot.
 
     Items already stored (``stored_path``, keyed by pk, sk) raise no new message.
@@ -175,5 +203,6 @@ def stream_alert_messages(items: DataFrame, out_path: str, checkpoint: str,
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         msgs.write.mode("overwrite").partitionBy("_v").parquet(out_path)
 
-    return (items.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(handle).trigger(availableNow=True).start())
+    with state_partitions(spark, partitions):
+        return (items.writeStream.option("checkpointLocation", checkpoint)
+                .foreachBatch(handle).trigger(availableNow=True).start())
