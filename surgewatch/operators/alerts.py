@@ -42,12 +42,15 @@ def extract_alert(metrics: DataFrame, kw_counts: DataFrame,
     The risk side is a filtered fraction of the series points; AQE turns the
     join into a broadcast when its measured size allows, else sort-merge.
     """
-    r = risk_rows(metrics, threshold).alias("r")
+    # Null-safe on time with non-null risk times matches exactly what equality
+    # matches, without an inferred filter on the keyword-count side; callers that
+    # also drop null channel/query/category from the shared keyword counts (see
+    # ``Job.alerts``) get identical subtrees on both sides, and Spark reuses the
+    # exchange instead of tokenizing the posts twice.
+    r = risk_rows(metrics, threshold).where(F.col("cur_time").isNotNull()).alias("r")
     c = kw_counts.alias("c")
-    cond = ((F.col("r.cur_time") == F.col("c.collected_time"))
-            & (F.col("r.channel") == F.col("c.channel"))
-            & (F.col("r.query") == F.col("c.query"))
-            & (F.col("r.category") == F.col("c.category")))
+    cond = [F.col("r.cur_time").eqNullSafe(F.col("c.collected_time"))] + \
+        [F.col(f"r.{k}") == F.col(f"c.{k}") for k in ("channel", "query", "category")]
     out = r.join(c, cond, "inner")
     cols = [F.col(f"c.{x}") if x in ("keyword", "count_keyword") else F.col(f"r.{x}")
             for x in ALERT_COLUMNS]

@@ -14,6 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from surgewatch.config import ALERT_THRESHOLD, DEFAULT_WEIGHTS, DURATION_THRESHOLD
 from surgewatch.functions.timefmt import interval_seconds
@@ -60,8 +61,10 @@ class Job:
         return C.category_from_keyword_counts(self.keyword_counts())
 
     def metrics(self, mode: str | None = None) -> DataFrame:
+        return self._metrics_from(self.category_counts(), mode)
+
+    def _metrics_from(self, cats: DataFrame, mode: str | None) -> DataFrame:
         mode = mode or self.cfg.mode
-        cats = self.category_counts()
         if mode == "rows":
             return calculate_metrics(cats, self.cfg.weights)
         if mode == "time":
@@ -70,7 +73,13 @@ class Job:
         raise ValueError(f"unknown metrics mode {mode!r}")
 
     def alerts(self, mode: str | None = None) -> DataFrame:
-        return A.extract_alert(self.metrics(mode), self.keyword_counts(), self.cfg.threshold)
+        """Alert rows.  Series with a null channel/query/category never alert (the
+        join needs equal keys) and sit in window partitions of their own, so they
+        are dropped once from the keyword counts shared by both sides of the join."""
+        kw = self.keyword_counts().where(F.col("channel").isNotNull() & F.col("query").isNotNull()
+                                         & F.col("category").isNotNull())
+        return A.extract_alert(self._metrics_from(C.category_from_keyword_counts(kw), mode), kw,
+                               self.cfg.threshold)
 
     def alert_items(self, mode: str | None = None, round_digits: int | None = None) -> DataFrame:
         return A.alert_items(self.alerts(mode), round_digits)
