@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgewatch.schema import COUNT_KEYS, METRICS_COLUMNS
+from surgewatch.session import checkpoint_dir
 
 
 def merge_counts(old: DataFrame, new: DataFrame, keys=tuple(COUNT_KEYS),
                  value: str = "count_category") -> DataFrame:
+    keys = list(keys)
     """Keyed upsert: one row per key, the newer frame's value winning.
 
     A grouped ``max_by`` on a version tag (partial aggregation map-side)
@@ -37,27 +39,35 @@ def write_mapped(mapped: DataFrame, path: str, batch_col: str = "collected_time"
 
 
 def upsert_counts(spark: SparkSession, new: DataFrame, path: str,
-                  value: str = "count_category") -> DataFrame:
-    """Upsert category counts into the parquet table at ``path``; returns the merged rows
-    of the touched days (read back from the table)."""
+                  value: str = "count_category", keys=tuple(COUNT_KEYS)) -> DataFrame:
+    """Upsert counts into the parquet table at ``path`` (partitioned by day).
+
+    Only the days of the batch are rewritten; the merged rows are materialized
+    with ``checkpoint()`` (the shared checkpoint folder) before the days they
+    were read from are overwritten.  Returns the whole table, read back.
+    """
     _dynamic(spark)
-    new = new.withColumn("batch_date", F.to_date("collected_time"))
+    checkpoint_dir(spark)   # the shared folder of spark.checkpoint.dir (set only if unset)
+    new = new.select(*keys, value).withColumn("batch_date", F.to_date("collected_time"))
     try:
         stored = spark.read.parquet(path)
         days = new.select("batch_date").distinct()
         old = stored.join(days, "batch_date", "left_semi")
-        merged = merge_counts(old, new, value=value)
+        merged = merge_counts(old, new, keys=keys, value=value)
     except Exception as exc:  # first batch: no table yet
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
-        merged = merge_counts(new.where(F.lit(False)), new, value=value)
+        merged = merge_counts(new.where(F.lit(False)), new, keys=keys, value=value)
     merged = merged.withColumn("batch_date", F.to_date("collected_time"))
-    # materialize before overwriting the days it was read from
     staged = merged.checkpoint(eager=True)
     staged.write.mode("overwrite").partitionBy("batch_date").parquet(path)
     return spark.read.parquet(path)
 
 
+def upsert_keyword_counts(spark: SparkSession, new: DataFrame, path: str) -> DataFrame:
+    return upsert_counts(spark, new, path, value="count_keyword", keys=tuple(COUNT_KEYS) + ("keyword",))
+
+
 def metrics_frame(metrics: DataFrame) -> DataFrame:
     """Metrics in sink shape: DDL columns, timestamps cast, ``created_at`` stamped."""
     return metrics.select(*METRICS_COLUMNS).withColumns({
@@ -67,15 +77,44 @@ def metrics_frame(metrics: DataFrame) -> DataFrame:
     })
 
 
+def upsert_by_day(new: DataFrame, path: str, keys: list[str], day_col: str,
+                  day_of: str) -> DataFrame:
+    """Keyed upsert into a parquet table partitioned by ``day_col`` (= date of ``day_of``).
+
+    Touched days are rewritten as (stored rows whose key is not in the batch) +
+    batch rows, materialized with ``checkpoint()`` first.  Returns the batch rows.
+    """
+    spark = new.sparkSession
+    _dynamic(spark)
+    checkpoint_dir(spark)
+    new = new.withColumn(day_col, F.to_date(day_of))
+    try:
+        stored = spark.read.parquet(path)
+    except Exception as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        stored = None
+    new = new.checkpoint(eager=True)
+    if stored is None:
+        day_rows = new
+    else:
+        kept = (stored.join(new.select(day_col).distinct(), day_col, "left_semi")
+                .join(new.select(*keys), keys, "left_anti"))
+        day_rows = new.unionByName(kept.select(*new.columns)).checkpoint(eager=True)
+    day_rows.write.mode("overwrite").partitionBy(day_col).parquet(path)
+    return new.drop(day_col)
+
+
 def write_metrics(metrics: DataFrame, path: str | None = None, jdbc_url: str | None = None,
                   table: str = "metrics", properties: dict | None = None) -> None:
-    """Append metrics: JDBC when a URL is given, else parquet partitioned by day."""
+    """Metrics sink: JDBC append when a URL is given (as the reference), else a parquet
+    table keyed by (channel, query, category, cur_time) and partitioned by day, where
+    a replayed batch replaces its own rows."""
     out = metrics_frame(metrics)
     if jdbc_url:
         out.write.jdbc(jdbc_url, table, mode="append", properties=properties or {})
         return
-    (out.withColumn("cur_date", F.to_date("cur_time"))
-     .write.mode("append").partitionBy("cur_date").parquet(path))
+    upsert_by_day(out, path, ["channel", "query", "category", "cur_time"], "cur_date", "cur_time")
 
 
 def metric_series(metrics: DataFrame, channel: str, query: str, category: str,
@@ -90,8 +129,14 @@ def metric_series(metrics: DataFrame, channel: str, query: str, category: str,
     return metrics.where(cond).orderBy("cur_time")
 
 
-def write_alert_items(items: DataFrame, path: str) -> None:
-    """Alert items keyed by (pk, sk); rewrite the days present in the batch."""
-    _dynamic(items.sparkSession)
-    (items.withColumn("cur_date", F.to_date("cur_time"))
-     .write.mode("overwrite").partitionBy("cur_date").parquet(path))
+def write_alert_items(items: DataFrame, path: str) -> DataFrame:
+    """Keyed alert-item table (pk, sk) by day; returns the items not stored before
+    (the insert events that raise messages)."""
+    spark = items.sparkSession
+    try:
+        stored = spark.read.parquet(path).select("pk", "sk")
+        items = items.join(stored, ["pk", "sk"], "left_anti")
+    except Exception as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+    return upsert_by_day(items, path, ["pk", "sk"], "cur_date", "cur_time")
