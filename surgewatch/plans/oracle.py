@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from surgewatch.config import DEFAULT_WEIGHTS
 from surgewatch.functions.stopwords import ENGLISH_STOPWORDS
-from surgewatch.functions.text import PY_SPACE_CLASS
+from surgewatch.functions.text import LINE_BREAK_RE, PY_SPACE_CLASS
 from surgewatch.functions.timefmt import interval_seconds
 from surgewatch.plans import catalog as Q
 from surgewatch.sources.fixtures import FIXTURE_WORDBAG
@@ -168,6 +168,31 @@ _METRIC_DOUBLES = "short_term_growth, long_term_ratio, volatility, ratio_to_tota
 _METRICS_OUT = ("channel, query, category, cur_time, prev_time, cur_count, prev_count, "
                 + _r(_METRIC_DOUBLES))
 _PSPACE = PY_SPACE_CLASS
+_LB = LINE_BREAK_RE.replace("\\u2028", "\\x{2028}").replace("\\u2029", "\\x{2029}")
+_REL = (f"^{_PSPACE}*(\\p{{Nd}}+{_PSPACE}*(분|시간|일)|\\p{{Nd}}+{_PSPACE}*phút"
+        f"|\\p{{Nd}}+{_PSPACE}*giờ|\\p{{Nd}}+{_PSPACE}*ngày){_PSPACE}*$")
+
+
+def _toks(x: str) -> str:
+    return f"regexp_split_to_array({x}, '{_PSPACE}+')"
+
+
+# Threads cleaner with list functions: the first token differing from the username
+# is found by position (the Spark side uses a quoted-prefix regex instead).
+_FIRST_OTHER = f"list_position(list_transform({_toks('l')}, lambda tk: tk <> u), true)"
+CLEAN_THREADS = f"""CASE WHEN txt IS NULL OR txt = '' THEN txt ELSE array_to_string(
+  list_filter(
+    list_transform(
+      list_filter(list_transform(regexp_split_to_array(txt, '{_LB}'),
+                                 lambda l: regexp_replace(l, '^{_PSPACE}+|{_PSPACE}+$', '', 'g')),
+                  lambda l: l <> ''),
+      lambda l: CASE WHEN u IS NULL OR u = '' OR regexp_matches(u, '{_PSPACE}') THEN l
+        WHEN {_FIRST_OTHER} = 1 THEN l
+        ELSE array_to_string(list_slice({_toks('l')},
+               coalesce(nullif({_FIRST_OTHER}, 0), len({_toks('l')}) + 1), len({_toks('l')})), ' ')
+        END),
+    lambda l: l <> '' AND NOT regexp_full_match(l, '{_REL}')),
+  chr(10)) END"""
 
 
 
@@ -458,6 +483,9 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
         "query_in_text": "SELECT post_id, query FROM posts WHERE contains(lower(text), lower(query))",
         "flatten_text": f"""SELECT post_id, regexp_replace(replace(coalesce(text, ''), chr(10), ' '),
             '^{_PSPACE}+|{_PSPACE}+$', '', 'g') AS flat_text FROM posts""",
+        "clean_post_text": f"""SELECT post_id, {CLEAN_THREADS} AS clean_text FROM (
+            SELECT post_id, username AS u, username || ' ' || username || ' ' || text || chr(10)
+                   || '  3시간  ' || chr(10) AS txt FROM posts)""",
         "drop_empty_posts": """SELECT post_id FROM (SELECT post_id,
               CASE WHEN user_id_ % 3 = 0 THEN '' ELSE username END AS u,
               CASE WHEN lang = 'de' THEN NULL ELSE text END AS t FROM posts)
