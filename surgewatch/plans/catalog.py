@@ -562,6 +562,15 @@ def q_read_posts(spark, sf):
     return present(P.read_posts(spark, folder))
 
 
+def q_batch_time(spark, sf):
+    """Posts landed as batch folders; each row's batch time parsed from its folder name."""
+    from surgewatch.sources import posts as P
+    root = scratch_path(spark, "raw-data")
+    P.write_batches(posts(spark, sf), root)
+    back = P.with_batch_time(P.read_posts(spark, f"{root}/*"))
+    return present(back.select("username", "uploaded_time", "channel", "query", "batch_time"))
+
+
 def q_metric_series(spark, sf):
     ch, q, cat, start, end = SERIES_PICK
     m = _rows(spark, sf)
@@ -602,6 +611,20 @@ def _post_schema(spark, sf):
     return posts(spark, sf).schema
 
 
+def q_stream_posts(spark, sf):
+    """Post files streamed through the file source into a parquet sink, read back."""
+    p = posts(spark, sf)
+    out, ckpt = scratch_path(spark, "stream-posts"), scratch_path(spark, "ckpt")
+
+    def run(folder):
+        src = ST.read_post_stream(spark, folder, p.schema)
+        (src.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start().awaitTermination())
+
+    _feed(spark, p, run)
+    return spark.read.parquet(out).drop("lang")
+
+
 def q_stream_counts(spark, sf):
     m = plan_matcher(FX.wordbag(spark))
     out, ckpt = scratch_path(spark, "stream-counts"), scratch_path(spark, "ckpt")

@@ -531,6 +531,8 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
                 GROUP BY ALL)
             GROUP BY collected_time, channel, query, category""",
         # streaming: equal to the batch results
+        "stream_posts": """SELECT post_id, username, uploaded_time, collected_time, channel, query, text
+            FROM posts""",
         "stream_counts": "SELECT * FROM cat",
         "stream_metrics": f"SELECT {_METRICS_OUT} FROM metrics_rows",
         "stream_dedupe": """SELECT DISTINCT date_trunc('hour', uploaded_time) AS uploaded_time,
@@ -543,6 +545,8 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
         "write_mapped": f"SELECT {_MAP8} FROM mapped",
         "metrics_sink": f"SELECT {_METRICS_OUT} FROM metrics_rows",
         "score_growth_only": f"SELECT {_KEYS}, round(short_term_growth, 6) AS score FROM metrics_time",
+        "batch_time": """SELECT username, uploaded_time, channel, query, collected_time AS batch_time
+            FROM posts""",
         "read_posts": "SELECT username, uploaded_time, collected_time, channel, query, text FROM posts",
         "metric_series": f"""SELECT {_METRICS_OUT} FROM metrics_rows
             WHERE channel = '{Q.SERIES_PICK[0]}' AND query = '{Q.SERIES_PICK[1]}'

@@ -17,7 +17,8 @@ CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "emptyValue"
                      "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 # Batch folders are named raw-data/{yyyyMMdd'T'HHmmss'Z'}/
-BATCH_FOLDER_RE = r"/(\d{8}T\d{6}Z)/"
+# (a Hive-style ``<name>=`` prefix on the folder is accepted too)
+BATCH_FOLDER_RE = r"/(?:[^/=]+=)?(\d{8}T\d{6}Z)/"
 BATCH_FOLDER_FORMAT = "yyyyMMdd'T'HHmmssX"
 
 
@@ -43,6 +44,15 @@ def with_batch_time(df: DataFrame, out: str = "batch_time") -> DataFrame:
     return df.withColumn(out, F.try_to_timestamp(folder, F.lit(BATCH_FOLDER_FORMAT)))
 
 
+def write_batches(df: DataFrame, root: str, batch_col: str = "collected_time",
+                  mode: str = "overwrite") -> None:
+    """Land posts as CSV batch folders ``root/batch=<yyyyMMddTHHmmssZ>/`` in one write."""
+    folder = F.date_format(F.col(batch_col).cast("timestamp"), "yyyyMMdd'T'HHmmss'Z'")
+    cols = [F.col(c).cast("string") for c in POST_COLUMNS]
+    (df.select(*cols, folder.alias("batch")).write.mode(mode).partitionBy("batch")
+     .options(**CSV_WRITE_OPTIONS).csv(root))
+
+
 def read_wordbag(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(WORDBAG).option("header", "true").csv(path)
 
