@@ -23,7 +23,6 @@ from surgewatch.operators import counts as C
 from surgewatch.operators import spikes as S
 from surgewatch.operators import standardize as STD
 from surgewatch.operators.match import plan_matcher
-from surgewatch.operators.metrics_rows import calculate_metrics
 from surgewatch.operators.metrics_time import exact_lags
 from surgewatch.plans.pipeline import Job, JobConfig
 from surgewatch.sources import fixtures as FX
@@ -640,8 +639,16 @@ def q_stream_counts(spark, sf):
 
 
 def q_stream_metrics(spark, sf):
+    return _stream_metrics(spark, sf, "rows")
+
+
+def q_stream_metrics_time(spark, sf):
+    return _stream_metrics(spark, sf, "time")
+
+
+def _stream_metrics(spark, sf, mode):
     m = plan_matcher(FX.wordbag(spark))
-    sm = ST.StreamingMetrics(spark, m, scratch_path(spark, "stream-metrics"), "rows", step(sf))
+    sm = ST.StreamingMetrics(spark, m, scratch_path(spark, "stream-metrics"), mode, step(sf))
     ckpt = scratch_path(spark, "ckpt")
     schema = _post_schema(spark, sf)
 
@@ -650,8 +657,7 @@ def q_stream_metrics(spark, sf):
                  partitions=_state_parts(spark)).awaitTermination()
 
     _feed(spark, posts(spark, sf), run)
-    return present(sm.metrics().select(*calculate_metrics(
-        job(spark, sf).category_counts()).columns))
+    return present(sm.metrics().select(*job(spark, sf).metrics(mode).columns))
 
 
 def q_stream_dedupe(spark, sf):

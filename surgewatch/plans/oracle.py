@@ -535,6 +535,7 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
             FROM posts""",
         "stream_counts": "SELECT * FROM cat",
         "stream_metrics": f"SELECT {_METRICS_OUT} FROM metrics_rows",
+        "stream_metrics_time": f"SELECT {_METRICS_OUT}, duration_flag, rising_flag FROM metrics_time",
         "stream_dedupe": """SELECT DISTINCT date_trunc('hour', uploaded_time) AS uploaded_time,
             'u' || CAST(user_id_ % 7 AS VARCHAR) AS username FROM posts""",
         "stream_alerts": f"SELECT pk, channel, query, category, cur_time, {MESSAGE} AS message FROM groups_all",
