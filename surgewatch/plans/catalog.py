@@ -631,11 +631,11 @@ def q_stream_counts(spark, sf):
 
     def run(folder):
         src = ST.read_post_stream(spark, folder, schema)
-        ST.write_versioned(ST.stream_counts(src, m, FX.fixture_bucket(sf)), out, ckpt,
-                           partitions=_state_parts(spark)).awaitTermination()
+        ST.write_upserts(ST.stream_counts(src, m, FX.fixture_bucket(sf)), out, ckpt, COUNT_KEYS,
+                         partitions=_state_parts(spark)).awaitTermination()
 
     _feed(spark, posts(spark, sf), run)
-    return present(ST.read_latest(spark, out, COUNT_KEYS))
+    return present(ST.read_table(spark, out))
 
 
 def q_stream_metrics(spark, sf):

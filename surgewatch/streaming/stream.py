@@ -3,10 +3,10 @@
 * ``read_post_stream``  -- file source over batch folders (CSV as collected, or parquet).
 * ``stream_counts``     -- tumbling-window category counts with a watermark.
 * ``StreamingMetrics``  -- keyword counts as a streaming aggregate in update
-  mode; ``foreachBatch`` stores the changed counts as a version tagged with
-  the micro-batch id (a replayed batch rewrites its own version, so output
-  is exactly-once) and recomputes the metrics of the (channel, query)
-  pairs that changed.
+  mode; ``foreachBatch`` upserts the changed counts into a day-partitioned
+  table (update mode emits full current values, so a replayed batch writes
+  the same rows: exactly-once) and recomputes the metrics of the
+  (channel, query) pairs that changed, from their earliest changed snapshot.
 * ``stream_dedupe``     -- first post per (uploaded_time, username) within the watermark.
 * ``stream_alert_messages`` -- alert items arriving as files become grouped messages.
 
@@ -29,6 +29,7 @@ from surgewatch.operators.metrics_rows import calculate_metrics
 from surgewatch.operators.metrics_time import calculate_metrics_time
 from surgewatch.schema import COUNT_KEYS
 from surgewatch.sources.posts import CSV_OPTIONS
+from surgewatch.sources.sinks import upsert_by_day
 
 
 @contextmanager
@@ -75,7 +76,7 @@ def stream_counts(posts: DataFrame, matcher: Matcher, bucket: str,
                   watermark: str = "1 day") -> DataFrame:
     """Streaming category counts per ``bucket`` window of collected_time.
 
-    Run in update mode (``write_versioned``): each micro-batch emits the
+    Run in update mode (``write_upserts``): each micro-batch emits the
     current totals of the windows it changed.  The watermark bounds the state:
     a window older than the watermark takes no more rows and is dropped.
     """
@@ -87,32 +88,28 @@ def stream_counts(posts: DataFrame, matcher: Matcher, bucket: str,
                       "count_category")
 
 
-def write_versioned(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "update",
-                    partitions: int | None = None):
-    """Run ``stream`` once over the available input, storing each micro-batch as version
-    ``_v`` = batch id (a replayed batch overwrites its own version)."""
+def write_upserts(stream: DataFrame, path: str, checkpoint: str, keys: list[str],
+                  day_of: str = "collected_time", partitions: int | None = None):
+    """Run ``stream`` (update mode) once over the available input, upserting each
+    micro-batch's changed rows into a keyed parquet table partitioned by day.
+
+    Update mode emits the full current value of every changed key, so an upsert
+    is exact and a replayed batch rewrites the same values.  Only the touched
+    days are rewritten; readers see a plain table (no versions to merge).
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        (batch.withColumn("_v", F.lit(int(batch_id)))
-         .write.mode("overwrite").partitionBy("_v").parquet(path))
+        upsert_by_day(batch, path, keys, "day", day_of)
 
     with state_partitions(stream.sparkSession, partitions):
-        return (stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+        return (stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
                 .foreachBatch(handle).trigger(availableNow=True).start())
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current state of a versioned table: the newest version of every key."""
-    return _latest(spark.read.parquet(path), keys)
-
-
-def _latest(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Newest version per key of a versioned table (``_v`` = micro-batch id)."""
-    others = [c for c in df.columns if c not in keys and c != "_v"]
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*others), "_v").alias("_r"))
-            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]))
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by ``write_upserts`` (without its day partition column)."""
+    return spark.read.parquet(path).drop("day")
 
 
 class StreamingMetrics:
@@ -128,28 +125,30 @@ class StreamingMetrics:
 
     # -- batch side: one micro-batch of changed counts ---------------------------
     def _current_counts(self) -> DataFrame:
-        return _latest(self.spark.read.parquet(self.counts_path), COUNT_KEYS + ["keyword"])
+        return read_table(self.spark, self.counts_path)
 
     def _upsert(self, changed: DataFrame, batch_id: int) -> None:
         if changed.isEmpty():
             return
-        spark = changed.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        (changed.withColumn("_v", F.lit(int(batch_id)))
-         .write.mode("overwrite").partitionBy("_v").parquet(self.counts_path))
+        changed = upsert_by_day(changed, self.counts_path, COUNT_KEYS + ["keyword"], "day",
+                                "collected_time")
         # A changed count moves its series' later points and the share of every
         # category in its snapshot, so the unit of recomputation is the
-        # (channel, query) pair: all its series, whole history (post-aggregate rows).
-        pairs = changed.select("channel", "query").distinct()
+        # (channel, query) pair: all its series, whole history (post-aggregate rows);
+        # only points at or after the pair's earliest changed snapshot can change.
+        pairs = (changed.groupBy("channel", "query")
+                 .agg(F.min("collected_time").alias("_since")))
         cats = C.category_from_keyword_counts(self._current_counts())
-        hist = cats.join(pairs, ["channel", "query"], "left_semi")
+        hist = cats.join(pairs.select("channel", "query"), ["channel", "query"], "left_semi")
         kwargs = {"weights": self.weights} if self.weights else {}
         if self.mode == "time":
             m = calculate_metrics_time(hist, step_seconds=self.step, **kwargs)
         else:
             m = calculate_metrics(hist, **kwargs)
-        (m.withColumn("_v", F.lit(int(batch_id)))
-         .write.mode("overwrite").partitionBy("_v").parquet(self.metrics_path))
+        m = (m.join(pairs, ["channel", "query"]).where(F.col("cur_time") >= F.col("_since"))
+             .drop("_since"))
+        upsert_by_day(m, self.metrics_path, ["channel", "query", "category", "cur_time"], "day",
+                      "cur_time")
 
     def start(self, posts: DataFrame, checkpoint: str, available_now: bool = True,
               partitions: int | None = None):
@@ -165,9 +164,8 @@ class StreamingMetrics:
             return w.start()
 
     def metrics(self) -> DataFrame:
-        """Current metrics: newest version per series point."""
-        m = self.spark.read.parquet(self.metrics_path)
-        return _latest(m, ["channel", "query", "category", "cur_time"])
+        """Current metrics table."""
+        return read_table(self.spark, self.metrics_path)
 
     def keyword_counts(self) -> DataFrame:
         return self._current_counts()
