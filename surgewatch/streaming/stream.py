@@ -16,6 +16,7 @@ lost executor or a restarted query resumes from the last committed batch.
 
 from __future__ import annotations
 
+import datetime as dt
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from surgewatch.operators import alerts as A
 from surgewatch.operators import counts as C
 from surgewatch.operators.match import Matcher
 from surgewatch.operators.metrics_rows import calculate_metrics
-from surgewatch.operators.metrics_time import calculate_metrics_time
+from surgewatch.operators.metrics_time import HISTORY_SLOTS, calculate_metrics_time
 from surgewatch.schema import COUNT_KEYS
 from surgewatch.sources.posts import CSV_OPTIONS
 from surgewatch.sources.sinks import upsert_by_day
@@ -138,7 +139,16 @@ class StreamingMetrics:
         # only points at or after the pair's earliest changed snapshot can change.
         pairs = (changed.groupBy("channel", "query")
                  .agg(F.min("collected_time").alias("_since")))
-        cats = C.category_from_keyword_counts(self._current_counts())
+        counts = self._current_counts()
+        if self.mode == "time":
+            # exact slots reach back six steps: older points cannot change any
+            # recomputed row, and the day partitions before them are pruned
+            lo = pairs.agg(F.min("_since")).first()[0]
+            lo = lo - dt.timedelta(seconds=self.step * HISTORY_SLOTS)
+            counts = (self.spark.read.parquet(self.counts_path)
+                      .where(F.col("day") >= F.lit(lo.date()))
+                      .where(F.col("collected_time") >= F.lit(lo)).drop("day"))
+        cats = C.category_from_keyword_counts(counts)
         hist = cats.join(pairs.select("channel", "query"), ["channel", "query"], "left_semi")
         kwargs = {"weights": self.weights} if self.weights else {}
         if self.mode == "time":
