@@ -561,6 +561,16 @@ def q_read_posts(spark, sf):
     return present(P.read_posts(spark, folder))
 
 
+def q_query_list(spark, sf):
+    """Query-list files (every event's type as a line, with comments and blank lines)."""
+    from surgewatch.sources import posts as P
+    folder = scratch_path(spark, "queries")
+    ev = FX.table(spark, sf, "events")
+    lines = ev.select(F.concat(F.lit("  "), F.col("event_type"), F.lit(" \n# seen\n")).alias("value"))
+    lines.write.text(folder)
+    return P.read_query_list(spark, folder).select("query")
+
+
 def q_batch_time(spark, sf):
     """Posts landed as batch folders; each row's batch time parsed from its folder name."""
     from surgewatch.sources import posts as P

@@ -546,6 +546,7 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
         "write_mapped": f"SELECT {_MAP8} FROM mapped",
         "metrics_sink": f"SELECT {_METRICS_OUT} FROM metrics_rows",
         "score_growth_only": f"SELECT {_KEYS}, round(short_term_growth, 6) AS score FROM metrics_time",
+        "query_list": "SELECT DISTINCT event_type AS query FROM events",
         "batch_time": """SELECT username, uploaded_time, channel, query, collected_time AS batch_time
             FROM posts""",
         "read_posts": "SELECT username, uploaded_time, collected_time, channel, query, text FROM posts",

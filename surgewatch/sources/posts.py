@@ -59,13 +59,17 @@ def read_wordbag(spark: SparkSession, path: str) -> DataFrame:
 
 def read_query_list(spark: SparkSession, path: str) -> DataFrame:
     """Search queries, one per line: BOM-safe, stripped, blank and ``#`` lines skipped,
-    repeats dropped keeping first-seen order (``pos``)."""
-    lines = spark.read.text(path, wholetext=True)
-    ex = lines.select(F.posexplode(F.split(F.regexp_replace("value", "^\ufeff", ""),
-                                           r"\r\n|\n|\r")).alias("pos", "raw"))
-    q = ex.select("pos", F.regexp_replace("raw", rf"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$", "").alias("query"))
+    repeats dropped keeping first-seen order (``pos``; a folder is read file by file)."""
+    lines = spark.read.text(path, wholetext=True).select(
+        "value", F.col("_metadata.file_path").alias("file"))
+    ex = lines.select("file", F.posexplode(F.split(F.regexp_replace("value", "^\ufeff", ""),
+                                                   r"\r\n|\n|\r")).alias("pos", "raw"))
+    q = ex.select("file", "pos",
+                  F.regexp_replace("raw", rf"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$", "").alias("query"))
     q = q.where((F.col("query") != "") & ~F.col("query").startswith("#"))
-    return q.groupBy("query").agg(F.min("pos").alias("pos")).orderBy("pos")
+    first = q.groupBy("query").agg(F.min(F.struct("file", "pos")).alias("_first"))
+    return first.select("query", F.col("_first.file").alias("file"),
+                        F.col("_first.pos").alias("pos")).orderBy("file", "pos").drop("file")
 
 
 def query_list_frame(spark: SparkSession, queries: Iterable[str]) -> DataFrame:
