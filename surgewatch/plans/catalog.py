@@ -527,7 +527,7 @@ def q_write_mapped(spark, sf):
     SNK.write_mapped(job(spark, sf).mapped().select(
         "username", "uploaded_time", "collected_time", "channel", "query", "text", "category",
         "keyword"), folder)
-    return spark.read.parquet(folder).drop("batch_date")
+    return spark.read.parquet(folder).drop("batch_date", "batch")
 
 
 def q_metrics_sink(spark, sf):

@@ -1,7 +1,7 @@
 """The analysis job from the command line (one run per arriving batch folder).
 
-    spark-submit -m surgewatch.plans.run_job --posts <batch folder> --wordbag <csv> --out <root>
-        [--history <counts table>] [--mode rows|time] [--bucket "30 minutes"] [--jdbc-url URL]
+    spark-submit surgewatch/plans/run_job.py --posts <batch folder> --wordbag <csv> --out <root>
+        [--mode rows|time] [--bucket "30 minutes"] [--jdbc-url URL]
 
 Steps: read the batch -> map to the wordbag -> store mapped rows -> upsert the
 category counts into the history table -> metrics over the accumulated counts
@@ -38,8 +38,10 @@ def run(spark: SparkSession, posts_path: str, wordbag_path: str, out: str, mode:
     SNK.write_mapped(matcher.mapped(posts), mapped_path)
     # the stored mapped rows feed everything below: the posts are tokenized once
     stored = spark.read.parquet(mapped_path)
-    batch_days = posts.select(F.to_date("collected_time").alias("batch_date")).distinct()
-    mapped = stored.join(batch_days, "batch_date", "left_semi").drop("batch_date")
+    batches = posts.select(F.to_date("collected_time").alias("batch_date"),
+                           SNK.batch_key("collected_time").alias("batch")).distinct()
+    mapped = (stored.join(batches, ["batch_date", "batch"], "left_semi")
+              .drop("batch_date", "batch"))
     kw_new = C.count_keyword(mapped)
     kw_path = f"{out}/keyword_counts"
     kw_all = SNK.upsert_keyword_counts(spark, kw_new, kw_path).drop("batch_date")

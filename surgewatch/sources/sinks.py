@@ -31,11 +31,18 @@ def _dynamic(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
+def batch_key(batch_col: str = "collected_time"):
+    """Folder-safe batch id of a row: its snapshot time as ``yyyyMMddTHHmmssZ``."""
+    return F.date_format(F.col(batch_col).cast("timestamp"), "yyyyMMdd'T'HHmmss'Z'")
+
+
 def write_mapped(mapped: DataFrame, path: str, batch_col: str = "collected_time") -> None:
-    """Mapped rows as parquet partitioned by batch day; other days are kept."""
+    """Mapped rows as parquet partitioned by batch day and batch; only the batches
+    present are replaced (other batches, also of the same day, are kept), so a
+    replayed batch overwrites itself."""
     _dynamic(mapped.sparkSession)
-    (mapped.withColumn("batch_date", F.to_date(batch_col))
-     .write.mode("overwrite").partitionBy("batch_date").parquet(path))
+    (mapped.withColumns({"batch_date": F.to_date(batch_col), "batch": batch_key(batch_col)})
+     .write.mode("overwrite").partitionBy("batch_date", "batch").parquet(path))
 
 
 def upsert_counts(spark: SparkSession, new: DataFrame, path: str,

@@ -28,6 +28,11 @@ def test_job_over_two_batches_and_replay(spark):
     assert spark.read.parquet(f"{out}/alert_items").count() == n_items
     assert spark.read.parquet(f"{out}/alert_messages").count() == n_msgs
     assert spark.read.parquet(f"{out}/metrics").count() == n_metrics
+    # two batches of the same day keep each other's mapped rows
+    mapped = spark.read.parquet(f"{out}/mapped")
+    assert mapped.select("batch").distinct().count() == posts.select("collected_time").distinct().count()
+    assert mapped.count() == __import__("surgewatch.plans.pipeline", fromlist=["Job"]).Job(
+        posts, FX.wordbag(spark)).mapped().count()
     kw = spark.read.parquet(f"{out}/keyword_counts")
     assert kw.agg(F.sum("count_keyword")).first()[0] == FX.posts(spark, SF001, "1 day").transform(
         lambda p: __import__("surgewatch.plans.pipeline", fromlist=["Job"]).Job(
