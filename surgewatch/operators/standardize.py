@@ -103,17 +103,28 @@ def stamp_posts(posts: DataFrame, channel: str | None = None, query: str | None
 
 
 def cap_per_query(posts: DataFrame, cap: int = QUERY_CAP, keys: Sequence[str] = ("query",),
-                  order: Sequence[Column] | None = None) -> DataFrame:
+                  order: Sequence[Column] | None = None, salt_buckets: int = 64) -> DataFrame:
     """Newest ``cap`` posts per query (exact top-k per group).
 
-    The ``row_number() <= cap`` filter lets Catalyst insert a partial
-    per-group limit before the shuffle (WindowGroupLimit), so a hot query
-    ships at most ``cap`` rows per map task.
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` the
+    ``row_number() <= cap`` filter lets Catalyst insert a partial per-group
+    limit before the shuffle (WindowGroupLimit), so a hot query ships at most
+    ``cap`` rows per map task.  For a larger ``cap`` the top-k runs in two
+    exact phases: per (query, salt) first, then per query over at most
+    ``salt_buckets * cap`` survivors, so no single task sorts a hot query.
     """
-    order = order or [F.desc("uploaded_time")]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return (posts.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") <= cap).drop("_rn"))
+    order = list(order or [F.desc("uploaded_time")])
+    threshold = int(posts.sparkSession.conf.get(
+        "spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+    def top(df: DataFrame, part: list) -> DataFrame:
+        w = Window.partitionBy(*part).orderBy(*order)
+        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")
+
+    if cap <= threshold:
+        return top(posts, list(keys))
+    salted = posts.withColumn("_salt", F.pmod(F.xxhash64(*posts.columns), F.lit(salt_buckets)))
+    return top(top(salted, [*keys, "_salt"]).drop("_salt"), list(keys))
 
 
 def batch_stats(posts: DataFrame, since, keys: Sequence[str] = ("query", "collected_time"),

@@ -27,6 +27,15 @@ def test_cap_per_query_uses_group_limit(spark):
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_cap_above_group_limit_threshold_is_exact(spark):
+    rows = [(i, "q" if i % 10 else "r", T0 + dt.timedelta(seconds=i)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "post_id long, query string, uploaded_time timestamp_ntz")
+    out = STD.cap_per_query(df, 1500, ["query"], [F.desc("uploaded_time"), F.asc("post_id")])
+    got = sorted(r["post_id"] for r in out.where("query = 'q'").collect())
+    assert got == sorted([i for i in range(5000) if i % 10][-1500:])
+    assert out.where("query = 'r'").count() == 500
+
+
 def test_recent_and_range_filters(spark):
     now = T0
     rows = [(1, now), (2, now - dt.timedelta(minutes=30)), (3, now - dt.timedelta(minutes=31)),
