@@ -3,8 +3,9 @@
 Every query reads the driver's tables (posts are derived from ``events`` and
 ``documents`` by ``sources.fixtures``) and runs the library operator over
 all of them.  Presentation only: doubles are rounded to 6 places, arrays are
-shown as sorted/space-joined text and timestamps as TIMESTAMP_NTZ, the same
-way as the DuckDB oracle in ``plans.oracle``.
+shown as space-joined text (token arrays in token order, matched-keyword sets
+sorted) and timestamps as TIMESTAMP_NTZ, the same way as the DuckDB oracle in
+``plans.oracle``.
 """
 
 from __future__ import annotations
