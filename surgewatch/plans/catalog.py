@@ -307,7 +307,8 @@ def q_risk_rows_sustained(spark, sf):
 
 
 def q_extract_alert(spark, sf):
-    return present(job(spark, sf).alerts("rows"))
+    """Alert rows in the reference's output order (score desc, keyword count desc)."""
+    return present(A.order_alerts(job(spark, sf).alerts("rows")))
 
 
 def q_extract_alert_time(spark, sf):
