@@ -93,3 +93,14 @@ def test_series_windows_share_one_exchange(spark):
     df = _series(spark, [(0, 2), (1, 3)])
     plan = calculate_metrics(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2   # snapshot total + series
+
+
+def test_time_slots_are_exact_with_off_grid_points(spark):
+    rows = [(T0 + dt.timedelta(minutes=m), "X", "q", "c", n) for m, n in [(0, 2), (30, 4), (45, 9), (60, 8)]]
+    df = spark.createDataFrame(rows, "collected_time timestamp_ntz, channel string, query string, "
+                                     "category string, count_category long")
+    t = _by_time(calculate_metrics_time(df, step_seconds=1800))[T0 + dt.timedelta(minutes=60)]
+    assert t["prev_count"] == 4 and t["short_term_growth"] == 1.0          # slot 1 = 00:30, not 00:45
+    assert t["acceleration"] == 1.0 - (4 - 2) / 2                          # slot 2 = 00:00
+    r = _by_time(calculate_metrics(df))[T0 + dt.timedelta(minutes=60)]
+    assert r["prev_count"] == 9                                            # rows mode: previous row
