@@ -618,6 +618,29 @@ def _state_parts(spark) -> int:
     return max(int(spark.sparkContext.defaultParallelism), 1)
 
 
+def _feed_csv(spark, frame: DataFrame, run_once) -> None:
+    """As ``_feed``, but the slices land as collector CSV batch folders."""
+    from surgewatch.sources import posts as P
+    root = scratch_path(spark, "raw-data")
+    for i, cond in enumerate(_slices(frame)):
+        P.write_posts(frame.where(cond), f"{root}/slice{i}")
+        run_once(f"{root}/slice*")
+
+
+def q_stream_counts_csv(spark, sf):
+    """Collector CSV batch folders arriving one by one, streamed to category counts."""
+    m = plan_matcher(FX.wordbag(spark))
+    out, ckpt = scratch_path(spark, "stream-counts-csv"), scratch_path(spark, "ckpt")
+
+    def run(pattern):
+        src = ST.read_post_stream(spark, pattern, None, fmt="csv")
+        ST.write_upserts(ST.stream_counts(src, m, FX.fixture_bucket(sf)), out, ckpt, COUNT_KEYS,
+                         partitions=_state_parts(spark)).awaitTermination()
+
+    _feed_csv(spark, posts(spark, sf), run)
+    return present(ST.read_table(spark, out))
+
+
 def _post_schema(spark, sf):
     return posts(spark, sf).schema
 

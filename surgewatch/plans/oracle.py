@@ -534,6 +534,7 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
         "stream_posts": """SELECT post_id, username, uploaded_time, collected_time, channel, query, text
             FROM posts""",
         "stream_counts": "SELECT * FROM cat",
+        "stream_counts_csv": "SELECT * FROM cat",
         "stream_metrics": f"SELECT {_METRICS_OUT} FROM metrics_rows",
         "stream_metrics_time": f"SELECT {_METRICS_OUT}, duration_flag, rising_flag FROM metrics_time",
         "stream_dedupe": """SELECT DISTINCT date_trunc('hour', uploaded_time) AS uploaded_time,

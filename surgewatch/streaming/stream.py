@@ -29,6 +29,8 @@ from surgewatch.operators.match import Matcher
 from surgewatch.operators.metrics_rows import calculate_metrics
 from surgewatch.operators.metrics_time import HISTORY_SLOTS, calculate_metrics_time
 from surgewatch.schema import COUNT_KEYS
+from surgewatch.functions.timefmt import iso_to_timestamp
+from surgewatch.schema import POST_RAW
 from surgewatch.sources.posts import CSV_OPTIONS
 from surgewatch.sources.sinks import upsert_by_day
 
@@ -57,13 +59,20 @@ def state_partitions(spark: SparkSession, n: int | None):
 
 def read_post_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """File-source stream of post batches (``fmt`` = ``parquet`` or ``csv``)."""
-    r = spark.readStream.schema(schema)
+    """File-source stream of post batches.
+
+    ``fmt="csv"`` reads collector CSV (header, quoted multi-line text) with the
+    all-text post schema and types the two time columns as ``read_posts`` does;
+    other formats read ``schema`` as given.
+    """
+    r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        return r.options(**CSV_OPTIONS).csv(path)
-    return r.format(fmt).load(path)
+        df = r.schema(POST_RAW).options(**CSV_OPTIONS).csv(path)
+        return df.withColumns({"uploaded_time": iso_to_timestamp("uploaded_time"),
+                               "collected_time": iso_to_timestamp("collected_time")})
+    return r.schema(schema).format(fmt).load(path)
 
 
 def as_event_time(df: DataFrame, col: str) -> DataFrame:
