@@ -12,6 +12,7 @@ new alert messages.  Actions happen only in the sinks.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from surgewatch.operators import alerts as A
 from surgewatch.operators import counts as C
 from surgewatch.operators.match import plan_matcher
 from surgewatch.operators.metrics_rows import calculate_metrics
-from surgewatch.operators.metrics_time import calculate_metrics_time
+from surgewatch.operators.metrics_time import HISTORY_SLOTS, calculate_metrics_time
 from surgewatch.functions.timefmt import interval_seconds
 from surgewatch.session import checkpoint_dir, ensure_utc
 from surgewatch.sources import posts as P
@@ -44,8 +45,18 @@ def run(spark: SparkSession, posts_path: str, wordbag_path: str, out: str, mode:
               .drop("batch_date", "batch"))
     kw_new = C.count_keyword(mapped)
     kw_path = f"{out}/keyword_counts"
-    kw_all = SNK.upsert_keyword_counts(spark, kw_new, kw_path).drop("batch_date")
-    kw_all = kw_all.where(F.col("channel").isNotNull() & F.col("query").isNotNull())
+    table = SNK.upsert_keyword_counts(spark, kw_new, kw_path)
+    # history needed: the (channel, query) pairs this batch touched -- their series
+    # and snapshot totals -- and in time mode only six steps back (day partitions pruned)
+    pairs = kw_new.select("channel", "query").distinct()
+    if mode == "time":
+        lo = kw_new.agg(F.min("collected_time")).first()[0]
+        if lo is not None:
+            lo = lo - dt.timedelta(seconds=interval_seconds(bucket) * HISTORY_SLOTS)
+            table = table.where((F.col("batch_date") >= F.lit(lo.date()))
+                                & (F.col("collected_time") >= F.lit(lo)))
+    kw_all = (table.drop("batch_date").join(pairs, ["channel", "query"], "left_semi")
+              .where(F.col("channel").isNotNull() & F.col("query").isNotNull()))
     cats = C.category_from_keyword_counts(kw_all)
     if mode == "time":
         metrics = calculate_metrics_time(cats, step_seconds=interval_seconds(bucket))

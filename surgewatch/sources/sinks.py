@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgewatch.schema import COUNT_KEYS, METRICS_COLUMNS
-from surgewatch.session import checkpoint_dir
+from surgewatch.session import checkpoint_dir, scratch_path
 
 
 def merge_counts(old: DataFrame, new: DataFrame, keys=tuple(COUNT_KEYS),
@@ -84,31 +84,54 @@ def metrics_frame(metrics: DataFrame) -> DataFrame:
     })
 
 
+def stage(df: DataFrame) -> tuple[DataFrame, str]:
+    """Materialize ``df`` as parquet in a fresh folder of the shared checkpoint
+    folder and read it back: cuts lineage (executor loss recomputes nothing
+    before it) and, unlike ``checkpoint()``, carries no inherited plan
+    constraints into later unions."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def drop_staged(spark: SparkSession, *paths: str) -> None:
+    """Remove staging folders written by ``stage`` (through the Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+
+
 def upsert_by_day(new: DataFrame, path: str, keys: list[str], day_col: str,
                   day_of: str) -> DataFrame:
     """Keyed upsert into a parquet table partitioned by ``day_col`` (= date of ``day_of``).
 
     Touched days are rewritten as (stored rows whose key is not in the batch) +
-    batch rows, materialized with ``checkpoint()`` first.  Returns the batch rows.
+    batch rows, staged in the shared checkpoint folder first.  Returns the batch rows.
     """
     spark = new.sparkSession
     _dynamic(spark)
     checkpoint_dir(spark)
-    new = new.withColumn(day_col, F.to_date(day_of))
+    new, staged_new = stage(new.withColumn(day_col, F.to_date(day_of)))
     try:
         stored = spark.read.parquet(path)
     except Exception as exc:
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
         stored = None
-    new = new.checkpoint(eager=True)
+    staged = [staged_new]
     if stored is None:
         day_rows = new
     else:
         kept = (stored.join(new.select(day_col).distinct(), day_col, "left_semi")
                 .join(new.select(*keys), keys, "left_anti"))
-        day_rows = new.unionByName(kept.select(*new.columns)).checkpoint(eager=True)
+        day_rows, staged_rows = stage(new.unionByName(kept.select(*new.columns)))
+        staged.append(staged_rows)
     day_rows.write.mode("overwrite").partitionBy(day_col).parquet(path)
+    drop_staged(spark, *staged[1:])
+    # the batch rows stay staged: the returned frame reads them lazily
     return new.drop(day_col)
 
 

@@ -38,3 +38,24 @@ def test_job_over_two_batches_and_replay(spark):
         lambda p: __import__("surgewatch.plans.pipeline", fromlist=["Job"]).Job(
             p, FX.wordbag(spark)).hits()).count()
     assert n_items > 0
+
+
+def test_job_time_mode_matches_batch_metrics(spark):
+    from surgewatch.plans.pipeline import Job, JobConfig
+    posts = FX.posts(spark, SF001, bucket="1 day")
+    root = scratch_path(spark, "job-time")
+    b1, b2 = f"{root}/raw/a", f"{root}/raw/b"
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    P.write_posts(posts.where(F.col("collected_time") < cut), b1)
+    P.write_posts(posts.where(F.col("collected_time") >= cut), b2)
+    bag = f"{root}/wordbag"
+    FX.wordbag(spark).write.option("header", "true").csv(bag)
+    out = f"{root}/out"
+    run(spark, b1, bag, out, mode="time", bucket="1 day")
+    run(spark, b2, bag, out, mode="time", bucket="1 day")
+    got = spark.read.parquet(f"{out}/metrics").select("channel", "query", "category", "cur_time",
+                                                       F.round("score", 9).alias("s"))
+    want = (Job(posts, FX.wordbag(spark), JobConfig(bucket="1 day")).metrics("time")
+            .select("channel", "query", "category", F.col("cur_time").cast("timestamp").alias("cur_time"),
+                    F.round("score", 9).alias("s")))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
