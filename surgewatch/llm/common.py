@@ -32,6 +32,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def named(df: DataFrame, *skip: str) -> list[Column]:
+    """The columns of ``df`` but ``skip``, whatever their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in skip]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each made longer until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z only; ``lower`` would also change other letters."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -49,4 +65,4 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
-__all__ = ["SPACES", "table", "cut", "let", "ascii_lower", "words", "broadcast_if_small"]
+__all__ = ["SPACES", "table", "cut", "let", "named", "fresh", "ascii_lower", "words", "broadcast_if_small"]

@@ -2,10 +2,31 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from surgewatch.llm import chat_format
 from surgewatch.llm.common import table
+from surgewatch.llm.decontaminate import contaminated
+from surgewatch.llm.html_extract import extract_text
+from surgewatch.llm.langid import fit, held_out, predict
+from surgewatch.llm.license_scan import scan_licenses
+from surgewatch.llm.line_dedup import dedup_lines
+from surgewatch.llm.packing import pack, pieces
+from surgewatch.llm.quality_rules import apply_rules
 from surgewatch.llm.simhash import simhash_groups
+from surgewatch.llm.tokens import count_documents, flat_files
+
+
+def tokenizer() -> tuple[str, str]:
+    """The tokenizer's file, and the same vocabulary for the faster library."""
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of later copies of runs of 50 words or more: counts and checksum."""
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +35,52 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {
-    "op2_simhash_dedup": op2_simhash_dedup,
-}
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and their token counts in flat files of the tokenized documents."""
+    blocks = flat_files(table(spark, sf_dir, "documents"), *tokenizer())
+    return count_documents(blocks)
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations with linked tool calls (stand-in calls: one per line of an assistant's message)."""
+    messages = table(spark, sf_dir, "conversations")
+    return chat_format.format_chats(messages, *chat_format.stand_in(messages), chat_format.SCHEMAS)
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("text_id")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, re-parameterised ones included."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_id")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids packed into sequences of at most 1024."""
+    return pack(pieces(table(spark, sf_dir, "documents"), *tokenizer(), size=1024), size=1024)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs.select("doc_id", "text"), fit(docs)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and risk-controlled rules over all documents."""
+    return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op2_simhash_dedup, op3_token_counts, op4_chat_format, op5_license_scan, op6_decontamination,
+    op7_packing, op8_language_id, op9_html_extraction, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {}

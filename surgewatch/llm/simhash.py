@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from surgewatch.llm.common import cut
+from surgewatch.llm.common import cut, named
 from surgewatch.llm.graph import components
 
 SEED = 42
@@ -286,7 +286,7 @@ def keep_one_per_group(docs: DataFrame, k: int = 4, bits: int = 4) -> DataFrame:
     Rows with a null id can't be told apart by it and stay.
     """
     gone = simhash_groups(docs, k, bits).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*named(docs))
 
 
 __all__ = ["fingerprint", "fingerprints", "near_links", "simhash_groups", "keep_one_per_group", "Index"]
