@@ -1,30 +1,64 @@
 """The corpus pipeline: documents through language ID, line dedup, SimHash near-dedup,
 benchmark decontamination and packing.
 
-Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes every
-stage's rows as Parquet to the shared checkpoint folder and reads them as the next one's input.
+Each stage takes ``(spark, docs, sf_dir)``, works on all rows it gets, and returns the
+columns of documents (the last: packed pieces).  ``run`` writes every stage's rows as
+Parquet to the shared checkpoint folder and reads them as the next one's input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from surgewatch.llm.common import table
+from surgewatch.llm.decontaminate import remove_contaminated
+from surgewatch.llm.langid import fit, predict
+from surgewatch.llm.line_dedup import dedup_lines
+from surgewatch.llm.packing import pack, pieces
+from surgewatch.llm.queries import tokenizer
 from surgewatch.llm.simhash import keep_one_per_group
 from surgewatch.session import scratch_path
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that have no language: null texts and texts without a letter."""
+    return predict(docs, fit(docs)).filter("lang_pred <> 'und'").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines of later copies; a document that was all copies stays with an empty text."""
+    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each near-duplicate group (4-word shingles, 4 bits)."""
     return keep_one_per_group(docs, k=4, bits=4)
 
 
-STAGES = [("simhash_dedup", near_duplicates)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a benchmark item."""
+    return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 1024 ids with their sequences and offsets."""
+    return pack(pieces(docs, *tokenizer(), size=1024), size=1024)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("simhash_dedup", simhash_dedup),
+    ("decontaminate", decontaminate),
+    ("packing", packing),
+]
 
 #: SQL can't express language ID, SimHash groups and packing: tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
