@@ -19,5 +19,5 @@ VOLATILITY_ROWS = 6
 # Largest wordbag matched through an in-plan literal set; bigger bags go
 # through a join on exploded tokens instead.
 LITERAL_KEYWORD_LIMIT = 2048
-# Largest wordbag (rows) that may be broadcast to every task.
-BROADCAST_BAG_LIMIT = 2_000_000
+# Largest wordbag (bytes) that may be broadcast to every executor.
+BROADCAST_BAG_BYTES = 64 << 20

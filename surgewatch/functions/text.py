@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 
 from surgewatch.functions.stopwords import ENGLISH_STOPWORDS
 
-# Java's \s (the reference ran these regexes on the JVM).
-JAVA_SPACE = r"\t\n\x0B\f\r "
-
 # Line breaks recognised by Python's str.splitlines (the
 # Threads text cleaner splits on them).
 LINE_BREAK_RE = r"\r\n|[\n\r\x0B\f\x1C\x1D\x1E\x85\u2028\u2029]"
@@ -48,11 +45,8 @@ def _col(c) -> Column:
 
 
 def preprocess_text(text) -> Column:
-    """Line breaks to spaces, keep ``[A-Za-z0-9\\s]``, collapse spaces, trim."""
-    c = F.regexp_replace(_col(text), r"[\r\n]+", " ")
-    c = F.regexp_replace(c, r"[^A-Za-z0-9\s]", " ")
-    c = F.regexp_replace(c, r"\s+", " ")
-    return F.trim(c)
+    """Keep ASCII letters and digits, every run of anything else as one space; trim."""
+    return F.trim(F.regexp_replace(_col(text), "[^A-Za-z0-9]+", " "))
 
 
 def tokenize(clean_text, min_length: int = 2) -> Column:
@@ -120,5 +114,5 @@ def clean_post_text(text, username) -> Column:
 
 __all__ = [
     "preprocess_text", "tokenize", "words", "remove_stopwords", "lower_tokens",
-    "flatten_text", "clean_post_text", "JAVA_SPACE",
+    "flatten_text", "clean_post_text",
 ]

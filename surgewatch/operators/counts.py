@@ -57,6 +57,23 @@ def top_keywords(ckc: DataFrame, k: int | None = None) -> DataFrame:
     return ordered.limit(k) if k else ordered
 
 
+def ranked_keywords(ckc: DataFrame) -> DataFrame:
+    """All rows with their place in the order of ``top_keywords`` (``rank``, from 1).
+
+    Places are counted in two levels: within one (count_category, count_keyword) value,
+    then over the distinct values, which are as many as the counts differ.
+    """
+    ties = Window.partitionBy("count_category", "count_keyword").orderBy(
+        *[F.asc_nulls_first(c) for c in COUNT_KEYS + ["keyword"]])
+    inside = ckc.withColumn("_in", F.row_number().over(ties))
+    values = ckc.groupBy("count_category", "count_keyword").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(F.desc("count_category"), F.desc("count_keyword")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    values = values.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return inside.join(values, ["count_category", "count_keyword"]).select(
+        *ckc.columns, (F.col("_before") + F.col("_in")).cast("long").alias("rank"))
+
+
 def distinct_counts(cat_counts: DataFrame) -> DataFrame:
     return cat_counts.select(*COUNT_KEYS, "count_category").dropDuplicates()
 

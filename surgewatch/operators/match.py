@@ -5,15 +5,18 @@ stopword removal; a keyword counts once per post (set intersection), and
 fans out to every category it belongs to.  Posts without a match map to
 category = keyword = ``'no'``.
 
-Two physical strategies, chosen by a size check on the wordbag:
+Two physical strategies with equal results, chosen by a size check on the wordbag:
 
 * ``literal`` (bags up to ``LITERAL_KEYWORD_LIMIT`` matchable keywords):
-  the keyword set is a literal in the plan; each post intersects its tokens
-  with it (a hash-set probe per token) and only matches are exploded, then
-  joined to the broadcast bag.  One pass, no shuffle.
-* ``join`` (larger bags): distinct tokens are exploded and joined to the
-  bag, broadcast when the bag's row count is below ``BROADCAST_BAG_LIMIT``,
-  shuffled otherwise.  Misses are found with an anti join on the post.
+  the keyword set is a literal in the plan; each post keeps its tokens that
+  are in it (a hash-set probe per token) and only matches are exploded, then
+  joined to the bag.  One pass, no shuffle of posts.
+* ``join`` (larger bags): distinct tokens are exploded beside a 128-bit key of
+  the post only, joined to the bag's keywords, gathered per key and joined back
+  once; equal posts share a key and a matched set.  Texts are never exploded.
+
+The bag is broadcast when its measured bytes are below
+``BROADCAST_BAG_BYTES``, otherwise joins on it are shuffled.
 
 Stopword removal and the minimum token length are applied to the keyword
 side (a keyword that is a stopword or shorter than two characters can never
@@ -28,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surgewatch.config import BROADCAST_BAG_LIMIT, LITERAL_KEYWORD_LIMIT
+from surgewatch.config import BROADCAST_BAG_BYTES, LITERAL_KEYWORD_LIMIT
 from surgewatch.functions import text as T
 from surgewatch.functions.stopwords import ENGLISH_STOPWORDS
 
@@ -74,67 +77,51 @@ class Matcher:
             raise ValueError("matched_column needs the literal strategy; use match_keywords")
         if not self.keywords:
             return F.array().cast("array<string>")
-        return F.array_intersect(T.words(text), F.lit(self.keywords))
+        return F.array_distinct(F.filter(T.words(text), lambda w: w.isin(self.keywords)))
 
     def match_keywords(self, posts: DataFrame, text: str = "text",
                        out: str = "matched") -> DataFrame:
         """posts + ``matched`` (array of distinct matched keywords, sorted)."""
         if self.strategy == "literal":
             return posts.withColumn(out, F.array_sort(self.matched_column(text)))
-        cols = posts.columns
-        keyed = posts.withColumn("_pk", F.xxhash64(*cols))
-        hit = (self._exploded_hits(keyed, text, cols)
-               .groupBy("_pk", *cols).agg(F.array_sort(F.collect_list("keyword")).alias(out)))
-        hit = hit.select([F.col(c).alias(f"_h_{c}") for c in ["_pk", *cols]] + [F.col(out)])
-        cond = [F.col("_pk") == F.col("_h__pk")] + \
-            [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in cols]
-        return (keyed.join(hit, cond, "left")
-                .select(*cols, F.coalesce(out, F.array().cast("array<string>")).alias(out)))
-
-    def _exploded_hits(self, keyed: DataFrame, text: str, cols: list[str]) -> DataFrame:
-        """(post key, post columns, keyword) for every distinct matched token (join strategy)."""
         kw = self._bag_side(self.usable.select("keyword").distinct())
-        return (keyed.select("_pk", *cols, F.explode(F.array_distinct(T.words(text))).alias("keyword"))
-                .join(kw, "keyword"))
+        keys = [F.xxhash64(*posts.columns).alias("_k1"), F.xxhash64(F.lit(1), *posts.columns).alias("_k2")]
+        # the keys are computed below the explode: it carries them, not the columns they come from
+        hit = (posts.select(*keys, F.array_distinct(T.words(text)).alias("_w"))
+               .select("_k1", "_k2", F.explode("_w").alias("keyword"))
+               .join(kw, "keyword").groupBy("_k1", "_k2")
+               .agg(F.array_sort(F.collect_set("keyword")).alias(out)))
+        return (posts.select("*", *keys).join(hit, ["_k1", "_k2"], "left")
+                .select(*posts.columns, F.coalesce(out, F.array().cast("array<string>")).alias(out)))
+
+    def _with_matches(self, posts: DataFrame, text: str) -> DataFrame:
+        if self.strategy == "literal":
+            return posts.withColumn("_matched", self.matched_column(text))
+        return self.match_keywords(posts, text, "_matched")
 
     # -- hits / misses / mapped ------------------------------------------------
     def hits(self, posts: DataFrame, text: str = "text") -> DataFrame:
         """One row per (post, matched keyword, category)."""
-        if self.strategy == "literal":
-            ex = posts.withColumn("keyword", F.explode(self.matched_column(text)))
-            return ex.join(self._bag_side(self.usable), "keyword")
-        ex = posts.withColumn("keyword", F.explode(F.array_distinct(T.words(text))))
+        ex = self._with_matches(posts, text).withColumn("keyword", F.explode("_matched")).drop("_matched")
         return ex.join(self._bag_side(self.usable), "keyword")
 
     def misses(self, posts: DataFrame, text: str = "text") -> DataFrame:
         """Posts without any match, with category = keyword = 'no'."""
-        if self.strategy == "literal":
-            m = posts.where(F.size(self.matched_column(text)) == 0)
-        else:
-            cols = posts.columns
-            keyed = posts.withColumn("_pk", F.xxhash64(*cols))
-            hit_posts = (self._exploded_hits(keyed, text, cols).drop("keyword").dropDuplicates()
-                         .select([F.col(c).alias(f"_h_{c}") for c in ["_pk", *cols]]))
-            cond = [F.col("_pk") == F.col("_h__pk")] + \
-                [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in cols]
-            m = keyed.join(hit_posts, cond, "left_anti").drop("_pk")
+        m = self._with_matches(posts, text).where(F.size("_matched") == 0).drop("_matched")
         return m.withColumns({"category": F.lit(NO_MATCH), "keyword": F.lit(NO_MATCH)})
 
     def mapped(self, posts: DataFrame, text: str = "text") -> DataFrame:
         """Every post: one row per matched (keyword, category), or one 'no' row."""
-        if self.strategy == "literal":
-            ex = posts.withColumn("keyword", F.explode_outer(self.matched_column(text)))
-            j = ex.join(self._bag_side(self.usable), "keyword", "left")
-            return j.withColumns({
-                "category": F.coalesce("category", F.lit(NO_MATCH)),
-                "keyword": F.coalesce("keyword", F.lit(NO_MATCH)),
-            })
-        h = self.hits(posts, text)
-        return h.unionByName(self.misses(posts, text))
+        ex = self._with_matches(posts, text).withColumn("keyword", F.explode_outer("_matched")).drop("_matched")
+        j = ex.join(self._bag_side(self.usable), "keyword", "left")
+        return j.withColumns({
+            "category": F.coalesce("category", F.lit(NO_MATCH)),
+            "keyword": F.coalesce("keyword", F.lit(NO_MATCH)),
+        })
 
 
 def plan_matcher(bag: DataFrame, literal_limit: int = LITERAL_KEYWORD_LIMIT,
-                 broadcast_limit: int = BROADCAST_BAG_LIMIT,
+                 broadcast_bytes: int = BROADCAST_BAG_BYTES,
                  strategy: str = "auto") -> Matcher:
     """Normalize the wordbag and choose the strategy from its checked size.
 
@@ -145,9 +132,10 @@ def plan_matcher(bag: DataFrame, literal_limit: int = LITERAL_KEYWORD_LIMIT,
     norm = normalize_wordbag(bag)
     usable = matchable_keywords(norm)
     stats = usable.agg(F.count(F.lit(1)).alias("rows"),
-                       F.count_distinct("keyword").alias("keywords")).first()
+                       F.count_distinct("keyword").alias("keywords"),
+                       F.sum(F.octet_length("keyword") + F.octet_length("category")).alias("bytes")).first()
     n_rows, n_kw = int(stats["rows"]), int(stats["keywords"])
-    use_broadcast = n_rows <= broadcast_limit
+    use_broadcast = int(stats["bytes"] or 0) + 64 * n_rows <= broadcast_bytes  # and row overhead
     if strategy == "auto":
         strategy = "literal" if n_kw <= literal_limit else "join"
     keywords = None

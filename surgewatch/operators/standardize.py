@@ -65,11 +65,11 @@ def drop_empty_posts(posts: DataFrame, text: str = "text", username: str = "user
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key: the row with the smallest ``order`` (a grouped min_by).
 
-    Ties in ``order`` are broken by the remaining columns, so the result is
-    deterministic.  Null keys form their own group.
+    Ties in ``order`` are broken by a hash of the remaining columns, so the result
+    is deterministic.  Null keys form their own group.
     """
     others = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[_c(o) for o in order], *[F.col(c) for c in others])
+    ordering = F.struct(*[_c(o) for o in order], F.xxhash64(*others))
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*others), ordering).alias("_first"))
     return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in others]).select(*df.columns)
 
@@ -102,29 +102,34 @@ def stamp_posts(posts: DataFrame, channel: str | None = None, query: str | None
     return df.withColumns(stamps) if stamps else df
 
 
-def cap_per_query(posts: DataFrame, cap: int = QUERY_CAP, keys: Sequence[str] = ("query",),
+def cap_per_query(posts: DataFrame, cap: int = QUERY_CAP,
+                  keys: Sequence[str] = ("collected_time", "channel", "query"),
                   order: Sequence[Column] | None = None, salt_buckets: int = 64) -> DataFrame:
-    """Newest ``cap`` posts per query (exact top-k per group).
-
-    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` the
-    ``row_number() <= cap`` filter lets Catalyst insert a partial per-group
-    limit before the shuffle (WindowGroupLimit), so a hot query ships at most
-    ``cap`` rows per map task.  For a larger ``cap`` the top-k runs in two
-    exact phases: per (query, salt) first, then per query over at most
-    ``salt_buckets * cap`` survivors, so no single task sorts a hot query.
+    """Newest ``cap`` posts per key (exact top-k per group).
+
+    Two exact phases: per (key, salt) first, then per key over at most
+    ``salt_buckets * cap`` survivors, so no task sorts a hot key's rows.  Ties in
+    ``order`` are broken by a hash of the whole row, so the order is total and
+    only equal rows are interchangeable.
     """
-    order = list(order or [F.desc("uploaded_time")])
-    threshold = int(posts.sparkSession.conf.get(
-        "spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    row = F.xxhash64(*posts.columns)
+    order = [*(order or [F.desc("uploaded_time")]), F.col("_row")]
 
     def top(df: DataFrame, part: list) -> DataFrame:
         w = Window.partitionBy(*part).orderBy(*order)
         return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")
 
-    if cap <= threshold:
-        return top(posts, list(keys))
-    salted = posts.withColumn("_salt", F.pmod(F.xxhash64(*posts.columns), F.lit(salt_buckets)))
-    return top(top(salted, [*keys, "_salt"]).drop("_salt"), list(keys))
+    salted = posts.withColumn("_row", row).withColumn("_salt", F.pmod("_row", F.lit(salt_buckets)))
+    return top(top(salted, [*keys, "_salt"]).drop("_salt"), list(keys)).drop("_row")
+
+
+def complete_batches(files: DataFrame, expected: int, batch: str = "batch", file: str = "file") -> DataFrame:
+    """Batches all of whose ``expected`` files are in: ``(batch, n_files, expected_files)``.
+
+    ``files``: one row per arrived file; a file listed twice counts once.
+    """
+    return (files.groupBy(batch).agg(F.count_distinct(file).alias("n_files"))
+            .withColumn("expected_files", F.lit(int(expected))).where(F.col("n_files") >= F.col("expected_files")))
 
 
 def batch_stats(posts: DataFrame, since, keys: Sequence[str] = ("query", "collected_time"),

@@ -23,12 +23,14 @@ from surgewatch.operators import alerts as A
 from surgewatch.operators import counts as C
 from surgewatch.operators import spikes as S
 from surgewatch.operators import standardize as STD
-from surgewatch.operators.match import plan_matcher
+from surgewatch.operators.match import normalize_wordbag, plan_matcher
 from surgewatch.operators.metrics_time import exact_lags
+from surgewatch.plans import run_job
 from surgewatch.plans.pipeline import Job, JobConfig
 from surgewatch.sources import fixtures as FX
 from surgewatch.schema import COUNT_KEYS, SERIES_KEYS
 from surgewatch.session import scratch_path
+from surgewatch.sources import posts as P
 from surgewatch.sources import sinks as SNK
 from surgewatch.streaming import stream as ST
 
@@ -44,6 +46,14 @@ UPSERT_OLD_BEFORE = "2024-01-20"
 UPSERT_NEW_FROM = "2024-01-10"
 TOP_K = 20
 EXPECTED_FILES = 10
+# Wider buckets and lower thresholds where the defaults give no row on these tables.
+LONG_BUCKET = "1 day"
+LOW_DURATION = 0.0
+LOW_SCORE = 0.3
+STREAK_BUCKET = "1 hour"
+STREAK_THRESHOLD = 5.0
+CAP = 10
+SPOKEN = ("onble", "ERST", "thing", "absent")
 SERIES_PICK = ("X", "view", "quality", "2024-01-05 00:00:00", "2024-01-20 00:00:00")
 
 
@@ -72,13 +82,18 @@ def posts(spark: SparkSession, sf: str) -> DataFrame:
     return FX.posts(spark, sf)
 
 
+def heads(spark: SparkSession, sf: str, bucket: str = FX.DEFAULT_BUCKET) -> DataFrame:
+    """Posts without text, for operators that don't look at it."""
+    return FX.post_headers(spark, sf, bucket)
+
+
 def job(spark: SparkSession, sf: str, post_frame: DataFrame | None = None) -> Job:
-    cfg = JobConfig(bucket=FX.fixture_bucket(sf))
+    cfg = JobConfig(bucket=FX.DEFAULT_BUCKET)
     return Job(post_frame if post_frame is not None else posts(spark, sf), FX.wordbag(spark), cfg)
 
 
 def step(sf: str) -> int:
-    return interval_seconds(FX.fixture_bucket(sf))
+    return interval_seconds(FX.DEFAULT_BUCKET)
 
 
 # -- text (TXT-1..4) --------------------------------------------------------
@@ -120,6 +135,22 @@ def q_match_keywords(spark, sf):
                     F.size("matched").cast("long").alias("n_matched"))
 
 
+def q_match_keywords_join(spark, sf):
+    """The large-bag strategy over posts that each come twice."""
+    p = posts(spark, sf)
+    m = plan_matcher(FX.wordbag(spark), strategy="join").match_keywords(p.unionAll(p))
+    return m.select("post_id", joined("matched").alias("matched"),
+                    F.size("matched").cast("long").alias("n_matched"))
+
+
+def q_wordbag_normalize(spark, sf):
+    """A wordbag of the documents' first words by language, padded and in mixed case as files may have it."""
+    d = FX.table(spark, sf, "documents")
+    bag = d.select(F.concat(F.lit(" "), F.upper("lang"), F.lit(" ")).alias("category"),
+                   F.concat(F.split("text", " ")[0], F.lit("  ")).alias("keyword"))
+    return normalize_wordbag(bag)
+
+
 def q_keyword_hits(spark, sf):
     return job(spark, sf).hits().select("post_id", "keyword", "category")
 
@@ -156,6 +187,11 @@ def q_category_keyword_counts(spark, sf):
     return C.category_keyword_counts(job(spark, sf).keyword_counts())
 
 
+def q_ranked_keywords(spark, sf):
+    """All keyword counts with their place in the reference's output order."""
+    return C.ranked_keywords(C.category_keyword_counts(job(spark, sf).keyword_counts()))
+
+
 def q_top_keywords(spark, sf):
     return C.top_keywords(C.category_keyword_counts(job(spark, sf).keyword_counts()), TOP_K)
 
@@ -169,7 +205,7 @@ def q_total_count(spark, sf):
 
 
 def q_bucket_counts(spark, sf):
-    return C.bucket_counts(posts(spark, sf), "uploaded_time", SPIKE_BUCKET)
+    return C.bucket_counts(heads(spark, sf), "uploaded_time", SPIKE_BUCKET)
 
 
 # -- metrics, rows mode (MET-R*) --------------------------------------------
@@ -250,12 +286,19 @@ def q_accel_time(spark, sf):
     return _tmetric(spark, sf, "acceleration")
 
 
+def _long_time(spark, sf):
+    cfg = JobConfig(bucket=LONG_BUCKET, duration_threshold=LOW_DURATION)
+    return Job(FX.posts(spark, sf, LONG_BUCKET), FX.wordbag(spark), cfg).metrics("time")
+
+
 def q_duration_flag(spark, sf):
-    return _tmetric(spark, sf, "duration_flag")
+    """Daily snapshots and a low growth threshold, so that some points have the flag."""
+    return present(_long_time(spark, sf).select(*SERIES_KEYS, "cur_time", "duration_flag"))
 
 
 def q_rising_flag(spark, sf):
-    return _tmetric(spark, sf, "rising_flag")
+    """Daily snapshots, so that some points rise three times."""
+    return present(_long_time(spark, sf).select(*SERIES_KEYS, "cur_time", "rising_flag"))
 
 
 def q_metrics_time(spark, sf):
@@ -265,17 +308,17 @@ def q_metrics_time(spark, sf):
 # -- spike detection (SPK-*) ------------------------------------------------
 
 def _spikes(spark, sf, reference_offset=False):
-    cnt = C.bucket_counts(posts(spark, sf), "uploaded_time", SPIKE_BUCKET)
+    cnt = C.bucket_counts(heads(spark, sf), "uploaded_time", SPIKE_BUCKET)
     return S.spike_table(cnt, SPIKE_THRESHOLD, reference_offset=reference_offset)
 
 
 def q_bucket_growth(spark, sf):
-    cnt = C.bucket_counts(posts(spark, sf), "uploaded_time", SPIKE_BUCKET)
+    cnt = C.bucket_counts(heads(spark, sf), "uploaded_time", SPIKE_BUCKET)
     return present(S.bucket_growth(cnt).select("channel", "bucket_ts", "cnt", "prev_cnt", "growth"))
 
 
 def q_centered_ma(spark, sf):
-    cnt = C.bucket_counts(posts(spark, sf), "uploaded_time", SPIKE_BUCKET)
+    cnt = C.bucket_counts(heads(spark, sf), "uploaded_time", SPIKE_BUCKET)
     return present(S.centered_ma(cnt).select("channel", "bucket_ts", "cnt", "count_ma"))
 
 
@@ -293,7 +336,8 @@ def q_exceed_streak_reference(spark, sf):
 
 
 def q_streak_alerts(spark, sf):
-    return present(S.streak_alerts(_spikes(spark, sf)))
+    cnt = C.bucket_counts(heads(spark, sf), "uploaded_time", STREAK_BUCKET)
+    return present(S.streak_alerts(S.spike_table(cnt, STREAK_THRESHOLD)))
 
 
 # -- alerts (ALR-*) ---------------------------------------------------------
@@ -303,7 +347,7 @@ def q_risk_rows(spark, sf):
 
 
 def q_risk_rows_sustained(spark, sf):
-    return present(A.risk_rows_sustained(_time(spark, sf)))
+    return present(A.risk_rows_sustained(_long_time(spark, sf), LOW_SCORE))
 
 
 def q_extract_alert(spark, sf):
@@ -359,8 +403,12 @@ def _posts_with_user(spark, sf):
     return posts(spark, sf).withColumn("user_id_", F.substring("username", 2, 20).cast("long"))
 
 
+def _heads_with_user(spark, sf):
+    return heads(spark, sf).withColumn("user_id_", F.substring("username", 2, 20).cast("long"))
+
+
 def q_parse_created_at(spark, sf):
-    p = _posts_with_user(spark, sf).withColumn("created_at", _x_created_at())
+    p = _heads_with_user(spark, sf).withColumn("created_at", _x_created_at())
     return present(p.select("post_id", "created_at",
                             TF.parse_created_at("created_at").alias("created_utc")))
 
@@ -376,12 +424,12 @@ def _iso_text():
 
 
 def q_iso_to_epoch(spark, sf):
-    p = _posts_with_user(spark, sf).withColumn("iso", _iso_text())
+    p = _heads_with_user(spark, sf).withColumn("iso", _iso_text())
     return p.select("post_id", "iso", TF.iso_to_epoch("iso").cast("long").alias("epoch"))
 
 
 def q_epoch_to_iso(spark, sf):
-    p = _posts_with_user(spark, sf)
+    p = _heads_with_user(spark, sf)
     e = F.when(F.pmod("user_id_", F.lit(10)) == 0, F.lit(0)).otherwise(
         F.unix_seconds(F.col("uploaded_time").cast("timestamp")))
     p = p.withColumn("epoch", e.cast("long"))
@@ -389,7 +437,7 @@ def q_epoch_to_iso(spark, sf):
 
 
 def q_date_to_epoch(spark, sf):
-    p = _posts_with_user(spark, sf)
+    p = _heads_with_user(spark, sf)
     d = F.date_format("uploaded_time", "yyyy-MM-dd")
     p = p.withColumn("day", F.when(F.pmod("user_id_", F.lit(6)) == 0, F.concat(d, F.lit("x")))
                      .otherwise(d))
@@ -397,16 +445,16 @@ def q_date_to_epoch(spark, sf):
 
 
 def q_recent_posts(spark, sf):
-    width = FX.fixture_bucket(sf)
+    width = FX.DEFAULT_BUCKET
     now = F.col("collected_time") + F.expr(f"INTERVAL {interval_seconds(width)} SECONDS")
-    return STD.recent_posts(posts(spark, sf), now, 30).select("post_id", "uploaded_time",
+    return STD.recent_posts(heads(spark, sf), now, 10).select("post_id", "uploaded_time",
                                                               "collected_time")
 
 
 def q_date_range_posts(spark, sf):
     lo = F.lit(RANGE_SINCE).cast("timestamp_ntz")
     hi = F.lit(RANGE_UNTIL).cast("timestamp_ntz")
-    return STD.date_range_posts(posts(spark, sf), lo, hi).select("post_id", "uploaded_time")
+    return STD.date_range_posts(heads(spark, sf), lo, hi).select("post_id", "uploaded_time")
 
 
 def q_lang_filter(spark, sf):
@@ -419,8 +467,14 @@ def q_lang_filter_lenient(spark, sf):
     return STD.lang_filter(p, "en", strict=False).select("post_id", "lang")
 
 
+def _spoken(spark, sf):
+    """Posts whose search query is a word that texts hold (or none does)."""
+    word = F.element_at(F.array(*map(F.lit, SPOKEN)), (F.col("post_id") % len(SPOKEN) + 1).cast("int"))
+    return posts(spark, sf).withColumn("query", word)
+
+
 def q_query_in_text(spark, sf):
-    return STD.query_in_text(posts(spark, sf)).select("post_id", "query")
+    return STD.query_in_text(_spoken(spark, sf)).select("post_id", "query")
 
 
 def q_flatten_text(spark, sf):
@@ -448,7 +502,7 @@ def q_drop_empty_posts(spark, sf):
 
 
 def _hourly(spark, sf):
-    return posts(spark, sf).withColumn("uploaded_time", F.date_trunc("hour", "uploaded_time")
+    return heads(spark, sf).withColumn("uploaded_time", F.date_trunc("hour", "uploaded_time")
                                        .cast("timestamp_ntz"))
 
 
@@ -467,41 +521,46 @@ def q_stamp_posts(spark, sf):
     legacy = FX.table(spark, sf, "events").select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("username"),
         F.col("ts").alias("uploaded_time"), F.col("event_type").alias("keyword"), "event_id")
-    width = FX.fixture_bucket(sf)
+    width = FX.DEFAULT_BUCKET
     return STD.stamp_posts(legacy, channel="X",
                            collected_time=TF.bucket_start("uploaded_time", width))
 
 
 def q_cap_per_query(spark, sf):
-    p = posts(spark, sf)
-    out = STD.cap_per_query(p, 400, ["query"], [F.desc("uploaded_time"), F.asc("post_id")])
+    """Newest posts per batch, channel and query."""
+    out = STD.cap_per_query(heads(spark, sf, LONG_BUCKET), CAP,
+                            order=[F.desc("uploaded_time"), F.asc("post_id")])
     return out.select("post_id", "query", "uploaded_time")
 
 
 def q_batch_stats(spark, sf):
     since = F.lit(RANGE_UNTIL).cast("timestamp_ntz")
-    return STD.batch_stats(posts(spark, sf), since)
+    return STD.batch_stats(heads(spark, sf), since)
 
 
 def q_collect_summary(spark, sf):
-    kept = STD.query_in_text(posts(spark, sf))
-    qlist = FX.table(spark, sf, "events").select(F.col("event_type").alias("query")).distinct()
+    p = _spoken(spark, sf)
+    qlist = p.select("query").distinct()
+    kept = STD.query_in_text(p)
     return STD.collect_summary(kept, qlist)
 
 
 # -- sources and sinks (SRC-*, SNK-*) ---------------------------------------
 
 def q_complete_batches(spark, sf):
-    files = posts(spark, sf).select(F.col("collected_time").alias("batch_time"),
-                                    F.concat_ws("/", "channel", "query").alias("file"))
-    got = files.groupBy("batch_time").agg(F.count_distinct("file").alias("n_files"))
-    return (got.withColumn("expected_files", F.lit(EXPECTED_FILES))
-            .where(F.col("n_files") >= F.col("expected_files")))
+    """Arrived files (one folder per batch and collector run; some runs are missing) against the expected number."""
+    root = scratch_path(spark, "arrived")
+    runs = heads(spark, sf, LONG_BUCKET).select(
+        F.date_format("collected_time", "yyyyMMdd").alias("batch"), F.concat_ws("-", "channel", "query").alias("run"), "post_id")
+    runs = runs.where(~(F.col("run").startswith("X-c") & (F.substring("batch", 7, 2).cast("int") % 3 == 0)))
+    runs.write.partitionBy("batch", "run").parquet(root)
+    files = P.list_files(spark, f"{root}/*/*").select(
+        F.regexp_extract("file", "batch=([^/]+)/", 1).alias("batch"), F.regexp_extract("file", "run=([^/]+)/", 1).alias("file"))
+    return STD.complete_batches(files, EXPECTED_FILES)
 
 
 def q_partition_by_query(spark, sf):
     """Posts laid out as ``keyword=<safe query>/`` folders and read back."""
-    from surgewatch.sources import posts as P
     p = posts(spark, sf).withColumn("query", F.concat_ws(" / ", "query", "channel"))
     folder = scratch_path(spark, "by-query")
     P.write_partitioned_by_query(p.select("post_id", "query"), folder)
@@ -511,7 +570,6 @@ def q_partition_by_query(spark, sf):
 
 def q_merge_posts(spark, sf):
     """Two collector batches as CSV -- one in the older shape without ``query`` -- merged."""
-    from surgewatch.sources import posts as P
     p = posts(spark, sf)
     new_dir, old_dir = scratch_path(spark, "batch-new"), scratch_path(spark, "batch-old")
     cut = F.lit(RANGE_UNTIL).cast("timestamp_ntz")
@@ -523,6 +581,35 @@ def q_merge_posts(spark, sf):
     return P.merge_posts(spark, [new_dir, old_dir])
 
 
+def q_merge_posts_mixed(spark, sf):
+    """One folder that holds files of both shapes."""
+    p, folder = posts(spark, sf), scratch_path(spark, "batch-mixed")
+    cut = F.lit(RANGE_UNTIL).cast("timestamp_ntz")
+    P.write_posts(p.where(F.col("uploaded_time") >= cut), folder)
+    (p.where(F.col("uploaded_time") < cut)
+     .select("username", F.col("uploaded_time").cast("string"),
+             F.col("collected_time").cast("string"), "channel", "text")
+     .write.mode("append").options(**P.CSV_WRITE_OPTIONS).csv(folder))
+    return P.merge_posts(spark, [folder])
+
+
+def q_read_posts_legacy(spark, sf):
+    """Files of an older collector: ``keyword`` first, times as epoch seconds."""
+    folder = scratch_path(spark, "raw-legacy")
+    epoch = lambda c: F.unix_seconds(F.col(c).cast("timestamp")).cast("string").alias(c)
+    (posts(spark, sf).select(F.col("query").alias("keyword"), "username", epoch("uploaded_time"),
+                             epoch("collected_time"), "channel", "text")
+     .write.options(**P.CSV_WRITE_OPTIONS).csv(folder))
+    return present(P.read_posts(spark, folder))
+
+
+def q_write_posts(spark, sf):
+    """Posts written with the fixed header and read back as text."""
+    folder = scratch_path(spark, "raw-data")
+    P.write_posts(posts(spark, sf), folder)
+    return P.read_posts(spark, folder, typed=False)
+
+
 def q_write_mapped(spark, sf):
     """Mapped rows stored by batch day (dynamic partition overwrite) and read back."""
     folder = scratch_path(spark, "mapped")
@@ -541,7 +628,7 @@ def q_metrics_sink(spark, sf):
 
 def q_score_growth_only(spark, sf):
     """Time-mode score with weights (1, 0, 0, 0, 0): the growth-only variant."""
-    cfg = JobConfig(bucket=FX.fixture_bucket(sf), weights=(1.0, 0.0, 0.0, 0.0, 0.0))
+    cfg = JobConfig(bucket=FX.DEFAULT_BUCKET, weights=(1.0, 0.0, 0.0, 0.0, 0.0))
     j = Job(posts(spark, sf), FX.wordbag(spark), cfg)
     return present(j.metrics("time").select(*SERIES_KEYS, "cur_time", "score"))
 
@@ -555,9 +642,60 @@ def q_counts_upsert(spark, sf):
     return SNK.merge_counts(old, new)
 
 
+def q_counts_upsert_path(spark, sf):
+    """The same upsert into a table on disk; the second batch comes twice."""
+    p, path = posts(spark, sf), scratch_path(spark, "counts")
+    cut = lambda t: F.lit(t).cast("timestamp_ntz")
+    old = job(spark, sf, p.where(F.col("uploaded_time") < cut(UPSERT_OLD_BEFORE))).category_counts()
+    new = job(spark, sf, p.where(F.col("uploaded_time") >= cut(UPSERT_NEW_FROM))).category_counts()
+    for batch in (old, new, new):
+        SNK.upsert_counts(spark, batch, path)
+    return present(spark.read.parquet(path).drop("batch_date"))
+
+
+# -- the job over arriving batch folders: equal to one run over all posts ---------------
+
+# Fixed parameters: the first folder holds one snapshot and so no alert; times are off the grid.
+JOB_SLICES = ("2024-01-01 00:30:00", "2024-01-15 00:00:00")
+OFF_GRID = "INTERVAL 7 SECONDS"
+
+
+def _run_job(spark, sf, conds, order, mode="rows"):
+    p = posts(spark, sf).withColumn("collected_time", F.col("collected_time") + F.expr(OFF_GRID))
+    root = scratch_path(spark, "job")
+    FX.wordbag(spark).write.option("header", "true").csv(f"{root}/wordbag")
+    for i in order:
+        folder = f"{root}/raw/2024010{i + 1}T000000Z"
+        P.write_posts(p.where(conds[i]), folder)
+        run_job.run(spark, folder, f"{root}/wordbag", f"{root}/out", mode, FX.DEFAULT_BUCKET)
+    return present(spark.read.parquet(f"{root}/out/metrics").drop("created_at", "cur_date"))
+
+
+def _job_slices():
+    t, (a, b) = F.col("uploaded_time"), [F.lit(x).cast("timestamp_ntz") for x in JOB_SLICES]
+    return [t < a, (t >= a) & (t < b), (t >= b) | t.isNull()]
+
+
+def q_job_batches_rows(spark, sf):
+    return _run_job(spark, sf, _job_slices(), (0, 1, 2))
+
+
+def q_job_batches_time(spark, sf):
+    return _run_job(spark, sf, _job_slices(), (0, 1, 2), "time")
+
+
+def q_job_late_batch(spark, sf):
+    """The middle folder arrives last."""
+    return _run_job(spark, sf, _job_slices(), (0, 2, 1))
+
+
+def q_job_same_snapshot(spark, sf):
+    """Every snapshot comes in three folders."""
+    return _run_job(spark, sf, [F.col("post_id") % 3 == k for k in range(3)], (0, 1, 2))
+
+
 def q_read_posts(spark, sf):
     """Posts written as collector CSV (header, quoted multi-line text) and read back."""
-    from surgewatch.sources import posts as P
     folder = scratch_path(spark, "raw-data")
     P.write_posts(posts(spark, sf), folder)
     return present(P.read_posts(spark, folder))
@@ -565,7 +703,6 @@ def q_read_posts(spark, sf):
 
 def q_query_list(spark, sf):
     """Query-list files (every event's type as a line, with comments and blank lines)."""
-    from surgewatch.sources import posts as P
     folder = scratch_path(spark, "queries")
     ev = FX.table(spark, sf, "events")
     lines = ev.select(F.concat(F.lit("  "), F.col("event_type"), F.lit(" \n# seen\n")).alias("value"))
@@ -575,10 +712,9 @@ def q_query_list(spark, sf):
 
 def q_batch_time(spark, sf):
     """Posts landed as batch folders; each row's batch time parsed from its folder name."""
-    from surgewatch.sources import posts as P
     root = scratch_path(spark, "raw-data")
     P.write_batches(posts(spark, sf), root)
-    back = P.with_batch_time(P.read_posts(spark, f"{root}/*"))
+    back = P.read_posts(spark, f"{root}/*", batch_time="batch_time")
     return present(back.select("username", "uploaded_time", "channel", "query", "batch_time"))
 
 
@@ -604,11 +740,11 @@ def _slices(p: DataFrame, ts: str = "uploaded_time"):
     return conds
 
 
-def _feed(spark, frame: DataFrame, run_once, ts: str = "uploaded_time") -> None:
+def _feed(spark, frame: DataFrame, run_once, ts: str = "uploaded_time", back: bool = False) -> None:
     """Land ``frame`` as files one slice at a time; after each, run the stream over
     what has arrived (one micro-batch per slice, like one job run per batch folder)."""
     folder = scratch_path(spark, "arrivals")
-    for cond in _slices(frame, ts):
+    for cond in _slices(frame, ts)[::-1 if back else 1]:
         frame.where(cond).write.mode("append").parquet(folder)
         run_once(folder)
 
@@ -620,7 +756,6 @@ def _state_parts(spark) -> int:
 
 def _feed_csv(spark, frame: DataFrame, run_once) -> None:
     """As ``_feed``, but the slices land as collector CSV batch folders."""
-    from surgewatch.sources import posts as P
     root = scratch_path(spark, "raw-data")
     for i, cond in enumerate(_slices(frame)):
         P.write_posts(frame.where(cond), f"{root}/slice{i}")
@@ -634,7 +769,7 @@ def q_stream_counts_csv(spark, sf):
 
     def run(pattern):
         src = ST.read_post_stream(spark, pattern, None, fmt="csv")
-        ST.write_upserts(ST.stream_counts(src, m, FX.fixture_bucket(sf)), out, ckpt, COUNT_KEYS,
+        ST.write_upserts(ST.stream_counts(src, m, FX.DEFAULT_BUCKET), out, ckpt, COUNT_KEYS,
                          partitions=_state_parts(spark)).awaitTermination()
 
     _feed_csv(spark, posts(spark, sf), run)
@@ -656,23 +791,46 @@ def q_stream_posts(spark, sf):
          .trigger(availableNow=True).start().awaitTermination())
 
     _feed(spark, p, run)
-    return spark.read.parquet(out).drop("lang")
+    return spark.read.parquet(out)
 
 
-def q_stream_counts(spark, sf):
+def _stream_counts(spark, sf, back=False):
     m = plan_matcher(FX.wordbag(spark))
     out, ckpt = scratch_path(spark, "stream-counts"), scratch_path(spark, "ckpt")
     schema = _post_schema(spark, sf)
 
     def run(folder):
         src = ST.read_post_stream(spark, folder, schema)
-        ST.write_upserts(ST.stream_counts(src, m, FX.fixture_bucket(sf)), out, ckpt, COUNT_KEYS,
+        ST.write_upserts(ST.stream_counts(src, m, FX.DEFAULT_BUCKET), out, ckpt, COUNT_KEYS,
                          partitions=_state_parts(spark)).awaitTermination()
 
-    _feed(spark, posts(spark, sf), run)
+    _feed(spark, posts(spark, sf), run, back=back)
     return present(ST.read_table(spark, out))
 
 
+def q_stream_counts(spark, sf):
+    return _stream_counts(spark, sf)
+
+
+def q_stream_counts_late(spark, sf):
+    """The latest week arrives first: nothing is dropped as late."""
+    return _stream_counts(spark, sf, back=True)
+
+
+def q_stream_recent(spark, sf):
+    """The recency filter inside the stream: posts of the 10 minutes before their collection."""
+    p = heads(spark, sf).withColumn("now", F.col("collected_time") + F.expr("INTERVAL 30 MINUTES"))
+    out, ckpt = scratch_path(spark, "stream-recent"), scratch_path(spark, "ckpt")
+
+    def run(folder):
+        src = ST.stream_recent(ST.read_post_stream(spark, folder, p.schema), "now", 10)
+        (src.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start().awaitTermination())
+
+    _feed(spark, p, run)
+    return spark.read.parquet(out).select("post_id", "uploaded_time", "collected_time")
+
+
 def q_stream_metrics(spark, sf):
     return _stream_metrics(spark, sf, "rows")
 
@@ -712,18 +870,29 @@ def q_stream_dedupe(spark, sf):
     return present(spark.read.parquet(out).select("uploaded_time", "username"))
 
 
-def q_stream_alerts(spark, sf):
-    items = _items(spark, sf)
+def _stream_alerts(spark, items, stored_path=None):
     out, ckpt = scratch_path(spark, "stream-alerts"), scratch_path(spark, "ckpt")
 
     def run(folder):
         src = ST.read_post_stream(spark, folder, items.schema)
-        ST.stream_alert_messages(src, out, ckpt, partitions=_state_parts(spark)).awaitTermination()
+        ST.stream_alert_messages(src, out, ckpt, stored_path, _state_parts(spark)).awaitTermination()
 
     _feed(spark, items, run, ts="cur_time")
     return present(spark.read.parquet(out).drop("_v"))
 
 
+def q_stream_alerts(spark, sf):
+    return _stream_alerts(spark, _items(spark, sf))
+
+
+def q_stream_alerts_new(spark, sf):
+    """Items stored before raise no message."""
+    stored = scratch_path(spark, "stored-items")
+    p = posts(spark, sf)
+    _items(spark, sf, p.where(F.col("uploaded_time") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))).write.parquet(stored)
+    return _stream_alerts(spark, _items(spark, sf, p), stored)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -14,9 +14,9 @@ from surgewatch.functions.stopwords import ENGLISH_STOPWORDS
 from surgewatch.functions.text import LINE_BREAK_RE, PY_SPACE_CLASS
 from surgewatch.functions.timefmt import interval_seconds
 from surgewatch.plans import catalog as Q
-from surgewatch.sources.fixtures import FIXTURE_WORDBAG
+from surgewatch.sources.fixtures import DEFAULT_BUCKET, FIXTURE_WORDBAG
 
-BUCKET = "6 hours"          # fixture bucket at sf0.01
+BUCKET = DEFAULT_BUCKET
 
 
 def _s(v: str) -> str:
@@ -159,6 +159,8 @@ def _r(cols: str) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in cols.split(", "))
 
 
+_SPOKEN = (f"(SELECT *, list_value({', '.join(map(_s, Q.SPOKEN))})[CAST(post_id % {len(Q.SPOKEN)} AS INTEGER) + 1] AS q"
+           " FROM posts)")
 _TOK_OUT = "array_to_string({a}, ' ') AS tokens, CAST(len({a}) AS BIGINT) AS n_tokens"
 _MAP8 = "username, uploaded_time, collected_time, channel, query, text, category, keyword"
 _ALERT_DOUBLES = "short_term_growth, long_term_ratio, ratio_to_total, acceleration, score"
@@ -196,36 +198,41 @@ CLEAN_THREADS = f"""CASE WHEN txt IS NULL OR txt = '' THEN txt ELSE array_to_str
 
 
 
-def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
-    """Shared CTE chain and per-query bodies for one fixture bucket width."""
+def _build(BUCKET: str, STEP_US: int, duration: float = 2.0, spike_bucket: str = Q.SPIKE_BUCKET,
+           spike_threshold: float = Q.SPIKE_THRESHOLD) -> tuple[str, dict[str, str]]:
+    """Shared CTE chain and per-query bodies for one set of parameters."""
     CTES = f"""
     WITH posts AS (
       SELECT e.event_id AS post_id, 'u' || CAST(e.user_id AS VARCHAR) AS username,
              e.ts AS uploaded_time, time_bucket(INTERVAL '{BUCKET}', e.ts) AS collected_time,
              CASE WHEN e.event_id % 2 = 0 THEN 'X' ELSE 'threads' END AS channel,
              e.event_type AS query, d.text AS text, d.lang AS lang,
-             e.user_id AS user_id_
+             e.user_id AS user_id_, d.doc_id AS doc_id
       FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
     ),
     bag_raw(category, keyword) AS (VALUES {_BAG}),
     bag_ref AS (SELECT trim(lower(category)) AS category, trim(lower(keyword)) AS keyword FROM bag_raw),
     bag AS (SELECT DISTINCT category, keyword FROM bag_ref
             WHERE keyword IS NOT NULL AND keyword <> '' AND category IS NOT NULL),
-    clean AS (
-      SELECT p.*, trim(regexp_replace(regexp_replace(regexp_replace(text,
+    dclean AS (
+      SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text,
                '[\\r\\n]+', ' ', 'g'), '[^A-Za-z0-9{_JSPACE}]', ' ', 'g'), '[{_JSPACE}]+', ' ', 'g'))
                AS clean_text
-      FROM posts p
+      FROM documents
     ),
-    words AS (
-      SELECT c.*, list_filter(string_split_regex(lower(clean_text), '\\W'), lambda x: length(x) >= 2) AS words
-      FROM clean c
+    dwords AS (
+      SELECT *, list_filter(string_split_regex(lower(clean_text), '\\W'), lambda x: length(x) >= 2) AS words
+      FROM dclean
     ),
-    filtered AS (
-      SELECT w.*, list_filter(words, lambda x: NOT list_contains({_STOP}, lower(x))) AS filtered FROM words w
+    dfiltered AS (
+      SELECT *, list_filter(words, lambda x: NOT list_contains({_STOP}, lower(x))) AS filtered FROM dwords
     ),
-    tok AS (SELECT DISTINCT post_id, keyword FROM (SELECT post_id, unnest(filtered) AS keyword FROM filtered)),
-    matched AS (SELECT DISTINCT t.post_id, t.keyword FROM tok t WHERE t.keyword IN (SELECT keyword FROM bag_ref)),
+    clean AS (SELECT p.post_id, d.clean_text FROM posts p JOIN dclean d USING (doc_id)),
+    words AS (SELECT p.post_id, d.words FROM posts p JOIN dwords d USING (doc_id)),
+    filtered AS (SELECT p.post_id, d.filtered FROM posts p JOIN dfiltered d USING (doc_id)),
+    dtok AS (SELECT DISTINCT doc_id, keyword FROM (SELECT doc_id, unnest(filtered) AS keyword FROM dfiltered)),
+    dmatched AS (SELECT * FROM dtok WHERE keyword IN (SELECT keyword FROM bag_ref)),
+    matched AS (SELECT p.post_id, m.keyword FROM posts p JOIN dmatched m USING (doc_id)),
     hits AS (
       SELECT p.*, b.category, m.keyword FROM matched m JOIN bag b ON b.keyword = m.keyword
       JOIN posts p ON p.post_id = m.post_id
@@ -308,7 +315,7 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
         CASE WHEN prev_growth IS NULL THEN 0.0 ELSE short_term_growth - prev_growth END AS acceleration,
         {_score(a="(CASE WHEN prev_growth IS NULL THEN 0.0 ELSE short_term_growth - prev_growth END)")}
           AS score,
-        CASE WHEN len(latest3) = 3 AND len(list_filter(latest3, lambda x: x > 2.0)) = 3 THEN 1 ELSE 0 END
+        CASE WHEN len(latest3) = 3 AND len(list_filter(latest3, lambda x: x > {duration})) = 3 THEN 1 ELSE 0 END
           AS duration_flag,
         CASE WHEN slot_1 IS NOT NULL AND slot_2 IS NOT NULL AND slot_3 IS NOT NULL
              AND cur > slot_1 AND slot_1 > slot_2 AND slot_2 > slot_3 THEN 1 ELSE 0 END AS rising_flag
@@ -331,7 +338,7 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
       WHERE r.score > 2.0
     ),
     bc AS (
-      SELECT channel, time_bucket(INTERVAL '{Q.SPIKE_BUCKET}', uploaded_time) AS bucket_ts,
+      SELECT channel, time_bucket(INTERVAL '{spike_bucket}', uploaded_time) AS bucket_ts,
              count(*) AS cnt
       FROM posts WHERE uploaded_time IS NOT NULL GROUP BY ALL
     ),
@@ -349,7 +356,7 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
       FROM sp1 WINDOW w AS (PARTITION BY channel ORDER BY bucket_ts)
     ),
     sp3 AS (
-      SELECT *, CAST(growth >= {Q.SPIKE_THRESHOLD} AS INTEGER) AS exceed FROM sp2
+      SELECT *, CAST(growth >= {spike_threshold} AS INTEGER) AS exceed FROM sp2
     ),
     sp4 AS (
       SELECT *, sum(1 - exceed) OVER (PARTITION BY channel ORDER BY bucket_ts
@@ -434,7 +441,7 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
         # alerts
         "risk_rows": f"SELECT {_METRICS_OUT} FROM metrics_rows WHERE score > 2.0",
         "risk_rows_sustained": f"""SELECT {_METRICS_OUT}, duration_flag, rising_flag FROM metrics_time
-            WHERE score > 2.0 AND duration_flag = 1""",
+            WHERE score > {Q.LOW_SCORE} AND duration_flag = 1""",
         "extract_alert": f"SELECT {_ALERT_OUT} FROM alerts",
         "extract_alert_time": f"SELECT {_ALERT_OUT} FROM alerts_time",
         "alert_items": "SELECT * FROM items",
@@ -472,7 +479,7 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
             FROM (SELECT post_id, CASE WHEN user_id_ % 6 = 0 THEN strftime(uploaded_time, '%Y-%m-%d') || 'x'
                   ELSE strftime(uploaded_time, '%Y-%m-%d') END AS day FROM posts)""",
         "recent_posts": f"""SELECT post_id, uploaded_time, collected_time FROM posts
-            WHERE uploaded_time BETWEEN collected_time + INTERVAL '{BUCKET}' - INTERVAL '30 minutes'
+            WHERE uploaded_time BETWEEN collected_time + INTERVAL '{BUCKET}' - INTERVAL '10 minutes'
                                     AND collected_time + INTERVAL '{BUCKET}'""",
         "date_range_posts": f"""SELECT post_id, uploaded_time FROM posts
             WHERE uploaded_time >= TIMESTAMP '{Q.RANGE_SINCE}' AND uploaded_time < TIMESTAMP '{Q.RANGE_UNTIL}'""",
@@ -480,7 +487,7 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
         "lang_filter_lenient": """SELECT post_id, lang FROM (SELECT post_id, CASE WHEN lang = 'de' THEN NULL
               WHEN lang = 'es' THEN '' ELSE lang END AS lang FROM posts)
             WHERE lang IS NULL OR lang = '' OR lang = 'en'""",
-        "query_in_text": "SELECT post_id, query FROM posts WHERE contains(lower(text), lower(query))",
+        "query_in_text": f"SELECT post_id, q AS query FROM {_SPOKEN} WHERE contains(lower(text), lower(q))",
         "flatten_text": f"""SELECT post_id, regexp_replace(replace(coalesce(text, ''), chr(10), ' '),
             '^{_PSPACE}+|{_PSPACE}+$', '', 'g') AS flat_text FROM posts""",
         "clean_post_text": f"""SELECT post_id, {CLEAN_THREADS} AS clean_text FROM (
@@ -501,23 +508,24 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
         "stamp_posts": f"""SELECT 'u' || CAST(user_id AS VARCHAR) AS username, ts AS uploaded_time,
             event_type AS query, event_id, 'X' AS channel,
             time_bucket(INTERVAL '{BUCKET}', ts) AS collected_time FROM events""",
-        "cap_per_query": """SELECT post_id, query, uploaded_time FROM posts QUALIFY row_number() OVER
-            (PARTITION BY query ORDER BY uploaded_time DESC, post_id) <= 400""",
+        "cap_per_query": f"""SELECT post_id, query, uploaded_time FROM posts QUALIFY row_number() OVER
+            (PARTITION BY time_bucket(INTERVAL '{Q.LONG_BUCKET}', uploaded_time), channel, query
+             ORDER BY uploaded_time DESC, post_id) <= {Q.CAP}""",
         "batch_stats": f"""SELECT query, collected_time, max(uploaded_time) AS newest,
             min(uploaded_time) AS oldest,
             coalesce(bool_or(uploaded_time < TIMESTAMP '{Q.RANGE_UNTIL}'), false) AS any_older,
             count(*) AS n_posts FROM posts GROUP BY query, collected_time""",
-        "collect_summary": """SELECT q.query, CAST(coalesce(s.saved, 0) AS BIGINT) AS saved,
+        "collect_summary": f"""SELECT q.query, CAST(coalesce(s.saved, 0) AS BIGINT) AS saved,
             CAST(sum(coalesce(s.saved, 0)) OVER () AS BIGINT) AS total_saved,
             sum(coalesce(s.saved, 0)) OVER () > 0 AS ok
-            FROM (SELECT DISTINCT event_type AS query FROM events) q
-            LEFT JOIN (SELECT query, count(*) AS saved FROM posts
-                       WHERE contains(lower(text), lower(query)) GROUP BY query) s USING (query)""",
+            FROM (SELECT DISTINCT q AS query FROM {_SPOKEN}) q
+            LEFT JOIN (SELECT q AS query, count(*) AS saved FROM {_SPOKEN}
+                       WHERE contains(lower(text), lower(q)) GROUP BY q) s USING (query)""",
         # sources and sinks
-        "complete_batches": f"""SELECT collected_time AS batch_time,
-            count(DISTINCT channel || '/' || query) AS n_files, {Q.EXPECTED_FILES} AS expected_files
-            FROM posts GROUP BY collected_time
-            HAVING count(DISTINCT channel || '/' || query) >= {Q.EXPECTED_FILES}""",
+        "complete_batches": f"""SELECT strftime(uploaded_time, '%Y%m%d') AS batch,
+            count(DISTINCT channel || '-' || query) AS n_files, {Q.EXPECTED_FILES} AS expected_files
+            FROM posts WHERE NOT (channel = 'X' AND starts_with(query, 'c') AND day(uploaded_time) % 3 = 0)
+            GROUP BY 1 HAVING count(DISTINCT channel || '-' || query) >= {Q.EXPECTED_FILES}""",
         "partition_by_query": """SELECT post_id, query || ' / ' || channel AS query,
             translate(query || ' / ' || channel, '/ ', '_-') AS keyword FROM posts""",
         "counts_upsert": f"""SELECT collected_time, channel, query, category,
@@ -531,9 +539,34 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
                 GROUP BY ALL)
             GROUP BY collected_time, channel, query, category""",
         # streaming: equal to the batch results
-        "stream_posts": """SELECT post_id, username, uploaded_time, collected_time, channel, query, text
+        "stream_posts": """SELECT post_id, username, uploaded_time, collected_time, channel, query, text, lang
             FROM posts""",
         "stream_counts": "SELECT * FROM cat",
+        "stream_counts_late": "SELECT * FROM cat",
+        "stream_recent": """SELECT post_id, uploaded_time, collected_time FROM posts
+            WHERE uploaded_time BETWEEN collected_time + INTERVAL '20 minutes' AND collected_time + INTERVAL '30 minutes'""",
+        "stream_alerts_new": f"SELECT pk, channel, query, category, cur_time, {MESSAGE} AS message FROM groups",
+        "job_batches_rows": f"SELECT {_METRICS_OUT} FROM metrics_rows",
+        "job_batches_time": f"SELECT {_METRICS_OUT} FROM metrics_time",
+        "job_late_batch": f"SELECT {_METRICS_OUT} FROM metrics_rows",
+        "job_same_snapshot": f"SELECT {_METRICS_OUT} FROM metrics_rows",
+        "match_keywords_join": """SELECT p.post_id, coalesce(m.matched, '') AS matched,
+            coalesce(m.n, 0) AS n_matched FROM (SELECT post_id FROM posts UNION ALL SELECT post_id FROM posts) p LEFT JOIN (
+              SELECT post_id, string_agg(keyword, ' ' ORDER BY keyword) AS matched,
+                     CAST(count(*) AS BIGINT) AS n FROM matched GROUP BY post_id) m
+            ON m.post_id = p.post_id""",
+        "wordbag_normalize": """SELECT DISTINCT trim(lower(' ' || upper(lang) || ' ')) AS category,
+            trim(lower(split_part(text, ' ', 1) || '  ')) AS keyword FROM documents
+            WHERE lang IS NOT NULL AND trim(split_part(text, ' ', 1)) <> ''""",
+        "ranked_keywords": """SELECT k.collected_time, k.channel, k.query, k.category,
+            k.keyword, c.count_category, k.count_keyword, row_number() OVER (
+              ORDER BY c.count_category DESC, k.count_keyword DESC, k.collected_time, k.channel,
+                       k.query, k.category, k.keyword) AS rank
+            FROM kw k JOIN cat c USING (collected_time, channel, query, category)""",
+        "write_posts": """SELECT username, CAST(uploaded_time AS VARCHAR) AS uploaded_time,
+            CAST(collected_time AS VARCHAR) AS collected_time, channel, query, text FROM posts""",
+        "read_posts_legacy": """SELECT username, date_trunc('second', uploaded_time) AS uploaded_time,
+            collected_time, channel, query, text FROM posts""",
         "stream_counts_csv": "SELECT * FROM cat",
         "stream_metrics": f"SELECT {_METRICS_OUT} FROM metrics_rows",
         "stream_metrics_time": f"SELECT {_METRICS_OUT}, duration_flag, rising_flag FROM metrics_time",
@@ -544,6 +577,10 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
             CAST(collected_time AS VARCHAR) AS collected_time, channel,
             CASE WHEN uploaded_time >= TIMESTAMP '{Q.RANGE_UNTIL}' THEN query END AS query, text
             FROM posts""",
+        "merge_posts_mixed": f"""SELECT username, CAST(uploaded_time AS VARCHAR) AS uploaded_time,
+            CAST(collected_time AS VARCHAR) AS collected_time, channel,
+            CASE WHEN uploaded_time >= TIMESTAMP '{Q.RANGE_UNTIL}' THEN query END AS query, text
+            FROM posts""",
         "write_mapped": f"SELECT {_MAP8} FROM mapped",
         "metrics_sink": f"SELECT {_METRICS_OUT} FROM metrics_rows",
         "score_growth_only": f"SELECT {_KEYS}, round(short_term_growth, 6) AS score FROM metrics_time",
@@ -559,8 +596,23 @@ def _build(BUCKET: str, STEP_US: int) -> tuple[str, dict[str, str]]:
     return CTES, BODIES
 
 
-def oracle_sql(bucket: str = BUCKET) -> dict[str, str]:
-    """Key -> full DuckDB SQL (shared CTE chain + the query body) for a bucket width."""
-    ctes, bodies = _build(bucket, interval_seconds(bucket) * 1_000_000)
-    prefix = (ctes + ITEMS).rstrip().rstrip(",") + "\n"
-    return {k: prefix + v for k, v in bodies.items() if k not in Q.NO_ORACLE}
+# Queries that run with other parameters than the defaults.
+_LONG = {"BUCKET": Q.LONG_BUCKET, "STEP_US": interval_seconds(Q.LONG_BUCKET) * 1_000_000, "duration": Q.LOW_DURATION}
+_OTHER = {"duration_flag": _LONG, "rising_flag": _LONG, "risk_rows_sustained": _LONG,
+          "streak_alerts": {"spike_bucket": Q.STREAK_BUCKET, "spike_threshold": Q.STREAK_THRESHOLD}}
+
+
+def oracle_sql() -> dict[str, str]:
+    """Key -> full DuckDB SQL (shared CTE chain + the query body)."""
+    own = {"BUCKET": BUCKET, "STEP_US": interval_seconds(BUCKET) * 1_000_000}
+
+    def full(**kwargs) -> dict[str, str]:
+        ctes, bodies = _build(**(own | kwargs))
+        prefix = (ctes + ITEMS).rstrip().rstrip(",") + "\n"
+        return {k: prefix + v for k, v in bodies.items()}
+
+    sql = full()
+    for key, kwargs in _OTHER.items():
+        sql[key] = full(**kwargs)[key]
+    sql["counts_upsert_path"] = sql["counts_upsert"]
+    return {k: v for k, v in sql.items() if k not in Q.NO_ORACLE}

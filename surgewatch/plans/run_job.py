@@ -3,73 +3,93 @@
     spark-submit surgewatch/plans/run_job.py --posts <batch folder> --wordbag <csv> --out <root>
         [--mode rows|time] [--bucket "30 minutes"] [--jdbc-url URL]
 
-Steps: read the batch -> map to the wordbag -> store mapped rows -> upsert the
-category counts into the history table -> metrics over the accumulated counts
-(the reference saw only the current batch) -> metrics sink -> alert items ->
-new alert messages.  Actions happen only in the sinks.
+Steps: wait until the batch's files are all there -> read the batch -> map to the
+wordbag -> store mapped rows -> store the batch's keyword counts per snapshot ->
+metrics over the accumulated counts (the reference saw only the current batch), from
+the earliest snapshot the batch touched on, so a late batch mends the later points ->
+metrics sink -> alert items -> messages of the new items.  Collection times carry
+seconds; a snapshot is their ``bucket``.  Every table is keyed, most by the batch, so
+a replayed batch changes nothing.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
+import re
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surgewatch.operators import alerts as A
 from surgewatch.operators import counts as C
 from surgewatch.operators.match import plan_matcher
 from surgewatch.operators.metrics_rows import calculate_metrics
 from surgewatch.operators.metrics_time import HISTORY_SLOTS, calculate_metrics_time
-from surgewatch.functions.timefmt import interval_seconds
+from surgewatch.operators.standardize import complete_batches
+from surgewatch.functions.timefmt import bucket_start, interval_seconds
 from surgewatch.session import checkpoint_dir, ensure_utc
 from surgewatch.sources import posts as P
 from surgewatch.sources import sinks as SNK
 
 
+def batch_of(path: str) -> str:
+    """Batch id of a folder: its ``yyyyMMddTHHmmssZ`` name, else its last part."""
+    m = re.findall(r"\d{8}T\d{6}Z", path)
+    return m[-1] if m else path.rstrip("/").rsplit("/", 1)[-1].replace("*", "all")
+
+
 def run(spark: SparkSession, posts_path: str, wordbag_path: str, out: str, mode: str = "rows",
-        bucket: str = "30 minutes", jdbc_url: str | None = None) -> None:
+        bucket: str = "30 minutes", jdbc_url: str | None = None, batch: str | None = None,
+        expected_files: int | None = None) -> bool:
+    """Process one batch folder; False, without any write, while files are missing."""
     ensure_utc(spark)
     checkpoint_dir(spark)
     out = out.rstrip("/")
+    batch = batch or batch_of(posts_path)
+    if expected_files is not None:
+        files = P.list_files(spark, posts_path).withColumn("batch", F.lit(batch))
+        if complete_batches(files, expected_files).isEmpty():
+            return False
     posts = P.read_posts(spark, posts_path)
     matcher = plan_matcher(P.read_wordbag(spark, wordbag_path))
     mapped_path = f"{out}/mapped"
-    SNK.write_mapped(matcher.mapped(posts), mapped_path)
+    mapped = matcher.mapped(posts)
+    SNK.write_mapped(mapped, mapped_path, batch=batch)
     # the stored mapped rows feed everything below: the posts are tokenized once
-    stored = spark.read.parquet(mapped_path)
-    batches = posts.select(F.to_date("collected_time").alias("batch_date"),
-                           SNK.batch_key("collected_time").alias("batch")).distinct()
-    mapped = (stored.join(batches, ["batch_date", "batch"], "left_semi")
-              .drop("batch_date", "batch"))
-    kw_new = C.count_keyword(mapped)
+    parts = T.StructType().add("batch_date", "date").add("batch", "string")
+    stored = SNK.read_stored(spark, mapped_path, T.StructType([*mapped.schema, *parts])).where(F.col("batch") == batch)
+    snapshot = bucket_start("collected_time", bucket)
+    kw_new = C.count_keyword(stored.drop("batch_date", "batch").withColumn("collected_time", snapshot))
     kw_path = f"{out}/keyword_counts"
-    table = SNK.upsert_keyword_counts(spark, kw_new, kw_path)
-    # history needed: the (channel, query) pairs this batch touched -- their series
-    # and snapshot totals -- and in time mode only six steps back (day partitions pruned)
-    pairs = kw_new.select("channel", "query").distinct()
-    if mode == "time":
-        lo = kw_new.agg(F.min("collected_time")).first()[0]
+    touched = SNK.upsert_batch_counts(kw_new, kw_path, batch)
+    # from each (channel, query) pair's earliest touched snapshot on, points can change
+    pairs, staged_pairs = SNK.stage(
+        touched.where(F.col("batch") == batch).groupBy("channel", "query")
+        .agg(F.min("collected_time").alias("_since"))
+        .where("channel is not null and query is not null and _since is not null"))
+    table = SNK.read_stored(spark, kw_path, T.StructType([*touched.schema, parts["batch_date"]]))
+    if mode == "time":  # exact slots reach back six steps: earlier days are pruned
+        lo = pairs.agg(F.min("_since")).first()[0]
         if lo is not None:
             lo = lo - dt.timedelta(seconds=interval_seconds(bucket) * HISTORY_SLOTS)
             table = table.where((F.col("batch_date") >= F.lit(lo.date()))
                                 & (F.col("collected_time") >= F.lit(lo)))
-    kw_all = (table.drop("batch_date").join(pairs, ["channel", "query"], "left_semi")
-              .where(F.col("channel").isNotNull() & F.col("query").isNotNull()))
+    kw_all = SNK.snapshot_counts(table.join(pairs.select("channel", "query"), ["channel", "query"], "left_semi"))
     cats = C.category_from_keyword_counts(kw_all)
     if mode == "time":
         metrics = calculate_metrics_time(cats, step_seconds=interval_seconds(bucket))
     else:
         metrics = calculate_metrics(cats)
-    # only the snapshots of this batch are new metrics rows
-    times = kw_new.select(F.col("collected_time").alias("cur_time")).distinct()
-    metrics = metrics.join(times, "cur_time", "left_semi")
+    metrics, staged_metrics = SNK.stage(
+        metrics.join(pairs, ["channel", "query"]).where(F.col("cur_time") >= F.col("_since")).drop("_since"))
     SNK.write_metrics(metrics, f"{out}/metrics", jdbc_url=jdbc_url)
     items = A.alert_items(A.extract_alert(metrics, kw_all))
-    new_items = SNK.write_alert_items(items, f"{out}/alert_items")
-    (A.alert_message(A.alert_groups(new_items)).write.mode("append")
-     .parquet(f"{out}/alert_messages"))
+    new_items = SNK.write_alert_items(items, f"{out}/alert_items", batch)
+    SNK.write_messages(A.alert_message(A.alert_groups(new_items)), f"{out}/alert_messages", batch)
+    SNK.drop_staged(spark, staged_pairs, staged_metrics)
+    return True
 
 
 def main(argv=None):
@@ -80,9 +100,10 @@ def main(argv=None):
     ap.add_argument("--mode", default="rows", choices=["rows", "time"])
     ap.add_argument("--bucket", default="30 minutes")
     ap.add_argument("--jdbc-url", default=None)
+    ap.add_argument("--expected-files", type=int, default=None)
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("surgewatch-job").getOrCreate()
-    run(spark, a.posts, a.wordbag, a.out, a.mode, a.bucket, a.jdbc_url)
+    run(spark, a.posts, a.wordbag, a.out, a.mode, a.bucket, a.jdbc_url, expected_files=a.expected_files)
 
 
 if __name__ == "__main__":

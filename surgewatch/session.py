@@ -47,8 +47,9 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Uses ``spark.checkpoint.dir`` when the session names one; otherwise (a
-    local test session) creates a fresh scratch folder and registers it.
+    Uses ``spark.checkpoint.dir`` when the session names one.  A local master
+    without it (tests) gets a fresh scratch folder; on a cluster a folder of one
+    machine would be missing on the others, so there it is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or \
@@ -60,6 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="surgewatch-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

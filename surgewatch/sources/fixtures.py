@@ -27,16 +27,10 @@ FIXTURE_WORDBAG = [
     ("legal", "thing erst"),
 ]
 
-# Bucket width per scale: posts per bucket stay comparable (the time span is fixed).
-_BUCKETS = {"sf0.001": "1 day", "sf0.01": "6 hours"}
+# The collection cadence, at every scale.
 DEFAULT_BUCKET = "30 minutes"
 
 
-def fixture_bucket(sf_dir: str) -> str:
-    name = sf_dir.rstrip("/").rsplit("/", 1)[-1]
-    return _BUCKETS.get(name, DEFAULT_BUCKET)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -45,7 +39,20 @@ def wordbag(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(FIXTURE_WORDBAG, "category string, keyword string")
 
 
-def posts(spark: SparkSession, sf_dir: str, bucket: str | None = None) -> DataFrame:
+def post_headers(spark: SparkSession, sf_dir: str, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+    """Posts without their text: post_id, username, uploaded_time, collected_time, channel, query."""
+    ensure_utc(spark)
+    return spark.sql(
+        """
+        SELECT event_id AS post_id, concat('u', CAST(user_id AS STRING)) AS username,
+               ts AS uploaded_time, window(ts, '{bucket}').start AS collected_time,
+               CASE WHEN event_id % 2 = 0 THEN 'X' ELSE 'threads' END AS channel,
+               event_type AS query
+        FROM {events}
+        """.replace("{bucket}", bucket), events=table(spark, sf_dir, "events"))
+
+
+def posts(spark: SparkSession, sf_dir: str, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Posts: post_id, username, uploaded_time, collected_time, channel, query, text, lang.
 
     A sort-merge join on the document key, so the posts come out hash-spread
@@ -54,7 +61,6 @@ def posts(spark: SparkSession, sf_dir: str, bucket: str | None = None) -> DataFr
     ``documents``, one task per file); AQE splits a skewed key.
     """
     ensure_utc(spark)
-    bucket = bucket or fixture_bucket(sf_dir)
     events = table(spark, sf_dir, "events")
     documents = table(spark, sf_dir, "documents")
     return spark.sql(

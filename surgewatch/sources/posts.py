@@ -9,32 +9,91 @@ from pyspark.sql import functions as F
 
 from surgewatch.functions.text import PY_SPACE_CLASS
 from surgewatch.functions.timefmt import iso_to_timestamp
-from surgewatch.schema import POST_COLUMNS, POST_RAW, WORDBAG
+from surgewatch.schema import POST_COLUMNS, WORDBAG
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 # The CSV writer trims values by default; post text keeps its spaces.
 CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "",
                      "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
+# Multi-line CSV files aren't split when read: bound what one of them holds.
+MAX_ROWS_PER_FILE = 100_000
+
 # Batch folders are named raw-data/{yyyyMMdd'T'HHmmss'Z'}/
 # (a Hive-style ``<name>=`` prefix on the folder is accepted too)
 BATCH_FOLDER_RE = r"/(?:[^/=]+=)?(\d{8}T\d{6}Z)/"
 BATCH_FOLDER_FORMAT = "yyyyMMdd'T'HHmmssX"
 
 
-def read_posts(spark: SparkSession, path: str | list[str], typed: bool = True) -> DataFrame:
+# Older collectors' names of the post columns (fixed values).
+HEADER_NAMES = {"keyword": "query"}
+# Bytes of a file's start that hold its header line.
+HEADER_BYTES = 4096
+
+
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file``: the data files under ``path`` (names only; contents aren't read)."""
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"))
+
+
+def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The CSV files under ``path`` by their header's column names.
+
+    Executors read the files' starts; the driver gets one short row per file, as it
+    does when Spark lists them.  Files are below 2 GB (a collector's batch is far below).
+    """
+    start = F.expr(f"cast(substring(content, 1, {HEADER_BYTES}) as string)")
+    line = F.regexp_replace(F.substring_index(F.substring_index(start, "\n", 1), "\r", 1), '^\ufeff|"', "")
+    rows = (spark.read.format("binaryFile").load(path).where("length > 0")
+            .select("path", line.alias("header")).collect())
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(rows, key=lambda r: r["path"]):
+        found.setdefault(tuple(c.strip() for c in r["header"].split(",")), []).append(r["path"])
+    return found
+
+
+def post_time(c) -> F.Column:
+    """ISO text or epoch seconds to a timestamp; bad to null."""
+    s = F.trim(F.col(c) if isinstance(c, str) else c)
+    epoch = F.timestamp_seconds(s.try_cast("double"))
+    return F.when(s.rlike(r"^\d{9,11}(\.\d+)?$"), epoch).otherwise(iso_to_timestamp(s))
+
+
+def _by_header(spark: SparkSession, path: str | list[str]) -> list[tuple[tuple[str, ...], DataFrame]]:
+    """One frame per distinct header, all columns text; the UTF-8 BOM is consumed by the reader."""
+    return [(names, spark.read.schema(", ".join(f"`{n}` string" for n in names))
+             .options(**CSV_OPTIONS).csv(files)) for names, files in files_by_header(spark, path).items()]
+
+
+def read_posts(spark: SparkSession, path: str | list[str], typed: bool = True,
+               batch_time: str | None = None) -> DataFrame:
     """A post batch: folder(s) of CSV files with header and quoted multi-line text.
 
-    The schema is given (no inference); the UTF-8 BOM some collectors write
-    is consumed by the reader.  With ``typed`` the two time columns become
-    UTC timestamps (unparseable -> null).  multiLine CSV files cannot be
-    split, so a batch is read one task per file; land batches as parquet for
-    anything wider.
+    Columns go by header name, so files of older shapes (``keyword`` first, no
+    ``query``) mix with current ones: one read per distinct header, missing columns
+    null.  With ``typed`` the two time columns become UTC timestamps (epoch seconds
+    or ISO text; unparseable -> null).  ``batch_time`` names an extra column with the
+    time of each row's batch folder.  multiLine CSV files cannot be split, so a batch
+    is read one task per file; land batches as parquet for anything wider.
     """
-    df = spark.read.schema(POST_RAW).options(**CSV_OPTIONS).csv(path)
+    frames = []
+    for names, df in _by_header(spark, path):
+        have = {HEADER_NAMES.get(n, n): n for n in names if HEADER_NAMES.get(n) not in names}
+        cols = [F.col(f"`{have[c]}`").alias(c) if c in have else F.lit(None).cast("string").alias(c)
+                for c in POST_COLUMNS]
+        if batch_time:
+            df = with_batch_time(df, batch_time)
+            cols.append(F.col(batch_time))
+        frames.append(df.select(*cols))
+    if not frames:
+        extra = f", {batch_time} timestamp" if batch_time else ""
+        frames = [spark.createDataFrame([], ", ".join(f"{c} string" for c in POST_COLUMNS) + extra)]
+    df = frames[0]
+    for f in frames[1:]:
+        df = df.unionByName(f)
     if typed:
-        df = df.withColumns({"uploaded_time": iso_to_timestamp("uploaded_time"),
-                             "collected_time": iso_to_timestamp("collected_time")})
+        df = df.withColumns({"uploaded_time": post_time("uploaded_time"),
+                             "collected_time": post_time("collected_time")})
     return df
 
 
@@ -78,8 +137,9 @@ def query_list_frame(spark: SparkSession, queries: Iterable[str]) -> DataFrame:
 
 
 def merge_posts(spark: SparkSession, paths: list[str], out: str | None = None) -> DataFrame:
-    """Union of several post batches (older shapes get missing columns as null)."""
-    frames = [spark.read.options(**CSV_OPTIONS).csv(p) for p in paths]
+    """Union of post batches by column name, as text; files are grouped by header, so the
+    plan grows with the shapes, not with the folders.  Missing columns are null."""
+    frames = [df for _, df in _by_header(spark, paths)]
     merged = frames[0]
     for f in frames[1:]:
         merged = merged.unionByName(f, allowMissingColumns=True)
@@ -91,7 +151,8 @@ def merge_posts(spark: SparkSession, paths: list[str], out: str | None = None) -
 def write_posts(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a post batch as CSV with the fixed header (also when empty)."""
     cols = [F.col(c).cast("string") for c in POST_COLUMNS]
-    df.select(*cols).write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+    (df.select(*cols).write.mode(mode).option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+     .options(**CSV_WRITE_OPTIONS).csv(path))
 
 
 def write_partitioned_by_query(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -1,87 +1,53 @@
-"""Sinks: mapped posts, the count table (keyed upsert), metrics and alert items.
+"""Sinks: mapped posts, the count table (keyed upsert), metrics, alert items and messages.
 
 No merge-capable table format is assumed.  The keyed tables are parquet
-partitioned by day; an upsert rewrites only the days a batch touches
-(dynamic partition overwrite), which makes a replayed batch a no-op.
+partitioned by day; an upsert reads and rewrites only the days it touches
+(literal day filters, dynamic partition overwrite per write), which makes a
+replayed batch a no-op.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgewatch.schema import COUNT_KEYS, METRICS_COLUMNS
-from surgewatch.session import checkpoint_dir, scratch_path
+from surgewatch.session import scratch_path
+
+# Up to so many touched days are named one by one in a filter; more become a range.
+MAX_LISTED_DAYS = 400
 
 
 def merge_counts(old: DataFrame, new: DataFrame, keys=tuple(COUNT_KEYS),
                  value: str = "count_category") -> DataFrame:
-    keys = list(keys)
     """Keyed upsert: one row per key, the newer frame's value winning.
 
     A grouped ``max_by`` on a version tag (partial aggregation map-side)
     instead of collecting rows to the driver and writing them one by one.
     """
+    keys = list(keys)
     tagged = (old.select(*keys, value).withColumn("_v", F.lit(0))
               .unionByName(new.select(*keys, value).withColumn("_v", F.lit(1))))
     return tagged.groupBy(*keys).agg(F.max_by(value, "_v").alias(value))
 
 
-def _dynamic(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-
-
-def batch_key(batch_col: str = "collected_time"):
-    """Folder-safe batch id of a row: its snapshot time as ``yyyyMMddTHHmmssZ``."""
-    return F.date_format(F.col(batch_col).cast("timestamp"), "yyyyMMdd'T'HHmmss'Z'")
-
-
-def write_mapped(mapped: DataFrame, path: str, batch_col: str = "collected_time") -> None:
-    """Mapped rows as parquet partitioned by batch day and batch; only the batches
-    present are replaced (other batches, also of the same day, are kept), so a
-    replayed batch overwrites itself."""
-    _dynamic(mapped.sparkSession)
-    (mapped.withColumns({"batch_date": F.to_date(batch_col), "batch": batch_key(batch_col)})
-     .write.mode("overwrite").partitionBy("batch_date", "batch").parquet(path))
+# -- tables on disk ---------------------------------------------------------------
 
+def _hadoop(spark: SparkSession, path: str):
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hp
 
-def upsert_counts(spark: SparkSession, new: DataFrame, path: str,
-                  value: str = "count_category", keys=tuple(COUNT_KEYS)) -> DataFrame:
-    """Upsert counts into the parquet table at ``path`` (partitioned by day).
 
-    Only the days of the batch are rewritten; the merged rows are materialized
-    with ``checkpoint()`` (the shared checkpoint folder) before the days they
-    were read from are overwritten.  Returns the whole table, read back.
-    """
-    _dynamic(spark)
-    checkpoint_dir(spark)   # the shared folder of spark.checkpoint.dir (set only if unset)
-    new = new.select(*keys, value).withColumn("batch_date", F.to_date("collected_time"))
-    try:
-        stored = spark.read.parquet(path)
-        days = new.select("batch_date").distinct()
-        old = stored.join(days, "batch_date", "left_semi")
-        merged = merge_counts(old, new, keys=keys, value=value)
-    except Exception as exc:  # first batch: no table yet
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-        merged = merge_counts(new.where(F.lit(False)), new, keys=keys, value=value)
-    merged = merged.withColumn("batch_date", F.to_date("collected_time"))
-    staged = merged.checkpoint(eager=True)
-    staged.write.mode("overwrite").partitionBy("batch_date").parquet(path)
-    return spark.read.parquet(path)
-
-
-def upsert_keyword_counts(spark: SparkSession, new: DataFrame, path: str) -> DataFrame:
-    return upsert_counts(spark, new, path, value="count_keyword", keys=tuple(COUNT_KEYS) + ("keyword",))
+def table_exists(spark: SparkSession, path: str) -> bool:
+    fs, hp = _hadoop(spark, path)
+    return bool(fs.exists(hp))
 
 
-def metrics_frame(metrics: DataFrame) -> DataFrame:
-    """Metrics in sink shape: DDL columns, timestamps cast, ``created_at`` stamped."""
-    return metrics.select(*METRICS_COLUMNS).withColumns({
-        "cur_time": F.col("cur_time").cast("timestamp"),
-        "prev_time": F.col("prev_time").cast("timestamp"),
-        "created_at": F.current_timestamp(),
-    })
+def read_stored(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The parquet table at ``path`` under a known schema; no table or no row yet: empty."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def stage(df: DataFrame) -> tuple[DataFrame, str]:
@@ -92,54 +58,122 @@ def stage(df: DataFrame) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
-    return spark.read.parquet(path), path
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def drop_staged(spark: SparkSession, *paths: str) -> None:
     """Remove staging folders written by ``stage`` (through the Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
+        fs, hp = _hadoop(spark, p)
+        fs.delete(hp, True)
+
 
+def touched_days(rows: DataFrame, day_col: str) -> Column | None:
+    """Filter, in literals, on the days of ``rows`` (null included); None without rows."""
+    days = [r[0] for r in rows.select(day_col).distinct().limit(MAX_LISTED_DAYS + 1).collect()]
+    known = [d for d in days if d is not None]
+    if len(days) > MAX_LISTED_DAYS:
+        lo, hi = rows.agg(F.min(day_col), F.max(day_col)).first()
+        return F.col(day_col).between(F.lit(lo), F.lit(hi)) | F.col(day_col).isNull()
+    if not days:
+        return None
+    some = F.col(day_col).isin(known) if known else F.lit(False)
+    return some | F.col(day_col).isNull() if None in days else some
 
-def upsert_by_day(new: DataFrame, path: str, keys: list[str], day_col: str,
-                  day_of: str) -> DataFrame:
+
+def write_days(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Replace the partitions that ``rows`` holds (an option of this write only)."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partitions).parquet(path))
+
+
+def upsert_by_day(new: DataFrame, path: str, keys: list[str], day_col: str, day_of: str) -> DataFrame:
     """Keyed upsert into a parquet table partitioned by ``day_col`` (= date of ``day_of``).
 
     Touched days are rewritten as (stored rows whose key is not in the batch) +
-    batch rows, staged in the shared checkpoint folder first.  Returns the batch rows.
+    batch rows, staged in the shared checkpoint folder first.  Keys compare
+    null-safely.  Rows without a time keep a partition of their own.  Returns
+    the stored days' rows, read back.
     """
     spark = new.sparkSession
-    _dynamic(spark)
-    checkpoint_dir(spark)
     new, staged_new = stage(new.withColumn(day_col, F.to_date(day_of)))
-    try:
-        stored = spark.read.parquet(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-        stored = None
+    days = touched_days(new, day_col)
+    if days is None:
+        drop_staged(spark, staged_new)
+        return read_stored(spark, path, new.schema).where(F.lit(False)).drop(day_col)
     staged = [staged_new]
-    if stored is None:
-        day_rows = new
-    else:
-        kept = (stored.join(new.select(day_col).distinct(), day_col, "left_semi")
-                .join(new.select(*keys), keys, "left_anti"))
-        day_rows, staged_rows = stage(new.unionByName(kept.select(*new.columns)))
+    rows = new
+    if table_exists(spark, path):
+        n = new.select(*[F.col(k).alias(f"_n_{k}") for k in keys]).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"_n_{k}")) for k in keys]
+        kept = read_stored(spark, path, new.schema).where(days).join(n, same, "left_anti")
+        rows, staged_rows = stage(new.unionByName(kept.select(*new.columns)))
         staged.append(staged_rows)
-    day_rows.write.mode("overwrite").partitionBy(day_col).parquet(path)
-    drop_staged(spark, *staged[1:])
-    # the batch rows stay staged: the returned frame reads them lazily
-    return new.drop(day_col)
+    write_days(rows, path, day_col)
+    drop_staged(spark, *staged)
+    return read_stored(spark, path, new.schema).where(days).drop(day_col)
+
+
+# -- mapped rows and counts ---------------------------------------------------------
+
+def batch_key(batch_col: str = "collected_time"):
+    """Folder-safe batch id of a row: its snapshot time as ``yyyyMMddTHHmmssZ``."""
+    return F.date_format(F.col(batch_col).cast("timestamp"), "yyyyMMdd'T'HHmmss'Z'")
+
+
+def write_mapped(mapped: DataFrame, path: str, batch_col: str = "collected_time",
+                 batch: str | None = None) -> None:
+    """Mapped rows as parquet partitioned by day and batch; only the batches present are
+    replaced (other batches, also of the same day, are kept), so a replayed batch
+    overwrites itself.  ``batch`` names the arriving folder; without it the rows'
+    snapshot times are their batches."""
+    key = F.lit(batch) if batch is not None else batch_key(batch_col)
+    write_days(mapped.withColumns({"batch_date": F.to_date(batch_col), "batch": key}),
+               path, "batch_date", "batch")
+
+
+def upsert_counts(spark: SparkSession, new: DataFrame, path: str,
+                  value: str = "count_category", keys=tuple(COUNT_KEYS)) -> DataFrame:
+    """Upsert counts into the parquet table at ``path`` (partitioned by day of collected_time).
+
+    Returns the whole table, read back.
+    """
+    rows = new.select(*keys, value)
+    upsert_by_day(rows, path, list(keys), "batch_date", "collected_time")
+    return read_stored(spark, path, rows.withColumn("batch_date", F.to_date("collected_time")).schema)
+
+
+def upsert_batch_counts(counts: DataFrame, path: str, batch: str, value: str = "count_keyword") -> DataFrame:
+    """Store one batch's keyword counts beside those of other batches of the same snapshots.
+
+    Keyed by batch: a replay replaces the batch's own rows, and folders that share a
+    snapshot add up (``snapshot_counts``).  Returns the touched days' rows.
+    """
+    rows = counts.withColumn("batch", F.lit(batch))
+    return upsert_by_day(rows, path, [*COUNT_KEYS, "keyword", "batch"], "batch_date", "collected_time")
+
+
+def snapshot_counts(stored: DataFrame, value: str = "count_keyword") -> DataFrame:
+    """Counts per snapshot over all stored batches."""
+    return stored.groupBy(*COUNT_KEYS, "keyword").agg(F.sum(value).cast("long").alias(value))
+
+
+# -- metrics and alerts ---------------------------------------------------------------
+
+def metrics_frame(metrics: DataFrame) -> DataFrame:
+    """Metrics in sink shape: DDL columns, timestamps cast, ``created_at`` stamped."""
+    return metrics.select(*METRICS_COLUMNS).withColumns({
+        "cur_time": F.col("cur_time").cast("timestamp"),
+        "prev_time": F.col("prev_time").cast("timestamp"),
+        "created_at": F.current_timestamp(),
+    })
 
 
 def write_metrics(metrics: DataFrame, path: str | None = None, jdbc_url: str | None = None,
                   table: str = "metrics", properties: dict | None = None) -> None:
-    """Metrics sink: JDBC append when a URL is given (as the reference), else a parquet
-    table keyed by (channel, query, category, cur_time) and partitioned by day, where
-    a replayed batch replaces its own rows."""
+    """Metrics sink: a parquet table keyed by (channel, query, category, cur_time) and
+    partitioned by day, where a replayed batch replaces its own rows; or JDBC append when
+    a URL is given (as the reference), which is at-least-once: a replay appends again."""
     out = metrics_frame(metrics)
     if jdbc_url:
         out.write.jdbc(jdbc_url, table, mode="append", properties=properties or {})
@@ -159,14 +193,27 @@ def metric_series(metrics: DataFrame, channel: str, query: str, category: str,
     return metrics.where(cond).orderBy("cur_time")
 
 
-def write_alert_items(items: DataFrame, path: str) -> DataFrame:
-    """Keyed alert-item table (pk, sk) by day; returns the items not stored before
-    (the insert events that raise messages)."""
+def write_alert_items(items: DataFrame, path: str, batch: str = "") -> DataFrame:
+    """Keyed alert-item table (pk, sk) by day; returns the batch's items that no other batch
+    stored before (the insert events that raise messages).
+
+    Items carry the batch that stored them, so a replay, also after a failure between
+    this write and the messages, returns the same items again.
+    """
     spark = items.sparkSession
-    try:
-        stored = spark.read.parquet(path).select("pk", "sk")
-        items = items.join(stored, ["pk", "sk"], "left_anti")
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-    return upsert_by_day(items, path, ["pk", "sk"], "cur_date", "cur_time")
+    items, staged = stage(items.withColumns({"cur_date": F.to_date("cur_time"), "batch": F.lit(batch)}))
+    days = touched_days(items, "cur_date")
+    if days is not None and table_exists(spark, path):
+        others = (read_stored(spark, path, items.schema).where(days).where(F.col("batch") != batch)
+                  .select("pk", "sk"))
+        items = items.join(others, ["pk", "sk"], "left_anti").select(*items.columns)
+    new, staged_new = stage(items.drop("cur_date"))
+    upsert_by_day(new, path, ["pk", "sk"], "cur_date", "cur_time")
+    drop_staged(spark, staged)
+    return new
+
+
+def write_messages(messages: DataFrame, path: str, batch: str) -> None:
+    """Messages keyed by (pk, cur_time, batch): a replay replaces its own."""
+    upsert_by_day(messages.withColumn("batch", F.lit(batch)), path, ["pk", "cur_time", "batch"],
+                  "cur_date", "cur_time")

@@ -26,13 +26,14 @@ from pyspark.sql import types as T
 from surgewatch.operators import alerts as A
 from surgewatch.operators import counts as C
 from surgewatch.operators.match import Matcher
+from surgewatch.operators.standardize import recent_posts
 from surgewatch.operators.metrics_rows import calculate_metrics
 from surgewatch.operators.metrics_time import HISTORY_SLOTS, calculate_metrics_time
 from surgewatch.schema import COUNT_KEYS
-from surgewatch.functions.timefmt import iso_to_timestamp
+from surgewatch.functions.timefmt import bucket_start
 from surgewatch.schema import POST_RAW
-from surgewatch.sources.posts import CSV_OPTIONS
-from surgewatch.sources.sinks import upsert_by_day
+from surgewatch.sources.posts import CSV_OPTIONS, post_time
+from surgewatch.sources.sinks import drop_staged, stage, table_exists, upsert_by_day, write_days
 
 
 @contextmanager
@@ -62,16 +63,17 @@ def read_post_stream(spark: SparkSession, path: str, schema: T.StructType, fmt:
     """File-source stream of post batches.
 
     ``fmt="csv"`` reads collector CSV (header, quoted multi-line text) with the
-    all-text post schema and types the two time columns as ``read_posts`` does;
-    other formats read ``schema`` as given.
+    all-text post schema and types the two time columns as ``read_posts`` does; a
+    file whose header differs fails the query instead of shifting columns (merge
+    older shapes with ``read_posts`` first).  Other formats read ``schema`` as given.
     """
     r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        df = r.schema(POST_RAW).options(**CSV_OPTIONS).csv(path)
-        return df.withColumns({"uploaded_time": iso_to_timestamp("uploaded_time"),
-                               "collected_time": iso_to_timestamp("collected_time")})
+        df = r.schema(POST_RAW).options(**CSV_OPTIONS, enforceSchema="false").csv(path)
+        return df.withColumns({"uploaded_time": post_time("uploaded_time"),
+                               "collected_time": post_time("collected_time")})
     return r.schema(schema).format(fmt).load(path)
 
 
@@ -82,16 +84,21 @@ def as_event_time(df: DataFrame, col: str) -> DataFrame:
     return df
 
 
+def _watermarked(df: DataFrame, col: str, delay: str | None) -> DataFrame:
+    return df.withWatermark(col, delay) if delay else df
+
+
 def stream_counts(posts: DataFrame, matcher: Matcher, bucket: str,
-                  watermark: str = "1 day") -> DataFrame:
+                  watermark: str | None = None) -> DataFrame:
     """Streaming category counts per ``bucket`` window of collected_time.
 
     Run in update mode (``write_upserts``): each micro-batch emits the
-    current totals of the windows it changed.  The watermark bounds the state:
-    a window older than the watermark takes no more rows and is dropped.
+    current totals of the windows it changed.  Without a watermark (as in the
+    reference) rows count however late they come, and the state is the count
+    table's size.  A watermark bounds the state and drops what is later than it.
     """
     hits = as_event_time(matcher.hits(posts).where(F.col("category") != "no"), "collected_time")
-    agg = (hits.withWatermark("collected_time", watermark)
+    agg = (_watermarked(hits, "collected_time", watermark)
            .groupBy(F.window("collected_time", bucket).alias("w"), "channel", "query", "category")
            .agg(F.count(F.lit(1)).alias("count_category")))
     return agg.select(F.col("w.start").alias("collected_time"), "channel", "query", "category",
@@ -108,8 +115,6 @@ def write_upserts(stream: DataFrame, path: str, checkpoint: str, keys: list[str]
     days are rewritten; readers see a plain table (no versions to merge).
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         upsert_by_day(batch, path, keys, "day", day_of)
 
     with state_partitions(stream.sparkSession, partitions):
@@ -126,7 +131,7 @@ class StreamingMetrics:
     """Counts and metrics kept current while post files arrive."""
 
     def __init__(self, spark: SparkSession, matcher: Matcher, root: str, mode: str = "rows",
-                 bucket_seconds: int = 1800, weights=None, watermark: str = "1 day"):
+                 bucket_seconds: int = 1800, weights=None, watermark: str | None = None):
         self.spark, self.matcher, self.root = spark, matcher, root.rstrip("/")
         self.mode, self.step, self.watermark = mode, bucket_seconds, watermark
         self.weights = weights
@@ -138,10 +143,11 @@ class StreamingMetrics:
         return read_table(self.spark, self.counts_path)
 
     def _upsert(self, changed: DataFrame, batch_id: int) -> None:
-        if changed.isEmpty():
+        changed, staged = stage(changed)
+        upsert_by_day(changed, self.counts_path, COUNT_KEYS + ["keyword"], "day", "collected_time")
+        if not table_exists(self.spark, self.counts_path):  # no row yet
+            drop_staged(self.spark, staged)
             return
-        changed = upsert_by_day(changed, self.counts_path, COUNT_KEYS + ["keyword"], "day",
-                                "collected_time")
         # A changed count moves its series' later points and the share of every
         # category in its snapshot, so the unit of recomputation is the
         # (channel, query) pair: all its series, whole history (post-aggregate rows);
@@ -169,12 +175,15 @@ class StreamingMetrics:
              .drop("_since"))
         upsert_by_day(m, self.metrics_path, ["channel", "query", "category", "cur_time"], "day",
                       "cur_time")
+        drop_staged(self.spark, staged)
 
     def start(self, posts: DataFrame, checkpoint: str, available_now: bool = True,
               partitions: int | None = None):
         hits = as_event_time(self.matcher.hits(posts).where(F.col("category") != "no"),
                              "collected_time")
-        kw = (hits.withWatermark("collected_time", self.watermark)
+        # collection times carry seconds: the snapshot is their bucket
+        hits = hits.withColumn("collected_time", bucket_start("collected_time", f"{self.step} seconds"))
+        kw = (_watermarked(hits, "collected_time", self.watermark)
               .groupBy(*COUNT_KEYS, "keyword").agg(F.count(F.lit(1)).alias("count_keyword")))
         w = (kw.writeStream.outputMode("update")
              .option("checkpointLocation", checkpoint)
@@ -191,6 +200,11 @@ class StreamingMetrics:
         return self._current_counts()
 
 
+def stream_recent(posts: DataFrame, now: str = "collected_time", minutes: int = 30) -> DataFrame:
+    """The collectors' recency filter on a stream: posts of the last ``minutes`` at collection."""
+    return recent_posts(posts, F.col(now), minutes)
+
+
 def stream_dedupe(posts: DataFrame, watermark: str = "1 hour",
                   keys=("uploaded_time", "username")) -> DataFrame:
     """Drop repeats of (uploaded_time, username) arriving within the watermark delay."""
@@ -208,18 +222,11 @@ def stream_alert_messages(items: DataFrame, out_path: str, checkpoint: str,
     spark = items.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         new = batch
-        if stored_path:
-            try:
-                new = A.new_alerts(batch, spark.read.parquet(stored_path))
-            except Exception as exc:  # nothing stored yet
-                if "PATH_NOT_FOUND" not in str(exc):
-                    raise
+        if stored_path and table_exists(spark, stored_path):
+            new = A.new_alerts(batch, spark.read.schema(items.schema).parquet(stored_path))
         msgs = A.alert_message(A.alert_groups(new)).withColumn("_v", F.lit(int(batch_id)))
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        msgs.write.mode("overwrite").partitionBy("_v").parquet(out_path)
+        write_days(msgs, out_path, "_v")
 
     with state_partitions(spark, partitions):
         return (items.writeStream.option("checkpointLocation", checkpoint)

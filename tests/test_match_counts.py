@@ -69,3 +69,19 @@ def test_hits_plan_is_broadcast_and_python_free(spark):
     assert "BroadcastHashJoin" in plan
     for udf in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF"):
         assert udf not in plan
+
+
+def test_join_strategy_never_explodes_texts(spark):
+    """Below the exploded tokens only post keys are exchanged."""
+    import re
+    from conftest import SF001
+    from surgewatch.operators.match import plan_matcher
+    from surgewatch.sources import fixtures as FX
+    p = FX.table(spark, SF001, "documents").select("doc_id", "text")
+    m = plan_matcher(FX.wordbag(spark), strategy="join", broadcast_bytes=0)
+    plan = m.match_keywords(p)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[plan.index("Aggregate [_k1"):plan.index("Generate explode")]
+    assert not re.search(r"Project \[[^\n]*text#", above) and "Join Inner" in above
+    a = {(r.doc_id, tuple(r.matched)) for r in m.match_keywords(p.unionAll(p)).collect()}
+    b = {(r.doc_id, tuple(r.matched)) for r in plan_matcher(FX.wordbag(spark)).match_keywords(p).collect()}
+    assert a == b

@@ -58,9 +58,9 @@ def test_replayed_batch_changes_nothing_after_upsert(spark):
 
 
 def test_no_python_udf_in_batch_plans(spark):
-    import __spark_entry__ as E
-    for key, fn in E.queries().items():
-        if key.startswith("stream_") or key in ("read_posts", "merge_posts", "write_mapped",
+    from surgewatch.plans import catalog
+    for key, fn in catalog.QUERIES.items():
+        if key.startswith(("stream_", "job_")) or key in ("read_posts", "merge_posts", "write_mapped",
                                                 "metrics_sink", "partition_by_query"):
             continue   # these run writes while building; covered by the oracle check
         plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
