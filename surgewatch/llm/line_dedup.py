@@ -34,16 +34,22 @@ def _place(line: str = "p") -> Column:
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc, text_id, p, a, b, w)``: place, line id and number of words of each line (null texts have none)."""
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("text_id"),
-                       F.posexplode(F.split(text, "\n")).alias("p", "line")).select(
+    # the key is computed below the explode, so that no line carries its whole text
+    own = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("text_id"),
+                      F.split(text, "\n").alias("lines"))
+    return own.select("doc", "text_id", F.posexplode("lines").alias("p", "line")).select(
         "doc", "text_id", "p", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"),
         F.size(words(F.col("line"))).alias("w"))
 
 
 def _intervals(rows: DataFrame, key: list[str]) -> DataFrame:
-    """``key`` -> first place, for keys at two places or more."""
-    return rows.groupBy(*key).agg(F.min("place").alias("rank"), F.max("place").alias("_last")) \
-        .filter("rank <> _last").drop("_last")
+    """``key`` -> first place, for keys at two places or more.
+
+    Cut, so that the join with a key's rows reads plain exchanges on both sides and a
+    hot key's rows can be split.
+    """
+    return cut(rows.groupBy(*key).agg(F.min("place").alias("rank"), F.max("place").alias("_last"))
+               .filter("rank <> _last").drop("_last"))
 
 
 def _runs(active: DataFrame, min_words: int) -> DataFrame:
