@@ -276,7 +276,8 @@ def simhash_groups(docs: DataFrame, k: int = 4, bits: int = 4, id_col: str = "do
     linked = rep.join(root.withColumnRenamed("node", "fp"), "fp")
     group = linked.groupBy("root").agg(F.min("low").alias("group_low"))
     named = linked.join(group, "root").select("fp", "group_low")
-    least = rep.join(named, "fp", "left").select("fp", F.coalesce("group_low", "low").alias("component_id"))
+    # cut, so that the last join reads plain exchanges and a hot fingerprint's rows can be split
+    least = cut(rep.join(named, "fp", "left").select("fp", F.coalesce("group_low", "low").alias("component_id")))
     return own.join(least, "fp").select("doc_id", "fp", "component_id")
 
 
