@@ -2,7 +2,9 @@
 
 Every word becomes a canonical token: lower case without punctuation, and numbers,
 names (capitalised words inside a sentence) and units (after a number) become typed
-placeholders.  Windows of ``WIDTH`` tokens are hashed; the documents' windows are
+placeholders.  An item has further forms beside that: its first word as one inside a
+sentence (a text may quote the item there), and names as plain words (a text may have
+it in lower or upper case).  Windows of ``WIDTH`` tokens are hashed; the documents' windows are
 joined to the items' windows by hash, each with the words in its slots.  Over a
 document and an item, each slot word of the item must stand for one word of the
 document (the most frequent one; windows that say otherwise are dropped), and the
@@ -12,6 +14,8 @@ other slot words than its own is re-parameterised.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from surgewatch.llm.common import broadcast_if_small, cut, fresh, let, words
@@ -38,15 +42,21 @@ def _is_number(plain: Column) -> Column:
     return plain.rlike("^[$€£+-]?[0-9]+(st|nd|rd|th|%)?$")
 
 
-def _canonical(w: Column, i: Column, x: Column) -> Column:
+#: Forms of an item, as documents may hold it: itself, inside a sentence, without case.
+FORMS = ("own", "inside", "caseless")
+
+
+def _canonical(w: Column, i: Column, x: Column, form: str = "own") -> Column:
     """Canonical token of word ``x``, the ``i``-th of ``w``."""
     before = F.get(w, i - 1)
+    inside = F.when(i > 0, ~before.rlike("[.!?]$")).otherwise(F.lit(form == "inside"))
     return let(_plain(x), lambda p: F.when(_is_number(p), F.lit(NUMBER))
-               .when((i > 0) & x.rlike(r"^\p{Lu}") & ~before.rlike("[.!?]$"), F.lit(NAME))
+               .when(F.lit(form != "caseless") & x.rlike(r"^\p{Lu}.*\p{Ll}") & inside, F.lit(NAME))
                .when((i > 0) & p.isin(*UNITS) & _is_number(_plain(before)), F.lit(UNIT)).otherwise(p))
 
 
-def windows(rows: DataFrame, key: list[str], text_col: str = "text", width: int = WIDTH) -> DataFrame:
+def windows(rows: DataFrame, key: list[str], text_col: str = "text", width: int = WIDTH,
+            form: str = "own") -> DataFrame:
     """``key``, ``i`` (first word), ``h`` (hash of the tokens), ``slots`` (words in them, null without any)."""
     marks = [F.xxhash64(F.lit(m)) for m in (NUMBER, NAME, UNIT)]
 
@@ -58,7 +68,7 @@ def windows(rows: DataFrame, key: list[str], text_col: str = "text", width: int
             i.alias("i"), F.xxhash64(*[F.get(h, i + k) for k in range(width)]).alias("h"),
             F.when(s, slots(i)).alias("slots"))))
     own = let(words(F.col(text_col).cast("string")), lambda w: F.when(F.size(w) >= width, let(
-        F.transform(w, lambda x, i: F.xxhash64(_canonical(w, i, x))), lambda h: cut_up(w, h))))
+        F.transform(w, lambda x, i: F.xxhash64(_canonical(w, i, x, form))), lambda h: cut_up(w, h))))
     return rows.select(*key, F.inline(own)).withColumn("slots", F.when(F.size("slots") > 0, F.col("slots")))
 
 
@@ -70,7 +80,8 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     can't be found and such documents hold none.  Rows equal in id and text count as
     one; null ids are values like any other.  Empty tables: no rows.
     """
-    own = windows(items.select(F.col("item_id"), F.col("text")).distinct(), ["item_id"], width=width)
+    texts = items.select(F.col("item_id"), F.col("text")).distinct()
+    own = reduce(DataFrame.union, [windows(texts, ["item_id"], width=width, form=f) for f in FORMS])
     own = cut(own.select("item_id", F.col("i").alias("at"), "h", F.col("slots").alias("want")).distinct())
     n = own.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
     base = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_id"), "text")

@@ -40,6 +40,18 @@ def test_reparameterised(spark):
     assert sorted(x.doc_id for x in remove_contaminated(docs, items).collect()) == [3, 4, 5, 6, 7]
 
 
+def test_other_forms_of_an_item(spark):
+    """Inside a sentence the first word looks like a name; lower or upper case hides all names."""
+    short = "Which river flows past Berlin"  # two or one windows: none may be lost
+    items = spark.createDataFrame([(9, ITEM), (8, short), (7, "What is 12 plus 30 over 7?")], "item_id long, text string")
+    texts = [(1, "he asked: " + short), (2, short.lower() + " then"), (3, short.upper()), (4, "so " + ITEM.lower()),
+             (5, ITEM.upper()), (6, "Quiz: What is 13 plus 31 over 9?"), (7, "Which river flows, past noon"),
+             (8, "Some River Flows Past Berlin"), (9, "Well, Anna bought nothing of apples and pears in Berlin.")]
+    got = {(x.doc_id, x.item_id): x.reparameterised for x in contaminated(
+        spark.createDataFrame(texts, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 8): False, (2, 8): False, (3, 8): False, (4, 9): False, (5, 9): False, (6, 7): True}
+
+
 def test_slots_must_agree(spark):
     text = "the train from Berlin to Paris takes 5 hours and the train from Paris to Berlin takes 6 hours today"
     odd = "the train from Rome to Oslo takes 5 hours and the train from Kiev to Lima takes 6 hours today"
