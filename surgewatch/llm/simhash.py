@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from surgewatch.llm.common import cut, named
+from surgewatch.llm.common import cut, fresh, named
 from surgewatch.llm.graph import components
 
 SEED = 42
@@ -59,14 +59,16 @@ def fingerprint(text: bytes, k: int) -> int:
 
 
 def fingerprints(docs: DataFrame, k: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp long)`` per row; null text counts as empty."""
+    """``(doc_id, text_id, fp long)`` per row, ``text_id`` the text's hash; null text counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t or b"", k) for t in b.column(1).cast(pa.binary()).to_pylist()),
                               np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64))],
+                                             ["doc_id", "text_id", "fp"])
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_id")) \
+        .mapInArrow(run, "doc_id long, text_id long, fp long")
 
 
 # --- the index ------------------------------------------------------------------------------
@@ -260,6 +262,20 @@ def near_links(fps: DataFrame, bits: int = 4, blocks: int | None = None) -> Data
     return found.filter("chunk is null").select("a", "b").union(across.select("a", "b")).distinct()
 
 
+def _groups(docs: DataFrame, k: int, bits: int, id_col: str, text_col: str) -> DataFrame:
+    """``(doc_id, text_id, fp, low)`` per row; ``low``: the group's first ``(id, text_id)``, null ids last."""
+    own = cut(fingerprints(docs, k, id_col, text_col))
+    low = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id"))
+    rep = cut(own.groupBy("fp").agg(low.alias("low")))
+    root = cut(components(near_links(rep.select("fp"), bits)))
+    linked = rep.join(root.withColumnRenamed("node", "fp"), "fp")
+    group = linked.groupBy("root").agg(F.min("low").alias("group_low"))
+    named = linked.join(group, "root").select("fp", "group_low")
+    # cut, so that the last join reads plain exchanges and a hot fingerprint's rows can be split
+    least = cut(rep.join(named, "fp", "left").select("fp", F.coalesce("group_low", "low").alias("low")))
+    return own.join(least, "fp")
+
+
 def simhash_groups(docs: DataFrame, k: int = 4, bits: int = 4, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """``(doc_id, fp, component_id)``: near-duplicate groups under single linkage of fingerprints.
@@ -270,24 +286,23 @@ def simhash_groups(docs: DataFrame, k: int = 4, bits: int = 4, id_col: str = "do
     rows; a null id keeps its row and never names a group unless the whole group
     has none.  Empty table: no rows.  Other columns are not read.
     """
-    own = cut(fingerprints(docs, k, id_col, text_col))
-    rep = cut(own.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    root = cut(components(near_links(rep.select("fp"), bits)))
-    linked = rep.join(root.withColumnRenamed("node", "fp"), "fp")
-    group = linked.groupBy("root").agg(F.min("low").alias("group_low"))
-    named = linked.join(group, "root").select("fp", "group_low")
-    # cut, so that the last join reads plain exchanges and a hot fingerprint's rows can be split
-    least = cut(rep.join(named, "fp", "left").select("fp", F.coalesce("group_low", "low").alias("component_id")))
-    return own.join(least, "fp").select("doc_id", "fp", "component_id")
+    return _groups(docs, k, bits, id_col, text_col).select("doc_id", "fp", F.col("low.doc_id").alias("component_id"))
 
 
-def keep_one_per_group(docs: DataFrame, k: int = 4, bits: int = 4) -> DataFrame:
+def keep_one_per_group(docs: DataFrame, k: int = 4, bits: int = 4, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
     """``docs`` without all but one document of each group: that of the smallest id stays.
 
-    Rows with a null id can't be told apart by it and stay.
+    A document is an id with a text: of one id's texts in a group that of the
+    smallest hash stays, its texts in other groups are judged there, and rows equal in both
+    stay or go together.  Rows with a null id can't be told apart by it and stay.
     """
-    gone = simhash_groups(docs, k, bits).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*named(docs))
+    d, t = fresh(docs, "_d", "_t")
+    gone = (_groups(docs, k, bits, id_col, text_col)
+            .filter((F.col("doc_id") != F.col("low.doc_id")) | (F.col("text_id") != F.col("low.text_id")))
+            .select(F.col("doc_id").alias(d), F.col("text_id").alias(t)).filter(F.col(d).isNotNull()).distinct())
+    own = (F.col(id_col).cast("long") == F.col(d)) & (F.xxhash64(F.col(text_col).cast("string")) == F.col(t))
+    return docs.join(gone, own, "left_anti").select(*named(docs))
 
 
 __all__ = ["fingerprint", "fingerprints", "near_links", "simhash_groups", "keep_one_per_group", "Index"]

@@ -77,3 +77,14 @@ def test_odd_rows(spark, odd, empty):
     ids = [x.doc_id for x in kept.collect()]
     assert 2 not in ids and 3 not in ids and 1 in ids and ids.count(None) == 2
     assert simhash_groups(empty).collect() == [] and keep_one_per_group(empty).collect() == []
+
+
+def test_one_id_with_several_texts(spark):
+    """Each text is judged in its own group; rows equal in id and text go together."""
+    a, b = " ".join(f"a{i}" for i in range(80)), " ".join(f"b{i}" for i in range(80))
+    rows = [(5, a), (6, a), (6, b), (6, b), (7, b), (7, None), (8, ""), (None, a)]
+    docs = spark.createDataFrame([(i, t, "x", "x") for i, t in rows], "doc_id long, text string, _d string, text_id string")
+    kept = keep_one_per_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((x.doc_id, x.text) for x in kept.collect()), key=str) == sorted(
+        [(5, a), (6, b), (6, b), (7, None), (None, a)], key=str)
