@@ -7,12 +7,12 @@ one-versus-rest kernel ridge regression on the landmarks' kernel columns;
 ``predict`` scores texts in batches by matrix products.  Whole texts are read.
 """
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from surgewatch.llm.common import fresh, named
@@ -23,7 +23,7 @@ PER_CLASS, LANDMARKS, LONGEST = 200, 40, 20_000
 #: Texts scored at a time, and characters hashed at a time.
 BATCH, SPAN = 64, 1 << 16
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -31,6 +31,8 @@ def test_odd_rows(spark, odd, empty):
     rows = got.collect()
     assert all((x.lang_pred == "und") == (not any(c.isalpha() for c in x.text or "")) for x in rows)
     assert all(x.score == 0 for x in rows if x.lang_pred == "und")
+    signs = odd.sparkSession.createDataFrame([("² ½ Ⅳ ① 7",), ("²a",)], "text string")  # numerals are no letters
+    assert [x.lang_pred == "und" for x in predict(signs, model).collect()] == [True, False]
     nothing = fit(empty)
     assert {x.lang_pred for x in predict(odd, nothing).collect()} == {"und"}
     assert predict(empty, model).collect() == []
