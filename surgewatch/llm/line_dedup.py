@@ -90,13 +90,13 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
     ranks, covered, k = active.select("doc", "text_id", "p", "rank").distinct(), None, 0
     while longest is not None and k <= longest:
         step = 1 << k
-        own = (runs.filter(F.col("k") == k).alias("r")
-               .join(ranks.alias("x"), _same("r", "x", F.col("r.s") == F.col("x.p")))
-               .select("r.*", F.col("x.rank").alias("head")).alias("r")
-               .join(ranks.alias("y"), _same("r", "y", F.col("r.s") + F.col("r.m") - step == F.col("y.p")))
-               .select("r.*", F.col("y.rank").alias("tail")).withColumn("place", _place("s")))
-        first = own.groupBy("m", "head", "tail").agg(F.min("place").alias("first"))
-        late = cut(own.join(first, ["m", "head", "tail"]).filter("first < place").select("doc", "text_id", "s", "m"))
+        own = cut(runs.filter(F.col("k") == k).alias("r")
+                  .join(ranks.alias("x"), _same("r", "x", F.col("r.s") == F.col("x.p")))
+                  .select("r.*", F.col("x.rank").alias("head")).alias("r")
+                  .join(ranks.alias("y"), _same("r", "y", F.col("r.s") + F.col("r.m") - step == F.col("y.p")))
+                  .select("r.*", F.col("y.rank").alias("tail")).withColumn("place", _place("s")))
+        first = _intervals(own, ["m", "head", "tail"])
+        late = cut(own.join(first, ["m", "head", "tail"]).filter("rank < place").select("doc", "text_id", "s", "m"))
         covered = late if covered is None else covered.union(late)
         k += 1
         if k > longest:
