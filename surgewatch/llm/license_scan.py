@@ -5,7 +5,8 @@ templates.  A hit at word ``i`` of the document and word ``t`` of the template v
 for the diagonal ``i - t``.  Full votes on one diagonal are a place of the whole
 template.  For longer notices, neighbouring diagonals (words put in or left out) are
 merged, and a merged stretch is verified: the share of the template's pairs found in
-it, over a stretch not much longer than the template.
+it, over a stretch not much longer than the template.  Of verified stretches that
+overlap, such as notices that differ in the version alone, those of the best share stay.
 """
 
 from __future__ import annotations
@@ -89,10 +90,16 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: d
               .withColumn("new", F.when(F.col("diagonal") - F.lag("diagonal").over(line) <= NEAR, 0).otherwise(1))
               .withColumn("stretch", F.sum("new").over(line))
               .groupBy(*doc, "template", "label", "n", "stretch")
-              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("votes"), (F.max("diagonal") - F.min("diagonal") + F.max("n")).alias("span")))
+              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("votes"), (F.max("diagonal") - F.min("diagonal") + F.max("n")).alias("span"),
+                   F.min("diagonal").alias("start")))
+    order = Window.partitionBy(*doc).orderBy("start", "template")
     verified = (merged.withColumn("similarity", F.col("votes") / F.col("n"))
                 .filter((F.col("similarity") >= similarity) & (F.col("span") <= STRETCH * F.col("n")))
-                .groupBy(*doc).agg(F.collect_set("label").alias("more"), F.max("similarity").alias("best")))
+                .withColumn("before", F.max(F.col("start") + F.col("span")).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+                .withColumn("place", F.sum(F.when(F.col("start") < F.col("before"), 0).otherwise(1)).over(
+                    order.rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn("top", F.max("similarity").over(Window.partitionBy(*doc, "place")))
+                .filter("similarity = top").groupBy(*doc).agg(F.collect_set("label").alias("more"), F.max("similarity").alias("best")))
     both = places.alias("p").join(verified.alias("v"), F.expr("p.doc_id <=> v.doc_id and p.text_id = v.text_id"), "full").select(
         F.coalesce("p.doc_id", "v.doc_id").alias("_d"), F.coalesce("p.text_id", "v.text_id").alias("_t"), "n_base", "first_word",
         "last_word", "base_labels", F.array_join(F.array_sort(F.array_union(
