@@ -5,11 +5,17 @@ names (capitalised words inside a sentence) and units (after a number) become ty
 placeholders.  An item has further forms beside that: its first word as one inside a
 sentence (a text may quote the item there), and names as plain words (a text may have
 it in lower or upper case).  Windows of ``WIDTH`` tokens are hashed; the documents' windows are
-joined to the items' windows by hash, each with the words in its slots.  Over a
-document and an item, each slot word of the item must stand for one word of the
+joined to the items' windows by hash, each with the words in its slots.  A document
+may hold several copies of an item with other words in the slots, so a place of it is
+judged alone: in a place, each slot word of the item must stand for one word of the
 document (the most frequent one; windows that say otherwise are dropped), and the
-item is found if at least ``similarity`` of its windows remain.  An item found with
-other slot words than its own is re-parameterised.
+item is found if at least ``similarity`` of its windows remain in any one place.
+Places are single offsets (document's word minus item's word: a copy without words
+put in or left out), cells of offsets one item long, in steps of half an item (a copy
+with less than half an item of words put in or left out lies within one, without
+those beside it), and the whole document (parts far apart).  The place with the most
+windows is reported, of equals one with the item's own slot words.  An item found
+with other slot words than its own is re-parameterised.
 """
 
 from __future__ import annotations
@@ -85,27 +91,39 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     own = cut(own.select("item_id", F.col("i").alias("at"), "h", F.col("slots").alias("want")).distinct())
     n = own.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
     base = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_id"), "text")
+    n = broadcast_if_small(n, n.count(), BROADCAST_WINDOWS)
     hits = cut(windows(base, ["doc_id", "text_id"], width=width).join(
         broadcast_if_small(own, own.count(), BROADCAST_WINDOWS), "h")
         .filter("slots is null or size(slots) = size(want)")
         .select("doc_id", "text_id", "i", "item_id", "at", "slots", "want").distinct())
     pair = ["doc_id", "text_id", "item_id"]
+    place = [*pair, "kind", "cell"]
     same = lambda a, b, cols: F.lit(True) & F.expr(" and ".join(f"{a}.`{c}` <=> {b}.`{c}`" for c in cols))
-    filled = hits.filter("slots is not null").select(
-        *pair, "at", "i", F.explode(F.arrays_zip("want", "slots")).alias("s")).select(
-        *pair, "at", "i", F.col("s.want").alias("w"), F.col("s.slots").alias("v"))
-    vote = filled.groupBy(*pair, "w", "v").agg(F.count("*").alias("c")).groupBy(*pair, "w").agg(
+    enough = lambda found: F.col(found) >= similarity * F.col("n_windows")
+    # no place of a pair has more of the item's windows than the whole document
+    likely = (hits.groupBy(*pair).agg(F.count_distinct("at").alias("n_hit")).alias("p").join(n.alias("n"), same("p", "n", ["item_id"]))
+              .filter(enough("n_hit")).select("p.doc_id", "p.text_id", "p.item_id", "n_windows"))
+    half = F.floor((F.col("n_windows") + (width - 1)) / 2)
+    cell = F.floor((F.col("i") - F.col("at")) / half)
+    spots = [F.struct(F.lit(k).alias("kind"), c.cast("long").alias("cell")) for k, c in (
+        ("document", F.lit(0)), ("offset", F.col("i") - F.col("at")), ("cell", cell), ("cell", cell - 1))]
+    placed = cut(hits.alias("h").join(likely.alias("p"), same("h", "p", pair)).select("h.*", "n_windows").select(
+        "*", F.inline(F.array(*spots))))
+    filled = placed.filter("slots is not null").select(
+        *place, "n_windows", "at", "i", F.explode(F.arrays_zip("want", "slots")).alias("s")).select(
+        *place, "n_windows", "at", "i", F.col("s.want").alias("w"), F.col("s.slots").alias("v"))
+    vote = filled.groupBy(*place, "w", "v").agg(F.count("*").alias("c")).groupBy(*place, "w").agg(
         F.max_by("v", F.struct("c", "v")).alias("best"))
-    agreed = (filled.alias("f").join(vote.alias("b"), same("f", "b", [*pair, "w"])).select(
-        "f.*", F.col("b.best")).groupBy(*pair, "at", "i").agg(
+    agreed = (filled.alias("f").join(vote.alias("b"), same("f", "b", [*place, "w"])).select(
+        "f.*", F.col("b.best")).groupBy(*place, "n_windows", "at", "i").agg(
         F.min(F.col("v") == F.col("best")).alias("ok"), F.max(F.col("w") != F.col("best")).alias("other")))
-    found = agreed.filter("ok").select(*pair, "at", "other").union(
-        hits.filter("slots is null").select(*pair, "at", F.lit(False)))
-    score = found.groupBy(*pair).agg(F.count_distinct("at").alias("n_found"), F.max("other").alias("reparameterised"))
-    return (score.alias("s").join(broadcast_if_small(n, n.count(), BROADCAST_WINDOWS).alias("n"), same("s", "n", ["item_id"]))
-            .select("s.doc_id", "s.text_id", "s.item_id", "n.n_windows", "s.n_found",
-                    (F.col("n_found") / F.col("n_windows")).alias("similarity"), "s.reparameterised")
-            .filter(F.col("n_found") >= similarity * F.col("n_windows")))
+    found = agreed.filter("ok").select(*place, "n_windows", "at", "other").union(
+        placed.filter("slots is null").select(*place, "n_windows", "at", F.lit(False)))
+    score = found.groupBy(*place, "n_windows").agg(
+        F.count_distinct("at").alias("n_found"), F.max("other").alias("reparameterised")).filter(enough("n_found"))
+    best = F.max_by(F.struct("n_found", "reparameterised"), F.struct(F.col("n_found"), ~F.col("reparameterised")))
+    return score.groupBy(*pair, "n_windows").agg(best.alias("b")).select(
+        *pair, "n_windows", "b.n_found", (F.col("b.n_found") / F.col("n_windows")).alias("similarity"), "b.reparameterised")
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -61,6 +61,33 @@ def test_slots_must_agree(spark):
     assert [x.doc_id for x in got] == [2]
 
 
+def test_copies_are_judged_alone(spark):
+    """Several copies of an item with other slot words in one document, also with words put in or left out."""
+    short, table = "What is 12 plus 30 over 7?", "1 2 3 4 5 6 7 8 9"
+    v1, v2 = short.replace("12", "25").replace("30", "14").replace("7", "3"), short.replace("12", "8").replace("30", "9").replace("7", "6")
+    long1 = ITEM.replace("Anna", "Peter").replace("12", "7").replace("30", "41").replace("Berlin", "Paris")
+    long2 = ITEM.replace("Anna", "Zoe").replace("12", "99").replace("30", "98").replace("kg of apples to", "kg of apples there to")
+    texts = [(1, f"{short} {v1}"), (2, f"{v1} {short}"), (3, f"{v1} {v2}"), (4, f"{v1} and then {v2} or {v1.replace('25', '26')}"),
+             (5, "11 12 13 14 15 16 17 18 19 so 21 22 23 24 25 26 27 28 29"), (6, f"{long1} {ITEM}"),
+             (7, f"{long2} {long1.replace('Peter', 'Ann')}"), (8, "What is 12 plus 30. What is 8 plus 9.")]
+    items = spark.createDataFrame([(7, short), (8, table), (9, ITEM)], "item_id long, text string")
+    got = {(x.doc_id, x.item_id): (x.n_found == x.n_windows, x.reparameterised) for x in contaminated(
+        spark.createDataFrame(texts, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 7): (True, False), (2, 7): (True, False), (3, 7): (True, True), (4, 7): (True, True), (5, 8): (True, True),
+                   (6, 9): (True, False), (7, 9): (False, True)}
+
+
+def test_words_put_into_copies(spark):
+    """Two copies of one item, each with three words put in: 20 % of the windows, so neither lies on one offset."""
+    item = "Anna has 3 cats and Berta has 5 dogs while Carla has 9 birds in one big old house near Berlin on the north side of town"
+    a = item.replace("Anna", "Mia").replace("3", "4").replace("Carla", "Eva").replace("one big", "one and the same big")
+    b = item.replace("Anna", "Lea").replace("3", "8").replace("Carla", "Zoe").replace("one big", "one or maybe more big")
+    docs = spark.createDataFrame([(1, f"so {a} and {b}"), (2, f"so {a}"), (3, f"so {b}")], "doc_id long, text string")
+    items = spark.createDataFrame([(9, item)], "item_id long, text string")
+    assert sorted((x.doc_id, x.n_found, x.reparameterised) for x in contaminated(docs, items).collect()) == [
+        (1, 19, True), (2, 19, True), (3, 19, True)]
+
+
 def test_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, " ".join(f"shared{i}" for i in range(5, 40)), "x")], "item_id long, text string, h string")
     got = sorted(str(x.doc_id) for x in contaminated(odd, items).collect())
