@@ -9,9 +9,10 @@ paths, are the host's template, and what stands between them fills its slots.
 
 A slot belongs to the main text unless it lies in a tag or class of menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles or comments.  Pages with an
-``article`` (else ``main``) element take its slots.  On other pages template texts are
-dropped too, and the slots are those under the host's main path: the deepest path that
-holds most of the remaining text of the host's pages.
+``article`` (else ``main``) element take its slots; the template decides nothing there.
+On other pages template texts are dropped too, and the slots are those under the page's
+main paths: the deepest containers that hold most of the remaining text of the host's
+pages that have them, as long as no container around them holds text itself.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from surgewatch.llm.common import broadcast_if_small, cut
 
 #: A class is valid with this many pages, share of the host's pages, and tokens.
 MIN_PAGES, MIN_SHARE, MIN_TOKENS = 4, 0.8, 4
-#: Share of a host's remaining text that its main path holds.
+#: Share of the remaining text, of the host's pages that have it, that a main path holds.
 MAIN_SHARE = 0.6
 #: Rows of templates (about 1 kB each) up to which they are broadcast.
 BROADCAST_HOSTS = 20_000
@@ -46,6 +47,8 @@ MARKED = frozenset("ad ads adv advert adverts advertisement advertising sponsor
                    "consent gdpr notice notices alert popup modal overlay toast newsletter subscribe subscription signup login form "
                    "search share sharing social related recommended comment comments reply replies disqus pagination "
                    "pager toolbar widget copyright contentinfo complementary hidden".split())
+#: Tags that main paths are made of; other blocks, and the block that holds a text, belong to what is in the container.
+CONTAINERS = frozenset("html body div section".split())
 #: A tag closes open ones of its row, up to the nearest tag that holds such (fixed by the HTML standard).
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("tr", "td", "th", "thead", "tbody")}
@@ -61,12 +64,20 @@ _P_CLOSERS = frozenset("address article aside blockquote details div dl fieldset
 
 
 class Open:
-    """An open tag: its name, its path with classes, and whether it is outside of, or the root of, main text."""
+    """An open tag: its name, its path with classes, and whether it is outside of, or the root of, main text.
 
-    __slots__ = ("tag", "path", "out", "root")
+    ``box`` is the container of text directly in it, ``room`` the deepest container here (itself, if it is one) and
+    ``up`` the container around that.
+    """
+
+    __slots__ = ("tag", "path", "out", "root", "room", "box", "up", "flow")
 
     def __init__(self, tag: str, names: tuple[str, ...], above: "Open | None", inside: bool):
         self.tag = tag
+        around = above.room if above else None
+        self.box = above.box if tag in INLINE and above else around
+        self.flow = tag in CONTAINERS and (above is None or above.flow)
+        self.room, self.up = (self, around) if self.flow else (around, around and around.up)
         own = tag + "".join(f".{n}" for n in names)
         self.path = f"{above.path}/{own}" if above else own
         marked = any(w.lower() in MARKED for n in names for w in _NAME.findall(re.sub("([a-z])([A-Z])", r"\1 \2", n)))
@@ -141,22 +152,47 @@ def _host(url_col: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(F.col(url_col).cast("string"), _HOST, 1), F.lit("")))
 
 
-def tokens(page: str) -> tuple[Counter, Counter]:
-    """Token hash -> occurrences; and path of remaining text -> characters (for pages without article or main)."""
-    seen, mass, rooted = Counter(), Counter(), False
+def _text_token(path: str, text: str) -> int:
+    return _hash(f"{path}\n{' '.join(text.split())}")
+
+
+def tokens(page: str) -> tuple[Counter, bool]:
+    """Token hash -> occurrences; and whether the page has an article or main."""
+    seen, rooted = Counter(), False
     for text, where, _ in nodes(page):
         path = where.path if where else ""
         rooted = rooted or bool(where and where.root)
         if not text:
             seen[_hash(f"<{path}")] += 1
         elif not text.isspace():
-            seen[_hash(f"{path}\n{' '.join(text.split())}")] += 1
-            if where and not where.out:
-                mass[path] += len(text)
-    return seen, Counter() if rooted else mass
+            seen[_text_token(path, text)] += 1
+    return seen, rooted
+
+
+def containers(page: str, template: frozenset[int] = frozenset()) -> tuple[int, dict[str, int]]:
+    """Characters of the page's remaining text, and of each container without text directly in one around it
+    (none for pages with article or main)."""
+    own: dict[str, list] = {}
+    for text, where, _ in nodes(page):
+        if where and where.root:
+            return 0, {}
+        if text and not text.isspace() and where and not where.out and _text_token(where.path, text) not in template:
+            own.setdefault(where.box.path if where.box else "", [where.box, 0])[1] += len(text)
+    held: Counter = Counter()
+    for box, n in own.values():
+        chain = []
+        while box:
+            chain.append(box.path)
+            box = box.up
+        if "" not in own:
+            for path in reversed(chain):
+                held[path] += n
+                if path in own:
+                    break
+    return sum(n for _, n in own.values()), held
 
 
-def main_text(page: str, template: frozenset[int] = frozenset(), main_path: str | None = None) -> str:
+def main_text(page: str, template: frozenset[int] = frozenset(), main_paths: frozenset[str] = frozenset()) -> str:
     """The page's main text: blocks joined by newlines."""
     found, roots = [], set()
     blocks: list[list[tuple[Open | None, str]]] = []
@@ -171,16 +207,26 @@ def main_text(page: str, template: frozenset[int] = frozenset(), main_path: str
             roots |= where.root if where else set()
     kind = "article" if "article" in roots else "main" if "main" in roots else None
 
+    def remains(w: Open | None, text: str) -> bool:
+        return w is None or not w.out and _text_token(w.path, text) not in template
+
+    def around(w: Open | None) -> Iterator[str]:
+        """The host's main paths that hold ``w``, the deepest first."""
+        box = w.box if w else None
+        while box:
+            if box.path in main_paths:
+                yield box.path
+            box = box.up
+
+    deepest: set[str] = set()  # main paths of this page without another one below
+    if main_paths and not kind:
+        chains = {tuple(around(w)) for pieces in blocks for w, t in pieces if w and not t.isspace() and remains(w, t)}
+        deepest = {c[0] for c in chains if c} - {above for c in chains for above in c[1:]}
+
     def taken(w: Open | None, text: str) -> bool:
-        if w is None:
-            return kind is None and main_path is None
-        if w.out:
-            return False
         if kind:
-            return kind in w.root
-        if main_path and not (w.path == main_path or w.path.startswith(main_path + "/")):
-            return False
-        return _hash(f"{w.path}\n{' '.join(text.split())}") not in template
+            return w is not None and not w.out and kind in w.root
+        return remains(w, text) and (not deepest or any(p in deepest for p in around(w)))
 
     for pieces in blocks:
         own = " ".join(_html.unescape("".join(t for w, t in pieces if taken(w, t))).split())
@@ -190,39 +236,53 @@ def main_text(page: str, template: frozenset[int] = frozenset(), main_path: str
 
 
 def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(host, template array<long>, main_path)`` of the hosts with a valid class or a main path."""
+    """``(host, template array<long>, main_paths array<string>)`` of the hosts with a valid class or a main path."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for key, host, page in zip(*(c.to_pylist() for c in b.columns)):
-                seen, mass = tokens(page or "")
-                rows += [(host, t, key, n, None) for t, n in seen.items()]
-                deepest: Counter = Counter()
-                for path, n in mass.items():  # a path's text counts for all paths above it
-                    parts = path.split("/")
-                    for k in range(1, len(parts) + 1):
-                        deepest["/".join(parts[:k])] += n
-                rows += [(host, 0, key, n, p) for p, n in deepest.items()]
-            cols = zip(*rows) if rows else [[]] * 5
+                seen, rooted = tokens(page or "")
+                rows += [(host, t, key, n) for t, n in seen.items()]
+                if not rooted:
+                    rows.append((host, None, key, 1))
+            cols = zip(*rows) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                cols, (pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["host", "token", "key", "n"])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for host, page, template in zip(*(c.to_pylist() for c in b.columns)):
+                whole, held = containers(page or "", frozenset(template or ()))
+                rows += [(host, p, n, whole) for p, n in held.items()]
+            cols = zip(*rows) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                cols, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()))], ["host", "token", "key", "n", "path"])
-    own = pages.select(F.xxhash64(id_col, url_col).alias("key"), _host(url_col).alias("host"), F.col(html_col).cast("string"))
-    seen = own.mapInArrow(run, "host string, token long, key long, n long, path string")
+                cols, (pa.string(), pa.string(), pa.int64(), pa.int64()))], ["host", "path", "n", "whole"])
+    own = pages.select(F.xxhash64(id_col, url_col).alias("key"), _host(url_col).alias("host"),
+                       F.col(html_col).cast("string").alias("html"))
+    seen = own.mapInArrow(run, "host string, token long, key long, n long")
     vector = F.sum(F.xxhash64("key", "n").cast("decimal(38,0)"))
-    summed = cut(seen.groupBy("host", "token", "path").agg(
-        F.count("*").alias("pages"), F.sum("n").alias("total"), vector.alias("vector")))
+    summed = cut(seen.groupBy("host", "token").agg(F.count("*").alias("pages"), vector.alias("vector")))
     n_pages = own.groupBy("host").agg(F.count("*").alias("host_pages"))
-    size = summed.filter("path is null").groupBy("host", "pages", "vector").agg(F.count("*").alias("tokens"))
+    size = summed.filter("token is not null").groupBy("host", "pages", "vector").agg(F.count("*").alias("tokens"))
     valid = (size.join(n_pages, "host").filter((F.col("pages") >= MIN_PAGES) & (F.col("tokens") >= MIN_TOKENS)
                                                & (F.col("pages") >= MIN_SHARE * F.col("host_pages")))
              .select("host", "pages", "vector"))
     # a template's tokens occur on most pages of the host: no more of them than one page has
-    template = summed.filter("path is null").join(valid, ["host", "pages", "vector"]).groupBy("host").agg(
-        F.sort_array(F.collect_set("token")).alias("template"))
-    paths = summed.filter("path is not null")
-    top = paths.groupBy("host").agg(F.max("total").alias("most"))
-    main = paths.join(top, "host").filter(F.col("total") >= MAIN_SHARE * F.col("most")).groupBy("host").agg(
-        F.max_by("path", F.struct(F.size(F.split("path", "/")), "total", "path")).alias("main_path"))
+    template = cut(summed.filter("token is not null").join(valid, ["host", "pages", "vector"]).groupBy("host").agg(
+        F.sort_array(F.collect_set("token")).alias("template")))
+    bare = summed.filter("token is null").select("host")  # hosts of pages without article or main
+    n_bare = bare.count()
+    if not n_bare:
+        return template.withColumn("main_paths", F.lit(None).cast("array<string>"))
+    weighed = (own.select("host", "html").join(broadcast_if_small(bare, n_bare, BROADCAST_HOSTS), "host", "left_semi")
+               .join(broadcast_if_small(template, template.count(), BROADCAST_HOSTS), "host", "left")
+               .mapInArrow(weigh, "host string, path string, n long, whole long"))
+    # a path is judged by the pages that have it, so layouts of a host don't touch each other
+    main = weighed.groupBy("host", "path").agg(
+        F.count("*").alias("pages"), F.sum("n").alias("n"), F.sum("whole").alias("whole")).filter(
+        (F.col("pages") >= MIN_PAGES) & (F.col("n") >= MAIN_SHARE * F.col("whole"))).groupBy("host").agg(
+        F.sort_array(F.collect_set("path")).alias("main_paths"))
     return template.join(main, "host", "full")
 
 
@@ -237,11 +297,11 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"),
                        _host(url_col).alias("host"))
     own = own.join(broadcast_if_small(found, found.count(), BROADCAST_HOSTS), "host", "left").select(
-        "page_id", "url", "html", "template", "main_path")
+        "page_id", "url", "html", "template", "main_paths")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = [main_text(h or "", frozenset(t or ()), p)
+            text = [main_text(h or "", frozenset(t or ()), frozenset(p or ()))
                     for h, t, p in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()),
                                               pa.array(map(len, text), pa.int64())], ["page_id", "url", "text", "n_chars"])

@@ -45,6 +45,25 @@ def test_template_of_a_host(spark):
         assert x.text.startswith(f"Story {x.page_id} about") and f"More of {x.page_id}." in x.text and x.text.count("\n") == 1
 
 
+def test_all_blocks_in_two_layouts(spark):
+    """No article element: headings, lists, tables, quotes and code stay, in each layout of a host."""
+    def inner(i):
+        return f"""<h1>Title {i}</h1><p>Story {i} {'long ' * 300}</p><ul><li>point {i}<li>other {i}</ul><h2>Part {i}</h2>
+            <table><tr><td>cell {i}<td>side {i}</table><blockquote>quote {i} {'q ' * 100}</blockquote><pre>code {i}</pre>"""
+
+    def page(i):
+        side = f'<div class="right"><p>Always the same text</p><p>Now {i * 7}</p></div>'
+        held = f'<div class="post">{inner(i)}</div>' if i % 10 < 7 else \
+            f'<div class="story"><div class="top">{inner(i)}</div><div class="rest"><p>Tail {i}</p></div><p>Last {i}</p></div>'
+        return i, f"https://two.example.com/{i}", f'<html><body><div class="page">{held}{side}</div></body></html>'
+    rows = extract_text(spark.createDataFrame([page(i) for i in range(30)], "page_id long, url string, html string")).collect()
+    for x in rows:
+        i = x.page_id
+        want = [f"Title {i}", f"Story {i} {'long ' * 300}".strip(), f"point {i}", f"other {i}", f"Part {i}", f"cell {i}", f"side {i}",
+                f"quote {i} {'q ' * 100}".strip(), f"code {i}"] + ([f"Tail {i}", f"Last {i}"] if i % 10 >= 7 else [])
+        assert x.text.split("\n") == want
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None, "x"), (2, "", "", "x"), (3, "http://a.example/", "<article>x</article>", "x"),
             (3, "http://a.example/", "<article>x</article>", "x"), (None, "http://A.example/", "<main>y</main>", "x"),
