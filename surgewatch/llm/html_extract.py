@@ -47,6 +47,12 @@ MARKED = frozenset("ad ads adv advert adverts advertisement advertising sponsor
                    "consent gdpr notice notices alert popup modal overlay toast newsletter subscribe subscription signup login form "
                    "search share sharing social related recommended comment comments reply replies disqus pagination "
                    "pager toolbar widget copyright contentinfo complementary hidden".split())
+#: Names that say how an element looks or what a text is about, not what it is: their words mark nothing (fixed values).
+STATE = re.compile(r"^(?:has|no|not|with|without)[-_]|[-_](?:open|opened|closed|enabled|disabled)$"
+                   r"|^(?:long|short|free)[-_]?form$|[-_](?:works?|science|sciences|stud(?:y|ies)|research|history|theory|literature|security)$",
+                   re.I)
+#: Marked by these words, an element stays marked however much it holds.
+ANSWERS = frozenset("comment comments reply replies disqus hidden".split())
 #: Tags that main paths are made of; other blocks, and the block that holds a text, belong to what is in the container.
 CONTAINERS = frozenset("html body div section".split())
 #: A tag closes open ones of its row, up to the nearest tag that holds such (fixed by the HTML standard).
@@ -67,12 +73,14 @@ class Open:
     """An open tag: its name, its path with classes, and whether it is outside of, or the root of, main text.
 
     ``box`` is the container of text directly in it, ``room`` the deepest container here (itself, if it is one) and
-    ``up`` the container around that.
+    ``up`` the container around that.  ``at`` is its number in the page, ``firm`` whether a tag or attribute puts it
+    outside, ``marks`` the numbers of the open tags whose names do, and ``held`` its article and main tags, marked or not.
     """
 
-    __slots__ = ("tag", "path", "out", "root", "room", "box", "up", "flow")
+    __slots__ = ("tag", "path", "out", "root", "room", "box", "up", "flow", "firm", "marks", "held")
 
-    def __init__(self, tag: str, names: tuple[str, ...], above: "Open | None", inside: bool):
+    def __init__(self, tag: str, names: tuple[str, ...], above: "Open | None", inside: bool, at: int = 0,
+                 unseen: bool = False, plain: frozenset[int] = frozenset()):
         self.tag = tag
         around = above.room if above else None
         self.box = above.box if tag in INLINE and above else around
@@ -80,16 +88,54 @@ class Open:
         self.room, self.up = (self, around) if self.flow else (around, around and around.up)
         own = tag + "".join(f".{n}" for n in names)
         self.path = f"{above.path}/{own}" if above else own
-        marked = any(w.lower() in MARKED for n in names for w in _NAME.findall(re.sub("([a-z])([A-Z])", r"\1 \2", n)))
+        words = {w.lower() for n in names if not STATE.search(n) for w in _NAME.findall(re.sub("([a-z])([A-Z])", r"\1 \2", n))}
         # an article's own header holds its headings
-        outside = tag in OUTSIDE and not (tag == "header" and inside) or marked and tag not in ("html", "body")
-        self.out = outside or bool(above and above.out)
+        self.firm = bool(above and above.firm) or unseen or tag in OUTSIDE and not (tag == "header" and inside)
+        self.marks = above.marks if above else ()
+        if at not in plain and tag not in ("html", "body") and not words.isdisjoint(MARKED):
+            self.marks += ((at, words.isdisjoint(ANSWERS)),)
+        self.out = self.firm or bool(self.marks)
         kind = tag if tag in ("article", "main") else "main" if "role=main" in names else ""
+        self.held = (above.held if above else frozenset()) | ({kind} if kind else frozenset())
         self.root = (above.root if above else frozenset()) | ({kind} if kind and not self.out else frozenset())
 
 
-def nodes(page: str) -> Iterator[tuple[str, Open | None, bool]]:
-    """``(text, where, False)`` of each text node, and ``("", tag, starts a block)`` of each tag or end tag."""
+def nodes(page: str) -> list[tuple[str, Open | None, bool]]:
+    """``(text, where, False)`` of each text node, and ``("", tag, starts a block)`` of each tag or end tag.
+
+    Names mark what is outside, but not the main text itself: marks of elements found to hold it are lifted.
+    """
+    plain: frozenset[int] = frozenset()
+    while True:
+        found = list(_read(page, plain))
+        more = _misjudged(found)
+        if not more:
+            return found
+        plain |= more
+
+
+def _misjudged(found: list[tuple[str, Open | None, bool]]) -> frozenset[int]:
+    """Numbers of elements whose names mark them, but which hold most of the page's text, where no article is unmarked;
+    with an unmarked main, or articles only in marked elements, just those that hold an article or main."""
+    if not any(w and w.marks for _, w, _ in found):
+        return frozenset()
+    texts = [(len(t), w) for t, w, _ in found if t and not t.isspace() and w and not w.firm]
+    if any("article" in w.root for _, w in texts):
+        return frozenset()
+    total, mass, holding = sum(n for n, _ in texts), Counter(), set()
+    main = any(w.root for _, w in texts)
+    for n, w in texts:
+        if w.marks and w.marks[0][1]:
+            mass[w.marks[0][0]] += n
+            if "article" in w.held or not main and w.held:
+                holding.add(w.marks[0][0])
+    heavy = frozenset(k for k, n in mass.items() if 2 * n > total and (k in holding or not main))
+    if heavy or main:
+        return heavy
+    return frozenset(holding) if 2 * sum(mass[k] for k in holding) > total else frozenset()
+
+
+def _read(page: str, plain: frozenset[int]) -> Iterator[tuple[str, Open | None, bool]]:
     stack: list[Open] = []
     at, end = 0, len(page)
     while at < end:
@@ -121,17 +167,19 @@ def nodes(page: str) -> Iterator[tuple[str, Open | None, bool]]:
                     del stack[k:]
                 elif stack[k].tag in HOLDS:
                     break
-        names = ()
+        names, unseen = (), False
         if m[3] and "=" in m[3]:
             attrs = {a.lower(): b or c or d or "" for a, b, c, d in reversed(_ATTR.findall(m[3]))}
             names = tuple(re.sub(r"\d+", "0", x) for a in ("class", "id") for x in attrs.get(a, "").split())
             names += ("role=main",) if attrs.get("role", "").lower() == "main" else \
                 tuple(attrs.get("role", "").split())
-            if attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", ""):
-                names += ("hidden",)
-        if m[3] and re.search(r"(?:^|\s)hidden(?:\s|/|$)", m[3]):
+            unseen = "hidden" in attrs or attrs.get("aria-hidden") == "true" or \
+                "display:none" in attrs.get("style", "").replace(" ", "")
+        if m[3] and "hidden" in m[3].lower():
+            unseen = unseen or bool(re.search(r"(?:^|\s)hidden(?:\s|/|$)", _ATTR.sub(" ", m[3]), re.I))
+        if unseen:
             names += ("hidden",)
-        own = Open(tag, names, stack[-1] if stack else None, bool(stack and stack[-1].root))
+        own = Open(tag, names, stack[-1] if stack else None, bool(stack and stack[-1].root), m.start(), unseen, plain)
         yield " " if tag == "br" else "", own, block
         if tag in RAW:  # their content is text up to the end tag
             close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)

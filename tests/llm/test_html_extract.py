@@ -32,6 +32,26 @@ def test_broken_pages():
     assert main_text("<article>" + "<div>" * 3000 + "deep") == "deep"
 
 
+def test_names_that_mark_no_boilerplate():
+    """Names of states, topics and wrappers don't take the article away; real marks still do."""
+    for page in ("<article class='post comments-open'><p>story</article>", "<main class='no-sidebar'><p>story</main>",
+                 "<div class='container has-sidebar'><article><p>story</article></div>",
+                 "<div class='long-form'><article><p>story</article></div>", "<article id='social-science'>story</article>",
+                 "<div class='elementor-widget-container'><article><p>story</article><div id='comments'>me</div></div>",
+                 "<div class='widget'><div class='search'><article>story<div class='ad'>buy</div></article></div></div>",
+                 "<main><article class='widget'>story</article></main>", "<div class='widget'><p>story</div>",
+                 "<article>story<div class='related'>else</div></article>", "<article><p title='the'>story</article>",
+                 "<article><p title='the hidden cost'>story</article>", "<article><p data-x=' hidden '>story</p><p hidden=''>x</article>",
+                 "<article>story</article><div id='comments'><article class='comment'>a long long answer</article></div>",
+                 "<article>story<section class='comments'>a long long answer</section></article>",
+                 "<p>story</p><div class='related'><article>t</article></div>", "<p>story</p><div class='comments'>a long long answer</div>",
+                 "<article hidden>nothing at all</article><p>story</p>"):
+        assert main_text(f"<html><body class='search'>{page}</body></html>") == "story", page
+    posts = "".join(f"<article class='widget'>story {i}</article>" for i in range(5))
+    assert main_text(posts).split("\n") == [f"story {i}" for i in range(5)]
+    assert main_text("<article>a<section class='related-work'>b</section></article>") == "a\nb"
+
+
 def host_pages(n):
     return [(i, f"https://h.example.com/{i}", f"""<html><body><div class="top">Daily paper</div><div class="wrap"><div class="body"><p>Story {i}
         about {'things ' * (20 + i)}</p><p>More of {i}. {'words ' * 30}</p></div><div class="right"><p>Always the same text</p></div></div>
