@@ -9,9 +9,9 @@ paths, are the host's template, and what stands between them fills its slots.
 
 A slot belongs to the main text unless it lies in a tag or class of menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles or comments.  Pages with an
-``article`` (else ``main``) element take its slots; the template decides nothing there.
-On other pages template texts are dropped too, and the slots are those under the page's
-main paths: the deepest containers that hold most of the remaining text of the host's
+``article`` (else ``main``) element take its slots; its template texts go, unless little
+else is in it.  On other pages template texts are dropped, and the slots are those under
+the page's main paths: the deepest containers that hold most of the remaining text of the host's
 pages that have them, as long as no container around them holds text itself.
 """
 
@@ -271,9 +271,14 @@ def main_text(page: str, template: frozenset[int] = frozenset(), main_paths: fro
         chains = {tuple(around(w)) for pieces in blocks for w, t in pieces if w and not t.isspace() and remains(w, t)}
         deepest = {c[0] for c in chains if c} - {above for c in chains for above in c[1:]}
 
+    rooted = [(len(t), remains(w, t)) for pieces in blocks for w, t in pieces
+              if kind and w and not w.out and kind in w.root and not t.isspace()]
+    # an article that is mostly template is the same page again, not boilerplate
+    whole = sum(n for n, left in rooted if left) < MAIN_SHARE * sum(n for n, _ in rooted)
+
     def taken(w: Open | None, text: str) -> bool:
         if kind:
-            return w is not None and not w.out and kind in w.root
+            return w is not None and not w.out and kind in w.root and (whole or remains(w, text))
         return remains(w, text) and (not deepest or any(p in deepest for p in around(w)))
 
     for pieces in blocks:

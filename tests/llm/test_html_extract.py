@@ -65,6 +65,17 @@ def test_template_of_a_host(spark):
         assert x.text.startswith(f"Story {x.page_id} about") and f"More of {x.page_id}." in x.text and x.text.count("\n") == 1
 
 
+def test_template_inside_articles(spark):
+    """What a host repeats in its articles goes; articles that repeat as a whole stay."""
+    def page(host, i, story):
+        return i, f"https://{host}.example.com/{i}", f"""<html><body><article><h1>Title {i}</h1><div class="x1"><p>Get our app now</p>
+            <p>Rate this story</p></div><p>{story}</p><div class="x2"><b>Read on</b> tomorrow</div></article></body></html>"""
+    pages = [page("a", i, f"Story {i} {'words ' * 40}") for i in range(12)] + [page("b", 20 + i, "One story") for i in range(6)]
+    got = {x.page_id: x.text for x in extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Title {i}\nStory {i} {'words ' * 40}".strip() for i in range(12))
+    assert all(got[20 + i] == f"Title {20 + i}\nGet our app now\nRate this story\nOne story\nRead on tomorrow" for i in range(6))
+
+
 def test_all_blocks_in_two_layouts(spark):
     """No article element: headings, lists, tables, quotes and code stay, in each layout of a host."""
     def inner(i):
