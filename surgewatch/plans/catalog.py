@@ -87,9 +87,9 @@ def heads(spark: SparkSession, sf: str, bucket: str = FX.DEFAULT_BUCKET) -> Data
     return FX.post_headers(spark, sf, bucket)
 
 
-def job(spark: SparkSession, sf: str, post_frame: DataFrame | None = None) -> Job:
-    cfg = JobConfig(bucket=FX.DEFAULT_BUCKET)
-    return Job(post_frame if post_frame is not None else posts(spark, sf), FX.wordbag(spark), cfg)
+def job(spark: SparkSession, sf: str, post_frame: DataFrame | None = None, bucket: str = FX.DEFAULT_BUCKET) -> Job:
+    cfg = JobConfig(bucket=bucket)
+    return Job(post_frame if post_frame is not None else FX.posts(spark, sf, bucket), FX.wordbag(spark), cfg)
 
 
 def step(sf: str) -> int:
@@ -350,9 +350,18 @@ def q_risk_rows_sustained(spark, sf):
     return present(A.risk_rows_sustained(_long_time(spark, sf), LOW_SCORE))
 
 
-def q_extract_alert(spark, sf):
+def extract_alert(spark, sf, bucket=FX.DEFAULT_BUCKET):
     """Alert rows in the reference's output order (score desc, keyword count desc)."""
-    return present(A.order_alerts(job(spark, sf).alerts("rows")))
+    return present(A.order_alerts(job(spark, sf, bucket=bucket).alerts("rows")))
+
+
+def q_extract_alert(spark, sf):
+    return extract_alert(spark, sf)
+
+
+def q_extract_alert_daily(spark, sf):
+    """Alerts over snapshots of a day."""
+    return extract_alert(spark, sf, LONG_BUCKET)
 
 
 def q_extract_alert_time(spark, sf):

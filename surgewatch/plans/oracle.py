@@ -382,13 +382,6 @@ def _build(BUCKET: str, STEP_US: int, duration: float = 2.0, spike_bucket: str =
                         + _TOK_OUT.format(a="list_transform(string_split(clean_text, ' '), lambda x: lower(x))")
                         + " FROM clean",
         # matching
-        "match_keywords": """SELECT p.post_id, coalesce(m.matched, '') AS matched,
-            coalesce(m.n, 0) AS n_matched FROM posts p LEFT JOIN (
-              SELECT post_id, string_agg(keyword, ' ' ORDER BY keyword) AS matched,
-                     CAST(count(*) AS BIGINT) AS n FROM matched GROUP BY post_id) m
-            ON m.post_id = p.post_id""",
-        "keyword_hits": "SELECT post_id, keyword, category FROM hits",
-        "keyword_misses": "SELECT post_id, category, keyword FROM misses",
         "map_with_wordbag": f"SELECT {_MAP8} FROM mapped",
         "map_with_wordbag_join": f"SELECT {_MAP8} FROM mapped",
         # counts
@@ -443,6 +436,7 @@ def _build(BUCKET: str, STEP_US: int, duration: float = 2.0, spike_bucket: str =
         "risk_rows_sustained": f"""SELECT {_METRICS_OUT}, duration_flag, rising_flag FROM metrics_time
             WHERE score > {Q.LOW_SCORE} AND duration_flag = 1""",
         "extract_alert": f"SELECT {_ALERT_OUT} FROM alerts",
+        "extract_alert_daily": f"SELECT {_ALERT_OUT} FROM alerts",
         "extract_alert_time": f"SELECT {_ALERT_OUT} FROM alerts_time",
         "alert_items": "SELECT * FROM items",
         "new_alerts": "SELECT * FROM new_items",
@@ -597,8 +591,32 @@ def _build(BUCKET: str, STEP_US: int, duration: float = 2.0, spike_bucket: str =
 
 
 # Queries that run with other parameters than the defaults.
+# Matched keywords need ids and tokens only: own CTEs, without the posts' texts.
+_MATCHES = f"""
+    WITH bag_raw(category, keyword) AS (VALUES {_BAG}),
+    bag AS (SELECT DISTINCT trim(lower(category)) AS category, trim(lower(keyword)) AS keyword FROM bag_raw),
+    usable AS (SELECT * FROM bag WHERE length(keyword) >= 2 AND NOT list_contains({_STOP}, keyword)),
+    tokens AS MATERIALIZED (
+      SELECT DISTINCT doc_id, unnest(string_split(lower(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')), ' ')) AS keyword
+      FROM documents
+    ),
+    found AS MATERIALIZED (SELECT * FROM tokens WHERE keyword IN (SELECT keyword FROM usable)),
+    ids AS MATERIALIZED (SELECT event_id AS post_id, event_id % (SELECT count(*) FROM documents) AS doc_id FROM events)
+"""
+_MATCH_BODIES = {
+    "match_keywords": """SELECT p.post_id, coalesce(m.matched, '') AS matched, coalesce(m.n, 0) AS n_matched
+        FROM ids p LEFT JOIN (
+          SELECT doc_id, string_agg(keyword, ' ' ORDER BY keyword) AS matched, CAST(count(*) AS BIGINT) AS n
+          FROM found GROUP BY doc_id) m USING (doc_id)""",
+    "keyword_hits": """SELECT p.post_id, f.keyword, u.category
+        FROM ids p JOIN found f USING (doc_id) JOIN usable u ON u.keyword = f.keyword""",
+    "keyword_misses": """SELECT p.post_id, 'no' AS category, 'no' AS keyword
+        FROM ids p WHERE p.doc_id NOT IN (SELECT doc_id FROM found)""",
+}
+
 _LONG = {"BUCKET": Q.LONG_BUCKET, "STEP_US": interval_seconds(Q.LONG_BUCKET) * 1_000_000, "duration": Q.LOW_DURATION}
 _OTHER = {"duration_flag": _LONG, "rising_flag": _LONG, "risk_rows_sustained": _LONG,
+          "extract_alert_daily": _LONG,
           "streak_alerts": {"spike_bucket": Q.STREAK_BUCKET, "spike_threshold": Q.STREAK_THRESHOLD}}
 
 
@@ -614,5 +632,6 @@ def oracle_sql() -> dict[str, str]:
     sql = full()
     for key, kwargs in _OTHER.items():
         sql[key] = full(**kwargs)[key]
+    sql |= {key: _MATCHES + body for key, body in _MATCH_BODIES.items()}
     sql["counts_upsert_path"] = sql["counts_upsert"]
     return {k: v for k, v in sql.items() if k not in Q.NO_ORACLE}

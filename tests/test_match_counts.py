@@ -74,7 +74,7 @@ def test_hits_plan_is_broadcast_and_python_free(spark):
 def test_join_strategy_never_explodes_texts(spark):
     """Below the exploded tokens only post keys are exchanged."""
     import re
-    from conftest import SF001
+    from paths import SF001
     from surgewatch.operators.match import plan_matcher
     from surgewatch.sources import fixtures as FX
     p = FX.table(spark, SF001, "documents").select("doc_id", "text")

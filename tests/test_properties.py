@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from surgewatch.functions import text as TX
 from surgewatch.operators.match import plan_matcher
 from surgewatch.session import scratch_path

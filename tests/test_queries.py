@@ -4,15 +4,29 @@ import sys
 
 import pytest
 
-from conftest import SF001
+from paths import SF001
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+from oracle_check import digest  # noqa: E402
 
 
-def test_entry_runs(spark):
+def oracle(key):
+    """Columns and rows of the key's DuckDB SQL."""
+    import duckdb
+    from surgewatch.plans.oracle import oracle_sql
+    con = duckdb.connect()
+    for t in ("events", "documents"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
+    cur = con.execute(oracle_sql()[key])
+    return [d[0] for d in cur.description], cur.fetchall()
+
+
+def test_entry_is_not_empty(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
-    assert df.count() >= 0 and "score" in df.columns
+    rows, (cols, want) = [tuple(r) for r in df.collect()], oracle("extract_alert_daily")
+    assert len(rows) == 56 and sorted(cols) == sorted(df.columns)
+    assert digest(df.columns, rows) == digest(cols, want)
 
 
 def test_every_query_has_an_oracle_or_is_listed(spark):
@@ -25,18 +39,11 @@ def test_every_query_has_an_oracle_or_is_listed(spark):
 @pytest.mark.parametrize("key", ["count_category", "metrics_rows", "metrics_time", "extract_alert",
                                  "alert_message", "exceed_streak", "map_with_wordbag_join",
                                  "stream_counts", "job_late_batch", "job_same_snapshot", "read_posts_legacy",
-                                 "merge_posts_mixed", "counts_upsert_path", "match_keywords_join"])
+                                 "merge_posts_mixed", "counts_upsert_path", "match_keywords_join", "match_keywords", "keyword_hits",
+                                 "keyword_misses"])
 def test_query_matches_oracle_sf0001(spark, key):
-    import duckdb
     import __spark_entry__ as E
-    from oracle_check import digest
-    from surgewatch.plans.oracle import oracle_sql
-    sql = oracle_sql()[key]
-    con = duckdb.connect()
-    for t in ("events", "documents"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
-    cur = con.execute(sql)
-    drows, dcols = cur.fetchall(), [d[0] for d in cur.description]
+    dcols, drows = oracle(key)
     df = E.queries()[key](spark, SF001)
     srows = [tuple(r) for r in df.collect()]
     assert sorted(df.columns) == sorted(dcols)

@@ -1,7 +1,7 @@
 """End-to-end job over collector CSV batches; a replayed batch changes nothing."""
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from surgewatch.plans.run_job import run
 from surgewatch.session import scratch_path
 from surgewatch.sources import fixtures as FX
