@@ -9,6 +9,7 @@ from surgewatch.llm import chat_format
 from surgewatch.llm.common import table
 from surgewatch.llm.decontaminate import contaminated
 from surgewatch.llm.html_extract import extract_text
+from surgewatch.llm.katz import score_documents
 from surgewatch.llm.langid import fit, held_out, predict
 from surgewatch.llm.license_scan import scan_licenses
 from surgewatch.llm.line_dedup import dedup_lines
@@ -79,8 +80,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a Katz bigram model of those that aren't held out."""
+    return score_documents(table(spark, sf_dir, "documents"), order=2)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_simhash_dedup, op3_token_counts, op4_chat_format, op5_license_scan, op6_decontamination,
-    op7_packing, op8_language_id, op9_html_extraction, op10_quality_rules)}
+    op7_packing, op8_language_id, op9_html_extraction, op10_quality_rules,
+    op11_lm_scoring)}
 
 ORACLE: dict[str, str] = {}
