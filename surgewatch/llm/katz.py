@@ -293,7 +293,8 @@ class _Model:
                 weight = np.where(low > 0, np.log10(left / rest), 0.0)
                 logp = np.where(c > 0, np.log10(self.discounted(n) / own_whole[g.history]),
                                 weight[g.history] + logp[g.lower])
-            at = np.where(g.at >= 0, logp[g.at], at)
+            here = g.at >= 0
+            at[here] = logp[g.at[here]]
             wholes, floor = own_whole, left
         return at
 

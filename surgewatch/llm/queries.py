@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from surgewatch.llm import chat_format
-from surgewatch.llm.common import table
+from surgewatch.llm.common import let, table, words
 from surgewatch.llm.decontaminate import contaminated
 from surgewatch.llm.html_extract import extract_text
 from surgewatch.llm.katz import score_documents
@@ -14,6 +14,7 @@ from surgewatch.llm.langid import fit, held_out, predict
 from surgewatch.llm.license_scan import scan_licenses
 from surgewatch.llm.line_dedup import dedup_lines
 from surgewatch.llm.packing import pack, pieces
+from surgewatch.llm.periodic_runs import periodic_runs
 from surgewatch.llm.quality_rules import apply_rules
 from surgewatch.llm.simhash import simhash_groups
 from surgewatch.llm.tokens import count_documents, flat_files
@@ -85,9 +86,39 @@ def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), order=2)
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and the text; the texts of ids whose crc32 ends in 0 go on, from some word, as periodic ones."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def planted(w):
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return let(F.struct(a.alias("a"), p.alias("p")), lambda x: F.array_join(F.transform(
+            w, lambda v, i: F.when(i < x["a"], v).otherwise(F.get(w, x["a"] + (i - x["a"]) % x["p"]))), " "))
+    text = F.col("text").cast("string")
+    changed = let(words(text), lambda w: F.when(F.size(w) > 0, planted(w)).otherwise(""))
+    return docs.select("doc_id", F.when(h % 10 == 0, changed).otherwise(text).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of all documents, some of them planted: numbers, the longest run, checksums."""
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    first = F.get(F.array_sort(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))), 0)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    own = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), first.alias("x"), lines.alias("lines"), "collapsed")
+    return own.select(
+        "doc_id", "n_runs", F.col("x.s").alias("start"), (-F.col("x.l")).alias("length"), F.col("x.p").alias("period"),
+        F.expr("(1000 * -x.l) div x.p").alias("exponent_milli"),
+        F.sha2(F.when(F.col("n_runs") > 0, F.concat("lines", F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_simhash_dedup, op3_token_counts, op4_chat_format, op5_license_scan, op6_decontamination,
     op7_packing, op8_language_id, op9_html_extraction, op10_quality_rules,
-    op11_lm_scoring)}
+    op11_lm_scoring, op12_periodic_runs)}
 
 ORACLE: dict[str, str] = {}

@@ -1,0 +1,108 @@
+"""Periodic runs against all periods of all stretches."""
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from surgewatch.llm import periodic_runs as module
+from surgewatch.llm.periodic_runs import find_runs, periodic_runs
+from surgewatch.llm.queries import op12_periodic_runs
+
+
+def plain(w, least=12):
+    """All runs: stretches of equal words q apart, for every q, without those of a smaller period."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(least, 2 * q):
+                found.setdefault((i, j - i + q), q)  # the smallest comes first
+            i = j + 1
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def runs_of(w, least=12):
+    seq = np.array([hash(x) % 1000 if not isinstance(x, int) else x for x in w] + [10_000], np.int64)
+    return sorted(find_runs(seq, least), key=lambda r: (r[0], r[2]))
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_random_sequences(seed):
+    r = random.Random(seed)
+    w = []
+    while len(w) < 120:
+        kind = r.random()
+        piece = [r.randrange(r.choice([2, 3, 30])) for _ in range(r.randrange(1, 15))]
+        w += piece * (r.randrange(2, 6) if kind < 0.5 else 1) + piece[:r.randrange(len(piece) + 1)]
+    for least in (4, 5, 12):
+        assert runs_of(w, least) == plain(w, least)
+
+
+def test_special_sequences(monkeypatch):
+    monkeypatch.setattr(module._Places, "SIZE", 4)
+    for w in ([1] * 300, [1, 2] * 100 + [1], [1] * 50 + [2] + [1] * 50, list(range(20)) * 3, [], [1], [1] * 11, [1] * 12,
+              [1, 1, 2] * 5 + [1, 1, 3] * 5, ([1, 2, 3] * 4 + [9]) * 4):
+        assert runs_of(w) == plain(w)
+
+
+def planted(d, text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h = zlib.crc32(str(d).encode())
+    if h % 10 == 0 and w:
+        n, g = len(w), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    return w
+
+
+def test_query_equals_brute_force(spark, load):
+    docs = load("documents", "sf0.001", "doc_id, text")
+    rows = {r.doc_id: r for r in op12_periodic_runs(spark, "/root/testdata/sf0.001").collect()}
+    assert len(rows) == len(docs)
+    n = 0
+    for d, t in docs:
+        w = planted(d, t)
+        if len(w) > 3000:
+            continue
+        runs, r = plain(w), rows[d]
+        n += len(runs)
+        gone = {i for s, m, q in runs for i in range(s + q, s + m)}
+        sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        assert r.n_runs == len(runs)
+        assert r.runs_sha256 == sha("".join(f"{s},{m},{q}\n" for s, m, q in runs))
+        assert r.collapsed_sha256 == sha(" ".join(x for i, x in enumerate(w) if i not in gone))
+        best = min(runs, key=lambda x: (-x[1], x[0], x[2])) if runs else (None, None, None)
+        assert (r.start, r.length, r.period) == best
+        assert r.exponent_milli == (1000 * best[1] // best[2] if runs else None)
+    assert n > 15
+
+
+def test_long_texts_group_sizes(monkeypatch):
+    long = [b"a"] * 30_000, [b"x", b"y", b"z"] * 7000, [str(i).encode() for i in range(30_000)]
+    got = module._of_group(list(long), 12)
+    assert got == [[(0, 30_000, 1)], [(0, 21_000, 3)], []]
+
+
+def test_odd_rows(spark, odd, empty):
+    from pyspark.sql import functions as F
+    clash = odd.withColumn("runs", F.lit("old")).withColumn("_raw", F.lit("x")).withColumn("a.b", F.lit(1))
+    got = periodic_runs(clash)
+    assert got.columns == [c for c in clash.columns if c != "runs"] + ["n_words", "runs", "collapsed"]
+    rows = got.collect()
+    assert len(rows) == odd.count()
+    for r in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", r.text or "")
+        assert r.n_words == len(w)
+        if len(w) < 2000:
+            runs = plain(w)
+            gone = {i for s, m, q in runs for i in range(s + q, s + m)}
+            assert [tuple(x) for x in r.runs] == runs and r.collapsed == " ".join(x for i, x in enumerate(w) if i not in gone)
+    assert any(r.runs and r.runs[0].period == 1 and r.collapsed == "x" for r in rows)
+    assert periodic_runs(empty).collect() == []
