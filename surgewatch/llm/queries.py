@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from surgewatch.llm import chat_format
 from surgewatch.llm.common import let, table, words
+from surgewatch.llm.conversation_repair import digest, repair
 from surgewatch.llm.decontaminate import contaminated
 from surgewatch.llm.html_extract import extract_text
 from surgewatch.llm.katz import score_documents
@@ -116,9 +117,35 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def damaged(messages: DataFrame) -> DataFrame:
+    """Messages dropped, emptied, cut short, repeated or reroled by a hash of conversation and turn."""
+    text_of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn"))) % 20
+    own = messages.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"), fault.alias("fault"))
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    times = F.array_repeat(F.lit(0), F.when(F.col("fault") == 3, 2).otherwise(1))
+    return own.filter("fault <> 0").select(
+        "conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(times).alias("_")).drop("_")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired: faults, cheapest edits, checksum of the repaired messages."""
+    messages = table(spark, sf_dir, "conversations")
+    found, repaired = repair(damaged(messages))
+    ids = messages.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    same = lambda x: F.col("conv_id").eqNullSafe(F.col(x))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (ids.join(found.withColumnRenamed("conv_id", "a"), same("a"), "left")
+            .join(digest(repaired).withColumnRenamed("conv_id", "b"), same("b"), "left")
+            .select("conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+                    F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_simhash_dedup, op3_token_counts, op4_chat_format, op5_license_scan, op6_decontamination,
     op7_packing, op8_language_id, op9_html_extraction, op10_quality_rules,
-    op11_lm_scoring, op12_periodic_runs)}
+    op11_lm_scoring, op12_periodic_runs, op13_conversation_repair)}
 
 ORACLE: dict[str, str] = {}
