@@ -14,6 +14,7 @@ Two physical strategies with equal results, chosen by a size check on the wordba
 * ``join`` (larger bags): distinct tokens are exploded beside a 128-bit key of
   the post only, joined to the bag's keywords, gathered per key and joined back
   once; equal posts share a key and a matched set.  Texts are never exploded.
+  Counts need no post back: ``hit_keys`` explodes the tokens beside the count keys.
 
 The bag is broadcast when its measured bytes are below
 ``BROADCAST_BAG_BYTES``, otherwise joins on it are shuffled.
@@ -105,6 +106,20 @@ class Matcher:
         ex = self._with_matches(posts, text).withColumn("keyword", F.explode("_matched")).drop("_matched")
         return ex.join(self._bag_side(self.usable), "keyword")
 
+    def hit_keys(self, posts: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
+        """``columns``, keyword and category per (post, matched keyword, category): what counts need.
+
+        A post's tokens are made distinct inside its row and exploded beside ``columns`` only, so
+        no text is carried and nothing is gathered per post.  The bag is the one join, with a
+        static frame: streams run it in any output mode, with wordbags of any size.
+        """
+        if self.strategy == "literal":
+            tokens = self.matched_column(text)
+        else:
+            tokens = T.remove_stopwords(F.array_distinct(T.words(text)))
+        return (posts.select(*columns, F.explode(tokens).alias("keyword"))
+                .join(self._bag_side(self.usable), "keyword").select(*columns, "keyword", "category"))
+
     def misses(self, posts: DataFrame, text: str = "text") -> DataFrame:
         """Posts without any match, with category = keyword = 'no'."""
         m = self._with_matches(posts, text).where(F.size("_matched") == 0).drop("_matched")

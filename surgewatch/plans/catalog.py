@@ -703,6 +703,38 @@ def q_job_same_snapshot(spark, sf):
     return _run_job(spark, sf, [F.col("post_id") % 3 == k for k in range(3)], (0, 1, 2))
 
 
+def q_job_corrected_batch(spark, sf):
+    """Both folders come twice: first with other posts, of more keywords, pairs and days, then as they are."""
+    p = posts(spark, sf).withColumn("collected_time", F.col("collected_time") + F.expr(OFF_GRID))
+    early = F.col("uploaded_time") < F.lit(JOB_SLICES[1]).cast("timestamp_ntz")
+    wrong = p.withColumns({"collected_time": F.col("collected_time") + F.expr("INTERVAL 9 DAYS"),
+                           "query": F.when(F.col("post_id") % 2 == 0, "mistake").otherwise(F.col("query")),
+                           "text": F.concat("text", F.lit(" onble onti"))})
+    root = scratch_path(spark, "job-corrected")
+    FX.wordbag(spark).write.option("header", "true").csv(f"{root}/wordbag")
+    for k, frame in enumerate((wrong.where(early), p.where(~early), p.where(early))):
+        folder = f"{root}/raw{k}/2024010{1 + k % 2}T000000Z"
+        P.write_posts(frame, folder)
+        run_job.run(spark, folder, f"{root}/wordbag", f"{root}/out", "rows", FX.DEFAULT_BUCKET)
+    return present(spark.read.parquet(f"{root}/out/metrics").drop("created_at", "cur_date"))
+
+
+def q_stream_complete_batches(spark, sf):
+    """The job as a stream over batch folders whose two files come in different runs of it."""
+    p = posts(spark, sf).withColumn("collected_time", F.col("collected_time") + F.expr(OFF_GRID))
+    root = scratch_path(spark, "job-stream")
+    FX.wordbag(spark).write.option("header", "true").csv(f"{root}/wordbag")
+    odd = F.col("post_id") % 2 == 1
+    first, second, third = ((c, f"{root}/raw/2024010{i + 1}T000000Z") for i, c in enumerate(_job_slices()))
+    arrivals = ((second, odd), (first, odd)), ((second, ~odd), (third, odd)), ((third, ~odd),), ((first, ~odd),)
+    for files in arrivals:  # a run of the stream after each
+        for (cond, folder), half in files:
+            P.write_posts(p.where(cond & half).coalesce(1), folder, mode="append")
+        run_job.run_when_complete(spark, f"{root}/raw", f"{root}/wordbag", f"{root}/out", 2, f"{root}/ckpt",
+                                  "rows", FX.DEFAULT_BUCKET, _state_parts(spark)).awaitTermination()
+    return present(spark.read.parquet(f"{root}/out/metrics").drop("created_at", "cur_date"))
+
+
 def q_read_posts(spark, sf):
     """Posts written as collector CSV (header, quoted multi-line text) and read back."""
     folder = scratch_path(spark, "raw-data")
@@ -803,8 +835,15 @@ def q_stream_posts(spark, sf):
     return spark.read.parquet(out)
 
 
-def _stream_counts(spark, sf, back=False):
-    m = plan_matcher(FX.wordbag(spark))
+def large_bag(spark, sf):
+    """Every word of the documents as a keyword, in categories by its length."""
+    word = F.explode(F.array_distinct(TX.words("text"))).alias("keyword")
+    return FX.table(spark, sf, "documents").select(word).distinct().select(
+        F.concat(F.lit("c"), (F.length("keyword") % 5).cast("string")).alias("category"), "keyword")
+
+
+def _stream_counts(spark, sf, back=False, bag=None):
+    m = plan_matcher(FX.wordbag(spark) if bag is None else bag)
     out, ckpt = scratch_path(spark, "stream-counts"), scratch_path(spark, "ckpt")
     schema = _post_schema(spark, sf)
 
@@ -826,6 +865,17 @@ def q_stream_counts_late(spark, sf):
     return _stream_counts(spark, sf, back=True)
 
 
+def q_stream_counts_large_bag(spark, sf):
+    """A wordbag far beyond a literal set, streamed."""
+    return _stream_counts(spark, sf, bag=large_bag(spark, sf))
+
+
+def q_count_category_large_bag(spark, sf):
+    """The same in batch, the bag too large to broadcast."""
+    m = plan_matcher(large_bag(spark, sf), strategy="join", broadcast_bytes=0)
+    return Job(posts(spark, sf), m, JobConfig(bucket=FX.DEFAULT_BUCKET)).category_counts()
+
+
 def q_stream_recent(spark, sf):
     """The recency filter inside the stream: posts of the 10 minutes before their collection."""
     p = heads(spark, sf).withColumn("now", F.col("collected_time") + F.expr("INTERVAL 30 MINUTES"))
@@ -902,6 +952,18 @@ def q_stream_alerts_new(spark, sf):
     return _stream_alerts(spark, _items(spark, sf, p), stored)
 
 
+def q_stream_alerts_once(spark, sf):
+    """Every item comes in two files, and all of them again in another run: one message each."""
+    items = _items(spark, sf)
+    out, ckpt, folder = (scratch_path(spark, x) for x in ("alerts-once", "ckpt", "arrivals"))
+    for cond in [*_slices(items, "cur_time"), F.lit(True)]:
+        for _ in range(2):
+            items.where(cond).write.mode("append").parquet(folder)
+        src = ST.read_post_stream(spark, folder, items.schema)
+        ST.stream_alert_messages(src, out, ckpt, None, _state_parts(spark)).awaitTermination()
+    return present(spark.read.parquet(out).drop("_v"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

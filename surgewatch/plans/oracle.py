@@ -198,6 +198,10 @@ CLEAN_THREADS = f"""CASE WHEN txt IS NULL OR txt = '' THEN txt ELSE array_to_str
 
 
 
+_LARGE_BAG = """SELECT p.collected_time, p.channel, p.query, 'c' || CAST(length(t.keyword) % 5 AS VARCHAR) AS category,
+    count(*) AS count_category FROM posts p JOIN dtok t USING (doc_id) GROUP BY ALL"""
+
+
 def _build(BUCKET: str, STEP_US: int, duration: float = 2.0, spike_bucket: str = Q.SPIKE_BUCKET,
            spike_threshold: float = Q.SPIKE_THRESHOLD) -> tuple[str, dict[str, str]]:
     """Shared CTE chain and per-query bodies for one set of parameters."""
@@ -537,10 +541,14 @@ def _build(BUCKET: str, STEP_US: int, duration: float = 2.0, spike_bucket: str =
             FROM posts""",
         "stream_counts": "SELECT * FROM cat",
         "stream_counts_late": "SELECT * FROM cat",
+        "stream_counts_large_bag": _LARGE_BAG,
+        "count_category_large_bag": _LARGE_BAG,
         "stream_recent": """SELECT post_id, uploaded_time, collected_time FROM posts
             WHERE uploaded_time BETWEEN collected_time + INTERVAL '20 minutes' AND collected_time + INTERVAL '30 minutes'""",
         "stream_alerts_new": f"SELECT pk, channel, query, category, cur_time, {MESSAGE} AS message FROM groups",
         "job_batches_rows": f"SELECT {_METRICS_OUT} FROM metrics_rows",
+        "job_corrected_batch": f"SELECT {_METRICS_OUT} FROM metrics_rows",
+        "stream_complete_batches": f"SELECT {_METRICS_OUT} FROM metrics_rows",
         "job_batches_time": f"SELECT {_METRICS_OUT} FROM metrics_time",
         "job_late_batch": f"SELECT {_METRICS_OUT} FROM metrics_rows",
         "job_same_snapshot": f"SELECT {_METRICS_OUT} FROM metrics_rows",
@@ -566,6 +574,7 @@ def _build(BUCKET: str, STEP_US: int, duration: float = 2.0, spike_bucket: str =
         "stream_metrics_time": f"SELECT {_METRICS_OUT}, duration_flag, rising_flag FROM metrics_time",
         "stream_dedupe": """SELECT DISTINCT date_trunc('hour', uploaded_time) AS uploaded_time,
             'u' || CAST(user_id_ % 7 AS VARCHAR) AS username FROM posts""",
+        "stream_alerts_once": f"SELECT pk, channel, query, category, cur_time, {MESSAGE} AS message FROM groups_all",
         "stream_alerts": f"SELECT pk, channel, query, category, cur_time, {MESSAGE} AS message FROM groups_all",
         "merge_posts": f"""SELECT username, CAST(uploaded_time AS VARCHAR) AS uploaded_time,
             CAST(collected_time AS VARCHAR) AS collected_time, channel,

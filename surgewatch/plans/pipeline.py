@@ -23,6 +23,7 @@ from surgewatch.operators import counts as C
 from surgewatch.operators.match import Matcher, plan_matcher
 from surgewatch.operators.metrics_rows import calculate_metrics
 from surgewatch.operators.metrics_time import calculate_metrics_time
+from surgewatch.schema import COUNT_KEYS
 
 
 @dataclass
@@ -54,7 +55,7 @@ class Job:
         return self.matcher.hits(self.posts, self.cfg.text_col)
 
     def keyword_counts(self) -> DataFrame:
-        return C.count_keyword(self.hits())
+        return C.count_keyword(self.matcher.hit_keys(self.posts, COUNT_KEYS[:3], self.cfg.text_col))
 
     def category_counts(self) -> DataFrame:
         return C.category_from_keyword_counts(self.keyword_counts())

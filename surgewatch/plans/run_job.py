@@ -9,7 +9,8 @@ metrics over the accumulated counts (the reference saw only the current batch),
 the earliest snapshot the batch touched on, so a late batch mends the later points ->
 metrics sink -> alert items -> messages of the new items.  Collection times carry
 seconds; a snapshot is their ``bucket``.  Every table is keyed, most by the batch, so
-a replayed batch changes nothing.
+a replayed batch changes nothing, and a batch that comes again with other rows (fewer
+keys or days, too) leaves nothing of its earlier version.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from surgewatch.functions.timefmt import bucket_start, interval_seconds
 from surgewatch.session import checkpoint_dir, ensure_utc
 from surgewatch.sources import posts as P
 from surgewatch.sources import sinks as SNK
+from surgewatch.streaming.stream import run_complete_batches
 
 
 def batch_of(path: str) -> str:
@@ -63,13 +65,10 @@ def run(spark: SparkSession, posts_path: str, wordbag_path: str, out: str, mode:
     snapshot = bucket_start("collected_time", bucket)
     kw_new = C.count_keyword(stored.drop("batch_date", "batch").withColumn("collected_time", snapshot))
     kw_path = f"{out}/keyword_counts"
-    touched = SNK.upsert_batch_counts(kw_new, kw_path, batch)
     # from each (channel, query) pair's earliest touched snapshot on, points can change
-    pairs, staged_pairs = SNK.stage(
-        touched.where(F.col("batch") == batch).groupBy("channel", "query")
-        .agg(F.min("collected_time").alias("_since"))
-        .where("channel is not null and query is not null and _since is not null"))
-    table = SNK.read_stored(spark, kw_path, T.StructType([*touched.schema, parts["batch_date"]]))
+    pairs = SNK.write_batch_counts(kw_new, kw_path, batch)
+    kw_schema = kw_new.withColumns({"batch_date": F.to_date("collected_time"), "batch": F.lit(batch)}).schema
+    table = SNK.read_stored(spark, kw_path, kw_schema)
     if mode == "time":  # exact slots reach back six steps: earlier days are pruned
         lo = pairs.agg(F.min("_since")).first()[0]
         if lo is not None:
@@ -84,14 +83,22 @@ def run(spark: SparkSession, posts_path: str, wordbag_path: str, out: str, mode:
         metrics = calculate_metrics(cats)
     metrics, staged_metrics = SNK.stage(
         metrics.join(pairs, ["channel", "query"]).where(F.col("cur_time") >= F.col("_since")).drop("_since"))
-    SNK.write_metrics(metrics, f"{out}/metrics", jdbc_url=jdbc_url)
+    SNK.write_metrics(metrics, f"{out}/metrics", jdbc_url=jdbc_url, pairs=pairs)
     items = A.alert_items(A.extract_alert(metrics, kw_all))
     new_items = SNK.write_alert_items(items, f"{out}/alert_items", batch)
     SNK.write_messages(A.alert_message(A.alert_groups(new_items)), f"{out}/alert_messages", batch)
-    SNK.drop_staged(spark, staged_pairs, staged_metrics)
+    SNK.drop_staged(spark, staged_metrics)
     return True
 
 
+def run_when_complete(spark: SparkSession, raw: str, wordbag_path: str, out: str, expected_files, checkpoint: str,
+                      mode: str = "rows", bucket: str = "30 minutes", partitions: int | None = None):
+    """The job for every batch folder below ``raw``, once, when its files are all there (a stream)."""
+    return run_complete_batches(
+        spark, raw, lambda batch, folder: run(spark, folder, wordbag_path, out, mode, bucket, batch=batch),
+        checkpoint, expected_files, partitions)
+
+
 def main(argv=None):
     ap = argparse.ArgumentParser(description=__doc__)
     ap.add_argument("--posts", required=True)

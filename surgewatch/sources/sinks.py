@@ -87,9 +87,30 @@ def write_days(rows: DataFrame, path: str, *partitions: str) -> None:
      .partitionBy(*partitions).parquet(path))
 
 
-def upsert_by_day(new: DataFrame, path: str, keys: list[str], day_col: str, day_of: str) -> DataFrame:
+def replace_batch(rows: DataFrame, path: str, day_col: str, day_of: str, batch: str) -> None:
+    """Make ``rows`` all that the table at ``path``, partitioned by day and ``batch``, holds of a batch.
+
+    The days of ``rows`` are overwritten; then the batch's partitions of other days, which
+    an earlier version of it wrote, go.  Other batches' partitions aren't touched or read.
+    """
+    spark = rows.sparkSession
+    rows, staged = stage(rows.withColumns({day_col: F.to_date(day_of), "batch": F.lit(batch)}))
+    stale = []
+    if table_exists(spark, path):
+        now = rows.select(F.col(day_col).alias("_d")).distinct()
+        stored = read_stored(spark, path, rows.schema).where(F.col("batch") == batch).select(
+            F.col(day_col), F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1).alias("folder")).distinct()
+        stale = [r["folder"] for r in stored.join(now, F.col(day_col).eqNullSafe(F.col("_d")), "left_anti").collect()]
+    write_days(rows, path, day_col, "batch")
+    drop_staged(spark, staged, *stale)
+
+
+def upsert_by_day(new: DataFrame, path: str, keys: list[str], day_col: str, day_of: str,
+                  gone: DataFrame | None = None) -> DataFrame:
     """Keyed upsert into a parquet table partitioned by ``day_col`` (= date of ``day_of``).
 
+    ``gone``: stored rows that this write takes away, by their ``keys`` and ``day_col``.
+
     Touched days are rewritten as (stored rows whose key is not in the batch) +
     batch rows, staged in the shared checkpoint folder first.  Keys compare
     null-safely.  Rows without a time keep a partition of their own.  Returns
@@ -97,20 +118,29 @@ def upsert_by_day(new: DataFrame, path: str, keys: list[str], day_col: str, day_
     """
     spark = new.sparkSession
     new, staged_new = stage(new.withColumn(day_col, F.to_date(day_of)))
-    days = touched_days(new, day_col)
+    staged, out = [staged_new], new.select(*keys, day_col)
+    if gone is not None:
+        gone, staged_gone = stage(gone.select(*keys, day_col))
+        staged.append(staged_gone)
+        out = out.unionByName(gone)
+    days = touched_days(out, day_col)
     if days is None:
-        drop_staged(spark, staged_new)
+        drop_staged(spark, *staged)
         return read_stored(spark, path, new.schema).where(F.lit(False)).drop(day_col)
-    staged = [staged_new]
-    rows = new
+    rows, stale = new, []
     if table_exists(spark, path):
-        n = new.select(*[F.col(k).alias(f"_n_{k}") for k in keys]).distinct()
+        n = out.select(*[F.col(k).alias(f"_n_{k}") for k in keys]).distinct()
         same = [F.col(k).eqNullSafe(F.col(f"_n_{k}")) for k in keys]
-        kept = read_stored(spark, path, new.schema).where(days).join(n, same, "left_anti")
+        stored = read_stored(spark, path, new.schema).where(days)
+        kept = stored.join(n, same, "left_anti")
         rows, staged_rows = stage(new.unionByName(kept.select(*new.columns)))
         staged.append(staged_rows)
+        if gone is not None:  # days that hold nothing any more
+            left = rows.select(F.col(day_col).alias("_d")).distinct()
+            folders = stored.select(day_col, F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1).alias("folder")).distinct()
+            stale = [r["folder"] for r in folders.join(left, F.col(day_col).eqNullSafe(F.col("_d")), "left_anti").collect()]
     write_days(rows, path, day_col)
-    drop_staged(spark, *staged)
+    drop_staged(spark, *staged, *stale)
     return read_stored(spark, path, new.schema).where(days).drop(day_col)
 
 
@@ -125,10 +155,12 @@ def write_mapped(mapped: DataFrame, path: str, batch_col: str = "collected_time"
                  batch: str | None = None) -> None:
     """Mapped rows as parquet partitioned by day and batch; only the batches present are
     replaced (other batches, also of the same day, are kept), so a replayed batch
-    overwrites itself.  ``batch`` names the arriving folder; without it the rows'
-    snapshot times are their batches."""
-    key = F.lit(batch) if batch is not None else batch_key(batch_col)
-    write_days(mapped.withColumns({"batch_date": F.to_date(batch_col), "batch": key}),
+    overwrites itself.  ``batch`` names the arriving folder, whose earlier rows go, also
+    those of days it no longer has; without it the rows' snapshot times are their batches."""
+    if batch is not None:
+        replace_batch(mapped, path, "batch_date", batch_col, batch)
+        return
+    write_days(mapped.withColumns({"batch_date": F.to_date(batch_col), "batch": batch_key(batch_col)}),
                path, "batch_date", "batch")
 
 
@@ -143,14 +175,23 @@ def upsert_counts(spark: SparkSession, new: DataFrame, path: str,
     return read_stored(spark, path, rows.withColumn("batch_date", F.to_date("collected_time")).schema)
 
 
-def upsert_batch_counts(counts: DataFrame, path: str, batch: str, value: str = "count_keyword") -> DataFrame:
+def write_batch_counts(counts: DataFrame, path: str, batch: str) -> DataFrame:
     """Store one batch's keyword counts beside those of other batches of the same snapshots.
 
-    Keyed by batch: a replay replaces the batch's own rows, and folders that share a
-    snapshot add up (``snapshot_counts``).  Returns the touched days' rows.
+    Partitioned by day and batch: a replay replaces the batch's own rows, keys and days that
+    it no longer has included, and folders that share a snapshot add up (``snapshot_counts``).
+    Returns ``channel, query, _since``: the pairs that the batch had before or has now, and
+    their earliest snapshot (staged; points before it can't change).
     """
-    rows = counts.withColumn("batch", F.lit(batch))
-    return upsert_by_day(rows, path, [*COUNT_KEYS, "keyword", "batch"], "batch_date", "collected_time")
+    spark = counts.sparkSession
+    pairs = counts.select("channel", "query", "collected_time")
+    if table_exists(spark, path):
+        schema = counts.withColumns({"batch_date": F.to_date("collected_time"), "batch": F.lit(batch)}).schema
+        pairs = pairs.unionByName(read_stored(spark, path, schema).where(F.col("batch") == batch).select(*pairs.columns))
+    pairs, _ = stage(pairs.groupBy("channel", "query").agg(F.min("collected_time").alias("_since"))
+                     .where("channel is not null and query is not null and _since is not null"))
+    replace_batch(counts, path, "batch_date", "collected_time", batch)
+    return pairs
 
 
 def snapshot_counts(stored: DataFrame, value: str = "count_keyword") -> DataFrame:
@@ -169,16 +210,31 @@ def metrics_frame(metrics: DataFrame) -> DataFrame:
     })
 
 
+METRIC_KEYS = ["channel", "query", "category", "cur_time"]
+
+
 def write_metrics(metrics: DataFrame, path: str | None = None, jdbc_url: str | None = None,
-                  table: str = "metrics", properties: dict | None = None) -> None:
+                  table: str = "metrics", properties: dict | None = None, pairs: DataFrame | None = None) -> None:
     """Metrics sink: a parquet table keyed by (channel, query, category, cur_time) and
     partitioned by day, where a replayed batch replaces its own rows; or JDBC append when
-    a URL is given (as the reference), which is at-least-once: a replay appends again."""
+    a URL is given (as the reference), which is at-least-once: a replay appends again.
+
+    ``pairs`` (``channel, query, _since``): ``metrics`` is all there is of them from ``_since``
+    on, so stored points of theirs that it lacks go.
+    """
     out = metrics_frame(metrics)
     if jdbc_url:
         out.write.jdbc(jdbc_url, table, mode="append", properties=properties or {})
         return
-    upsert_by_day(out, path, ["channel", "query", "category", "cur_time"], "cur_date", "cur_time")
+    gone, spark = None, metrics.sparkSession
+    if pairs is not None and table_exists(spark, path):
+        since = pairs.agg(F.min("_since")).first()[0]
+        if since is not None:
+            stored = read_stored(spark, path, out.withColumn("cur_date", F.to_date("cur_time")).schema)
+            old = stored.where(F.col("cur_date") >= F.lit(since).cast("date")).select(*METRIC_KEYS, "cur_date")
+            old = old.join(pairs, ["channel", "query"]).where(F.col("cur_time") >= F.col("_since")).drop("_since")
+            gone = old.join(out.select(*METRIC_KEYS), METRIC_KEYS, "left_anti")
+    upsert_by_day(out, path, METRIC_KEYS, "cur_date", "cur_time", gone)
 
 
 def metric_series(metrics: DataFrame, channel: str, query: str, category: str,
@@ -194,11 +250,12 @@ def metric_series(metrics: DataFrame, channel: str, query: str, category: str,
 
 
 def write_alert_items(items: DataFrame, path: str, batch: str = "") -> DataFrame:
-    """Keyed alert-item table (pk, sk) by day; returns the batch's items that no other batch
+    """Alert-item table (pk, sk) by day and batch; returns the batch's items that no other batch
     stored before (the insert events that raise messages).
 
     Items carry the batch that stored them, so a replay, also after a failure between
-    this write and the messages, returns the same items again.
+    this write and the messages, returns the same items again; items that a corrected
+    batch no longer raises go.
     """
     spark = items.sparkSession
     items, staged = stage(items.withColumns({"cur_date": F.to_date("cur_time"), "batch": F.lit(batch)}))
@@ -207,13 +264,12 @@ def write_alert_items(items: DataFrame, path: str, batch: str = "") -> DataFrame
         others = (read_stored(spark, path, items.schema).where(days).where(F.col("batch") != batch)
                   .select("pk", "sk"))
         items = items.join(others, ["pk", "sk"], "left_anti").select(*items.columns)
-    new, staged_new = stage(items.drop("cur_date"))
-    upsert_by_day(new, path, ["pk", "sk"], "cur_date", "cur_time")
+    new, _ = stage(items.drop("cur_date"))
+    replace_batch(new.drop("batch"), path, "cur_date", "cur_time", batch)
     drop_staged(spark, staged)
     return new
 
 
 def write_messages(messages: DataFrame, path: str, batch: str) -> None:
-    """Messages keyed by (pk, cur_time, batch): a replay replaces its own."""
-    upsert_by_day(messages.withColumn("batch", F.lit(batch)), path, ["pk", "cur_time", "batch"],
-                  "cur_date", "cur_time")
+    """Messages by day and batch: a replay replaces all of its own."""
+    replace_batch(messages, path, "cur_date", "cur_time", batch)

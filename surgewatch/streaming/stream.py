@@ -8,7 +8,8 @@
   the same rows: exactly-once) and recomputes the metrics of the
   (channel, query) pairs that changed, from their earliest changed snapshot.
 * ``stream_dedupe``     -- first post per (uploaded_time, username) within the watermark.
-* ``stream_alert_messages`` -- alert items arriving as files become grouped messages.
+* ``stream_alert_messages`` -- alert items arriving as files become grouped messages, inserts only.
+* ``run_complete_batches`` -- the job, once per batch folder, when all its files are there.
 
 State lives in the checkpoint folder under ``spark.checkpoint.dir``, so a
 lost executor or a restarted query resumes from the last committed batch.
@@ -17,8 +18,10 @@ lost executor or a restarted query resumes from the last committed batch.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +36,7 @@ from surgewatch.schema import COUNT_KEYS
 from surgewatch.functions.timefmt import bucket_start
 from surgewatch.schema import POST_RAW
 from surgewatch.sources.posts import CSV_OPTIONS, post_time
-from surgewatch.sources.sinks import drop_staged, stage, table_exists, upsert_by_day, write_days
+from surgewatch.sources.sinks import drop_staged, stage, table_exists, upsert_by_day, write_alert_items, write_days
 
 
 @contextmanager
@@ -97,7 +100,7 @@ def stream_counts(posts: DataFrame, matcher: Matcher, bucket: str,
     reference) rows count however late they come, and the state is the count
     table's size.  A watermark bounds the state and drops what is later than it.
     """
-    hits = as_event_time(matcher.hits(posts).where(F.col("category") != "no"), "collected_time")
+    hits = as_event_time(matcher.hit_keys(posts, COUNT_KEYS[:3]).where(F.col("category") != "no"), "collected_time")
     agg = (_watermarked(hits, "collected_time", watermark)
            .groupBy(F.window("collected_time", bucket).alias("w"), "channel", "query", "category")
            .agg(F.count(F.lit(1)).alias("count_category")))
@@ -179,7 +182,7 @@ class StreamingMetrics:
 
     def start(self, posts: DataFrame, checkpoint: str, available_now: bool = True,
               partitions: int | None = None):
-        hits = as_event_time(self.matcher.hits(posts).where(F.col("category") != "no"),
+        hits = as_event_time(self.matcher.hit_keys(posts, COUNT_KEYS[:3]).where(F.col("category") != "no"),
                              "collected_time")
         # collection times carry seconds: the snapshot is their bucket
         hits = hits.withColumn("collected_time", bucket_start("collected_time", f"{self.step} seconds"))
@@ -213,21 +216,86 @@ def stream_dedupe(posts: DataFrame, watermark: str = "1 hour",
             .dropDuplicatesWithinWatermark(list(keys)))
 
 
-def stream_alert_messages(items: DataFrame, out_path: str, checkpoint: str,
-                          stored_path: str | None = None, partitions: int | None = None):
-    """Alert items arriving as files -> one message per risk and snapshot.
+def raise_alerts(batch: DataFrame, batch_id: int, out_path: str, seen_path: str, stored_path: str | None = None) -> None:
+    """Messages of a micro-batch's inserts: of the items that neither ``stored_path`` nor an earlier
+    micro-batch has under the same (pk, sk); an item that comes twice counts once.
 
-    Items already stored (``stored_path``, keyed by pk, sk) raise no new message.
+    The items are kept in ``seen_path`` with the micro-batch that brought them, before the messages are
+    written: a replay, also after a failure in between, finds its own items and writes the same messages.
     """
-    spark = items.sparkSession
+    spark = batch.sparkSession
+    new = batch.dropDuplicates(["pk", "sk"])
+    if stored_path and table_exists(spark, stored_path):
+        new = A.new_alerts(new, spark.read.schema(batch.schema).parquet(stored_path))
+    new = write_alert_items(new, seen_path, str(batch_id))
+    msgs = A.alert_message(A.alert_groups(new)).withColumn("_v", F.lit(int(batch_id)))
+    write_days(msgs, out_path, "_v")
+
+
+def stream_alert_messages(items: DataFrame, out_path: str, checkpoint: str, stored_path: str | None = None,
+                          partitions: int | None = None, seen_path: str | None = None):
+    """Alert items arriving as files -> one message per risk and snapshot, for inserts only.
+
+    Items stored before the stream (``stored_path``, keyed by pk, sk) raise no message; those that
+    the stream has seen are kept in ``seen_path`` (default: beside the messages).
+    """
+    spark, seen = items.sparkSession, seen_path or out_path.rstrip("/") + "-seen"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        new = batch
-        if stored_path and table_exists(spark, stored_path):
-            new = A.new_alerts(batch, spark.read.schema(items.schema).parquet(stored_path))
-        msgs = A.alert_message(A.alert_groups(new)).withColumn("_v", F.lit(int(batch_id)))
-        write_days(msgs, out_path, "_v")
+        raise_alerts(batch, batch_id, out_path, seen, stored_path)
 
     with state_partitions(spark, partitions):
         return (items.writeStream.option("checkpointLocation", checkpoint)
                 .foreachBatch(handle).trigger(availableNow=True).start())
+
+
+# -- batch folders --------------------------------------------------------------------
+
+# What Spark's binary-file source gives of a file; only the path is read.
+FILE_ROWS = "path string, modificationTime timestamp, length long, content binary"
+
+
+def complete_batch_stream(spark: SparkSession, path: str, expected: int | DataFrame) -> DataFrame:
+    """Batch folders below ``path``, each once, when all its files have arrived: ``batch, folder, n_files``.
+
+    Every file of ``path/<batch>/`` is an event (its name only); the state of a batch is the number
+    of its files so far and whether it was released, so files may come in any order, over any number
+    of micro-batches and restarts.  ``expected``: files per batch, or a static frame ``batch,
+    expected_files`` (a batch without a row there is never complete).
+    """
+    file = F.col("path")
+    files = spark.readStream.format("binaryFile").schema(FILE_ROWS).option("pathGlobFilter", "[!_.]*").load(f"{path.rstrip('/')}/*").select(
+        F.regexp_extract(file, r"([^/]+)/[^/]+$", 1).alias("batch"), F.regexp_extract(file, r"^(.*)/[^/]+$", 1).alias("folder"))
+    if isinstance(expected, int):
+        files = files.withColumn("expected_files", F.lit(expected))
+    else:
+        files = files.join(expected.select("batch", F.col("expected_files").cast("int")), "batch")
+
+    def release(key, frames, state):
+        n, released = state.get if state.exists else (0, False)
+        folder, want = None, None
+        for f in frames:
+            n, folder, want = n + len(f), f["folder"].iloc[0], int(f["expected_files"].iloc[0])
+        now = not released and want is not None and n >= want
+        state.update((n, released or now))
+        if now:
+            yield pd.DataFrame({"batch": [key[0]], "folder": [folder], "n_files": [n]})
+    return files.groupBy("batch").applyInPandasWithState(
+        release, "batch string, folder string, n_files long", "n long, released boolean", "update", "NoTimeout")
+
+
+def run_complete_batches(spark: SparkSession, path: str, run_batch: Callable[[str, str], None], checkpoint: str,
+                         expected: int | DataFrame, partitions: int | None = None):
+    """Call ``run_batch(batch, folder)`` once for every batch folder whose files are all there.
+
+    The driver gets the names of the folders released by a micro-batch, oldest first.  A
+    micro-batch that fails is replayed with the same folders: ``run_batch`` must replace
+    what it wrote for a batch, as the job does.
+    """
+    def handle(released: DataFrame, batch_id: int) -> None:
+        for r in sorted(released.select("batch", "folder").collect()):
+            run_batch(r["batch"], r["folder"])
+
+    with state_partitions(spark, partitions):
+        return (complete_batch_stream(spark, path, expected).writeStream.outputMode("update")
+                .option("checkpointLocation", checkpoint).foreachBatch(handle).trigger(availableNow=True).start())

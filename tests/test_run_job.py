@@ -122,3 +122,46 @@ def test_job_time_mode_matches_batch_metrics(spark):
             .select("channel", "query", "category", F.col("cur_time").cast("timestamp").alias("cur_time"),
                     F.round("score", 9).alias("s")))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_corrected_batch_leaves_nothing_of_its_earlier_version(spark):
+    """Fewer keywords, pairs and days: all tables equal those of a job that saw the corrected batch only."""
+    posts = FX.posts(spark, SF001, bucket="1 day")
+    root = scratch_path(spark, "job-corrected")
+    FX.wordbag(spark).write.option("header", "true").csv(f"{root}/bag")
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    right, other = posts.where((F.col("collected_time") < cut) & (F.col("post_id") % 5 > 0)), posts.where(F.col("collected_time") >= cut)
+    wrong = posts.where(F.col("collected_time") < cut).withColumns({
+        "collected_time": F.col("collected_time") + F.expr("INTERVAL 3 DAYS"),
+        "text": F.concat("text", F.lit(" onble onti erst")),
+        "query": F.when(F.col("post_id") % 3 == 0, "mistake").otherwise(F.col("query"))})
+    b1, b2 = "20240115T000000Z", "20240131T000000Z"
+    for name, frame in (("wrong", wrong), ("right", right)):
+        P.write_posts(frame, f"{root}/{name}/{b1}")
+    P.write_posts(other, f"{root}/{b2}")
+    for out, order in (("a", (f"wrong/{b1}", b2, f"right/{b1}")), ("b", (f"right/{b1}", b2)),
+                       ("c", (f"wrong/{b1}", f"right/{b1}", b2))):
+        for folder in order:
+            run(spark, f"{root}/{folder}", f"{root}/bag", f"{root}/{out}", bucket="1 day")
+
+    def rows(out, name, *drop):
+        df = spark.read.parquet(f"{root}/{out}/{name}").drop("created_at", *drop)
+        return sorted(str(r.asDict()) for r in df.select(*sorted(df.columns)).collect())
+    for name in ("mapped", "keyword_counts", "metrics"):
+        assert rows("a", name) == rows("b", name) == rows("c", name) != []
+    for name in ("alert_items", "alert_messages"):  # what was raised meanwhile by b2 is of b2, and stays
+        assert rows("b", name) == rows("c", name) != []
+    assert spark.read.parquet(f"{root}/a/alert_messages").where("query = 'mistake'").isEmpty()
+
+
+def test_replaced_batch_keeps_other_batches(spark):
+    path = scratch_path(spark, "replace")
+    day = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id int").selectExpr(
+        "id", "if(id < 0, null, timestamp'2024-01-01' + make_interval(0, 0, 0, id)) as t")
+    SNK.replace_batch(day(1, 2, 3, -1), path, "d", "t", "a b:c")
+    SNK.replace_batch(day(2, 3, 4), path, "d", "t", "other")
+    SNK.replace_batch(day(2), path, "d", "t", "a b:c")
+    got = lambda: sorted((r.batch, r.id) for r in spark.read.parquet(path).collect())
+    assert got() == [("a b:c", 2), ("other", 2), ("other", 3), ("other", 4)]
+    SNK.replace_batch(day(2).limit(0), path, "d", "t", "a b:c")
+    assert got() == [("other", 2), ("other", 3), ("other", 4)]

@@ -34,3 +34,85 @@ def test_replayed_micro_batch_is_a_no_op(spark):
     assert abs(m[T0 + dt.timedelta(minutes=60)]["short_term_growth"] - (1 - 6) / 6) < 1e-12
     assert m[T0 + dt.timedelta(minutes=90)]["cur_count"] == 5
     assert sm.metrics().where(F.col("cur_time").isNull()).count() == 0
+
+
+def test_large_wordbag_streams_and_equals_batch(spark):
+    """50,000 keywords: no literal set, broadcast or not; a post's repeated token counts once."""
+    from surgewatch.operators import counts as C
+    from surgewatch.streaming import stream as ST
+    bag = spark.range(50_000).selectExpr("concat('c', id % 7) category", "concat('kw', id) keyword")
+    posts = spark.range(400).selectExpr(
+        "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, cast(id % 5 as int)) collected_time", "'X' channel",
+        "concat('q', id % 3) query", "concat('the kw', id * 131, ' kw', id * 131, ' KW', id, ' kw', id + 40000, ' other') text")
+    folder = scratch_path(spark, "large-bag")
+    posts.where("query <> 'q1'").write.mode("append").parquet(folder)
+    posts.where("query = 'q1'").write.mode("append").parquet(folder)
+    m = plan_matcher(bag)
+    assert m.strategy == "join" and not m.keywords
+    want = _rows(C.count_category(m.hits(posts)))
+    for matcher in (m, plan_matcher(bag, broadcast_bytes=0)):
+        out, ckpt = scratch_path(spark, "large-bag-out"), scratch_path(spark, "ckpt")
+        src = ST.read_post_stream(spark, folder, posts.schema, max_files_per_trigger=2)
+        ST.write_upserts(ST.stream_counts(src, matcher, "30 minutes"), out, ckpt,
+                         ["collected_time", "channel", "query", "category"], partitions=2).awaitTermination()
+        assert _rows(ST.read_table(spark, out)) == want
+    assert sum(r[-1] for r in want) == C.count_category(m.hit_keys(posts, ["collected_time", "channel", "query"])).agg(
+        F.sum("count_category")).first()[0] > 1000
+
+
+def test_count_keys_alone_are_exploded(spark):
+    """What streams and counts join to the bag carries no text and no post back."""
+    posts = spark.createDataFrame([(1, "a", "b", "c")], "collected_time int, channel string, query string, text string")
+    plan = plan_matcher(spark.createDataFrame(FIXTURE_WORDBAG, "category string, keyword string"), strategy="join",
+                        broadcast_bytes=0).hit_keys(posts, ["collected_time", "channel", "query"])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    above = text[:text.index("Generate explode")]
+    assert "text#" not in above and text.count("Join Inner") == 1 and "_k1" not in text
+
+
+def _alert(spark, kw, minutes=0, query="q"):
+    return spark.sql(f"""SELECT 'X#{query}#c' pk, '{minutes}#{kw}' sk, 'X' channel, '{query}' query, 'c' category,
+        timestamp'2024-01-01' + make_interval(0,0,0,0,0,{minutes}) cur_time, timestamp'2023-12-31' prev_time, 2 cur_count,
+        1 prev_count, '{kw}' keyword, 1 count_keyword, 1.0BD short_term_growth, 1.0BD long_term_ratio,
+        1.0BD ratio_to_total, 1.0BD acceleration, 3.0BD score""")
+
+
+def test_one_message_per_inserted_alert(spark):
+    """Copies in one micro-batch, in a later one, and a replay, also after a failure before the messages."""
+    from surgewatch.sources.sinks import drop_staged
+    from surgewatch.streaming.stream import raise_alerts
+    out, seen = scratch_path(spark, "msgs"), scratch_path(spark, "seen")
+    a, b, c = _alert(spark, "a"), _alert(spark, "b"), _alert(spark, "a", 30)
+    read = lambda: sorted((r.cur_time.minute, r.message.rsplit(":", 1)[1]) for r in spark.read.parquet(out).collect())
+    raise_alerts(a.unionAll(a).unionAll(b), 0, out, seen)
+    assert read() == [(0, " a (1건),  b (1건)")]
+    raise_alerts(a.unionAll(c), 1, out, seen)              # a again: an overwrite, no insert
+    assert read() == [(0, " a (1건),  b (1건)"), (30, " a (1건)")]
+    for lost in (False, True):
+        if lost:
+            drop_staged(spark, f"{out}/_v=1")
+        raise_alerts(a.unionAll(c), 1, out, seen)          # the same micro-batch again
+        assert read() == [(0, " a (1건),  b (1건)"), (30, " a (1건)")]
+    raise_alerts(a.unionAll(b).unionAll(c), 2, out, seen)
+    assert len(read()) == 2
+
+
+def test_batches_run_once_when_complete(spark):
+    from surgewatch.streaming.stream import run_complete_batches
+    root, ckpt, runs = scratch_path(spark, "raw"), scratch_path(spark, "ckpt"), []
+    expected = spark.createDataFrame([("20240101T000000Z", 2), ("20240102T000000Z", 1), ("20240103T000000Z", 3)],
+                                     "batch string, expected_files int")
+
+    def land(*batches):
+        for b in batches:
+            spark.range(1).coalesce(1).write.mode("append").csv(f"{root}/{b}")
+        run_complete_batches(spark, root, lambda batch, folder: runs.append((batch, folder.rsplit("/", 1)[1])), ckpt,
+                             expected, 2).awaitTermination()    # each call: a restart from the checkpoint
+    land("20240103T000000Z", "20240101T000000Z")
+    assert runs == []
+    land("20240103T000000Z", "20240102T000000Z", "unknown")
+    assert runs == [("20240102T000000Z", "20240102T000000Z")]
+    land("20240101T000000Z", "20240103T000000Z")
+    assert runs[1:] == [(b, b) for b in ("20240101T000000Z", "20240103T000000Z")]
+    land("20240101T000000Z", "20240102T000000Z")                # late extra files: not a second run
+    assert len(runs) == 3
