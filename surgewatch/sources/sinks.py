@@ -68,6 +68,13 @@ def drop_staged(spark: SparkSession, *paths: str) -> None:
         fs.delete(hp, True)
 
 
+def drop_folders(spark: SparkSession, uris: list[str]) -> None:
+    """Remove folders named as ``_metadata.file_path`` names them (URI-encoded)."""
+    for u in uris:
+        hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(u))
+        hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
+
+
 def touched_days(rows: DataFrame, day_col: str) -> Column | None:
     """Filter, in literals, on the days of ``rows`` (null included); None without rows."""
     days = [r[0] for r in rows.select(day_col).distinct().limit(MAX_LISTED_DAYS + 1).collect()]
@@ -102,7 +109,8 @@ def replace_batch(rows: DataFrame, path: str, day_col: str, day_of: str, batch:
             F.col(day_col), F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1).alias("folder")).distinct()
         stale = [r["folder"] for r in stored.join(now, F.col(day_col).eqNullSafe(F.col("_d")), "left_anti").collect()]
     write_days(rows, path, day_col, "batch")
-    drop_staged(spark, staged, *stale)
+    drop_folders(spark, stale)
+    drop_staged(spark, staged)
 
 
 def upsert_by_day(new: DataFrame, path: str, keys: list[str], day_col: str, day_of: str,
@@ -140,7 +148,8 @@ def upsert_by_day(new: DataFrame, path: str, keys: list[str], day_col: str, day_
             folders = stored.select(day_col, F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1).alias("folder")).distinct()
             stale = [r["folder"] for r in folders.join(left, F.col(day_col).eqNullSafe(F.col("_d")), "left_anti").collect()]
     write_days(rows, path, day_col)
-    drop_staged(spark, *staged, *stale)
+    drop_folders(spark, stale)
+    drop_staged(spark, *staged)
     return read_stored(spark, path, new.schema).where(days).drop(day_col)
 
 
