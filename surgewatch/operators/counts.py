@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from surgewatch.functions.timefmt import bucket_start
 from surgewatch.operators.match import NO_MATCH
 from surgewatch.schema import COUNT_KEYS
+from surgewatch.session import checkpoint_dir
 
 
 def count_keyword(mapped: DataFrame) -> DataFrame:
@@ -57,21 +58,26 @@ def top_keywords(ckc: DataFrame, k: int | None = None) -> DataFrame:
     return ordered.limit(k) if k else ordered
 
 
-def ranked_keywords(ckc: DataFrame) -> DataFrame:
+def ranked_keywords(ckc: DataFrame, partitions: int | None = None) -> DataFrame:
     """All rows with their place in the order of ``top_keywords`` (``rank``, from 1).
 
-    Places are counted in two levels: within one (count_category, count_keyword) value,
-    then over the distinct values, which are as many as the counts differ.
+    The rows are range-partitioned on the whole order, keys included, so that equal counts
+    don't gather in one task, and numbered inside their partitions; the rows of the
+    partitions before are added.  Numbered rows are written to the checkpoint folder: a
+    lost executor can't number them anew.
     """
-    ties = Window.partitionBy("count_category", "count_keyword").orderBy(
-        *[F.asc_nulls_first(c) for c in COUNT_KEYS + ["keyword"]])
-    inside = ckc.withColumn("_in", F.row_number().over(ties))
-    values = ckc.groupBy("count_category", "count_keyword").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(F.desc("count_category"), F.desc("count_keyword")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    values = values.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    return inside.join(values, ["count_category", "count_keyword"]).select(
-        *ckc.columns, (F.col("_before") + F.col("_in")).cast("long").alias("rank"))
+    spark = ckc.sparkSession
+    checkpoint_dir(spark)
+    order = [F.desc("count_category"), F.desc("count_keyword"), *[F.asc_nulls_first(c) for c in COUNT_KEYS + ["keyword"]]]
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id()  # partition and row in it
+    inside = ckc.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
+        *ckc.columns, F.shiftright(place, 33).alias("_part"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_in")).checkpoint()
+    sizes = inside.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row per partition
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    return inside.join(F.broadcast(sizes), "_part").select(
+        *ckc.columns, (F.col("_before") + F.col("_in") + 1).cast("long").alias("rank"))
 
 
 def distinct_counts(cat_counts: DataFrame) -> DataFrame:

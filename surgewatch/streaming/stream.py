@@ -22,10 +22,11 @@ from collections.abc import Callable
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from surgewatch.config import VOLATILITY_ROWS
 from surgewatch.operators import alerts as A
 from surgewatch.operators import counts as C
 from surgewatch.operators.match import Matcher
@@ -36,7 +37,7 @@ from surgewatch.schema import COUNT_KEYS
 from surgewatch.functions.timefmt import bucket_start
 from surgewatch.schema import POST_RAW
 from surgewatch.sources.posts import CSV_OPTIONS, post_time
-from surgewatch.sources.sinks import drop_staged, stage, table_exists, upsert_by_day, write_alert_items, write_days
+from surgewatch.sources.sinks import drop_staged, read_stored, stage, table_exists, upsert_by_day, write_alert_items, write_days
 
 
 @contextmanager
@@ -130,8 +131,23 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("day")
 
 
+# Points kept per series, and the partitions of the table that keeps them.
+TAIL = 4 * VOLATILITY_ROWS
+BUCKETS = 32
+TAIL_ROWS = ("collected_time timestamp, channel string, query string, category string, count_category long, "
+             "whole boolean, bucket int")
+
+
+def _bucket() -> F.Column:
+    return F.pmod(F.xxhash64("channel", "query"), F.lit(BUCKETS)).cast("int")
+
+
 class StreamingMetrics:
-    """Counts and metrics kept current while post files arrive."""
+    """Counts and metrics kept current while post files arrive.
+
+    In rows mode a table of the last TAIL points per series is the state that metrics need:
+    a micro-batch reads it and the days it touches, whatever the history's length.
+    """
 
     def __init__(self, spark: SparkSession, matcher: Matcher, root: str, mode: str = "rows",
                  bucket_seconds: int = 1800, weights=None, watermark: str | None = None):
@@ -140,6 +156,7 @@ class StreamingMetrics:
         self.weights = weights
         self.counts_path = f"{self.root}/keyword_counts"
         self.metrics_path = f"{self.root}/metrics"
+        self.tails_path = f"{self.root}/tails"
 
     # -- batch side: one micro-batch of changed counts ---------------------------
     def _current_counts(self) -> DataFrame:
@@ -147,37 +164,95 @@ class StreamingMetrics:
 
     def _upsert(self, changed: DataFrame, batch_id: int) -> None:
         changed, staged = stage(changed)
-        upsert_by_day(changed, self.counts_path, COUNT_KEYS + ["keyword"], "day", "collected_time")
+        had_counts, had_tails = table_exists(self.spark, self.counts_path), table_exists(self.spark, self.tails_path)
+        touched = upsert_by_day(changed, self.counts_path, COUNT_KEYS + ["keyword"], "day", "collected_time")
         if not table_exists(self.spark, self.counts_path):  # no row yet
             drop_staged(self.spark, staged)
             return
         # A changed count moves its series' later points and the share of every
         # category in its snapshot, so the unit of recomputation is the
-        # (channel, query) pair: all its series, whole history (post-aggregate rows);
-        # only points at or after the pair's earliest changed snapshot can change.
+        # (channel, query) pair: all its series (post-aggregate rows); only points
+        # at or after the pair's earliest changed snapshot can change.
         pairs = (changed.groupBy("channel", "query")
                  .agg(F.min("collected_time").alias("_since")))
-        counts = self._current_counts()
+        kwargs = {"weights": self.weights} if self.weights else {}
+        staged_tails = []
         if self.mode == "time":
             # exact slots reach back six steps: older points cannot change any
             # recomputed row, and the day partitions before them are pruned
+            counts = self._current_counts()
             lo = pairs.agg(F.min("_since")).first()[0]
             if lo is not None:
                 lo = lo - dt.timedelta(seconds=self.step * HISTORY_SLOTS)
                 counts = (self.spark.read.parquet(self.counts_path)
                           .where(F.col("day") >= F.lit(lo.date()))
                           .where(F.col("collected_time") >= F.lit(lo)).drop("day"))
-        cats = C.category_from_keyword_counts(counts)
-        hist = cats.join(pairs.select("channel", "query"), ["channel", "query"], "left_semi")
-        kwargs = {"weights": self.weights} if self.weights else {}
-        if self.mode == "time":
+            cats = C.category_from_keyword_counts(counts)
+            hist = cats.join(pairs.select("channel", "query"), ["channel", "query"], "left_semi")
             m = calculate_metrics_time(hist, step_seconds=self.step, **kwargs)
         else:
-            m = calculate_metrics(hist, **kwargs)
+            points = C.category_from_keyword_counts(touched.join(
+                changed.select(*COUNT_KEYS).distinct(), COUNT_KEYS, "left_semi"))
+            hist, staged_tails = self._points(points, pairs, had_tails or not had_counts)
+            m = calculate_metrics(hist.select(*COUNT_KEYS, "count_category"), **kwargs)
         m = (m.join(pairs, ["channel", "query"]).where(F.col("cur_time") >= F.col("_since"))
              .drop("_since"))
         upsert_by_day(m, self.metrics_path, ["channel", "query", "category", "cur_time"], "day",
                       "cur_time")
+        if self.mode != "time":
+            self._write_tails(hist)
+        drop_staged(self.spark, staged, *staged_tails)
+
+    # -- rows mode: the last points of every series, so that a micro-batch needn't read the history
+
+    def _tails(self, pairs: DataFrame) -> DataFrame:
+        """Stored tails of the buckets that ``pairs`` fall into."""
+        buckets = [r[0] for r in pairs.select(_bucket().alias("b")).distinct().collect()]  # at most BUCKETS
+        return read_stored(self.spark, self.tails_path, TAIL_ROWS).where(F.col("bucket").isin(buckets))
+
+    def _points(self, points: DataFrame, pairs: DataFrame, tails_are_there: bool) -> tuple[DataFrame, list[str]]:
+        """What the metrics of ``pairs`` need: the tails with the changed ``points`` put in.
+
+        A pair whose tails don't reach VOLATILITY_ROWS points back of its earliest change (a
+        batch later than the tails are long) is read from the stored counts instead.
+        Returns the points with ``whole`` (whether the series has no others), and what to drop.
+        """
+        tail = self._tails(pairs).join(pairs.select("channel", "query"), ["channel", "query"], "left_semi")
+        series = ["channel", "query", "category"]
+        old = tail.select(*COUNT_KEYS, "count_category", "whole").join(points.select(*COUNT_KEYS), COUNT_KEYS, "left_anti")
+        merged = old.unionByName(points.withColumn("whole", F.lit(None).cast("boolean")))
+        known = F.coalesce(F.min("whole").over(Window.partitionBy(*series)), F.lit(tails_are_there))
+        # a series all of whose tail points changed keeps what its tail said
+        said = tail.groupBy(*series).agg(F.min("whole").alias("_said"))
+        merged = merged.withColumn("whole", known).join(said, series, "left").withColumn(
+            "whole", F.coalesce("_said", "whole")).drop("_said")
+        merged, staged = stage(merged)
+        reach = merged.join(pairs, ["channel", "query"]).groupBy(*series).agg(
+            F.min("whole").alias("whole"), F.count_if(F.col("collected_time") < F.col("_since")).alias("n"))
+        short, staged_short = stage(reach.where(~F.col("whole") & (F.col("n") < VOLATILITY_ROWS))
+                                    .select("channel", "query").distinct())
+        if short.isEmpty():
+            return merged, [staged, staged_short]
+        full = C.category_from_keyword_counts(self._current_counts().join(short, ["channel", "query"], "left_semi"))
+        return (merged.join(short, ["channel", "query"], "left_anti")
+                .unionByName(full.withColumn("whole", F.lit(True)))), [staged, staged_short]
+
+    def _write_tails(self, points: DataFrame) -> None:
+        """The last TAIL points of each series of ``points``; other series of the same buckets stay."""
+        series = ["channel", "query", "category"]
+        newest = Window.partitionBy(*series).orderBy(F.desc("collected_time"))
+        all_of = Window.partitionBy(*series)
+        rows = points.withColumns({"_r": F.row_number().over(newest), "_n": F.count(F.lit(1)).over(all_of)}) \
+            .withColumn("whole", F.col("whole") & (F.col("_n") <= TAIL)).where(F.col("_r") <= TAIL)
+        rows, staged = stage(rows.select(*COUNT_KEYS, "count_category", "whole", _bucket().alias("bucket")))
+        if table_exists(self.spark, self.tails_path):
+            own = rows.select("channel", "query").distinct()
+            others = self._tails(own).join(own, ["channel", "query"], "left_anti").select(*rows.columns)
+            more, staged_more = stage(rows.unionByName(others))
+            write_days(more, self.tails_path, "bucket")
+            drop_staged(self.spark, staged_more)
+        else:
+            write_days(rows, self.tails_path, "bucket")
         drop_staged(self.spark, staged)
 
     def start(self, posts: DataFrame, checkpoint: str, available_now: bool = True,

@@ -85,3 +85,19 @@ def test_join_strategy_never_explodes_texts(spark):
     a = {(r.doc_id, tuple(r.matched)) for r in m.match_keywords(p.unionAll(p)).collect()}
     b = {(r.doc_id, tuple(r.matched)) for r in plan_matcher(FX.wordbag(spark)).match_keywords(p).collect()}
     assert a == b
+
+
+def test_rank_of_equal_counts_is_spread(spark):
+    """All counts 1: every partition numbers a like share, and ranks are those of one sort."""
+    rows = spark.range(20_000).selectExpr(
+        "timestamp'2024-01-01' + make_interval(0,0,0,0,0,cast(id % 50 as int)) collected_time", "'X' channel",
+        "concat('q', id % 7) query", "concat('c', id % 3) category", "concat('k', id) keyword",
+        "1L count_category", "1L count_keyword")
+    got = C.ranked_keywords(rows, 8)
+    sizes = sorted(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+    keys = ["collected_time", "channel", "query", "category", "keyword"]
+    want = sorted(tuple(r) for r in rows.select(*keys).collect())
+    assert [tuple(r) for r in got.orderBy("rank").select(*keys).collect()] == want
+    assert [r[0] for r in got.orderBy("rank").select("rank").collect()] == list(range(1, 20_001))
+    assert C.ranked_keywords(rows.limit(0)).collect() == []

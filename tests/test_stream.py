@@ -116,3 +116,35 @@ def test_batches_run_once_when_complete(spark):
     assert runs[1:] == [(b, b) for b in ("20240101T000000Z", "20240103T000000Z")]
     land("20240101T000000Z", "20240102T000000Z")                # late extra files: not a second run
     assert len(runs) == 3
+
+
+def test_rows_mode_reads_tails_not_the_history(spark, monkeypatch):
+    """Points in order: the count history is never read, at any length; a late one reads it, and is right."""
+    from surgewatch.operators import counts as C
+    from surgewatch.operators.metrics_rows import calculate_metrics
+    from surgewatch.streaming import stream as ST
+    bag = spark.createDataFrame(FIXTURE_WORDBAG, "category string, keyword string")
+    sm = ST.StreamingMetrics(spark, plan_matcher(bag), scratch_path(spark, "sm-tails"), "rows", 1800)
+    reads, full = [], ST.StreamingMetrics._current_counts
+    monkeypatch.setattr(ST.StreamingMetrics, "_current_counts", lambda self: reads.append(1) or full(self))
+
+    def points(lo, hi, step=1, extra=0):
+        return spark.createDataFrame([(T0 + dt.timedelta(minutes=30 * k), "X", q, c, w, 1 + extra + (k * 7 + len(c)) % 5)
+                                      for k in range(lo, hi, step) for q in "qr" for c, w in (("price", "thing"), ("safety", "erin"))
+                                      if (k + len(c)) % 3], SCHEMA)
+
+    def check():
+        m = calculate_metrics(C.category_from_keyword_counts(full(sm)))
+        assert _rows(sm.metrics().select(*m.columns)) == _rows(m)
+    for i, (lo, hi) in enumerate([(0, 10), (10, 60), (59, 120)]):   # the last changes one more snapshot
+        sm._upsert(points(lo, hi), i)
+    assert reads == []
+    check()
+    tails = spark.read.parquet(sm.tails_path)
+    assert tails.groupBy("channel", "query", "category").count().agg(F.max("count")).first()[0] == ST.TAIL
+    sm._upsert(points(30, 31, extra=3).where("query = 'q'"), 3)     # later than the tails are long
+    assert reads == [1]
+    check()
+    sm._upsert(points(118, 121, extra=1), 4)
+    assert reads == [1]
+    check()
