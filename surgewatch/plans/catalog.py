@@ -742,6 +742,14 @@ def q_read_posts(spark, sf):
     return present(P.read_posts(spark, folder))
 
 
+def q_read_posts_split(spark, sf):
+    """The same, in one file with quoted line ends in every text, read by byte ranges."""
+    folder = scratch_path(spark, "raw-one")
+    own = posts(spark, sf).withColumn("text", F.concat(F.lit('said ""\n'), "text", F.lit('\n"end"')))
+    P.write_posts(own.coalesce(1), folder)
+    return present(P.read_posts(spark, folder, split=True))
+
+
 def q_query_list(spark, sf):
     """Query-list files (every event's type as a line, with comments and blank lines)."""
     folder = scratch_path(spark, "queries")

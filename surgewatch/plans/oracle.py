@@ -591,6 +591,8 @@ def _build(BUCKET: str, STEP_US: int, duration: float = 2.0, spike_bucket: str =
         "batch_time": """SELECT username, uploaded_time, channel, query, collected_time AS batch_time
             FROM posts""",
         "read_posts": "SELECT username, uploaded_time, collected_time, channel, query, text FROM posts",
+        "read_posts_split": """SELECT username, uploaded_time, collected_time, channel, query,
+            'said ""' || chr(10) || text || chr(10) || '"end"' AS text FROM posts""",
         "metric_series": f"""SELECT {_METRICS_OUT} FROM metrics_rows
             WHERE channel = '{Q.SERIES_PICK[0]}' AND query = '{Q.SERIES_PICK[1]}'
               AND category = '{Q.SERIES_PICK[2]}'

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from typing import Iterable
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surgewatch.functions.text import PY_SPACE_CLASS
@@ -27,8 +28,6 @@ BATCH_FOLDER_FORMAT = "yyyyMMdd'T'HHmmssX"
 
 # Older collectors' names of the post columns (fixed values).
 HEADER_NAMES = {"keyword": "query"}
-# Bytes of a file's start that hold its header line.
-HEADER_BYTES = 4096
 
 
 def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -36,19 +35,57 @@ def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"))
 
 
+def csv_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file, start, pos, value``: the lines of text files, read by byte ranges (``start``: where the
+    range begins) in any number of tasks; ``pos`` orders the lines of a range."""
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("pos"), "value")
+
+
+def csv_headers(lines: DataFrame) -> DataFrame:
+    """``file, names, crlf``: the column names in the first line of each file that has one, and its line end."""
+    line = F.regexp_replace(F.min_by("value", "pos"), '^\ufeff|"|\r$', "")
+    names = F.transform(F.split(line, ","), lambda c: F.regexp_replace(c, r"^\s+|\s+$", ""))
+    return lines.where("start = 0").groupBy("file").agg(names.alias("names"), F.min_by("value", "pos").endswith("\r").alias("crlf"))
+
+
+def csv_records(lines: DataFrame) -> DataFrame:
+    """``file, start, n, record``: the records of multi-line CSV files from their ``csv_lines``.
+
+    A line begins a record if the quotes before it in its file are even.  Quotes are summed
+    inside each byte range and then, one row per range, over a file's ranges, so a
+    range may begin anywhere, also inside a quoted text; its first lines then go to the
+    record that an earlier range began.  Blank lines between records are dropped.
+    """
+    order = Window.partitionBy("file", "start").orderBy("pos")  # a byte range's lines
+    odd = (F.length("value") - F.length(F.translate("value", '"', ""))) % 2
+    own = lines.withColumn("odd", odd)
+    own = own.withColumn("before", F.coalesce(F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2)
+    ranges = own.groupBy("file", "start").agg(
+        (F.sum("odd") % 2).alias("odd"), F.count_if(F.col("before") == 0).alias("begun0"), F.count_if(F.col("before") == 1).alias("begun1"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)  # a file's ranges
+    ranges = ranges.withColumn("inside", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
+    ranges = ranges.withColumn("begun", F.when(F.col("inside") == 0, F.col("begun0")).otherwise(F.col("begun1")))
+    ranges = ranges.withColumn("open", F.last(F.when(F.col("begun") > 0, F.struct("start", "begun")), ignorenulls=True).over(earlier))
+    own = own.join(ranges.select("file", "start", "inside", "open"), ["file", "start"])
+    begins = (F.col("before") + F.col("inside")) % 2 == 0
+    own = own.withColumn("n", F.count_if(begins).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    home = F.when(F.col("n") > 0, F.struct("start", F.col("n").alias("begun"))).otherwise(F.col("open"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "pos", "value"))), lambda x: x["value"]), "\n")
+    records = own.withColumn("home", home).groupBy("file", "home").agg(F.regexp_replace(text, "\r$", "").alias("record"))
+    return records.select("file", F.col("home.start").alias("start"), F.col("home.begun").alias("n"), "record").where("record <> ''")
+
+
 def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
     """The CSV files under ``path`` by their header's column names.
 
-    Executors read the files' starts; the driver gets one short row per file, as it
-    does when Spark lists them.  Files are below 2 GB (a collector's batch is far below).
+    Executors read the files' lines; the driver gets one short row per file, as it does
+    when Spark lists them.
     """
-    start = F.expr(f"cast(substring(content, 1, {HEADER_BYTES}) as string)")
-    line = F.regexp_replace(F.substring_index(F.substring_index(start, "\n", 1), "\r", 1), '^\ufeff|"', "")
-    rows = (spark.read.format("binaryFile").load(path).where("length > 0")
-            .select("path", line.alias("header")).collect())
     found: dict[tuple[str, ...], list[str]] = {}
-    for r in sorted(rows, key=lambda r: r["path"]):
-        found.setdefault(tuple(c.strip() for c in r["header"].split(",")), []).append(r["path"])
+    for r in sorted(csv_headers(csv_lines(spark, path)).collect(), key=lambda r: r["file"]):
+        found.setdefault(tuple(r["names"]), []).append(unquote(r["file"]))
     return found
 
 
@@ -65,24 +102,42 @@ def _by_header(spark: SparkSession, path: str | list[str]) -> list[tuple[tuple[s
              .options(**CSV_OPTIONS).csv(files)) for names, files in files_by_header(spark, path).items()]
 
 
+def _split_by_header(spark: SparkSession, path: str | list[str]) -> list[tuple[tuple[str, ...], DataFrame]]:
+    """As ``_by_header``, of files read by byte ranges; ``_file`` names each row's file."""
+    lines = csv_lines(spark, path)
+    headers = csv_headers(lines)
+    rows = csv_records(lines).where("start > 0 or n > 1").join(headers, "file")
+    out = []
+    for r in sorted(headers.select("names").distinct().collect()):  # the shapes of the files
+        names = tuple(r["names"])
+        schema = ", ".join(f"`{n}` string" for n in names)
+        record = F.when(F.col("crlf"), F.replace(F.col("record"), F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("record"))
+        parsed = F.from_csv(record, schema, {**CSV_OPTIONS, "header": "false"}).alias("r")
+        own = rows.where(F.col("names") == F.array(*map(F.lit, names))).select("file", parsed)
+        out.append((names, own.select(*[F.col("r")[n].alias(n) for n in names], F.col("file").alias("_file"))))
+    return out
+
+
 def read_posts(spark: SparkSession, path: str | list[str], typed: bool = True,
-               batch_time: str | None = None) -> DataFrame:
+               batch_time: str | None = None, split: bool = False) -> DataFrame:
     """A post batch: folder(s) of CSV files with header and quoted multi-line text.
 
     Columns go by header name, so files of older shapes (``keyword`` first, no
     ``query``) mix with current ones: one read per distinct header, missing columns
     null.  With ``typed`` the two time columns become UTC timestamps (epoch seconds
     or ISO text; unparseable -> null).  ``batch_time`` names an extra column with the
-    time of each row's batch folder.  multiLine CSV files cannot be split, so a batch
-    is read one task per file; land batches as parquet for anything wider.
+    time of each row's batch folder.  Spark's multiLine reader takes one task per file;
+    with ``split`` files are read by byte ranges instead (``csv_records``), with the same
+    rows, for files larger than a task should read; the lines of one file end alike, all in
+    CR LF (LF inside texts, as Spark's reader has it) or all in LF.
     """
     frames = []
-    for names, df in _by_header(spark, path):
+    for names, df in _split_by_header(spark, path) if split else _by_header(spark, path):
         have = {HEADER_NAMES.get(n, n): n for n in names if HEADER_NAMES.get(n) not in names}
         cols = [F.col(f"`{have[c]}`").alias(c) if c in have else F.lit(None).cast("string").alias(c)
                 for c in POST_COLUMNS]
         if batch_time:
-            df = with_batch_time(df, batch_time)
+            df = df.withColumn(batch_time, batch_time_of("_file")) if split else with_batch_time(df, batch_time)
             cols.append(F.col(batch_time))
         frames.append(df.select(*cols))
     if not frames:
@@ -97,10 +152,14 @@ def read_posts(spark: SparkSession, path: str | list[str], typed: bool = True,
     return df
 
 
+def batch_time_of(file: str) -> F.Column:
+    """Batch timestamp parsed from the ``.../{yyyyMMddTHHmmssZ}/`` folder of a file's path."""
+    return F.try_to_timestamp(F.regexp_extract(F.col(file), BATCH_FOLDER_RE, 1), F.lit(BATCH_FOLDER_FORMAT))
+
+
 def with_batch_time(df: DataFrame, out: str = "batch_time") -> DataFrame:
-    """Batch timestamp parsed from the ``.../{yyyyMMddTHHmmssZ}/`` folder of each row's file."""
-    folder = F.regexp_extract(F.col("_metadata.file_path"), BATCH_FOLDER_RE, 1)
-    return df.withColumn(out, F.try_to_timestamp(folder, F.lit(BATCH_FOLDER_FORMAT)))
+    """Batch timestamp of each row's file."""
+    return df.withColumn(out, batch_time_of("_metadata.file_path"))
 
 
 def write_batches(df: DataFrame, root: str, batch_col: str = "collected_time",

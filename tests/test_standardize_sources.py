@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from surgewatch.operators import standardize as STD
@@ -107,3 +108,48 @@ def test_merge_counts_newest_wins(spark):
     again = {r["category"]: r["count_category"]
              for r in SNK.merge_counts(SNK.merge_counts(old, new), new).collect()}
     assert again == got
+
+
+NASTY = ('"username","uploaded_time",collected_time,channel,query,text\n'
+         'a,1700000000,2024-01-01T00:00:00Z,X,q,"one, ""two""\nthree\n\nfour"\n'
+         '\n'
+         'b,,,X,,plain\n'
+         'c,x,y,"th""reads",q,"""\n\n""\n,,\n"\n'
+         'd,1700000001,,X,q,""\n'
+         'e,,,X,q, spaced \n'
+         'f,,,X,q,"no end of line"')
+
+
+@pytest.mark.parametrize("size", [7, 40, 1000])
+def test_split_csv_equals_the_plain_reader(spark, tmp_path, size):
+    """Byte ranges that begin in quoted texts, between CR and LF and in the header."""
+    from surgewatch.sources import posts as P
+    (tmp_path / "20240101T000000Z").mkdir()
+    (tmp_path / "20240102T000000Z").mkdir()
+    (tmp_path / "20240101T000000Z" / "a b.csv").write_bytes(("﻿" + NASTY).encode())
+    (tmp_path / "20240101T000000Z" / "crlf.csv").write_bytes(NASTY.replace("\n", "\r\n").encode())
+    (tmp_path / "20240102T000000Z" / "old.csv").write_bytes(b'keyword,username,text\nk,"u\n\n1","t ""\n"\nk2,u2,\n')
+    (tmp_path / "20240102T000000Z" / "empty.csv").write_bytes(b"")
+    (tmp_path / "20240102T000000Z" / "bare.csv").write_bytes(b"username,text")
+    key = "spark.sql.files.maxPartitionBytes"
+    old, path = spark.conf.get(key), f"{tmp_path}/*"
+    rows = lambda df: sorted(map(str, df.collect()))
+    want = rows(P.read_posts(spark, path, batch_time="b"))
+    assert len(want) == 14
+    try:
+        spark.conf.set(key, str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        lines = P.csv_lines(spark, path)
+        assert lines.rdd.getNumPartitions() > 300 / size
+        assert rows(P.read_posts(spark, path, batch_time="b", split=True)) == want
+    finally:
+        spark.conf.set(key, old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_long_header(spark, tmp_path):
+    from surgewatch.sources import posts as P
+    names = ["username", "text", *[f"column{i}" for i in range(2000)]]
+    (tmp_path / "wide.csv").write_text(",".join(names) + "\n" + ",".join(["u", "t"] + ["x"] * 2000) + "\n")
+    assert list(P.files_by_header(spark, str(tmp_path))) == [tuple(names)]
+    assert P.read_posts(spark, str(tmp_path)).select("username", "text").collect() == [("u", "t")]
