@@ -16,33 +16,50 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-KINDS = {"string": (str,), "integer": (int,), "number": (int, float), "boolean": (bool,), "object": (dict,), "array": (list,)}
+KINDS = {"string": (str,), "integer": (int, float), "number": (int, float), "boolean": (bool,), "object": (dict,), "array": (list,),
+         "null": (type(None),)}
 
 
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+    """Sorted keys, no white space; half a surrogate pair, which UTF-8 can't hold, is U+FFFD."""
+    text = json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":"), allow_nan=False)
+    try:
+        text.encode()
+        return text
+    except UnicodeEncodeError:
+        return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
+def _is(v, kind: str) -> bool:
+    """Whether a JSON value is of a schema's type; a float without a fraction is an integer."""
+    return isinstance(v, KINDS[kind]) and isinstance(v, bool) == (kind == "boolean") \
+        and (kind != "integer" or isinstance(v, int) or v.is_integer())
 
 
 def problems(arguments: str | None, schema: dict | None) -> tuple[object, list[str]]:
     """The parsed arguments (the string itself if it is no JSON), and what is wrong with them.
 
-    ``schema``: ``type``, ``properties``, ``required``, ``enum`` and
-    ``additionalProperties`` of JSON Schema, nested objects included.
+    ``schema``: ``type`` (one or a list), ``properties``, ``required``, ``enum``, ``items`` and
+    ``additionalProperties`` of JSON Schema, nested objects included; types it doesn't know
+    hold for no value.  NaN, infinities (numbers beyond a double, too) and what is nested deeper
+    than Python's parser goes aren't JSON here.
     """
     try:
         value = json.loads(arguments) if arguments is not None else {}
-    except ValueError:
+        canonical(value)
+    except (ValueError, RecursionError):
         return arguments, ["arguments: not JSON"]
     if schema is None:
         return value, ["unknown tool"]
     found: list[str] = []
 
     def check(at: str, v, s: dict) -> None:
-        kind = s.get("type")
-        if kind and (not isinstance(v, KINDS[kind]) or isinstance(v, bool) != (kind == "boolean")):
-            found.append(f"{at}: not {kind}")
+        kinds = s.get("type") or []
+        kinds = [kinds] if isinstance(kinds, str) else kinds
+        if kinds and not any(k in KINDS and _is(v, k) for k in kinds):
+            found.append(f"{at}: not {' or '.join(kinds)}")
             return
-        if "enum" in s and v not in s["enum"]:
+        if "enum" in s and not any(v == x and isinstance(v, bool) == isinstance(x, bool) for x in s["enum"]):
             found.append(f"{at}: not in enum")
         if isinstance(v, dict):
             known = s.get("properties", {})
@@ -99,7 +116,8 @@ def format_chats(messages: DataFrame, calls: DataFrame, results: DataFrame, sche
     results: the smallest content.  Calls without id, conversation or turn, and results without a call, are
     left out; calls of a turn without messages get their rows.  If a turn repeats messages, its
     calls hang on the first assistant message, else the first.  Null roles and
-    texts stay null in the JSON.  Empty tables: no rows of theirs.
+    texts stay null in the JSON.  Arguments that aren't JSON stand there as a string.  Empty
+    tables: no rows of theirs.
     """
     known = calls.filter("call_id is not null and conv_id is not null and turn is not null").select(
         "call_id", F.struct("conv_id", "turn", "seq", "name", "arguments",

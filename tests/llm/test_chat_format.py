@@ -16,6 +16,33 @@ def test_problems():
     assert problems("[]", None) == ([], ["unknown tool"])
 
 
+def test_odd_json():
+    """Half a pair, deep nesting, what Python takes for numbers, types in lists, floats without a fraction."""
+    half, wrong = problems('{"query":"\\ud83d"}', SCHEMAS["search"])
+    assert not wrong and canonical(half) == '{"query":"\ufffd"}' and canonical("\ud83d\ude00") == '"\U0001f600"'
+    for bad in ("[" * 100_000, "NaN", '{"limit": Infinity}', "[1e999]", "-Infinity", "", " ", "1" * 5000, "{}x"):
+        assert problems(bad, SCHEMAS["search"]) == (bad, ["arguments: not JSON"])
+    deep = '{"a":' * 5000 + "1" + "}" * 5000  # JSON or not, as deep as the parser goes: no crash
+    assert problems(deep, SCHEMAS["search"])[1]
+    either = {"properties": {"a": {"type": ["string", "null"]}, "b": {"type": "null"}, "c": {"type": "integer"}, "d": {"type": "odd"},
+                             "e": {"enum": [1, "x"]}}}
+    assert problems('{"a": null, "b": null, "c": 1.0, "e": 1.0}', either)[1] == []
+    assert problems('{"a": 1, "b": 0, "c": 1.5, "d": 1, "e": true}', either)[1] == [
+        "arguments.a: not string or null", "arguments.b: not null", "arguments.c: not integer", "arguments.d: not odd",
+        "arguments.e: not in enum"]
+    assert problems("true", {"type": "integer"})[1] == ["arguments: not integer"]
+
+
+def test_odd_json_in_spark(spark):
+    odd = ['{"query":"\\ud83d"}', "[" * 100_000, "NaN", '{"query":"' + "x" * 500_000 + '"}', None, ""]
+    calls = spark.createDataFrame([(1, 1, k, f"c{k}", "search", a, None, "x") for k, a in enumerate(odd)], CALLS)
+    messages = spark.createDataFrame([(1, 1, "assistant", "y" * 300_000)], "conv_id long, turn long, role string, text string")
+    results = spark.createDataFrame([("c0", "z" * 300_000)], "call_id string, content string")
+    rows = format_chats(messages, calls, results, SCHEMAS).collect()
+    assert [r.valid for r in sorted(rows, key=lambda r: r.part)] == [None, True, False, False, True, False, False]
+    assert all(json.loads(r.json) for r in rows)
+
+
 def test_order():
     assert order(["a", "b", "c"], [["b"], ["c", "z"], []]) == ([2, 1, 0], set())
     assert order(["a", "b", "c"], [["b"], ["a"], []]) == ([2, 0, 1], {0, 1})
