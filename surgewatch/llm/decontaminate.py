@@ -15,11 +15,13 @@ put in or left out), cells of offsets one item long, in steps of half an item (a
 with less than half an item of words put in or left out lies within one, without
 those beside it), and the whole document (parts far apart).  The place with the most
 windows is reported, of equals one with the item's own slot words.  An item found
-with other slot words than its own is re-parameterised.
+with other slot words than its own is re-parameterised.  Windows of placeholders only
+are no evidence of a template: they count where they hold the item's own words.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -61,20 +63,26 @@ def _canonical(w: Column, i: Column, x: Column, form: str = "own") -> Column:
                .when((i > 0) & p.isin(*UNITS) & _is_number(_plain(before)), F.lit(UNIT)).otherwise(p))
 
 
-def windows(rows: DataFrame, key: list[str], text_col: str = "text", width: int = WIDTH,
+def windows(rows: DataFrame, key: list[str], text_col: str = "text", widths: Sequence[int] = (WIDTH,),
             form: str = "own") -> DataFrame:
-    """``key``, ``i`` (first word), ``h`` (hash of the tokens), ``slots`` (words in them, null without any)."""
+    """``key``, ``i`` (first word), ``h`` (hash of the tokens), ``slots`` (words in them, null without any).
+
+    A window of placeholders only says nothing: its hash is of the words in them.
+    """
     marks = [F.xxhash64(F.lit(m)) for m in (NUMBER, NAME, UNIT)]
 
-    def cut_up(w: Column, h: Column) -> Column:
-        slotted = F.exists(h, lambda v: v.isin(*marks))
+    def cut_up(w: Column, h: Column, width: int, slotted: Column) -> Column:
         slots = lambda i: F.array_compact(F.array(*[
             F.when(F.get(h, i + k).isin(*marks), _plain(F.get(w, i + k))) for k in range(width)]))
-        return let(slotted, lambda s: F.transform(F.sequence(F.lit(0), F.size(h) - width), lambda i: F.struct(
-            i.alias("i"), F.xxhash64(*[F.get(h, i + k) for k in range(width)]).alias("h"),
-            F.when(s, slots(i)).alias("slots"))))
-    own = let(words(F.col(text_col).cast("string")), lambda w: F.when(F.size(w) >= width, let(
-        F.transform(w, lambda x, i: F.xxhash64(_canonical(w, i, x, form))), lambda h: cut_up(w, h))))
+        tokens = lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)])
+        at = F.when(F.size(h) >= width, F.sequence(F.lit(0), F.size(h) - width)).otherwise(F.array().cast("array<int>"))
+        none = F.lit(None).cast("array<string>")
+        return F.transform(at, lambda i: let(F.when(slotted, slots(i)).otherwise(none), lambda s: F.struct(
+            i.alias("i"), F.when(F.size(s) == width, F.xxhash64(F.lit("bare"), s)).otherwise(tokens(i)).alias("h"), s.alias("slots"))))
+    each = lambda w, h: let(F.exists(h, lambda v: v.isin(*marks)), lambda s: F.concat(
+        *[cut_up(w, h, k, s) for k in widths]))
+    own = let(words(F.col(text_col).cast("string")), lambda w: F.when(F.size(w) >= min(widths), let(
+        F.transform(w, lambda x, i: F.xxhash64(_canonical(w, i, x, form))), lambda h: each(w, h))))
     return rows.select(*key, F.inline(own)).withColumn("slots", F.when(F.size("slots") > 0, F.col("slots")))
 
 
@@ -82,17 +90,20 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     """``(doc_id, text_id, item_id, n_windows, n_found, similarity, reparameterised)`` for found items.
 
     ``docs(doc_id, text)``, ``items(item_id, text)``; other columns are not read.
-    Null texts and texts of fewer than ``width`` words have no window: such items
-    can't be found and such documents hold none.  Rows equal in id and text count as
-    one; null ids are values like any other.  Empty tables: no rows.
+    An item of fewer than ``width`` words is one window of its own length.  Null texts and
+    texts without words have no window: such items can't be found and such documents hold
+    none.  Rows equal in id and text count as one; null ids are values like any other.
+    Empty tables: no rows.
     """
     texts = items.select(F.col("item_id"), F.col("text")).distinct()
-    own = reduce(DataFrame.union, [windows(texts, ["item_id"], width=width, form=f) for f in FORMS])
+    size = F.least(F.size(words(F.col("text").cast("string"))), F.lit(width))
+    widths = sorted(r[0] for r in texts.select(size.alias("n")).distinct().filter("n > 0").collect()) or [width]  # at most `width`
+    own = reduce(DataFrame.union, [windows(texts.filter(size == k), ["item_id"], widths=(k,), form=f) for k in widths for f in FORMS])
     own = cut(own.select("item_id", F.col("i").alias("at"), "h", F.col("slots").alias("want")).distinct())
     n = own.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
     base = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_id"), "text")
     n = broadcast_if_small(n, n.count(), BROADCAST_WINDOWS)
-    hits = cut(windows(base, ["doc_id", "text_id"], width=width).join(
+    hits = cut(windows(base, ["doc_id", "text_id"], widths=widths).join(
         broadcast_if_small(own, own.count(), BROADCAST_WINDOWS), "h")
         .filter("slots is null or size(slots) = size(want)")
         .select("doc_id", "text_id", "i", "item_id", "at", "slots", "want").distinct())
@@ -127,7 +138,10 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` without the documents that hold an item."""
+    """``docs`` without the documents that hold an item; all columns are kept, whatever their names.
+
+    Rows equal in id and text go or stay together; null ids and texts, and empty tables, as in ``contaminated``.
+    """
     d, t = fresh(docs, "_d", "_t")
     bad = contaminated(docs, items, similarity).select(
         F.col("doc_id").alias(d), F.col("text_id").alias(t)).distinct()

@@ -73,8 +73,65 @@ def test_copies_are_judged_alone(spark):
     items = spark.createDataFrame([(7, short), (8, table), (9, ITEM)], "item_id long, text string")
     got = {(x.doc_id, x.item_id): (x.n_found == x.n_windows, x.reparameterised) for x in contaminated(
         spark.createDataFrame(texts, "doc_id long, text string"), items).collect()}
-    assert got == {(1, 7): (True, False), (2, 7): (True, False), (3, 7): (True, True), (4, 7): (True, True), (5, 8): (True, True),
-                   (6, 9): (True, False), (7, 9): (False, True)}
+    assert got == {(1, 7): (True, False), (2, 7): (True, False), (3, 7): (True, True), (4, 7): (True, True),
+                   (6, 9): (True, False), (7, 9): (False, True)}  # 5: a list of numbers isn't another one
+
+
+def test_short_items(spark):
+    """Of fewer than five words: one window of their own length."""
+    items = spark.createDataFrame([(1, "Paris is the capital"), (2, "What is 12 plus"), (3, "Berlin"), (4, " "), (5, "")],
+                                  "item_id long, text string")
+    texts = [(1, "we know that Paris is the capital of it"), (2, "Paris is a capital"), (3, "paris is the capital"),
+             (4, "so: What is 31 plus nothing"), (5, "from Berlin to Rome"), (6, "from Bonn to Rome"), (7, "Paris")]
+    got = {(x.doc_id, x.item_id): (x.n_windows, x.reparameterised) for x in contaminated(
+        spark.createDataFrame(texts, "doc_id long, text string"), items).collect()}
+    assert {k: v for k, v in got.items() if k != (2, 1)} == {
+        (1, 1): (1, False), (3, 1): (1, False), (4, 2): (1, True), (5, 3): (1, False)} and (2, 1) not in got
+
+
+def test_numbers_alone_are_no_template(spark):
+    """Documents of numbers hold no other lists of numbers, at a cost that grows with them; exact lists are found."""
+    import random
+    r = random.Random(3)
+    number = lambda n: " ".join(str(r.randrange(10 ** 6)) for _ in range(n))
+    lists = [number(30) for _ in range(20)]
+    texts = [(1, number(1000)), (2, number(8000)), (3, number(200) + " " + lists[7] + " " + number(200)), (4, "Total: " + lists[3])]
+    got = contaminated(spark.createDataFrame(texts, "doc_id long, text string"),
+                       spark.createDataFrame(list(enumerate(lists)), "item_id long, text string")).collect()
+    assert sorted((x.doc_id, x.item_id, x.n_found, x.reparameterised) for x in got) == [(3, 7, 26, False), (4, 3, 26, False)]
+
+
+def test_recall_of_planted_variants(spark, load):
+    """Items with other numbers and names inside documents of four languages."""
+    import random
+    r, hosts = random.Random(5), {}
+    for lang, text in load("documents", "sf0.01", "lang, text"):
+        if lang and 50 < len((text or "").split()) < 400:
+            hosts.setdefault(lang, []).append(text.split())
+    shapes = ["{A} bought {a} kg of apples and {b} kg of pears, and then {A} sold {c} kg of apples to the market in {B}.",
+              "Ein Zug fährt von {A} nach {B} in {a} Stunden, ein anderer braucht {b} Stunden; wie weit ist es bei {c} km pro Stunde?",
+              "Un train part de {A} vers {B} avec {a} voyageurs et en laisse {b} en route, puis {c} montent encore.",
+              "Un tren sale de {A} hacia {B} con {a} viajeros y deja {b} en camino, luego suben {c} personas."]
+    names = ["Anna", "Peter", "Berlin", "Paris", "Rosa", "Madrid", "Lyon", "Emil"]
+
+    def fill(shape):
+        a, b = r.sample(names, 2)
+        x, y, z = r.sample(range(2, 900), 3)
+        return shape.format(A=a, B=b, a=x, b=y, c=z)
+    items = [(i, fill(s)) for i, s in enumerate(shapes * 3)]
+    assert len(hosts) == 4
+    docs, planted = [], set()
+    for own in hosts.values():
+        for host in own[:15]:
+            i = r.randrange(len(items))
+            at = r.randrange(len(host))
+            planted.add((len(docs), i))
+            docs.append((len(docs), " ".join([*host[:at], fill(shapes[i % 4]), *host[at:]])))
+    got = {(x.doc_id, x.item_id) for x in contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                                       spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(planted & got) >= 0.9 * len(planted)
+    clean = spark.createDataFrame([(i, " ".join(h)) for own in hosts.values() for i, h in enumerate(own[:30])], "doc_id long, text string")
+    assert contaminated(clean, spark.createDataFrame(items, "item_id long, text string")).collect() == []
 
 
 def test_words_put_into_copies(spark):
