@@ -9,8 +9,8 @@ paths, are the host's template, and what stands between them fills its slots.
 
 A slot belongs to the main text unless it lies in a tag or class of menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles or comments.  Pages with an
-``article`` (else ``main``) element take its slots; its template texts go, unless little
-else is in it.  On other pages template texts are dropped, and the slots are those under
+``article`` (else ``main``) element take its slots, and the texts right in a ``main``
+around it; template texts go, unless little else is in it.  On other pages template texts are dropped, and the slots are those under
 the page's main paths: the deepest containers that hold most of the remaining text of the host's
 pages that have them, as long as no container around them holds text itself.
 """
@@ -47,14 +47,18 @@ MARKED = frozenset("ad ads adv advert adverts advertisement advertising sponsor
                    "consent gdpr notice notices alert popup modal overlay toast newsletter subscribe subscription signup login form "
                    "search share sharing social related recommended comment comments reply replies disqus pagination "
                    "pager toolbar widget copyright contentinfo complementary hidden".split())
-#: Names that say how an element looks or what a text is about, not what it is: their words mark nothing (fixed values).
-STATE = re.compile(r"^(?:has|no|not|with|without)[-_]|[-_](?:open|opened|closed|enabled|disabled)$"
-                   r"|^(?:long|short|free)[-_]?form$|[-_](?:works?|science|sciences|stud(?:y|ies)|research|history|theory|literature|security)$",
-                   re.I)
+#: Words that names of such elements have beside them (fixed values).
+STRUCTURE = frozenset("area bar block box btn button buttons col column container content group holder icon icons inner item items "
+                      "left links list module outer panel posts region right row section site top bottom wrap wrapper zone".split())
+#: Inside an article these name texts, too: a menu of dishes.
+TEXTS = frozenset("menu menus".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Marked by these words, an element stays marked however much it holds.
 ANSWERS = frozenset("comment comments reply replies disqus hidden".split())
 #: Tags that main paths are made of; other blocks, and the block that holds a text, belong to what is in the container.
 CONTAINERS = frozenset("html body div section".split())
+#: Tags that divide a page; what lies in none of them but ``main`` is its text, beside its article.
+SECTIONS = CONTAINERS | frozenset("article main nav aside header footer".split())
 #: A tag closes open ones of its row, up to the nearest tag that holds such (fixed by the HTML standard).
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("tr", "td", "th", "thead", "tbody")}
@@ -64,20 +68,34 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(
                     r"""<(/?)([A-Za-z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)(?:>|\Z)|[^<]+|<""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _NAME = re.compile(r"[A-Za-z]+")
+_HUMP = re.compile("([a-z])([A-Z])")
 _HOST = "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 _P_CLOSERS = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
                        "h6 header hr main menu nav ol p pre section table ul".split())
 
 
+def _marks(names: tuple[str, ...], inside: bool) -> set[str]:
+    """The marking words of names that hold nothing else but words of structure: of a longer name one word says
+    nothing (``share-price``, ``comments-open``)."""
+    found: set[str] = set()
+    for n in names:
+        words = {w.lower() for w in _NAME.findall(_HUMP.sub(r"\1 \2", n))}
+        known = (words & MARKED) - (TEXTS if inside else frozenset())
+        if known and words <= MARKED | STRUCTURE:
+            found |= known
+    return found
+
+
 class Open:
-    """An open tag: its name, its path with classes, and whether it is outside of, or the root of, main text.
+    """An open tag: its name, its path with classes (a hash), and whether it is outside of, or the root of, main text.
 
     ``box`` is the container of text directly in it, ``room`` the deepest container here (itself, if it is one) and
     ``up`` the container around that.  ``at`` is its number in the page, ``firm`` whether a tag or attribute puts it
-    outside, ``marks`` the numbers of the open tags whose names do, and ``held`` its article and main tags, marked or not.
+    outside, ``mark`` the outermost open tag whose name does (its number, whether it may be lifted), ``held`` its
+    article and main tags, marked or not, and ``part`` the nearest container or sectioning tag.
     """
 
-    __slots__ = ("tag", "path", "out", "root", "room", "box", "up", "flow", "firm", "marks", "held")
+    __slots__ = ("tag", "path", "out", "root", "room", "box", "up", "flow", "firm", "mark", "held", "part")
 
     def __init__(self, tag: str, names: tuple[str, ...], above: "Open | None", inside: bool, at: int = 0,
                  unseen: bool = False, plain: frozenset[int] = frozenset()):
@@ -87,14 +105,15 @@ class Open:
         self.flow = tag in CONTAINERS and (above is None or above.flow)
         self.room, self.up = (self, around) if self.flow else (around, around and around.up)
         own = tag + "".join(f".{n}" for n in names)
-        self.path = f"{above.path}/{own}" if above else own
-        words = {w.lower() for n in names if not STATE.search(n) for w in _NAME.findall(re.sub("([a-z])([A-Z])", r"\1 \2", n))}
+        self.path = _hash(f"{above.path if above else ''}/{own}")
+        self.part = tag if tag in SECTIONS or above is None else above.part
+        words = _marks(names, bool(above and above.root)) if tag not in HEADINGS else frozenset()
         # an article's own header holds its headings
         self.firm = bool(above and above.firm) or unseen or tag in OUTSIDE and not (tag == "header" and inside)
-        self.marks = above.marks if above else ()
-        if at not in plain and tag not in ("html", "body") and not words.isdisjoint(MARKED):
-            self.marks += ((at, words.isdisjoint(ANSWERS)),)
-        self.out = self.firm or bool(self.marks)
+        self.mark = above.mark if above else None
+        if self.mark is None and at not in plain and tag not in ("html", "body") and words:
+            self.mark = at, words.isdisjoint(ANSWERS)
+        self.out = self.firm or self.mark is not None
         kind = tag if tag in ("article", "main") else "main" if "role=main" in names else ""
         self.held = (above.held if above else frozenset()) | ({kind} if kind else frozenset())
         self.root = (above.root if above else frozenset()) | ({kind} if kind and not self.out else frozenset())
@@ -117,7 +136,7 @@ def nodes(page: str) -> list[tuple[str, Open | None, bool]]:
 def _misjudged(found: list[tuple[str, Open | None, bool]]) -> frozenset[int]:
     """Numbers of elements whose names mark them, but which hold most of the page's text, where no article is unmarked;
     with an unmarked main, or articles only in marked elements, just those that hold an article or main."""
-    if not any(w and w.marks for _, w, _ in found):
+    if not any(w and w.mark for _, w, _ in found):
         return frozenset()
     texts = [(len(t), w) for t, w, _ in found if t and not t.isspace() and w and not w.firm]
     if any("article" in w.root for _, w in texts):
@@ -125,10 +144,10 @@ def _misjudged(found: list[tuple[str, Open | None, bool]]) -> frozenset[int]:
     total, mass, holding = sum(n for n, _ in texts), Counter(), set()
     main = any(w.root for _, w in texts)
     for n, w in texts:
-        if w.marks and w.marks[0][1]:
-            mass[w.marks[0][0]] += n
+        if w.mark and w.mark[1]:
+            mass[w.mark[0]] += n
             if "article" in w.held or not main and w.held:
-                holding.add(w.marks[0][0])
+                holding.add(w.mark[0])
     heavy = frozenset(k for k, n in mass.items() if 2 * n > total and (k in holding or not main))
     if heavy or main:
         return heavy
@@ -137,7 +156,16 @@ def _misjudged(found: list[tuple[str, Open | None, bool]]) -> frozenset[int]:
 
 def _read(page: str, plain: frozenset[int]) -> Iterator[tuple[str, Open | None, bool]]:
     stack: list[Open] = []
+    open_tags: Counter = Counter()  # of the stack
     at, end = 0, len(page)
+
+    def close(tag: str) -> None:
+        """Up to the innermost open one of ``tag``."""
+        while True:
+            gone = stack.pop().tag
+            open_tags[gone] -= 1
+            if gone == tag:
+                return
     while at < end:
         m = _TOKEN.match(page, at)
         at = m.end()
@@ -151,19 +179,18 @@ def _read(page: str, plain: frozenset[int]) -> Iterator[tuple[str, Open | None,
         tag = tag.lower()
         block = tag not in INLINE
         if m[1]:
-            if any(o.tag == tag for o in stack):
-                while stack.pop().tag != tag:
-                    pass
+            if open_tags[tag]:
+                close(tag)
             elif tag == "p":
                 block = True
             yield "", stack[-1] if stack else None, block
             continue
-        if tag in _P_CLOSERS and any(o.tag == "p" for o in stack):
-            while stack.pop().tag != "p":
-                pass
+        if tag in _P_CLOSERS and open_tags["p"]:
+            close("p")
         elif tag in CLOSES:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k].tag in CLOSES[tag]:
+                    open_tags.subtract(o.tag for o in stack[k:])
                     del stack[k:]
                 elif stack[k].tag in HOLDS:
                     break
@@ -182,14 +209,15 @@ def _read(page: str, plain: frozenset[int]) -> Iterator[tuple[str, Open | None,
         own = Open(tag, names, stack[-1] if stack else None, bool(stack and stack[-1].root), m.start(), unseen, plain)
         yield " " if tag == "br" else "", own, block
         if tag in RAW:  # their content is text up to the end tag
-            close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            stop = close.start() if close else end
+            ending = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            stop = ending.start() if ending else end
             if stop > at:
                 yield page[at:stop], own, False
-            at = close.end() if close else end
+            at = ending.end() if ending else end
             yield "", stack[-1] if stack else None, block
         elif tag not in VOID and not (m[3] or "").endswith("/") or tag in ("p", "div"):
             stack.append(own)
+            open_tags[tag] += 1
 
 
 def _hash(s: str) -> int:
@@ -200,7 +228,7 @@ def _host(url_col: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(F.col(url_col).cast("string"), _HOST, 1), F.lit("")))
 
 
-def _text_token(path: str, text: str) -> int:
+def _text_token(path: int, text: str) -> int:
     return _hash(f"{path}\n{' '.join(text.split())}")
 
 
@@ -208,7 +236,7 @@ def tokens(page: str) -> tuple[Counter, bool]:
     """Token hash -> occurrences; and whether the page has an article or main."""
     seen, rooted = Counter(), False
     for text, where, _ in nodes(page):
-        path = where.path if where else ""
+        path = where.path if where else 0
         rooted = rooted or bool(where and where.root)
         if not text:
             seen[_hash(f"<{path}")] += 1
@@ -217,22 +245,22 @@ def tokens(page: str) -> tuple[Counter, bool]:
     return seen, rooted
 
 
-def containers(page: str, template: frozenset[int] = frozenset()) -> tuple[int, dict[str, int]]:
+def containers(page: str, template: frozenset[int] = frozenset()) -> tuple[int, dict[int, int]]:
     """Characters of the page's remaining text, and of each container without text directly in one around it
     (none for pages with article or main)."""
-    own: dict[str, list] = {}
+    own: dict[int, list] = {}
     for text, where, _ in nodes(page):
         if where and where.root:
             return 0, {}
         if text and not text.isspace() and where and not where.out and _text_token(where.path, text) not in template:
-            own.setdefault(where.box.path if where.box else "", [where.box, 0])[1] += len(text)
+            own.setdefault(where.box.path if where.box else 0, [where.box, 0])[1] += len(text)
     held: Counter = Counter()
     for box, n in own.values():
         chain = []
         while box:
             chain.append(box.path)
             box = box.up
-        if "" not in own:
+        if 0 not in own:
             for path in reversed(chain):
                 held[path] += n
                 if path in own:
@@ -240,7 +268,7 @@ def containers(page: str, template: frozenset[int] = frozenset()) -> tuple[int,
     return sum(n for _, n in own.values()), held
 
 
-def main_text(page: str, template: frozenset[int] = frozenset(), main_paths: frozenset[str] = frozenset()) -> str:
+def main_text(page: str, template: frozenset[int] = frozenset(), main_paths: frozenset[int] = frozenset()) -> str:
     """The page's main text: blocks joined by newlines."""
     found, roots = [], set()
     blocks: list[list[tuple[Open | None, str]]] = []
@@ -258,7 +286,7 @@ def main_text(page: str, template: frozenset[int] = frozenset(), main_paths: fro
     def remains(w: Open | None, text: str) -> bool:
         return w is None or not w.out and _text_token(w.path, text) not in template
 
-    def around(w: Open | None) -> Iterator[str]:
+    def around(w: Open | None) -> Iterator[int]:
         """The host's main paths that hold ``w``, the deepest first."""
         box = w.box if w else None
         while box:
@@ -266,7 +294,7 @@ def main_text(page: str, template: frozenset[int] = frozenset(), main_paths: fro
                 yield box.path
             box = box.up
 
-    deepest: set[str] = set()  # main paths of this page without another one below
+    deepest: set[int] = set()  # main paths of this page without another one below
     if main_paths and not kind:
         chains = {tuple(around(w)) for pieces in blocks for w, t in pieces if w and not t.isspace() and remains(w, t)}
         deepest = {c[0] for c in chains if c} - {above for c in chains for above in c[1:]}
@@ -278,7 +306,8 @@ def main_text(page: str, template: frozenset[int] = frozenset(), main_paths: fro
 
     def taken(w: Open | None, text: str) -> bool:
         if kind:
-            return w is not None and not w.out and kind in w.root and (whole or remains(w, text))
+            own_text = w is not None and (kind in w.root or "main" in w.root and w.part == "main")
+            return own_text and not w.out and (whole or remains(w, text))
         return remains(w, text) and (not deepest or any(p in deepest for p in around(w)))
 
     for pieces in blocks:
@@ -289,7 +318,7 @@ def main_text(page: str, template: frozenset[int] = frozenset(), main_paths: fro
 
 
 def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(host, template array<long>, main_paths array<string>)`` of the hosts with a valid class or a main path."""
+    """``(host, template array<long>, main_paths array<long>)`` of the hosts with a valid class or a main path."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
@@ -310,7 +339,7 @@ def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "
                 rows += [(host, p, n, whole) for p, n in held.items()]
             cols = zip(*rows) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                cols, (pa.string(), pa.string(), pa.int64(), pa.int64()))], ["host", "path", "n", "whole"])
+                cols, (pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["host", "path", "n", "whole"])
     own = pages.select(F.xxhash64(id_col, url_col).alias("key"), _host(url_col).alias("host"),
                        F.col(html_col).cast("string").alias("html"))
     seen = own.mapInArrow(run, "host string, token long, key long, n long")
@@ -327,10 +356,10 @@ def deduce_templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     bare = summed.filter("token is null").select("host")  # hosts of pages without article or main
     n_bare = bare.count()
     if not n_bare:
-        return template.withColumn("main_paths", F.lit(None).cast("array<string>"))
+        return template.withColumn("main_paths", F.lit(None).cast("array<long>"))
     weighed = (own.select("host", "html").join(broadcast_if_small(bare, n_bare, BROADCAST_HOSTS), "host", "left_semi")
                .join(broadcast_if_small(template, template.count(), BROADCAST_HOSTS), "host", "left")
-               .mapInArrow(weigh, "host string, path string, n long, whole long"))
+               .mapInArrow(weigh, "host string, path long, n long, whole long"))
     # a path is judged by the pages that have it, so layouts of a host don't touch each other
     main = weighed.groupBy("host", "path").agg(
         F.count("*").alias("pages"), F.sum("n").alias("n"), F.sum("whole").alias("whole")).filter(

@@ -52,6 +52,29 @@ def test_names_that_mark_no_boilerplate():
     assert main_text("<article>a<section class='related-work'>b</section></article>") == "a\nb"
 
 
+def test_longer_names_and_headings_stay():
+    """One word of a longer name, or a heading's id, marks nothing; whole names of boilerplate do."""
+    for own in ("<h2 class='search-title'>text</h2>", "<h2 id='related-papers'>text</h2>", "<h2 id='comments'>text</h2>",
+                "<p class='notice-board'>text</p>", "<div class='form-factor'>text</div>", "<div class='share-price'>text</div>",
+                "<ul class='menu'><li>text</ul>", "<div id='social-security'>text</div>", "<p class='footer-note'>text</p>"):
+        assert main_text(f"<article><p>{'story ' * 20}</p>{own}</article>") == f"{'story ' * 20}".strip() + "\ntext", own
+    for own in ("<div class='share-buttons'>x</div>", "<div class='relatedPosts'>x</div>", "<p class='ad'>x</p>",
+                "<div class='newsletter-signup box'>x</div>", "<div id='comments-area'>x</div>", "<div class='sidebar'>x</div>"):
+        assert main_text(f"<article><p>{'story ' * 20}</p>{own}</article>") == f"{'story ' * 20}".strip(), own
+    assert main_text("<main><p>intro</p><div>side</div><article>story</article><nav>n</nav></main><p>out</p>") == "intro\nstory"
+
+
+def test_deep_nesting_in_linear_memory():
+    """50,000 open tags, marked ones too."""
+    import tracemalloc
+    for tag in ("<div>", "<div class='x y'>", "<b class=widget>"):
+        tracemalloc.start()
+        text = main_text("<article>deep</article>" + tag * 50_000 + "deep")
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert text == "deep" and peak < 100e6, (tag, peak)
+
+
 def host_pages(n):
     return [(i, f"https://h.example.com/{i}", f"""<html><body><div class="top">Daily paper</div><div class="wrap"><div class="body"><p>Story {i}
         about {'things ' * (20 + i)}</p><p>More of {i}. {'words ' * 30}</p></div><div class="right"><p>Always the same text</p></div></div>
