@@ -137,20 +137,26 @@ class _Block:
         self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
         words = zstandard.ZstdDecompressor().decompress(row.words).split()
         keys = np.array(_MARKS + [xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-        learn = np.repeat(self.learn, sizes).astype(np.float64)
-        count = lambda at, n: np.bincount(at[at >= 0], learn[at >= 0], n).astype(np.int64)
+        learn = np.repeat(self.learn, sizes)
+        count = lambda at, n: np.bincount(at[learn & (at >= 0)], minlength=n)
         own = np.arange(len(keys))
         self.grams = [_Grams(self.seq, keys, count(self.seq, len(keys)), own, own, own)]
         for _ in range(1, order):
             low = self.grams[-1]
-            before = np.concatenate([[-1], low.at[:-1]]).astype(np.int64)
-            ends = np.flatnonzero((before >= 0) & (self.seq != START))
-            codes, first, which = np.unique(before[ends] * len(keys) + self.seq[ends], return_index=True, return_inverse=True)
+            here = self.seq != START  # the first place is a start
+            here[1:] &= low.at[:-1] >= 0
+            ends = np.flatnonzero(here)
+            codes = low.at[ends - 1].astype(np.int64)
+            codes *= len(keys)
+            codes += self.seq[ends]
+            codes, first, which = np.unique(codes, return_index=True, return_inverse=True)
             at = np.full(len(self.seq), -1, np.int32)
-            at[ends] = which
+            at[here] = which
+            lower = low.at[ends[first]]
+            del which, ends, first
             history, word = np.divmod(codes, len(keys))
-            self.grams.append(_Grams(at, _mix(low.keys[history], keys[word]), count(at, len(codes)), history,
-                                     low.at[ends[first]], word))
+            self.grams.append(_Grams(at, _mix(low.keys[history], keys[word]), count(at, len(codes)),
+                                     history.astype(np.int32), lower, word.astype(np.int32)))
 
 
 def _parts(keys: np.ndarray, partitions: int) -> Iterator[tuple[int, slice]]:
@@ -342,12 +348,14 @@ def _score(orders: list[Order]):
             own = _Block(row, len(orders))
             model = _Model(own, answers[answers["kind"] == 1], orders)
             score = model.log_probabilities(answers[answers["kind"] == 2])
-            c, token = model.totals[0][own.seq], own.seq != START
-            base = np.where(token, np.log10((c + 1) / (orders[0].total + orders[0].distinct + 1)), 0.0)
             per = lambda x: np.add.reduceat(x, own.starts)
+            score, c = per(score), model.totals[0]
+            base = np.log10((c + 1) / (orders[0].total + orders[0].distinct + 1))
+            known = (c > 0).astype(np.int64)
+            base[START] = known[START] = 0
             out.append(pd.DataFrame({
                 "id": pd.array(own.ids, "Int64").copy(), "learned": own.learn, "n_tokens": own.sizes - 1,
-                "n_known": per((token & (c > 0)).astype(np.int64)), "base_score": per(base), "score": per(score)}))
+                "n_known": per(known[own.seq]), "base_score": per(base[own.seq]), "score": score}))
             out[-1].loc[own.null_ids, "id"] = pd.NA
         return pd.concat(out) if out else pd.DataFrame(columns=SCORES)
     return run
