@@ -1,17 +1,19 @@
 """Post standardization: the collectors' row rules as DataFrame operators.
 
-Deduplication keeps the first row per key with ``min_by`` in a grouped
-aggregate rather than ``row_number`` over a window: the aggregate combines
-map-side, so a key holding a third of all rows still costs one row per map
-task before the shuffle.
+Deduplication finds the first row per key in a grouped aggregate rather than
+by ``row_number`` over a window: the aggregate combines map-side, so a key
+holding a third of all rows still costs one row per map task before the
+shuffle.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surgewatch.config import QUERY_CAP
 from surgewatch.functions.text import clean_post_text, flatten_text
@@ -62,16 +64,45 @@ def drop_empty_posts(posts: DataFrame, text: str = "text", username: str = "user
     return posts.where((u.isNotNull() & (u != "")) | (t.isNotNull() & (t != "")))
 
 
+# Order columns that fit beside a tie's hash in one fixed-width number.
+_PLACES = {T.ByteType: lambda c: c, T.ShortType: lambda c: c, T.IntegerType: lambda c: c, T.LongType: lambda c: c,
+           T.DateType: F.unix_date, T.TimestampType: F.unix_micros,
+           T.TimestampNTZType: lambda c: F.unix_micros(c.cast("timestamp"))}
+
+
+def _place(df: DataFrame, order: Column, tie: Column) -> Column | None:
+    """``order`` (nulls first), then 62 bits of ``tie``, as one decimal; None for other types."""
+    as_long = _PLACES.get(type(df.select(order.alias("o")).schema["o"].dataType))
+    if as_long is None:
+        return None
+    whole = lambda c: c.cast("decimal(20,0)")
+    first = F.coalesce(whole(as_long(order).cast("long")) + F.lit(Decimal(2 ** 63 + 1)), F.lit(Decimal(0)))
+    return (whole(first) * F.lit(Decimal(2 ** 62)) + whole(F.shiftrightunsigned(tie, 2))).cast("decimal(38,0)")
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """One row per key: the row with the smallest ``order`` (a grouped min_by).
+    """One row per key: the row with the smallest ``order``, nulls first.
+
+    Ties in ``order`` are broken by a hash of the columns, so the result is deterministic.
+    Null keys form their own group.
 
-    Ties in ``order`` are broken by a hash of the remaining columns, so the result
-    is deterministic.  Null keys form their own group.
+    With one order column of a number, date or time the winners are found without the rows:
+    a hash aggregate over 128 bits of the key and one fixed-width place, combined map-side.  The
+    rows then meet the winners on key and place, so a hot key's rows spread by their places,
+    and equal rows are numbered.  Other orders carry the rows in a grouped ``min_by``.
     """
     others = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[_c(o) for o in order], F.xxhash64(*others))
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*others), ordering).alias("_first"))
-    return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in others]).select(*df.columns)
+    place = _place(df, _c(order[0]), F.xxhash64(*df.columns)) if len(order) == 1 else None
+    if place is None:
+        ordering = F.struct(*[_c(o) for o in order], F.xxhash64(*others))
+        picked = df.groupBy(*keys).agg(F.min_by(F.struct(*others), ordering).alias("_first"))
+        return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in others]).select(*df.columns)
+    # 128 bits of the key
+    own = {"_k": F.xxhash64(*keys), "_l": F.xxhash64(F.lit(1), *keys), "_p": place}
+    winners = df.select(*[c.alias(n) for n, c in own.items()]).groupBy("_k", "_l").agg(F.min("_p").alias("_p"))
+    rows = df.withColumns(own).join(winners, list(own), "left_semi")
+    same = Window.partitionBy(*own).orderBy("_p")
+    return rows.withColumn("_r", F.row_number().over(same)).where("_r = 1").select(*df.columns)
 
 
 def dedupe_page(posts: DataFrame, page_keys: Sequence[str], order: Sequence[str | Column],

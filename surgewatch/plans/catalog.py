@@ -23,6 +23,7 @@ from surgewatch.operators import alerts as A
 from surgewatch.operators import counts as C
 from surgewatch.operators import spikes as S
 from surgewatch.operators import standardize as STD
+from surgewatch.operators import pieces as PC
 from surgewatch.operators.match import normalize_wordbag, plan_matcher
 from surgewatch.operators.metrics_time import exact_lags
 from surgewatch.plans import run_job
@@ -33,6 +34,7 @@ from surgewatch.session import scratch_path
 from surgewatch.sources import posts as P
 from surgewatch.sources import sinks as SNK
 from surgewatch.streaming import stream as ST
+from surgewatch.streaming.final_counts import FinalCounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -335,6 +337,30 @@ def q_exceed_streak_reference(spark, sf):
                                                    "streak"))
 
 
+# Fixed parameters: time ranges that series are cut into.
+SPIKE_PIECE, METRIC_PIECE = 5 * 3600, 3 * 86400
+
+
+def _spikes_pieces(spark, sf, reference_offset=False):
+    cnt = C.bucket_counts(heads(spark, sf), "uploaded_time", SPIKE_BUCKET)
+    return PC.spike_table_pieces(cnt, SPIKE_PIECE, SPIKE_THRESHOLD, reference_offset=reference_offset)
+
+
+def q_spikes_pieces(spark, sf):
+    """All spike columns, every channel's series cut into pieces of five hours."""
+    return present(_spikes_pieces(spark, sf).select(
+        "channel", "bucket_ts", "cnt", "prev_cnt", "growth", "count_ma", "growth_rate_ma", "exceed", "streak"))
+
+
+def q_exceed_streak_reference_pieces(spark, sf):
+    return present(_spikes_pieces(spark, sf, True).select("channel", "bucket_ts", "growth", "exceed", "streak"))
+
+
+def q_metrics_rows_pieces(spark, sf):
+    """Rows-mode metrics, every series cut into pieces of three days."""
+    return present(PC.calculate_metrics_pieces(job(spark, sf).category_counts(), METRIC_PIECE))
+
+
 def q_streak_alerts(spark, sf):
     cnt = C.bucket_counts(heads(spark, sf), "uploaded_time", STREAK_BUCKET)
     return present(S.streak_alerts(S.spike_table(cnt, STREAK_THRESHOLD)))
@@ -774,6 +800,14 @@ def q_metric_series(spark, sf):
         "cur_time", F.col("cur_time").cast("timestamp_ntz")))
 
 
+def q_metric_series_stored(spark, sf):
+    """The same series read from the stored table: its days, and there its files and row groups."""
+    ch, q, cat, start, end = SERIES_PICK
+    folder = scratch_path(spark, "metrics")
+    SNK.write_metrics(_rows(spark, sf), folder)
+    return present(SNK.metric_series(spark.read.parquet(folder), ch, q, cat, start, end).drop("created_at", "cur_date"))
+
+
 # -- streaming (STR-*): streamed results equal to the batch results ---------------
 
 # Fixed parameters: arriving post files are weekly slices of the posts.
@@ -873,6 +907,23 @@ def q_stream_counts_late(spark, sf):
     return _stream_counts(spark, sf, back=True)
 
 
+# Fixed parameters: the order in which the weekly slices come, and the watermark's delay.
+FINAL_ORDER, FINAL_DELAY = (0, 2, 1, 3), "1 day"
+
+
+def q_stream_final_counts(spark, sf):
+    """Counts given out once under a watermark; the second week comes after the third, and is late."""
+    p = posts(spark, sf)
+    fc = FinalCounts(spark, plan_matcher(FX.wordbag(spark)), scratch_path(spark, "final"), FX.DEFAULT_BUCKET, FINAL_DELAY)
+    folder, ckpt, conds = scratch_path(spark, "arrivals"), scratch_path(spark, "ckpt"), _slices(p)
+    for k in FINAL_ORDER:
+        p.where(conds[k]).write.mode("append").parquet(folder)
+        fc.start(ST.read_post_stream(spark, folder, p.schema), ckpt, _state_parts(spark)).awaitTermination()
+    late = fc.late().groupBy(*COUNT_KEYS).agg(F.count(F.lit(1)).alias("count_category"))
+    return present(fc.final().withColumn("status", F.lit("final")).unionByName(fc.open().withColumn("status", F.lit("open")))
+                   .unionByName(late.withColumn("status", F.lit("late"))))
+
+
 def q_stream_counts_large_bag(spark, sf):
     """A wordbag far beyond a literal set, streamed."""
     return _stream_counts(spark, sf, bag=large_bag(spark, sf))

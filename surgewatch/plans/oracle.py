@@ -428,6 +428,8 @@ def _build(BUCKET: str, STEP_US: int, duration: float = 2.0, spike_bucket: str =
         "centered_ma": "SELECT channel, bucket_ts, cnt, round(count_ma, 6) AS count_ma FROM spikes",
         "ma_growth": """SELECT channel, bucket_ts, round(count_ma, 6) AS count_ma,
             round(growth_rate_ma, 6) AS growth_rate_ma FROM spikes""",
+        "spikes_pieces": """SELECT channel, bucket_ts, cnt, prev_cnt, round(growth, 6) AS growth, round(count_ma, 6) AS count_ma,
+            round(growth_rate_ma, 6) AS growth_rate_ma, exceed, streak FROM spikes""",
         "exceed_streak": "SELECT channel, bucket_ts, round(growth, 6) AS growth, exceed, streak FROM spikes",
         "exceed_streak_reference": """SELECT channel, bucket_ts, round(growth, 6) AS growth, exceed,
             CAST(CASE WHEN exceed = 1 THEN streak + (CASE WHEN island > 0 THEN 1 ELSE 0 END) ELSE 0 END
@@ -541,6 +543,11 @@ def _build(BUCKET: str, STEP_US: int, duration: float = 2.0, spike_bucket: str =
             FROM posts""",
         "stream_counts": "SELECT * FROM cat",
         "stream_counts_late": "SELECT * FROM cat",
+        "stream_final_counts": f"""SELECT *, CASE
+              WHEN collected_time >= TIMESTAMP '{Q.STREAM_SLICES[0]}' AND collected_time < TIMESTAMP '{Q.STREAM_SLICES[1]}'
+              THEN 'late'
+              WHEN collected_time + INTERVAL '{BUCKET}' <= (SELECT max(collected_time) FROM cat) - INTERVAL '{Q.FINAL_DELAY}'
+              THEN 'final' ELSE 'open' END AS status FROM cat""",
         "stream_counts_large_bag": _LARGE_BAG,
         "count_category_large_bag": _LARGE_BAG,
         "stream_recent": """SELECT post_id, uploaded_time, collected_time FROM posts
@@ -645,4 +652,7 @@ def oracle_sql() -> dict[str, str]:
         sql[key] = full(**kwargs)[key]
     sql |= {key: _MATCHES + body for key, body in _MATCH_BODIES.items()}
     sql["counts_upsert_path"] = sql["counts_upsert"]
+    sql["metric_series_stored"] = sql["metric_series"]
+    sql["metrics_rows_pieces"] = sql["metrics_rows"]
+    sql["exceed_streak_reference_pieces"] = sql["exceed_streak_reference"]
     return {k: v for k, v in sql.items() if k not in Q.NO_ORACLE}

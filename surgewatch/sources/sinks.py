@@ -88,8 +88,14 @@ def touched_days(rows: DataFrame, day_col: str) -> Column | None:
     return some | F.col(day_col).isNull() if None in days else some
 
 
-def write_days(rows: DataFrame, path: str, *partitions: str) -> None:
-    """Replace the partitions that ``rows`` holds (an option of this write only)."""
+def write_days(rows: DataFrame, path: str, *partitions: str, cluster: list[str] | None = None) -> None:
+    """Replace the partitions that ``rows`` holds (an option of this write only).
+
+    ``cluster``: files of a partition hold ranges of these columns, sorted, so a reader of few
+    of their values skips the other files and row groups by their statistics.
+    """
+    if cluster:
+        rows = rows.repartitionByRange(*partitions, *cluster).sortWithinPartitions(*partitions, *cluster)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partitions).parquet(path))
 
@@ -114,10 +120,11 @@ def replace_batch(rows: DataFrame, path: str, day_col: str, day_of: str, batch:
 
 
 def upsert_by_day(new: DataFrame, path: str, keys: list[str], day_col: str, day_of: str,
-                  gone: DataFrame | None = None) -> DataFrame:
+                  gone: DataFrame | None = None, cluster: list[str] | None = None) -> DataFrame:
     """Keyed upsert into a parquet table partitioned by ``day_col`` (= date of ``day_of``).
 
     ``gone``: stored rows that this write takes away, by their ``keys`` and ``day_col``.
+    ``cluster``: as in ``write_days``.
 
     Touched days are rewritten as (stored rows whose key is not in the batch) +
     batch rows, staged in the shared checkpoint folder first.  Keys compare
@@ -147,7 +154,7 @@ def upsert_by_day(new: DataFrame, path: str, keys: list[str], day_col: str, day_
             left = rows.select(F.col(day_col).alias("_d")).distinct()
             folders = stored.select(day_col, F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1).alias("folder")).distinct()
             stale = [r["folder"] for r in folders.join(left, F.col(day_col).eqNullSafe(F.col("_d")), "left_anti").collect()]
-    write_days(rows, path, day_col)
+    write_days(rows, path, day_col, cluster=cluster)
     drop_folders(spark, stale)
     drop_staged(spark, *staged)
     return read_stored(spark, path, new.schema).where(days).drop(day_col)
@@ -225,7 +232,7 @@ METRIC_KEYS = ["channel", "query", "category", "cur_time"]
 def write_metrics(metrics: DataFrame, path: str | None = None, jdbc_url: str | None = None,
                   table: str = "metrics", properties: dict | None = None, pairs: DataFrame | None = None) -> None:
     """Metrics sink: a parquet table keyed by (channel, query, category, cur_time) and
-    partitioned by day, where a replayed batch replaces its own rows; or JDBC append when
+    partitioned by day, where a replayed batch replaces its own rows and each day's are clustered by series; or JDBC append when
     a URL is given (as the reference), which is at-least-once: a replay appends again.
 
     ``pairs`` (``channel, query, _since``): ``metrics`` is all there is of them from ``_since``
@@ -243,7 +250,7 @@ def write_metrics(metrics: DataFrame, path: str | None = None, jdbc_url: str | N
             old = stored.where(F.col("cur_date") >= F.lit(since).cast("date")).select(*METRIC_KEYS, "cur_date")
             old = old.join(pairs, ["channel", "query"]).where(F.col("cur_time") >= F.col("_since")).drop("_since")
             gone = old.join(out.select(*METRIC_KEYS), METRIC_KEYS, "left_anti")
-    upsert_by_day(out, path, METRIC_KEYS, "cur_date", "cur_time", gone)
+    upsert_by_day(out, path, METRIC_KEYS, "cur_date", "cur_time", gone, cluster=METRIC_KEYS)
 
 
 def metric_series(metrics: DataFrame, channel: str, query: str, category: str,

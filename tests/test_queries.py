@@ -37,7 +37,8 @@ def test_every_query_has_an_oracle_or_is_listed(spark):
 
 
 @pytest.mark.parametrize("key", ["count_category", "metrics_rows", "metrics_time", "extract_alert",
-                                 "alert_message", "exceed_streak", "map_with_wordbag_join",
+                                 "alert_message", "exceed_streak", "spikes_pieces", "metrics_rows_pieces", "metric_series_stored", "dedupe_posts",
+                                 "stream_final_counts", "map_with_wordbag_join",
                                  "stream_counts", "job_late_batch", "job_same_snapshot", "read_posts_legacy",
                                  "merge_posts_mixed", "counts_upsert_path", "match_keywords_join", "match_keywords", "keyword_hits",
                                  "keyword_misses"])

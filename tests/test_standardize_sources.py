@@ -153,3 +153,62 @@ def test_long_header(spark, tmp_path):
     (tmp_path / "wide.csv").write_text(",".join(names) + "\n" + ",".join(["u", "t"] + ["x"] * 2000) + "\n")
     assert list(P.files_by_header(spark, str(tmp_path))) == [tuple(names)]
     assert P.read_posts(spark, str(tmp_path)).select("username", "text").collect() == [("u", "t")]
+
+
+def test_dedupe_finds_winners_without_the_rows(spark):
+    """The aggregate holds one fixed-width number per key; no string is sorted or buffered in it."""
+    import re
+    df = spark.createDataFrame([(1, T0, "a", "text")], "post_id long, uploaded_time timestamp_ntz, username string, text string")
+    for order in ("post_id", "uploaded_time"):
+        plan = STD.first_per_key(df, ["uploaded_time", "username"], [order])._jdf.queryExecution().executedPlan().toString()
+        aggs = re.findall(r"\w*Aggregate\(.*", plan)
+        assert aggs and all(a.startswith("HashAggregate") and "functions=[partial_min" in a or "functions=[min" in a for a in aggs)
+        assert not any(c in a for a in aggs for c in ("username#", "text#")) or all("xxhash64" in a or "_k#" in a for a in aggs)
+        assert "min_by" not in plan and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("order", ["post_id", "at", "day", "note"])
+def test_first_per_key_on_ties_nulls_and_equal_rows(spark, order):
+    rows = [(k % 3 if k % 5 else None, "u" if k % 2 else None, k % 4 if k % 7 else None, f"t{k % 6}") for k in range(200)]
+    rows += [(-2 ** 63, "lo", 1, "x"), (2 ** 63 - 1, "lo", 0, "x"), (None, "lo", 2, "y")]
+    df = spark.createDataFrame(rows, "post_id long, username string, k int, note string").withColumns({
+        "at": F.timestamp_seconds("k"), "day": F.date_add(F.lit(dt.date(1969, 12, 30)), F.col("k"))})
+    got = STD.first_per_key(df, ["username"], [order]).collect()
+    assert sorted(map(repr, (r["username"] for r in got))) == ["'lo'", "'u'", "None"]
+    for r in got:
+        same = [x for x in df.collect() if x["username"] == r["username"]]
+        assert r in same
+        least = min(((x[order] is not None, x[order]) for x in same), key=lambda p: (p[0], p[1] if p[0] else 0))
+        assert (r[order] is not None, r[order]) == least
+    again = STD.first_per_key(df.repartition(7, "note"), ["username"], [order]).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
+
+
+def test_metric_series_reads_its_days_files_and_row_groups(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    from surgewatch.schema import METRICS_COLUMNS
+    m = spark.range(20_000).select(
+        F.concat(F.lit("c"), F.col("id") % 5).alias("channel"), F.concat(F.lit("q"), F.col("id") % 7).alias("query"),
+        F.lit("price").alias("category"), F.timestamp_seconds(1704067200 + F.floor(F.col("id") / 35) * 1800).alias("cur_time"))
+    m = m.select("*", *[F.lit(1.0).alias(c) for c in METRICS_COLUMNS if c not in m.columns and c != "prev_time"],
+                 F.lit(None).cast("timestamp").alias("prev_time"))
+    path = SNK.scratch_path(spark, "metrics")
+    SNK.write_metrics(m, path)
+    one = SNK.metric_series(spark.read.parquet(path), "c3", "q2", "price", "2024-01-03 00:00:00", "2024-01-04 12:00:00")
+    assert one.count() == m.where("channel = 'c3' and query = 'q2' and cur_time between '2024-01-03' and '2024-01-04 12:00:00'").count() > 0
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = SNK.metric_series(spark.read.parquet(path), "c3", "q2", "price", "2024-01-03 00:00:00", "2024-01-04 12:00:00") \
+        ._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    parts, pushed = (plan.split(x)[1].split("]")[0] for x in ("PartitionFilters: [", "PushedFilters: ["))
+    assert "cur_date" in parts and "EqualTo(channel,c3)" in pushed and "EqualTo(query,q2)" in pushed
+    # inside a day no two files share more than an edge of the order, so statistics tell them apart
+    for day in glob.glob(f"{path}/cur_date=*"):
+        spans = sorted((lambda t: (t[0], t[-1]))([tuple(r.values()) for r in pq.read_table(f, columns=["channel", "query", "category", "cur_time"], partitioning=None).to_pylist()])
+                       for f in glob.glob(f"{day}/*.parquet"))
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+        for f in glob.glob(f"{day}/*.parquet"):
+            keys = [tuple(r.values()) for r in pq.read_table(f, columns=["channel", "query", "category", "cur_time"], partitioning=None).to_pylist()]
+            assert keys == sorted(keys)
