@@ -3,10 +3,12 @@
 All rolling word pairs of the documents are hash-joined to the pairs of license
 templates.  A hit at word ``i`` of the document and word ``t`` of the template votes
 for the diagonal ``i - t``.  Full votes on one diagonal are a place of the whole
-template.  For longer notices, neighbouring diagonals (words put in or left out) are
-merged, and a merged stretch is verified: the share of the template's pairs found in
-it, over a stretch not much longer than the template.  Of verified stretches that
-overlap, such as notices that differ in the version alone, those of the best share stay.
+template.  For longer notices, neighbouring diagonals (words put in or left out, in one
+place or several) are merged, as many as a verified stretch may span, from every diagonal
+on.  A merged stretch is verified: the share of the template's pairs found in it, over a
+stretch not much longer than the template.  Of verified stretches that overlap, such as
+notices that differ in the version alone, the best stay: by falling share, a stretch stays
+unless it overlaps a better one that stayed.
 """
 
 from __future__ import annotations
@@ -16,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from surgewatch.llm.common import ascii_lower, cut
 
 K = 2
-#: Diagonals this close are merged; least verified similarity; longest stretch per template word.
-NEAR, SIMILARITY, STRETCH = 2, 0.8, 1.5
+#: Least verified similarity; longest stretch per pair of the template.
+SIMILARITY, STRETCH = 0.8, 1.5
 DELIMITERS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Base phrases and their labels (fixed values).
 PHRASES = {
@@ -85,21 +87,33 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: d
         F.count("*").alias("n_base"), F.min("diagonal").alias("first_word"), F.max("diagonal").alias("last_word"),
         F.array_join(F.sort_array(F.collect_set("label")), ",").alias("base_labels"),
         F.collect_set("label").alias("found"))
+    slack = max([int((STRETCH - 1) * (len(t.split()) - K + 1)) for t in notices] or [0])
     line = Window.partitionBy(*doc, "template").orderBy("diagonal")
-    merged = (votes.filter("not base")
-              .withColumn("new", F.when(F.col("diagonal") - F.lag("diagonal").over(line) <= NEAR, 0).otherwise(1))
-              .withColumn("stretch", F.sum("new").over(line))
-              .groupBy(*doc, "template", "label", "n", "stretch")
-              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("votes"), (F.max("diagonal") - F.min("diagonal") + F.max("n")).alias("span"),
-                   F.min("diagonal").alias("start")))
-    order = Window.partitionBy(*doc).orderBy("start", "template")
+    near = (votes.filter("not base").withColumn("slack", F.floor((STRETCH - 1) * F.col("n")))
+            .withColumn("around", F.sum(F.size("seen")).over(line.rangeBetween(-slack, slack)))
+            .filter(F.col("around") >= similarity * F.col("n")))
+    # the stretch from each diagonal on: at most slack + 1 diagonals, each with at most a template's pairs
+    merged = near.withColumn("own", F.filter(
+        F.collect_list(F.struct("diagonal", "seen")).over(line.rangeBetween(0, slack)),
+        lambda v: v["diagonal"] - F.col("diagonal") <= F.col("slack"))).select(
+        *doc, "template", "label", "n", F.size(F.array_distinct(F.flatten("own.seen"))).alias("votes"),
+        F.array_min(F.transform("own", lambda v: v["diagonal"] + F.array_min(v["seen"]))).alias("start"),
+        F.array_max(F.transform("own", lambda v: v["diagonal"] + F.array_max(v["seen"]))).alias("stop"))
+    order = Window.partitionBy(*doc).orderBy("start", "template", "stop")
+    # groups of stretches that hang together, and in each the best first: a stretch stays if no better one that stayed overlaps it
     verified = (merged.withColumn("similarity", F.col("votes") / F.col("n"))
-                .filter((F.col("similarity") >= similarity) & (F.col("span") <= STRETCH * F.col("n")))
-                .withColumn("before", F.max(F.col("start") + F.col("span")).over(order.rowsBetween(Window.unboundedPreceding, -1)))
-                .withColumn("place", F.sum(F.when(F.col("start") < F.col("before"), 0).otherwise(1)).over(
+                .filter((F.col("similarity") >= similarity) & (F.col("stop") - F.col("start") + 1 <= STRETCH * F.col("n")))
+                .withColumn("before", F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+                .withColumn("place", F.sum(F.when(F.col("start") <= F.col("before"), 0).otherwise(1)).over(
                     order.rowsBetween(Window.unboundedPreceding, 0)))
-                .withColumn("top", F.max("similarity").over(Window.partitionBy(*doc, "place")))
-                .filter("similarity = top").groupBy(*doc).agg(F.collect_set("label").alias("more"), F.max("similarity").alias("best")))
+                .groupBy(*doc, "place", "start", "stop", (-F.col("similarity")).alias("worse"))
+                .agg(F.collect_set("label").alias("labels"))
+                .groupBy(*doc, "place").agg(F.sort_array(F.collect_list(F.struct("worse", "start", "stop", "labels"))).alias("all"))
+                .select(*doc, F.explode(F.expr("""
+                    aggregate(all, slice(all, 1, 0), (kept, x) -> if(
+                        exists(kept, k -> k.start <= x.stop and x.start <= k.stop and k.worse < x.worse), kept, kept || array(x)))""")).alias("x"))
+                .select(*doc, F.explode("x.labels").alias("label"), (-F.col("x.worse")).alias("similarity"))
+                .groupBy(*doc).agg(F.collect_set("label").alias("more"), F.max("similarity").alias("best")))
     both = places.alias("p").join(verified.alias("v"), F.expr("p.doc_id <=> v.doc_id and p.text_id = v.text_id"), "full").select(
         F.coalesce("p.doc_id", "v.doc_id").alias("_d"), F.coalesce("p.text_id", "v.text_id").alias("_t"), "n_base", "first_word",
         "last_word", "base_labels", F.array_join(F.array_sort(F.array_union(

@@ -48,6 +48,38 @@ def test_planted(spark):
     assert (got[1].n_base, got[1].first_word, got[1].last_word) == (5, 0, 9)
 
 
+def spoiled(words, *cuts, by=("one", "two", "three")):
+    """``words`` with ``by`` put in before each of the places ``cuts``."""
+    out = []
+    for i, w in enumerate(words):
+        out += [*(by if i in cuts else ()), w]
+    return " ".join(out)
+
+
+def test_words_put_in_up_to_what_verification_allows(spark):
+    """A stretch may be half longer than the template, however the words put in are spread."""
+    mit = next(t for t, label in NOTICES.items() if label == "mit-text").split()
+    n = len(mit) - 1
+    lost = " ".join(mit[:6] + mit[8:])
+    texts = [(1, spoiled(mit, 8)), (2, spoiled(mit, 4, 11, by=("one", "two"))), (3, spoiled(mit, 8, by=["x"] * (n // 2))),
+             (4, spoiled(mit, 8, by=["x"] * (n // 2 + 1))), (5, lost), (6, " ".join(["free of charge"] * 5 + mit + ["documentation files"] * 5)),
+             (7, spoiled(mit, 3, 7, 11, 15, by=["x"])), (8, " ".join(mit[::-1])), (9, f"{spoiled(mit, 8)} and {' '.join(mit)}")]
+    got = {x.doc_id: x for x in scan_licenses(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert [got[k].labels for k in range(1, 10)] == ["mit-text"] * 3 + [""] + ["mit-text"] * 2 + [""] * 2 + ["mit-text"]
+    assert got[1].score == (n - 1) / n and got[2].score == (n - 2) / n and got[5].score == (n - 3) / n
+    assert got[6].score == got[9].score == 1
+
+
+def test_best_of_overlapping_notices(spark):
+    """Of three in a row, the last stays though it overlaps the second, which the first beats."""
+    notices = {"a b c d e f g h i j": "first", "h i j k l m n o p q": "second", "o p q r s t u v w x": "third"}
+    texts = [(1, "a b c d e f g h i j k l m n o p q r s t u v w x"),
+             (2, "a b c d e f g h i j k l x m n o p q r s t u v y w x"), (3, "z h i j k l m n o p q z"),
+             (4, "a b c d e f g h i j k l x m n o p q z z z")]
+    got = {x.doc_id: x.labels for x in scan_licenses(spark.createDataFrame(texts, "doc_id long, text string"), {"zz zz": "none"}, notices).collect()}
+    assert got == {1: "first,second,third", 2: "first,third", 3: "second", 4: "first"}
+
+
 def test_odd_rows(spark, odd, empty):
     check(scan_licenses(odd).collect(), [(x.doc_id, x.text) for x in odd.collect()])
     assert scan_licenses(empty).collect() == []
