@@ -5,8 +5,10 @@ The kernel of two texts is the number of character n-grams (lengths 1 to
 over the geometric mean of their numbers of n-grams.  ``fit`` solves
 one-versus-rest kernel ridge regression on the landmarks' kernel columns;
 ``predict`` scores texts in batches by matrix products.  Whole texts are read.
+``calibrate`` finds the scores below which a text has none of the learned languages.
 """
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,6 +22,8 @@ from surgewatch.llm.common import fresh, named
 N_MAX, DIM = 3, 1 << 15
 #: Rows and landmarks per language, and the longest text, that ``fit`` takes.
 PER_CLASS, LANDMARKS, LONGEST = 200, 40, 20_000
+#: Length classes of ``calibrate`` (characters), the share of right rows that each may reject, and the risk of more.
+EDGES, LOSE, RISK, BINS = (100, 1000), 0.002, 0.05, 1000
 #: Texts scored at a time, and characters hashed at a time.
 BATCH, SPAN = 64, 1 << 16
 
@@ -113,4 +117,53 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return docs.select(*keep, run(F.col(text_col).cast("string")).alias(p)).select(*keep, f"{p}.lang_pred", f"{p}.score")
 
 
-__all__ = ["presence", "features", "Model", "held_out", "fit", "predict"]
+def stratum(text: Column) -> Column:
+    """The class of a text by its number of characters (null: 0)."""
+    n = F.coalesce(F.length(text), F.lit(0))
+    return sum(((n >= e).cast("int") for e in EDGES), F.lit(0))
+
+
+def certified(n: int, lose: float, risk: float) -> int:
+    """The most rejections among ``n`` rows that still show a rate below ``lose``: at that rate, so few
+    or fewer would come with a probability of ``risk`` at most (exact binomial tail).  None do: -1."""
+    total, k = 0.0, -1
+    while k < n:
+        i = k + 1
+        total += math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1)
+                          + i * math.log(lose) + (n - i) * math.log1p(-lose))
+        if total > risk:
+            break
+        k = i
+    return k
+
+
+def calibrate(docs: DataFrame, model: Model, lose: float = LOSE, risk: float = RISK) -> tuple[float, ...]:
+    """For each length class the score below which a text is rejected.
+
+    The greatest cutoff (in steps of 1 / BINS) that rejects less than ``lose`` of the rows whose language
+    the model tells rightly, by exact binomial bounds on the held-out rows with a language, each text
+    once; ``risk`` is shared by the classes.  Cutoffs are tried upwards and the first that fails ends
+    the search, so one bound per class holds.  A class with too few rows rejects nothing (0).
+    """
+    own = docs.filter(held_out(F.col("doc_id")) & F.col("lang").isNotNull()).select("text", "lang")
+    rows = predict(own, model).filter("lang_pred = lang").select(
+        F.xxhash64("text").alias("h"), stratum(F.col("text")).alias("s"), F.floor(F.col("score") * BINS).cast("int").alias("bin")).distinct()
+    seen = {(r["s"], r["bin"]): r["n"] for r in rows.groupBy("s", "bin").agg(F.count("*").alias("n")).collect()}  # strata x bins at most
+    out = []
+    for s in range(len(EDGES) + 1):
+        left = certified(sum(n for (t, _), n in seen.items() if t == s), lose, risk / (len(EDGES) + 1))
+        cut = 0
+        while left >= 0 and cut < BINS and left >= seen.get((s, cut), 0):
+            left -= seen.get((s, cut), 0)
+            cut += 1
+        out.append(cut / BINS)
+    return tuple(out)
+
+
+def accepted(cutoffs: tuple[float, ...], text: Column, lang: Column, score: Column) -> Column:
+    """Whether a text has a language: not ``und``, and its score reaches its length class's cutoff."""
+    least = F.element_at(F.array(*[F.lit(float(c)) for c in cutoffs]), stratum(text) + 1)
+    return (lang != "und") & (score >= least)
+
+
+__all__ = ["stratum", "certified", "calibrate", "accepted", "presence", "features", "Model", "held_out", "fit", "predict"]

@@ -46,3 +46,41 @@ def test_only_the_text_counts(spark):
     a = {x.doc_id: (x.lang_pred, x.score) for x in predict(docs.select("doc_id", "text"), model).collect()}
     b = predict(docs.selectExpr("doc_id", "text", "'xx' as lang", "'src' as source"), model).collect()
     assert all(a[x.doc_id] == (x.lang_pred, x.score) for x in b)
+
+
+def test_certified_counts():
+    """Against the binomial tail summed directly."""
+    from math import comb
+    for n, lose, risk in ((0, 0.01, 0.05), (100, 0.01, 0.05), (299, 0.01, 0.05), (1000, 0.01, 0.05), (3000, 0.002, 0.02)):
+        tails = np.cumsum([comb(n, i) * lose ** i * (1 - lose) ** (n - i) for i in range(min(n, 60) + 1)])
+        assert langid.certified(n, lose, risk) == int((tails <= risk).sum()) - 1
+
+
+def test_calibrated_rejection(spark):
+    """Texts of a script that no learned language uses go; of right rows no more than certified."""
+    import random
+
+    from pyspark.sql import functions as F
+    rnd, rows = random.Random(5), []
+    for k in range(12_000):
+        lang = "ab"[k % 2]
+        letters = ("aeioubcdfg" if lang == "a" else "hjklmnpqrst")
+        rows.append((k, " ".join("".join(rnd.choices(letters, k=rnd.randint(2, 7))) for _ in range(rnd.randint(30, 60))), lang))
+    strange = [(20_000 + k, "".join(rnd.choices("абвгдежзик лмнопрст", k=300)), None) for k in range(50)]
+    docs = spark.createDataFrame(rows + strange, "doc_id long, text string, lang string")
+    model = fit(docs)
+    cutoffs = langid.calibrate(docs, model)
+    assert cutoffs[0] == cutoffs[2] == 0 < cutoffs[1]  # the other length classes have no rows
+    kept = {r.doc_id for r in predict(docs, model).filter(
+        langid.accepted(cutoffs, F.col("text"), F.col("lang_pred"), F.col("score"))).select("doc_id").collect()}
+    assert not kept & {d for d, *_ in strange} and len(kept) >= 0.998 * len(rows)
+    few = docs.limit(400)
+    assert langid.calibrate(few, model) == (0, 0, 0)
+    # copies of one text are one row: they can't certify anything
+    copies = docs.limit(1).drop("doc_id").crossJoin(spark.range(8000).withColumnRenamed("id", "doc_id"))
+    assert langid.calibrate(copies, model) == (0, 0, 0)
+
+
+def test_calibrate_on_odd_rows(spark, odd, empty):
+    model = fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    assert langid.calibrate(odd, model) == langid.calibrate(empty, model) == langid.calibrate(odd, fit(empty)) == (0, 0, 0)
