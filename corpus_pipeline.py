@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from surgewatch.llm.common import fresh, named, table
 from surgewatch.llm.decontaminate import remove_contaminated
-from surgewatch.llm.langid import fit, predict
+from surgewatch.llm.langid import accepted, calibrate, fit, predict
 from surgewatch.llm.line_dedup import dedup_lines
 from surgewatch.llm.packing import pack, pieces
 from surgewatch.llm.queries import tokenizer
@@ -28,12 +28,17 @@ def _aside(docs: DataFrame, *own: str) -> tuple[DataFrame, list[Column]]:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that have no language: null texts and texts without a letter.
+    """Without the documents that have no language: null texts, texts without a letter, and texts whose
+    score lies below the cutoff of their length class.
 
-    Other columns, repeated rows and null ids stay as they are; an empty table stays empty.
+    The cutoffs are certified on held-out rows to reject under 0.2 % of the texts whose language the
+    classifier tells rightly (``calibrate``); with too few such rows they reject nothing.  Other
+    columns, repeated rows and null ids stay as they are; an empty table stays empty.
     """
     rows, back = _aside(docs, "lang_pred", "score")
-    return predict(rows, fit(docs)).filter("lang_pred <> 'und'").select(*back)
+    model = fit(docs)
+    cutoffs = calibrate(docs, model)
+    return predict(rows, model).filter(accepted(cutoffs, F.col("text"), F.col("lang_pred"), F.col("score"))).select(*back)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
