@@ -18,7 +18,8 @@ from surgewatch.llm.packing import pack, pieces
 from surgewatch.llm.periodic_runs import periodic_runs
 from surgewatch.llm.quality_rules import apply_rules
 from surgewatch.llm.simhash import simhash_groups
-from surgewatch.llm.tokens import count_documents, flat_files
+from surgewatch.llm.tokens import token_counts
+from surgewatch.session import scratch_path
 
 
 def tokenizer() -> tuple[str, str]:
@@ -39,9 +40,8 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and their token counts in flat files of the tokenized documents."""
-    blocks = flat_files(table(spark, sf_dir, "documents"), *tokenizer())
-    return count_documents(blocks)
+    """All documents' token counts, found in flat files of the tokenized documents."""
+    return token_counts(table(spark, sf_dir, "documents"), scratch_path(spark, "flat-files"), *tokenizer())
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Token ids of texts, and token counts of documents in flat token files.
 
 A flat token file is a run of little-endian ids with an end-of-document id after
-each document and no index.  Files are read as blocks of any size; a document may
-begin, end or go on in any of them.  ``count_documents`` finds the separators of
+each document and no index.  Files of any length are read by byte ranges, as blocks of
+any size; a document may begin, end or go on in any of them.  ``count_documents`` finds the separators of
 a block with one vectorised comparison, and a prefix scan over the blocks'
 summaries (tokens so far, separators so far, end of the last separator) turns
 positions in a block into documents of a file.
@@ -14,9 +14,11 @@ import base64
 import functools
 import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from surgewatch.llm.common import cut
@@ -58,6 +60,22 @@ def encode(text: str, json_path: str, ranks_path: str | None = None, specials: b
 
 
 BLOCKS = "file long, block long, data binary"
+_KINDS = {2: "<u2", 4: "<u4"}
+
+
+def _stored(ids: np.ndarray, width: int) -> np.ndarray:
+    """Ids as ``width`` bytes each; one that doesn't fit is an error."""
+    if len(ids) and int(ids.max()) >= 1 << 8 * width:
+        raise ValueError(f"id {int(ids.max())} does not fit in {width} bytes")
+    return ids.astype(_KINDS[width])
+
+
+def _located(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system and the path there of a path as Spark writes it."""
+    scheme, colon, rest = path.partition(":")
+    if scheme == "file" or not colon:
+        return fs.LocalFileSystem(), "/" + (rest if colon else path).lstrip("/")
+    return fs.FileSystem.from_uri(quote(path, safe=":/@"))
 
 
 def flat_files(docs: DataFrame, json_path: str, ranks_path: str | None = None, eod: int = 50256,
@@ -76,7 +94,7 @@ def flat_files(docs: DataFrame, json_path: str, ranks_path: str | None = None, e
         for b in batches:
             for t in b.column(0).to_pylist():
                 ids = encode(t or "", json_path, ranks_path, specials=False)
-                held += [ids.astype("<u2"), np.array([eod], "<u2")]
+                held += [_stored(ids, 2), np.array([eod], "<u2")]
                 size += len(ids) + 1
                 if size >= block_tokens:
                     flat, whole = np.concatenate(held), size // block_tokens * block_tokens
@@ -89,21 +107,81 @@ def flat_files(docs: DataFrame, json_path: str, ranks_path: str | None = None, e
     return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, BLOCKS)
 
 
+def write_flat_files(docs: DataFrame, path: str, json_path: str, ranks_path: str | None = None, eod: int = 50256,
+                     width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Tokenized documents as flat files ``<path>/tokens/*.bin``, one per partition of ``docs``.
+
+    ``path`` is a new folder that all executors share.  Returns, stored beside the files, ``(part, name,
+    doc, id)``: which document is the ``doc``-th of file ``name``.  The files themselves hold ids only,
+    ``width`` bytes each.  A file is named by the attempt that wrote it, so what a failed or doubled
+    attempt leaves is no file of the result.  Null texts are documents of no tokens, null and repeated
+    ids stay; an empty table writes no file.
+    """
+    folder = f"{path}/tokens"
+    system, place = _located(folder)
+    system.create_dir(place, recursive=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        part, out, doc, end = TaskContext.get().partitionId(), None, 0, np.array([eod], _KINDS[width]).tobytes()
+        name = f"part-{part:06d}-{TaskContext.get().taskAttemptId()}.bin"
+        try:
+            for b in batches:
+                if out is None:
+                    system, place = _located(f"{folder}/{name}")
+                    out = system.open_output_stream(place)
+                for t in b.column(1).to_pylist():
+                    out.write(_stored(encode(t or "", json_path, ranks_path, specials=False), width).tobytes() + end)
+                n = b.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part] * n, pa.int64()), pa.array([name] * n, pa.string()),
+                     pa.array(range(doc, doc + n), pa.int64()), b.column(0)], ["part", "name", "doc", "id"])
+                doc += n
+        finally:
+            if out is not None:
+                out.close()
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    own.mapInArrow(run, f"part long, name string, doc long, id {own.schema['id'].dataType.simpleString()}") \
+        .write.parquet(f"{path}/documents")
+    return docs.sparkSession.read.parquet(f"{path}/documents")
+
+
+def list_flat_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, path, name, length)`` of the files under ``path``; ``file`` is a hash of the path.  Contents aren't read."""
+    return spark.read.format("binaryFile").load(path).select(
+        F.xxhash64("path").alias("file"), "path", F.substring_index("path", "/", -1).alias("name"), "length")
+
+
+def read_blocks(files: DataFrame, block_bytes: int = 1 << 20) -> DataFrame:
+    """The ``files`` (as listed), of any length, as blocks: each task reads byte ranges, one at a time.
+
+    ``block_bytes`` is a multiple of an id's bytes.  Files of no bytes have no blocks.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for file, path, block, length in zip(*(c.to_pylist() for c in b.columns)):
+                system, place = _located(path)
+                with system.open_input_file(place) as f:
+                    data = f.read_at(min(block_bytes, length - block * block_bytes), block * block_bytes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([file], pa.int64()), pa.array([block], pa.int64()), pa.array([data], pa.binary())],
+                    ["file", "block", "data"])
+    last = F.expr(f"(length - 1) div {block_bytes}")
+    ranges = files.filter("length > 0").select("file", "path", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"), "length")
+    return ranges.repartition("file", "block").mapInArrow(run, BLOCKS)  # paths and numbers travel, not data
+
+
 def read_flat_files(spark: SparkSession, path: str, block_bytes: int = 1 << 20) -> DataFrame:
-    """Flat token files under ``path`` (each below 2 GB, as Spark's binary reader has it) as blocks."""
-    whole = spark.read.format("binaryFile").load(path)
-    at = F.explode(F.sequence(F.lit(0), F.expr(f"cast((length - 1) div {block_bytes} as int)"))).alias("at")
-    return whole.filter("length > 0").select(F.xxhash64("path").alias("file"), "path", "content", at).select(
-        "file", "path", F.col("at").cast("long").alias("block"),
-        F.expr(f"substring(content, at * {block_bytes} + 1, {block_bytes})").alias("data"))
+    """Flat token files under ``path``, of any length, as blocks read by byte ranges; no files: an error, as in Spark's readers."""
+    return read_blocks(list_flat_files(spark, path), block_bytes)
 
 
 def _ends(eod: int, width: int):
-    kind = {2: "<u2", 4: "<u4"}[width]
+    kind = _KINDS[width]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = [np.frombuffer(d or b"", kind) for d in b.column(2).to_pylist()]
+            ids = [np.frombuffer(d or b"", kind, len(d or b"") // width) for d in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(x) for x in ids], pa.int64()),
                  pa.array([np.flatnonzero(x == eod) for x in ids], pa.list_(pa.int64()))],
@@ -147,7 +225,7 @@ def count_documents(blocks: DataFrame, eod: int = 50256, width: int = 2, span: i
     ``file``, ``doc`` (number in the file, from 0), ``start`` (its first token's
     position in the file), ``n_tokens`` (without the separator), ``closed`` (false
     for tokens after a file's last separator).  Blocks may come in any order and
-    have any size; null or empty data has no tokens; equal documents and repeated
+    have any size of whole ids; null or empty data has no tokens, and a part of an id at its end is none; equal documents and repeated
     separators (documents of no tokens) each keep their row.  Rows of one file
     must have distinct block numbers, whose order is the order of the data.
     Empty table: no rows.
@@ -171,4 +249,27 @@ def count_documents(blocks: DataFrame, eod: int = 50256, width: int = 2, span: i
     return closed.union(rest)
 
 
-__all__ = ["encode", "flat_files", "read_flat_files", "count_documents"]
+def count_written(index: DataFrame, path: str, eod: int = 50256, width: int = 2, block_bytes: int = 1 << 20) -> DataFrame:
+    """``(id, file, doc, start, n_tokens)`` of the documents that ``write_flat_files`` stored under ``path``,
+    counted in the files that ``index`` names."""
+    files = list_flat_files(index.sparkSession, f"{path}/tokens").join(index.select("part", "name").distinct(), "name")
+    files = cut(files.select("file", "path", "part", "length"))
+    counts = count_documents(read_blocks(files, block_bytes), eod, width)
+    counts = counts.join(files.select("file", "part"), "file").drop("file")
+    return index.join(counts, ["part", "doc"]).select("id", F.col("part").alias("file"), "doc", "start", "n_tokens")
+
+
+def token_counts(docs: DataFrame, path: str, json_path: str, ranks_path: str | None = None, eod: int = 50256,
+                 width: int = 2, block_bytes: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Documents written as flat files under ``path``, read back and counted there.
+
+    Per document its id (``id_col``), ``file`` (the number of its file), ``doc``, ``start`` and ``n_tokens``
+    (as ``count_documents``).  Null texts have no tokens; null and repeated ids keep their rows.  Empty
+    table: no rows.  Other columns are not read.
+    """
+    index = write_flat_files(docs, path, json_path, ranks_path, eod, width, id_col, text_col)
+    return count_written(index, path, eod, width, block_bytes).withColumnRenamed("id", id_col)
+
+
+__all__ = ["encode", "flat_files", "write_flat_files", "list_flat_files", "read_blocks", "read_flat_files", "count_documents",
+           "count_written", "token_counts"]

@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from surgewatch.llm.packing import first_fit_decreasing, pack, pieces, sequences
 from surgewatch.llm.queries import op3_token_counts, op7_packing, tokenizer
-from surgewatch.llm.tokens import count_documents, encode, flat_files, read_flat_files
+from surgewatch.llm.tokens import count_documents, count_written, encode, flat_files, read_flat_files, token_counts, write_flat_files
 
 
 def slow_ids(text):
@@ -55,8 +55,41 @@ def test_read_flat_files(spark, tmp_path):
 
 
 def test_op3_counts_every_document(spark, load):
-    want = sorted(len(slow_ids(t)) for t, in load("documents", cols="text"))
-    assert sorted(x.n_tokens for x in op3_token_counts(spark, "/root/testdata/sf0.001").collect()) == want
+    want = sorted((d, len(slow_ids(t))) for d, t in load("documents", cols="doc_id, text"))
+    assert sorted((x.doc_id, x.n_tokens) for x in op3_token_counts(spark, "/root/testdata/sf0.001").collect()) == want
+
+
+def test_files_read_by_ranges(spark, tmp_path):
+    """A file of many ranges, a folder whose name needs quoting, and half an id at the end."""
+    r, folder = random.Random(7), tmp_path / "a b%20c"
+    folder.mkdir()
+    lens = [r.choice([0, 1, 30, 2000]) for _ in range(400)]
+    flat = np.concatenate([np.r_[np.full(n, 3, "<u4"), np.array([70_000], "<u4")] for n in lens]).astype("<u4")
+    (folder / "big.bin").write_bytes(flat.tobytes() + b"\x01\x02\x03")
+    blocks = read_flat_files(spark, str(folder), block_bytes=1000)
+    assert blocks.count() == -(-(flat.nbytes + 3) // 1000)
+    got = count_documents(blocks, eod=70_000, width=4, span=16).orderBy("doc").collect()
+    assert [x.n_tokens for x in got] == lens and all(x.closed for x in got)
+
+
+def test_files_of_other_attempts_do_not_count(spark, odd, empty, tmp_path):
+    path = str(tmp_path / "flat")
+    index = write_flat_files(odd.coalesce(2), path, *tokenizer())
+    stray = tmp_path / "flat" / "tokens" / "part-000000-99999999.bin"
+    stray.write_bytes(np.array([5, 50256], "<u2").tobytes())
+    want = sorted((str(x.doc_id), len(slow_ids(x.text or ""))) for x in odd.collect())
+    got = count_written(index, path, block_bytes=100).collect()
+    assert sorted((str(x.id), x.n_tokens) for x in got) == want
+    assert token_counts(empty, str(tmp_path / "none"), *tokenizer()).collect() == []
+
+
+def test_ids_that_do_not_fit(spark, tmp_path):
+    import pytest
+
+    from surgewatch.llm.tokens import _stored
+    with pytest.raises(ValueError, match="does not fit"):
+        _stored(np.array([1, 70_000]), 2)
+    assert _stored(np.array([1, 70_000]), 4).tolist() == [1, 70_000]
 
 
 def test_flat_files_of_small_blocks(spark, odd, empty):
