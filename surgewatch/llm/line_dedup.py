@@ -9,7 +9,8 @@ doubling stops when no interval or no run of the needed length is left.  (Places
 instead of sorted numbers name the intervals: only their equality matters here, and
 grouping needs no global sort.)
 
-A run counts if it has ``min_words`` words.  Every maximal repeated run of that size
+A run counts if it has ``min_words`` words; each letter of a script written without spaces
+is one.  Every maximal repeated run of that size
 is the union of its shortest sufficient runs, taken forwards from each of its lines and
 backwards from each, so those are looked up: the run of ``m`` lines from a place has
 the interval that the ranks of its first and last ``2^k`` lines name together.  What
@@ -24,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from surgewatch.llm.common import cut, fresh, let, named, words
 
 MIN_WORDS = 50
+#: Thai to Lao, Myanmar, Khmer, kana, Han (fixed values, of Unicode's blocks).
+UNSPACED = "[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3041-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFD]"
 
 
 def _place(line: str = "p") -> Column:
@@ -39,7 +42,13 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                       F.split(text, "\n").alias("lines"))
     return own.select("doc", "text_id", F.posexplode("lines").alias("p", "line")).select(
         "doc", "text_id", "p", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"),
-        F.size(words(F.col("line"))).alias("w"))
+        n_words(F.col("line")).alias("w"))
+
+
+def n_words(line: Column) -> Column:
+    """Words between white space; each letter of a script written without spaces is a word of its own."""
+    apart = F.when(F.octet_length(line) > F.length(line), F.regexp_replace(line, UNSPACED, " x ")).otherwise(line)
+    return F.size(words(apart))
 
 
 def _intervals(rows: DataFrame, key: list[str]) -> DataFrame:

@@ -1,13 +1,19 @@
 import random
-import re
 from collections import defaultdict
 
 import pytest
+import regex
 
 from surgewatch.llm.line_dedup import dedup_lines
 from surgewatch.llm.queries import op1_line_dedup
 
 
+def n_words(line):
+    """Letters of unspaced scripts one by one, other words by white space."""
+    return len(regex.findall(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]|"
+                             r"[^\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\x20\x09-\x0D]+", line))
+
+
 def brute(docs, min_words):
     """Texts after dedup: runs on the diagonals of equal lines; docs are (id, text), ordered."""
     ls = [t.split("\n") for _, t in docs]
@@ -22,7 +28,7 @@ def brute(docs, min_words):
                     continue  # not the start of the run
                 n, words = 0, 0
                 while p1 + n < len(ls[d1]) and p2 + n < len(ls[d2]) and ls[d1][p1 + n] == ls[d2][p2 + n]:
-                    words += len(re.findall(r"[^\x20\x09-\x0D]+", ls[d2][p2 + n]))
+                    words += n_words(ls[d2][p2 + n])
                     n += 1
                 if words >= min_words:
                     gone[d2] |= set(range(p2, p2 + n))
@@ -32,7 +38,7 @@ def brute(docs, min_words):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_brute_force(spark, seed):
     r = random.Random(seed)
-    alphabet = ["a", "b b", "", "c c c", "d d d d d", " "]
+    alphabet = ["a", "b b", "", "c c c", "d d d d d", " ", "漢字 and か", "ไทย", "é ô"]
     docs = [(i, "\n".join(r.choice(alphabet) for _ in range(r.randint(1, 25)))) for i in range(40)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     for min_words in (4, 9):
@@ -50,6 +56,16 @@ def test_whole_table(spark, load):
         assert got[i].text_md5 == hashlib.md5(want.encode()).hexdigest() and got[i].n_chars == len(want)
 
 
+def test_scripts_without_spaces(spark):
+    """A passage of 200 letters in two documents goes from the second; 40 letters are too few."""
+    r = random.Random(3)
+    han = lambda n: "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(n))
+    passage, short = han(200), han(40)
+    docs = [(1, f"{han(30)}\n{passage}\n{short}x\n{han(9)}"), (2, f"{han(20)}\n{passage}\n{han(8)}"), (3, f"{short}\n{han(5)}"), (4, f"{short}\nend")]
+    got = {x.doc_id: x for x in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [got[i].n_removed for i in (1, 2, 3, 4)] == [0, 1, 0, 0] and passage not in got[2].text
+
+
 def test_odd_rows(spark, odd, empty):
     got = dedup_lines(odd)
     assert got.columns == odd.columns + ["n_lines", "n_removed"]
