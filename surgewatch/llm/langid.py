@@ -3,7 +3,8 @@
 The kernel of two texts is the number of character n-grams (lengths 1 to
 ``N_MAX``, upper and lower case alike, hashed to ``DIM`` places) that both hold,
 over the geometric mean of their numbers of n-grams.  ``fit`` solves
-one-versus-rest kernel ridge regression on the landmarks' kernel columns;
+one-versus-rest kernel ridge regression on the landmarks' kernel columns: tasks sum up the
+normal equations over parts of the rows, the driver holds only sums over pairs of landmarks;
 ``predict`` scores texts in batches by matrix products.  Whole texts are read.
 ``calibrate`` finds the scores below which a text has none of the learned languages.
 """
@@ -17,11 +18,13 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from surgewatch.llm.common import fresh, named
+from surgewatch.llm.common import cut, fresh, named
 
 N_MAX, DIM = 3, 1 << 15
 #: Rows and landmarks per language, and the longest text, that ``fit`` takes.
 PER_CLASS, LANDMARKS, LONGEST = 200, 40, 20_000
+#: Landmarks in all, shared alike by the languages (one each at least), and rows whose normal equations one task sums up.
+ALL_LANDMARKS, PART = 2000, 4096
 #: Length classes of ``calibrate`` (characters), the share of right rows that each may reject, and the risk of more.
 EDGES, LOSE, RISK, BINS = (100, 1000), 0.002, 0.05, 1000
 #: Texts scored at a time, and characters hashed at a time.
@@ -49,7 +52,12 @@ def presence(text: str) -> np.ndarray:
 
 def features(texts: list[str]) -> np.ndarray:
     """Rows of unit length: a product of two is the kernel of their texts."""
-    x = np.array([presence(t) for t in texts], np.float32).reshape(-1, DIM)
+    return unit(np.array([presence(t) for t in texts]).reshape(-1, DIM))
+
+
+def unit(flags: np.ndarray) -> np.ndarray:
+    """Rows of flags as rows of unit length."""
+    x = flags.astype(np.float32)
     return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
 
 
@@ -77,25 +85,54 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def normal_equations(rows: DataFrame, marks: np.ndarray, langs: tuple[str, ...], parts: int) -> np.ndarray:
+    """``K'K`` and, beside it, ``K'Y``: ``K`` the kernel of the rows (``text``, ``lang``, ``h``) with the landmarks,
+    ``Y`` one column per language of 1 and -1.  Each part is summed up in a task, rows in the order of ``h``."""
+    shared = rows.sparkSession.sparkContext.broadcast((np.packbits(marks, axis=1), langs))
+
+    def run(own: pd.DataFrame) -> pd.DataFrame:
+        bits, langs = shared.value
+        marks = unit(np.unpackbits(bits, axis=1, count=DIM))
+        own, total = own.sort_values(["h", "text"]), np.zeros((len(marks), len(marks) + len(langs)))
+        for lo in range(0, len(own), BATCH):
+            some = own.iloc[lo:lo + BATCH]
+            k = (features(some["text"].tolist()) @ marks.T).astype(np.float64)
+            y = np.where(some["lang"].to_numpy()[:, None] == np.array(langs, object)[None, :], 1.0, -1.0)
+            total += k.T @ np.hstack([k, y])
+        return pd.DataFrame({"part": own["part"].iloc[:1], "total": [total.tobytes()]})
+    summed = rows.select("text", "lang", "h", F.pmod("h", F.lit(parts)).cast("int").alias("part")) \
+        .groupBy("part").applyInPandas(run, "part int, total binary")
+    out = np.zeros((len(marks), len(marks) + len(langs)))
+    for r in summed.orderBy("part").toLocalIterator():  # one part's sums at a time
+        out += np.frombuffer(r["total"]).reshape(out.shape)
+    return out
+
+
 def fit(docs: DataFrame, ridge: float = 1e-3, per_class: int = PER_CLASS, landmarks: int = LANDMARKS) -> Model:
     """A model from at most ``per_class`` rows per language, those of the smallest id hashes.
 
     Learns from rows that aren't held out and have an id, a language, a letter and
-    at most ``LONGEST`` characters.  No such row: a model that answers ``und``.
+    at most ``LONGEST`` characters.  No such row: a model that answers ``und``.  The first ``landmarks``
+    rows of each language are landmarks, fewer with over ``ALL_LANDMARKS / landmarks`` languages.
     """
     own = docs.select("text", "lang", F.xxhash64("doc_id").alias("h")).filter(
         F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("lang").isNotNull()
         & (F.length("text") <= LONGEST) & F.col("text").rlike(r"\p{L}"))
     first = Window.partitionBy("lang").orderBy("h", "text")
-    rows = own.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= per_class).orderBy("lang", "r").collect()
-    langs = tuple(sorted({r["lang"] for r in rows}))
+    rows = cut(own.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= per_class))
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    langs = tuple(sorted(sizes))
     if not langs:
         return Model((), np.zeros((DIM, 0), np.float32))
-    x = features([r["text"] for r in rows])
-    marks = x[[i for i, r in enumerate(rows) if r["r"] <= landmarks]]
-    y = np.array([[1.0 if r["lang"] == lang else -1.0 for lang in langs] for r in rows])
-    knm, kmm = (x @ marks.T).astype(np.float64), (marks @ marks.T).astype(np.float64)
-    alpha = np.linalg.lstsq(knm.T @ knm + ridge * len(rows) * kmm + 1e-9 * np.eye(len(marks)), knm.T @ y, rcond=None)[0]
+    each = max(1, min(landmarks, ALL_LANDMARKS // len(langs)))
+    flags = F.pandas_udf(lambda texts: texts.map(lambda t: np.packbits(presence(t)).tobytes()), "binary")
+    bits = [r["bits"] for r in rows.filter(F.col("r") <= each).select("lang", "r", flags("text").alias("bits"))
+            .orderBy("lang", "r").collect()]  # 4 kB each
+    held = np.unpackbits(np.array([np.frombuffer(b, np.uint8) for b in bits]), axis=1, count=DIM)
+    parts = -(-sum(sizes.values()) // PART)
+    sums, marks = normal_equations(rows, held, langs, parts), unit(held)
+    m, kmm = len(marks), (marks @ marks.T).astype(np.float64)
+    alpha = np.linalg.lstsq(sums[:, :m] + ridge * sum(sizes.values()) * kmm + 1e-9 * np.eye(m), sums[:, m:], rcond=None)[0]
     return Model(langs, (marks.T @ alpha).astype(np.float32))
 
 
@@ -166,4 +203,5 @@ def accepted(cutoffs: tuple[float, ...], text: Column, lang: Column, score: Colu
     return (lang != "und") & (score >= least)
 
 
-__all__ = ["stratum", "certified", "calibrate", "accepted", "presence", "features", "Model", "held_out", "fit", "predict"]
+__all__ = ["stratum", "certified", "calibrate", "accepted", "presence", "features", "unit", "Model", "held_out",
+           "normal_equations", "fit", "predict"]

@@ -24,6 +24,47 @@ def test_presence_in_spans(monkeypatch):
     assert (presence(text) == want).all() and (presence(text.upper()) == want).all()
 
 
+def plain_scores(train, texts, ridge=1e-3, landmarks=40):
+    """Scores by sets of n-grams and one dense solution: no hashing, no parts."""
+    grams = lambda t: {t.lower()[i:i + n] for n in (1, 2, 3) for i in range(len(t.lower()) - n + 1)}
+    kernel = lambda a, b: np.array([[len(x & y) / (max(len(x), 1) * max(len(y), 1)) ** 0.5 for y in b] for x in a])
+    langs = sorted({lang for lang, _ in train})
+    rows, marks = [grams(t) for _, t in train], []
+    for lang in langs:
+        marks += [g for g, (x, _) in zip(rows, train) if x == lang][:landmarks]
+    y = np.array([[1.0 if x == lang else -1.0 for lang in langs] for x, _ in train])
+    knm, kmm = kernel(rows, marks), kernel(marks, marks)
+    alpha = np.linalg.solve(knm.T @ knm + ridge * len(rows) * kmm + 1e-9 * np.eye(len(marks)), knm.T @ y)
+    f = kernel([grams(t) for t in texts], marks) @ alpha
+    return [langs[b] for b in f.argmax(axis=1)], np.clip((f.max(axis=1) + 1) / 2, 0, 1)
+
+
+def test_against_the_exact_kernel(spark, monkeypatch):
+    """Labels and scores equal those of the unhashed kernel and one dense solution, also in several parts."""
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("length(text) < 1500")
+    train = docs.filter(~langid.held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    train = [(r.lang, r.text) for r in train.orderBy("lang", F.xxhash64("doc_id"), "text").collect()]
+    texts = [r.text for r in docs.filter(F.col("text").rlike(r"\p{L}")).orderBy("doc_id").limit(80).collect()]
+    want, scores = plain_scores(train, texts)
+    whole = fit(docs)
+    monkeypatch.setattr(langid, "PART", 20)
+    for model in (whole, fit(docs)):
+        got, own = model.score(texts)
+        assert np.mean([a == b for a, b in zip(got, want)]) > 0.97 and np.abs(own - scores).mean() < 0.02
+    assert np.abs(whole.weights - model.weights).max() < 1e-3
+
+
+def test_landmarks_are_shared_by_languages(spark, monkeypatch):
+    rows = [(k, f"text {k} of language {'abcdefgh'[k % 8]}", f"l{k % 8}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = []
+    sums = langid.normal_equations
+    monkeypatch.setattr(langid, "normal_equations", lambda rows, marks, *more: held.append(len(marks)) or sums(rows, marks, *more))
+    monkeypatch.setattr(langid, "ALL_LANDMARKS", 24)
+    assert len(fit(docs).langs) == 8 and held == [24]
+
+
 def test_odd_rows(spark, odd, empty):
     model = fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     got = predict(odd, model)
