@@ -15,7 +15,7 @@ from surgewatch.functions.timefmt import interval_seconds
 from surgewatch.operators.match import Matcher
 from surgewatch.schema import COUNT_KEYS
 from surgewatch.sources.sinks import drop_folders, drop_staged, read_stored, stage, table_exists, write_days
-from surgewatch.streaming.stream import as_event_time, state_partitions
+from surgewatch.streaming.stream import post_hits, state_partitions
 
 COUNT_ROWS = ("collected_time timestamp, channel string, query string, category string, count_category long, "
               "day date, _batch long")
@@ -85,9 +85,9 @@ class FinalCounts:
         first = F.to_date(F.timestamp_micros(F.lit(mark - self.width)))
         return parts.where((F.col("day") >= first) & (self._end() > F.lit(mark)))
 
-    def start(self, posts: DataFrame, checkpoint: str, partitions: int | None = None):
-        """Run over the posts available; state is the parts table, so the stream itself has none."""
-        hits = as_event_time(self.matcher.hit_keys(posts, COUNT_KEYS[:3]).where(F.col("category") != "no"), "collected_time")
+    def start(self, posts: DataFrame, checkpoint: str, partitions: int | None = None, hits: DataFrame | None = None):
+        """Run over the posts available; state is the parts table, so the stream itself has none.  ``hits``: as in ``post_hits``."""
+        hits = post_hits(posts, self.matcher, hits)
         with state_partitions(posts.sparkSession, partitions):
             return (hits.select(*COUNT_KEYS, "keyword").writeStream.option("checkpointLocation", checkpoint)
                     .foreachBatch(self.take).trigger(availableNow=True).start())

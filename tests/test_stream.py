@@ -148,3 +148,44 @@ def test_rows_mode_reads_tails_not_the_history(spark, monkeypatch):
     sm._upsert(points(118, 121, extra=1), 4)
     assert reads == [1]
     check()
+
+
+def test_stream_without_an_alert_gives_no_message(spark):
+    """No item ever: no message is written, and reading them gives an empty table of their columns."""
+    from surgewatch.plans import catalog as K
+    none = K._stream_alerts(spark, _alert(spark, "a").where("false").withColumn("cur_time", F.col("cur_time").cast("timestamp_ntz")))
+    some = K._stream_alerts(spark, _alert(spark, "a").withColumn("cur_time", F.col("cur_time").cast("timestamp_ntz")))
+    assert none.dtypes == some.dtypes and none.collect() == [] and some.count() == 1
+
+
+def test_alert_items_are_worked_out_once(spark, monkeypatch):
+    """The files that items arrive in are cut from stored items, not each from all posts."""
+    from paths import SF001
+    from surgewatch.plans import catalog as K
+    seen, stage = [], K.SNK.stage
+    monkeypatch.setattr(K.SNK, "stage", lambda df: seen.append(df.columns) or stage(df))
+    K.q_stream_alerts_once(spark, SF001)
+    assert seen.count(K._items(spark, SF001).columns) == 1
+
+
+def test_posts_by_text_key_stream_as_posts_with_texts(spark):
+    """Hits of the texts as the static side, whole or summed by category; repeated, null and missing keys."""
+    from surgewatch.operators import counts as C
+    from surgewatch.streaming import stream as ST
+    posts = spark.range(60).selectExpr(
+        "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, cast(id % 5 as int)) collected_time", "'X' channel",
+        "concat('q', id % 2) query", "nullif(id % 7, 3) text_key")
+    texts = spark.createDataFrame([(0, "onor thing Thing"), (1, "erst"), (1, "erst"), (2, None), (4, "no"), (5, "the onti"), (None, "onti")],
+                                  "text_key long, text string")
+    folder, m = scratch_path(spark, "keyed"), plan_matcher(spark.createDataFrame(FIXTURE_WORDBAG, "category string, keyword string"))
+    posts.write.parquet(folder)
+    hits = m.hit_keys(texts, ["text_key"])
+    want = _rows(C.count_category(m.hits(posts.join(texts, "text_key"))))
+    src = ST.read_post_stream(spark, folder, posts.schema)
+    out, ckpt = scratch_path(spark, "keyed-out"), scratch_path(spark, "ckpt")
+    ST.write_upserts(ST.stream_category_hits(src, C.category_hits(hits, "text_key"), "30 minutes"), out, ckpt,
+                     ["collected_time", "channel", "query", "category"], partitions=2).awaitTermination()
+    assert _rows(ST.read_table(spark, out)) == want != []
+    sm = StreamingMetrics(spark, m, scratch_path(spark, "sm-keyed"), "rows", 1800)
+    sm.start(src, scratch_path(spark, "ckpt"), partitions=2, hits=hits).awaitTermination()
+    assert _rows(C.category_from_keyword_counts(sm.keyword_counts())) == want
