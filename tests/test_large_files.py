@@ -75,3 +75,12 @@ def test_large_halves_come_as_several_files(spark, monkeypatch):
     monkeypatch.setattr(K, "P", P)
     monkeypatch.setattr(K.run_job, "run", lambda s, folder, *a, **k: seen.append(P.list_files(s, folder).count()) or run(s, folder, *a, **k))
     assert sorted(K.q_stream_complete_batches(spark, SF001).collect(), key=str) == want and max(seen) > 2
+
+
+def test_mapped_rows_of_a_folder_are_one_partition_with_their_days(spark):
+    path = scratch_path(spark, "one")
+    rows = mapped(spark, 20)
+    two = rows.unionAll(rows.withColumn("collected_time", F.col("collected_time") + F.expr("INTERVAL 1 DAY"))).coalesce(1)
+    SNK.write_mapped(two, path, batch="b1")
+    assert len(files(path, ".parquet")) == 1 and os.listdir(f"{path}/batch=b1")
+    assert sorted(r[0].day for r in spark.read.parquet(path).select("batch_date").distinct().collect()) == [1, 2]
