@@ -84,3 +84,11 @@ def test_mapped_rows_of_a_folder_are_one_partition_with_their_days(spark):
     SNK.write_mapped(two, path, batch="b1")
     assert len(files(path, ".parquet")) == 1 and os.listdir(f"{path}/batch=b1")
     assert sorted(r[0].day for r in spark.read.parquet(path).select("batch_date").distinct().collect()) == [1, 2]
+
+
+def test_landed_files_of_one_write_do_not_collide(spark):
+    root = scratch_path(spark, "land")
+    df = spark.createDataFrame([("u", str(T0), str(T0), "X", "q", "a", h) for h in ("x", "y")], ", ".join(f"{c} string" for c in [*P.POST_COLUMNS, "half"]))
+    P.write_posts(df.coalesce(1), f"{root}/made", by="half")
+    assert [P.land_files(spark, f"{root}/made/half={h}", f"{root}/raw/b") for h in ("x", "y", "none")] == [1, 1, 0]
+    assert P.read_posts(spark, f"{root}/raw/b").count() == 2
