@@ -77,6 +77,36 @@ def test_large_halves_come_as_several_files(spark, monkeypatch):
     assert sorted(K.q_stream_complete_batches(spark, SF001).collect(), key=str) == want and max(seen) > 2
 
 
+def final_plan(df):
+    """The plan that ``df`` ran with, down to its join."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[:plan.index("ShuffledHashJoin")]
+
+
+def odd_posts(spark):
+    """Posts that refer to texts by a key: texts that are there twice, or are two of a key, null times and keys."""
+    posts = spark.createDataFrame(
+        [(i, f"u{i % 3}", T0 if i % 7 else None, T0 + dt.timedelta(minutes=30 * (i % 4)) if i % 5 else None, "X", "q", i % 6 if i % 11 else None)
+         for i in range(60)], "post_id long, username string, uploaded_time timestamp_ntz, collected_time timestamp_ntz, channel string, query string, text_key long")
+    texts = spark.createDataFrame([(0, "onor erst\nthing", "en"), (0, "onor erst\nthing", "en"), (1, "none", "de"), (1, "onti", "de"), (2, None, "en"),
+                                   (3, "", None), (4, 'a "onor"', "fr"), (None, "onor", "en")], "text_key long, text string, lang string")
+    return posts, texts
+
+
+def test_batch_folders_are_written_in_order_and_compressed(spark):
+    from surgewatch.sources import fixtures as FX
+    posts, texts = odd_posts(spark)
+    own = FX.with_texts_in_order(posts, texts, [P.batch_folder()], ["text_key"])
+    assert "Sort" not in final_plan(own.select("text", P.batch_folder().alias("batch")).sortWithinPartitions("batch"))
+    root = scratch_path(spark, "folders")
+    P.write_batches(own, root, compression="gzip")
+    assert files(root, ".csv.gz") and not files(root, ".csv")
+    back = P.read_posts(spark, f"{root}/*", batch_time="b")
+    want = posts.join(texts, "text_key").select("username", F.col("collected_time").cast("timestamp").alias("c")).collect()
+    assert sorted(((r.username, r.b) for r in back.collect()), key=str) == sorted(map(tuple, want), key=str)
+
+
 def test_mapped_rows_of_a_folder_are_one_partition_with_their_days(spark):
     path = scratch_path(spark, "one")
     rows = mapped(spark, 20)
