@@ -94,6 +94,22 @@ def odd_posts(spark):
     return posts, texts
 
 
+def test_mapped_rows_written_where_they_are_equal_the_gathered(spark, monkeypatch):
+    """Texts meet the posts last, in order of the batches; the same rows, a text that is there twice included."""
+    from surgewatch.plans import catalog as K
+    from surgewatch.plans.pipeline import Job
+    from surgewatch.sources import fixtures as FX
+    j = Job(odd_posts(spark)[0], FX.wordbag(spark), texts=odd_posts(spark)[1])
+    monkeypatch.setattr(K, "job", lambda spark, sf: j)
+    want = sorted(K.q_write_mapped(spark, "").collect(), key=str)
+    monkeypatch.setattr(K, "GATHERED_BYTES", 0)
+    gathered, write = [], SNK.write_mapped
+    monkeypatch.setattr(SNK, "write_mapped", lambda *a, **k: gathered.append(k["gather"]) or write(*a, **k))
+    assert sorted(K.q_write_mapped(spark, "").collect(), key=str) == want != [] and gathered == [False]
+    rows = K._mapped_in_order(j, SNK.mapped_order()).withColumns(dict(zip(("d", "b"), SNK.mapped_order())))
+    assert "Sort" not in final_plan(rows.sortWithinPartitions("d", "b"))   # the write sorts no text
+
+
 def test_batch_folders_are_written_in_order_and_compressed(spark):
     from surgewatch.sources import fixtures as FX
     posts, texts = odd_posts(spark)
