@@ -138,3 +138,13 @@ def test_landed_files_of_one_write_do_not_collide(spark):
     P.write_posts(df.coalesce(1), f"{root}/made", by="half")
     assert [P.land_files(spark, f"{root}/made/half={h}", f"{root}/raw/b") for h in ("x", "y", "none")] == [1, 1, 0]
     assert P.read_posts(spark, f"{root}/raw/b").count() == 2
+
+
+def test_streamed_posts_are_kept_once_for_all_files(spark, monkeypatch):
+    """The posts meet their texts in one pass, and what is streamed is compressed."""
+    from paths import SF001
+    from surgewatch.plans import catalog as K
+    paths, scratch = [], K.scratch_path
+    monkeypatch.setattr(K, "scratch_path", lambda *a: paths.append(scratch(*a)) or paths[-1])
+    K.q_stream_posts(spark, SF001)
+    assert {f.split(".")[-2] for p in paths for f in files(p, ".parquet")} == {"zstd"}
